@@ -107,3 +107,290 @@ silver AS (
 
 def with_ctes(*blocks: str, body: str) -> str:
     return "WITH " + ",\n".join(b.strip() for b in blocks) + "\n" + body
+
+
+def R(expr: str, digits: int) -> str:
+    """Spark-style HALF_UP rounding of a double, as DuckDB SQL."""
+    return f"cast(round(cast(({expr}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+
+
+def _country_values() -> str:
+    from pacelake.plans.countries import country_rows
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    return ",\n".join("(" + ", ".join(q(v) for v in row) + ")" for row in country_rows())
+
+
+GOLD = """
+fct AS (
+  SELECT result_id, event_id, athlete_id, cast(strftime(event_start_date, '%Y%m%d') AS int) AS date_id,
+         performance_time_seconds, performance_distance_km, athlete_average_speed, athlete_age, athlete_age_category
+  FROM silver),
+dim_event AS (
+  SELECT event_id, event_name, max(event_type) AS event_type, max(event_distance_length) AS event_distance_length,
+         max(event_distance_km) AS event_distance_km, max(event_duration_hours) AS event_duration_hours,
+         max(event_number_of_finishers) AS event_number_of_finishers
+  FROM silver GROUP BY event_id, event_name),
+ath_ranked AS (
+  SELECT athlete_id, athlete_source_id, athlete_country, athlete_club, athlete_gender, athlete_year_of_birth,
+         row_number() OVER (PARTITION BY athlete_id, athlete_source_id
+                            ORDER BY year_of_event DESC, event_start_date DESC NULLS LAST, result_id DESC) AS rn
+  FROM silver WHERE year_of_event IS NOT NULL),
+dim_athlete AS (
+  SELECT k.athlete_id, k.athlete_source_id, r.athlete_country, r.athlete_club, r.athlete_gender, r.athlete_year_of_birth
+  FROM (SELECT DISTINCT athlete_id, athlete_source_id FROM silver) k
+  LEFT JOIN ath_ranked r ON r.rn = 1 AND r.athlete_id = k.athlete_id
+                        AND r.athlete_source_id IS NOT DISTINCT FROM k.athlete_source_id),
+dim_date AS (
+  SELECT DISTINCT cast(strftime(event_start_date, '%Y%m%d') AS int) AS date_id, event_start_date AS full_date,
+         cast(year(event_start_date) AS int) AS year, cast(quarter(event_start_date) AS int) AS quarter,
+         cast(month(event_start_date) AS int) AS month, strftime(event_start_date, '%B') AS month_name,
+         cast(day(event_start_date) AS int) AS day, cast(dayofweek(event_start_date) + 1 AS int) AS day_of_week,
+         strftime(event_start_date, '%A') AS day_name, dayofweek(event_start_date) IN (0, 6) AS is_weekend
+  FROM silver WHERE event_start_date IS NOT NULL),
+enriched AS (
+  SELECT f.result_id, e.event_name, e.event_type, e.event_distance_length, e.event_distance_km, e.event_duration_hours,
+         a.athlete_country, a.athlete_gender, d.full_date AS event_date, d.year AS event_year, f.athlete_age,
+         f.athlete_age_category, f.athlete_average_speed, f.performance_time_seconds, f.performance_distance_km
+  FROM fct f JOIN dim_event e USING (event_id) JOIN dim_athlete a USING (athlete_id) LEFT JOIN dim_date d USING (date_id))"""
+
+
+def country_cte() -> str:
+    return (
+        "dim_country AS (SELECT * FROM (VALUES\n"
+        + _country_values()
+        + "\n) AS t(country_code, country_name, iso_alpha_2, iso_alpha_3, region, subregion))"
+    )
+
+
+def race(body: str, *extra: str) -> str:
+    """Query over the race star schema derived from the base tables."""
+    return with_ctes(FEED, SILVER, GOLD, country_cte(), *extra, body=body)
+
+
+def pct_disc(src: str, value: str, p: float, groups: list[str] | None = None, name: str = "q") -> str:
+    """Discrete percentile = the value at 1-based rank ceil(n * p) (what
+    Spark's percentile_approx returns when its sketch is exact)."""
+    g = ", ".join(groups or [])
+    part = f"PARTITION BY {g}" if g else ""
+    sel = f"{g}, " if g else ""
+    gb = f" GROUP BY {g}" if g else ""
+    return (
+        f"SELECT {sel}max(v) FILTER (WHERE rn = greatest(cast(ceil(n * cast({p} AS double)) AS bigint), 1)) AS {name} "
+        f"FROM (SELECT {sel}{value} AS v, row_number() OVER ({part} ORDER BY {value}) AS rn, "
+        f"count(*) OVER ({part}) AS n FROM {src} WHERE {value} IS NOT NULL){gb}"
+    )
+
+
+KM100 = "event_distance_km BETWEEN 99 AND 101 AND performance_time_seconds IS NOT NULL"
+W = "CASE WHEN athlete_gender = 'W' THEN 1 ELSE 0 END"
+M = "CASE WHEN athlete_gender = 'M' THEN 1 ELSE 0 END"
+BAND_E1 = """CASE WHEN event_distance_km < 60 THEN '50-59 km' WHEN event_distance_km < 110 THEN '60-109 km'
+     WHEN event_distance_km < 170 THEN '110-169 km (100mi range)' WHEN event_distance_km IS NOT NULL THEN '170+ km' END"""
+ORDER_E1 = """CASE WHEN event_distance_km < 60 THEN 1 WHEN event_distance_km < 110 THEN 2
+     WHEN event_distance_km < 170 THEN 3 WHEN event_distance_km IS NOT NULL THEN 4 ELSE 99 END"""
+BAND_E2 = """CASE WHEN event_distance_km < 60 THEN '50-59 km' WHEN event_distance_km < 110 THEN '60-109 km'
+     WHEN event_distance_km < 170 THEN '110-169 km' ELSE '170+ km' END"""
+COUNTRY_JOIN = "enriched r LEFT JOIN dim_country c ON r.athlete_country = c.country_code"
+YEARLY = "SELECT event_year, count(*) AS n_finishes FROM enriched GROUP BY event_year"
+
+
+def race_queries() -> dict[str, str]:
+    S = "performance_time_seconds"
+    K = "performance_distance_km"
+    V = "athlete_average_speed"
+    q = {
+        # --- layers and serving views
+        "silver_races_obt": race("SELECT * FROM silver"),
+        "gold_fct_results": race("SELECT * FROM fct"),
+        "gold_dim_event": race("SELECT * FROM dim_event"),
+        "gold_dim_athlete": race("SELECT * FROM dim_athlete"),
+        "gold_dim_date": race("SELECT * FROM dim_date"),
+        "gold_dim_country": race("SELECT * FROM dim_country"),
+        "vw_results_enriched": race("SELECT * FROM enriched"),
+        "vw_distance_top_events": race(
+            f"SELECT e.event_name, e.event_distance_length, e.event_distance_km, count(*) AS n_finishers_total,"
+            f" avg(f.{S}) / 3600.0 AS avg_finish_hours, min(f.{S}) / 3600.0 AS fastest_finish_hours"
+            " FROM fct f JOIN dim_event e USING (event_id) WHERE e.event_type = 'distance'"
+            " GROUP BY e.event_name, e.event_distance_length, e.event_distance_km"
+        ),
+        "vw_distance_gender_split": race(
+            f"SELECT e.event_distance_length, e.event_distance_km, a.athlete_gender, count(*) AS n_finishes,"
+            f" {R(f'avg(f.{V})', 3)} AS avg_speed_kmh, {R(f'avg(f.{S}) / 3600.0', 2)} AS avg_finish_hours,"
+            f" {R(f'min(f.{S}) / 3600.0', 2)} AS fastest_finish_hours"
+            " FROM fct f JOIN dim_event e USING (event_id) JOIN dim_athlete a USING (athlete_id)"
+            " WHERE e.event_type = 'distance' AND a.athlete_gender IN ('M', 'W')"
+            " GROUP BY e.event_distance_length, e.event_distance_km, a.athlete_gender"
+        ),
+        "vw_distance_country_leaderboard": race(
+            f"SELECT a.athlete_country, e.event_distance_length, count(*) AS n_finishes,"
+            f" avg(f.{V}) AS avg_speed_kmh, min(f.{S}) / 3600.0 AS fastest_finish_hours"
+            " FROM fct f JOIN dim_event e USING (event_id) JOIN dim_athlete a USING (athlete_id)"
+            " WHERE e.event_type = 'distance' GROUP BY a.athlete_country, e.event_distance_length"
+        ),
+        "vw_time_top_events": race(
+            f"SELECT e.event_name, e.event_duration_hours, count(*) AS n_finishers_total,"
+            f" avg(f.{K}) AS avg_distance_km, max(f.{K}) AS max_distance_km"
+            " FROM fct f JOIN dim_event e USING (event_id) WHERE e.event_type = 'time'"
+            " GROUP BY e.event_name, e.event_duration_hours"
+        ),
+        "vw_time_country_leaderboard": race(
+            f"SELECT a.athlete_country, e.event_duration_hours, count(*) AS n_finishes,"
+            f" avg(f.{K}) AS avg_distance_km, max(f.{K}) AS max_distance_km"
+            " FROM fct f JOIN dim_event e USING (event_id) JOIN dim_athlete a USING (athlete_id)"
+            " WHERE e.event_type = 'time' GROUP BY a.athlete_country, e.event_duration_hours"
+        ),
+        "vw_time_yearly_progression": race(
+            f"SELECT d.year AS event_year, e.event_duration_hours, count(*) AS n_finishes,"
+            f" {R(f'avg(f.{K})', 2)} AS avg_distance_km, {R(f'max(f.{K})', 2)} AS max_distance_km"
+            " FROM fct f JOIN dim_event e USING (event_id) JOIN dim_date d USING (date_id)"
+            " WHERE e.event_type = 'time' GROUP BY d.year, e.event_duration_hours"
+        ),
+        # --- dashboard A-F
+        "a1_total_finishes": race("SELECT count(*) AS total_finishes FROM fct"),
+        "a2_distinct_athletes": race("SELECT count(*) AS distinct_athletes FROM dim_athlete"),
+        "a3_distinct_events": race("SELECT count(*) AS distinct_events FROM dim_event"),
+        "a4_countries_represented": race(
+            "SELECT count(DISTINCT athlete_country) AS countries_represented FROM dim_athlete"
+            " WHERE athlete_country IS NOT NULL"
+        ),
+        "a5_median_100k_hours": race(
+            f"SELECT {R('q / 3600.0', 2)} AS median_100k_finish_hours FROM ("
+            + pct_disc("x", S, 0.5)
+            + ")",
+            f"x AS (SELECT {S} FROM enriched WHERE event_type = 'distance' AND {KM100})",
+        ),
+        "a6_female_participation": race(
+            f"SELECT {R(f'100.0 * sum({W}) / nullif(count(*), 0)', 1)} AS female_participation_pct"
+            " FROM enriched WHERE athlete_gender IN ('M', 'W')"
+        ),
+        "b1_finishes_per_year": race(YEARLY),
+        "b2_yoy_growth": race(
+            "SELECT event_year, n_finishes, lag(n_finishes) OVER w AS prev_year_finishes,"
+            f" {R('100.0 * (n_finishes - lag(n_finishes) OVER w) / nullif(lag(n_finishes) OVER w, 0)', 1)}"
+            " AS yoy_growth_pct FROM yearly WINDOW w AS (ORDER BY event_year NULLS FIRST)",
+            f"yearly AS ({YEARLY})",
+        ),
+        "b3_debut_cohorts": race(
+            "SELECT first_year AS event_year, count(*) AS new_athletes,"
+            " cast(sum(count(*)) OVER (ORDER BY first_year) AS bigint) AS cumulative_athletes"
+            " FROM debut WHERE first_year IS NOT NULL GROUP BY first_year",
+            "debut AS (SELECT f.athlete_id, min(d.year) AS first_year FROM fct f JOIN dim_date d USING (date_id)"
+            " GROUP BY f.athlete_id)",
+        ),
+        "b4_top_events": race(
+            f"SELECT event_name, event_distance_length, count(*) AS n_finishes, {R(f'avg({V})', 2)} AS avg_speed_kmh"
+            " FROM enriched GROUP BY event_name, event_distance_length"
+            " ORDER BY n_finishes DESC, event_name NULLS FIRST, event_distance_length NULLS FIRST LIMIT 15"
+        ),
+        "c1_top_countries": race(
+            "SELECT coalesce(c.country_name, r.athlete_country) AS country, r.athlete_country AS ioc_code,"
+            f" count(*) AS n_finishes, {R(f'avg(r.{V})', 2)} AS avg_speed_kmh FROM {COUNTRY_JOIN}"
+            " WHERE r.athlete_country IS NOT NULL GROUP BY 1, 2 ORDER BY n_finishes DESC, ioc_code LIMIT 25"
+        ),
+        "c2_country_diversity": race(
+            "SELECT event_year, count(DISTINCT athlete_country) AS countries_represented FROM enriched"
+            " WHERE athlete_country IS NOT NULL GROUP BY event_year"
+        ),
+        "c3_fastest_100k_nations": race(
+            "SELECT coalesce(c.country_name, r.athlete_country) AS country, count(*) AS n_100k_finishes,"
+            f" {R(f'avg(r.{S}) / 3600.0', 2)} AS avg_finish_hours, {R(f'min(r.{S}) / 3600.0', 2)} AS fastest_finish_hours"
+            f" FROM {COUNTRY_JOIN} WHERE r.event_distance_km BETWEEN 99 AND 101 AND r.{S} IS NOT NULL"
+            " AND r.athlete_country IS NOT NULL GROUP BY 1 HAVING count(*) >= 50"
+            " ORDER BY avg_finish_hours, country LIMIT 25"
+        ),
+        "d1_age_histogram": race(
+            "SELECT cast(floor(athlete_age / 5) * 5 AS bigint) AS age_bucket, count(*) AS n_finishes"
+            " FROM enriched WHERE athlete_age BETWEEN 18 AND 80 GROUP BY 1"
+        ),
+        "d2_gender_by_decade": race(
+            f"SELECT cast(floor(event_year / 10) * 10 AS bigint) AS decade, cast(sum({M}) AS bigint) AS men,"
+            f" cast(sum({W}) AS bigint) AS women, {R(f'100.0 * sum({W}) / nullif(count(*), 0)', 1)} AS pct_women"
+            " FROM enriched WHERE athlete_gender IN ('M', 'W') AND event_year IS NOT NULL GROUP BY 1"
+        ),
+        "d3_mean_age_per_year": race(
+            f"SELECT event_year, {R('avg(athlete_age)', 1)} AS avg_finisher_age FROM enriched"
+            " WHERE athlete_age BETWEEN 18 AND 80 GROUP BY event_year"
+        ),
+        "e1_distance_band_mix": race(
+            f"SELECT {BAND_E1} AS distance_band, {ORDER_E1} AS band_order, count(*) AS n_finishes FROM enriched"
+            " WHERE event_type = 'distance' AND event_distance_km IS NOT NULL GROUP BY 1, 2"
+        ),
+        "e2_speed_by_band": race(
+            f"SELECT b.distance_band, b.n_finishes, b.avg_speed_kmh, {R('m.q', 2)} AS median_speed_kmh"
+            " FROM (SELECT distance_band, count(*) AS n_finishes,"
+            f" {R(f'avg({V})', 2)} AS avg_speed_kmh, min(event_distance_km) AS o FROM x GROUP BY distance_band) b"
+            f" JOIN ({pct_disc('x', V, 0.5, ['distance_band'])}) m USING (distance_band)",
+            f"x AS (SELECT {BAND_E2} AS distance_band, event_distance_km, {V} FROM enriched"
+            f" WHERE event_type = 'distance' AND event_distance_km IS NOT NULL AND {V} IS NOT NULL)",
+        ),
+        "e3_speed_per_year": race(
+            f"SELECT event_year, {R(f'avg({V})', 3)} AS avg_speed_kmh FROM enriched"
+            f" WHERE event_type = 'distance' AND {V} IS NOT NULL GROUP BY event_year"
+        ),
+        "e4_24h_distance_per_year": race(
+            f"SELECT event_year, {R(f'avg({K})', 2)} AS avg_distance_km, {R(f'max({K})', 2)} AS max_distance_km"
+            f" FROM enriched WHERE event_distance_length = '24h' AND {K} IS NOT NULL GROUP BY event_year"
+        ),
+        "f1_fastest_100k": race(
+            "SELECT r.event_name, r.event_year, coalesce(c.country_name, r.athlete_country) AS country,"
+            f" r.athlete_gender, r.athlete_age, {R(f'r.{S} / 3600.0', 2)} AS finish_hours FROM {COUNTRY_JOIN}"
+            f" WHERE r.event_distance_km BETWEEN 99 AND 101 AND r.{S} IS NOT NULL"
+            f" ORDER BY r.{S}, r.result_id LIMIT 10"
+        ),
+        "f2_longest_24h": race(
+            "SELECT r.event_name, r.event_year, coalesce(c.country_name, r.athlete_country) AS country,"
+            f" r.athlete_gender, r.athlete_age, {R(f'r.{K}', 2)} AS distance_km FROM {COUNTRY_JOIN}"
+            f" WHERE r.event_distance_length = '24h' AND r.{K} IS NOT NULL"
+            f" ORDER BY r.{K} DESC, r.result_id LIMIT 10"
+        ),
+        "f3_record_progression": race(
+            f"SELECT event_year, {R('ybh', 2)} AS year_best_hours,"
+            f" {R('min(ybh) OVER (ORDER BY event_year NULLS FIRST)', 2)} AS world_record_to_date FROM yb",
+            f"yb AS (SELECT event_year, min({S}) / 3600.0 AS ybh FROM enriched WHERE {KM100} GROUP BY event_year)",
+        ),
+        "f4_gender_speed_gap": race(
+            "SELECT cast(floor(event_year / 10) * 10 AS bigint) AS decade, athlete_gender, count(*) AS n_finishes,"
+            f" {R(f'avg({V})', 3)} AS avg_speed_kmh FROM enriched WHERE event_type = 'distance'"
+            f" AND athlete_gender IN ('M', 'W') AND {V} IS NOT NULL AND event_year IS NOT NULL GROUP BY 1, 2"
+        ),
+        # --- validation questions
+        "q1_finishes_per_year": race(YEARLY),
+        "q2_top_events_by_name": race(
+            "SELECT event_name, count(*) AS n_finishes FROM enriched GROUP BY event_name"
+            " ORDER BY n_finishes DESC, event_name NULLS FIRST LIMIT 10"
+        ),
+        "q3_fastest_100km_literal": race(
+            f"SELECT event_name, event_date, athlete_country, athlete_gender, athlete_age, {S} / 3600.0 AS finish_hours"
+            f" FROM enriched WHERE event_distance_length = '100km' AND {S} IS NOT NULL"
+            f" ORDER BY {S}, result_id LIMIT 10"
+        ),
+        "q4_distance_averages": race(
+            f"SELECT event_distance_length, count(*) AS n_finishes, avg({S}) / 3600.0 AS avg_finish_hours,"
+            f" avg({V}) AS avg_speed_kmh FROM enriched WHERE event_type = 'distance'"
+            " GROUP BY event_distance_length ORDER BY n_finishes DESC, event_distance_length NULLS FIRST LIMIT 20"
+        ),
+        "q5_top_countries_raw": race(
+            f"SELECT athlete_country, count(*) AS n_finishes, avg({V}) AS avg_speed_kmh FROM enriched"
+            " GROUP BY athlete_country ORDER BY n_finishes DESC, athlete_country NULLS FIRST LIMIT 15"
+        ),
+        "q6_gender_per_year": race(
+            "SELECT event_year, athlete_gender, count(*) AS n_finishes FROM enriched"
+            " WHERE athlete_gender IS NOT NULL GROUP BY event_year, athlete_gender"
+        ),
+        "q7_age_histogram_10_100": race(
+            "SELECT cast(floor(athlete_age / 5) * 5 AS bigint) AS age_bucket_start, count(*) AS n_finishes"
+            " FROM enriched WHERE athlete_age BETWEEN 10 AND 100 GROUP BY 1"
+        ),
+        "q8_24h_per_year": race(
+            f"SELECT event_year, avg({K}) AS avg_distance_km, max({K}) AS max_distance_km, count(*) AS n_finishes"
+            " FROM enriched WHERE event_distance_length = '24h' GROUP BY event_year"
+        ),
+    }
+    return q
+
+
+def all_oracles() -> dict[str, str]:
+    return {**race_queries()}
