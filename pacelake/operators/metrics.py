@@ -240,6 +240,6 @@ def lookup_label(
         lk = F.broadcast(lk)
     return (
         df.join(lk, F.col(key) == F.col("_lk"), "left")
-        .withColumn(out, F.coalesce(F.col("_label"), F.col(key)))
+        .withColumn(out, F.coalesce(F.col("_label"), F.col(key).cast("string")))
         .drop("_lk", "_label")
     )

@@ -322,7 +322,7 @@ def race_queries() -> dict[str, str]:
             f"SELECT b.distance_band, b.n_finishes, b.avg_speed_kmh, {R('m.q', 2)} AS median_speed_kmh"
             " FROM (SELECT distance_band, count(*) AS n_finishes,"
             f" {R(f'avg({V})', 2)} AS avg_speed_kmh, min(event_distance_km) AS o FROM x GROUP BY distance_band) b"
-            f" JOIN ({pct_disc('x', V, 0.5, ['distance_band'])}) m USING (distance_band)",
+            f" LEFT JOIN ({pct_disc('x', V, 0.5, ['distance_band'])}) m USING (distance_band)",
             f"x AS (SELECT {BAND_E2} AS distance_band, event_distance_km, {V} FROM enriched"
             f" WHERE event_type = 'distance' AND event_distance_km IS NOT NULL AND {V} IS NOT NULL)",
         ),
@@ -392,5 +392,219 @@ def race_queries() -> dict[str, str]:
     return q
 
 
+
+
+# --- EDA over the raw feed ---------------------------------------------------------
+
+EDA_NUMERIC = ["year_of_event", "event_number_of_finishers", "athlete_year_of_birth",
+               "athlete_average_speed", "athlete_source_id"]
+FEED_COLUMNS = ["year_of_event", "event_dates", "event_name", "event_distance_length",
+                "event_number_of_finishers", "athlete_performance", "athlete_club", "athlete_country",
+                "athlete_year_of_birth", "athlete_gender", "athlete_age_category", "athlete_average_speed",
+                "athlete_source_id"]
+AGE = "year_of_event - cast(trunc(athlete_year_of_birth) AS int)"
+
+
+def feed_query(body: str, *extra: str) -> str:
+    return with_ctes(FEED, *extra, body=body)
+
+
+def _summary_sql() -> str:
+    ctes, parts = [], []
+    for i, col in enumerate(EDA_NUMERIC):
+        ctes.append(f"v{i} AS (SELECT cast({col} AS double) AS v FROM feed)")
+        parts.append(
+            f"SELECT '{col}' AS column_name, a.count, a.mean, a.stddev, a.min, q1.q AS p25, q2.q AS p50,"
+            f" q3.q AS p75, a.max FROM (SELECT count(v) AS count, avg(v) AS mean, stddev_samp(v) AS stddev,"
+            f" min(v) AS min, max(v) AS max FROM v{i}) a, ({pct_disc(f'v{i}', 'v', 0.25)}) q1,"
+            f" ({pct_disc(f'v{i}', 'v', 0.5)}) q2, ({pct_disc(f'v{i}', 'v', 0.75)}) q3"
+        )
+    return feed_query(" UNION ALL ".join(parts), *ctes)
+
+
+def eda_queries() -> dict[str, str]:
+    ages = f"ages AS (SELECT {AGE} AS age FROM feed WHERE ({AGE}) BETWEEN 10 AND 100)"
+    pcts = ", ".join(
+        f"({pct_disc('ages', 'age', p)}) AS {n}"
+        for p, n in [(0.05, "p05"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.95, "p95")]
+    )
+    return {
+        "x1_shape": feed_query(f"SELECT count(*) AS n_rows, {len(FEED_COLUMNS)} AS n_columns FROM feed"),
+        "x2_numeric_summary": _summary_sql(),
+        "x3_null_counts": feed_query(
+            "SELECT "
+            + ", ".join(f"cast(sum(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) AS bigint) AS {x}" for x in FEED_COLUMNS)
+            + " FROM feed"
+        ),
+        "x4_unique_events": feed_query("SELECT count(*) AS n_events FROM (SELECT DISTINCT event_name FROM feed)"),
+        "x4_top_events": feed_query(
+            "SELECT event_name, count(*) AS n_results FROM feed GROUP BY event_name"
+            " ORDER BY n_results DESC, event_name NULLS FIRST LIMIT 20"
+        ),
+        "x5_age_percentiles": feed_query(f"SELECT {pcts}", ages),
+        "x6_age_buckets": feed_query(
+            "SELECT cast(trunc(age / 5) AS int) * 5 AS age_bucket, count(*) AS n_results FROM ages GROUP BY 1", ages
+        ),
+        "x7_top_countries_raw": feed_query(
+            "SELECT athlete_country, count(*) AS n_results FROM feed GROUP BY athlete_country"
+            " ORDER BY n_results DESC, athlete_country NULLS FIRST LIMIT 25"
+        ),
+    }
+
+
+# --- generic operators on the base tables ------------------------------------------------
+
+OYEAR = "cast(year(o_orderdate) AS int)"
+LINEITEM_TYPES = [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+    ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
+]
+_NUMERIC_TYPES = {"bigint", "int", "double", "smallint", "tinyint", "float"}
+
+
+def _date_dim_select(d: str) -> str:
+    return (
+        f"SELECT DISTINCT cast(strftime({d}, '%Y%m%d') AS int) AS date_id, {d} AS full_date,"
+        f" cast(year({d}) AS int) AS year, cast(quarter({d}) AS int) AS quarter, cast(month({d}) AS int) AS month,"
+        f" strftime({d}, '%B') AS month_name, cast(day({d}) AS int) AS day,"
+        f" cast(dayofweek({d}) + 1 AS int) AS day_of_week, strftime({d}, '%A') AS day_name,"
+        f" dayofweek({d}) IN (0, 6) AS is_weekend"
+    )
+
+
+def _audit_sql() -> str:
+    pk = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey"),
+          ("part", "p_partkey"), ("supplier", "s_suppkey")]
+    fk = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+          ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+          ("customer", "c_nationkey", "nation", "n_nationkey")]
+    nn = [("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("lineitem", "l_shipdate"),
+          ("orders", "o_custkey"), ("orders", "o_orderdate")]
+    parts = [
+        f"SELECT 'primary_key' AS check_name, '{t}' AS table_name, '{k}' AS column_name,"
+        f" cast(count(*) - count(DISTINCT {k}) AS bigint) AS n_violations FROM {t}"
+        for t, k in pk
+    ]
+    parts += [
+        f"SELECT 'foreign_key', '{t}', '{col}->{p}.{k}', cast(count(*) AS bigint) FROM {t}"
+        f" WHERE {col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} WHERE {p}.{k} = {t}.{col})"
+        for t, col, p, k in fk
+    ]
+    parts += [
+        f"SELECT 'not_null', '{t}', '{col}', cast(count(*) FILTER (WHERE {col} IS NULL) AS bigint) FROM {t}"
+        for t, col in nn
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _profile_sql() -> str:
+    parts = []
+    for col, typ in LINEITEM_TYPES:
+        num = typ in _NUMERIC_TYPES
+        stats = (
+            f"min(cast({col} AS double)), max(cast({col} AS double)), avg(cast({col} AS double))"
+            if num
+            else "cast(NULL AS double), cast(NULL AS double), cast(NULL AS double)"
+        )
+        parts.append(
+            f"SELECT '{col}' AS column_name, '{typ}' AS data_type, count(*) AS n_rows,"
+            f" cast(count(*) FILTER (WHERE {col} IS NULL) AS bigint) AS n_nulls, {stats} FROM lineitem"
+        )
+    body = " UNION ALL ".join(parts)
+    return f"SELECT column_name, data_type, n_rows, n_nulls, c5 AS min, c6 AS max, c7 AS mean FROM ({body}) AS t(column_name, data_type, n_rows, n_nulls, c5, c6, c7)"
+
+
+def _compare_sql() -> str:
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    cl = ", ".join(cols)
+    on = " AND ".join(f"l.{x} IS NOT DISTINCT FROM r.{x}" for x in cols)
+    diff = "coalesce(l.nl, 0) - coalesce(r.nr, 0)"
+    return (
+        f"WITH l AS (SELECT {cl}, count(*) AS nl FROM orders WHERE o_orderstatus <> 'P' GROUP BY {cl}),"
+        f" r AS (SELECT {cl}, count(*) AS nr FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY {cl})"
+        f" SELECT CASE WHEN {diff} > 0 THEN 'not_pending' ELSE 'not_low_priority' END AS side, "
+        + ", ".join(f"coalesce(l.{x}, r.{x}) AS {x}" for x in cols)
+        + f", cast(abs({diff}) AS bigint) AS n FROM l FULL OUTER JOIN r ON {on} WHERE abs({diff}) > 0"
+    )
+
+
+def _events_sql() -> str:
+    return (
+        "WITH p AS (SELECT event_id, regexp_extract(props, '(?s)\\{.*\\}', 0) AS obj FROM events),"
+        " j AS (SELECT event_id, obj, CASE WHEN obj <> '' AND json_valid(obj) THEN json_keys(obj) END AS keys,"
+        " CASE WHEN obj <> '' AND json_valid(obj) THEN try_cast(trim(json_extract_string(obj, '$.k')) AS double) END AS d"
+        " FROM p),"
+        " v AS (SELECT *, d IS NOT NULL AND NOT isnan(d) AND abs(d) < 2147483648.0 AS ok FROM j)"
+        " SELECT event_id, CASE WHEN ok THEN cast(trunc(d) AS bigint) END AS k,"
+        " CASE WHEN obj = '' THEN 'no JSON object' WHEN keys IS NULL THEN 'invalid JSON'"
+        " WHEN NOT list_contains(keys, 'k') THEN 'missing keys' WHEN NOT ok THEN 'non-numeric k'"
+        " WHEN NOT (cast(trunc(d) AS bigint) BETWEEN 10 AND 90) THEN 'k out of range' END AS reject_reason FROM v"
+    )
+
+
+def base_queries() -> dict[str, str]:
+    return {
+        "orders_yoy_growth": (
+            f"WITH y AS (SELECT {OYEAR} AS o_year, count(*) AS n_orders FROM orders GROUP BY 1)"
+            " SELECT o_year, n_orders, lag(n_orders) OVER w AS prev_n_orders,"
+            f" {R('100.0 * (n_orders - lag(n_orders) OVER w) / nullif(lag(n_orders) OVER w, 0)', 1)} AS growth_pct"
+            " FROM y WINDOW w AS (ORDER BY o_year NULLS FIRST)"
+        ),
+        "customer_debut_cohorts": (
+            f"WITH f AS (SELECT o_custkey, min({OYEAR}) AS o_year FROM orders WHERE o_orderdate IS NOT NULL"
+            " GROUP BY o_custkey) SELECT o_year, count(*) AS new_customers,"
+            " cast(sum(count(*)) OVER (ORDER BY o_year) AS bigint) AS cumulative_customers FROM f GROUP BY o_year"
+        ),
+        "orders_record_low_price": (
+            f"WITH y AS (SELECT {OYEAR} AS o_year, min(o_totalprice) AS year_min_price FROM orders GROUP BY 1)"
+            " SELECT o_year, year_min_price, min(year_min_price) OVER (ORDER BY o_year NULLS FIRST) AS record_to_date FROM y"
+        ),
+        "customer_latest_order": (
+            "SELECT o_custkey, o_orderpriority, o_orderstatus FROM (SELECT o_custkey, o_orderpriority, o_orderstatus,"
+            " row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders"
+            " WHERE o_orderkey IS NOT NULL) WHERE rn = 1"
+        ),
+        "orders_date_dim": _date_dim_select("d")
+        + " FROM (SELECT cast(o_orderdate AS date) AS d FROM orders) WHERE d IS NOT NULL",
+        "nation_customer_top": (
+            "SELECT coalesce(n.n_name, cast(c.c_nationkey AS varchar)) AS nation, c.c_nationkey, count(*) AS n_customers,"
+            f" {R('avg(c.c_acctbal)', 2)} AS avg_acctbal FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"
+            " GROUP BY 1, 2 ORDER BY n_customers DESC, c_nationkey NULLS FIRST LIMIT 10"
+        ),
+        "nations_per_year": (
+            f"SELECT {OYEAR} AS o_year, count(DISTINCT c_nationkey) AS n_nations FROM orders"
+            " JOIN customer ON o_custkey = c_custkey WHERE c_nationkey IS NOT NULL GROUP BY 1"
+        ),
+        "returnflag_share": (
+            "WITH g AS (SELECT cast(year(l_shipdate) AS int) AS ship_year, l_returnflag, count(*) AS n FROM lineitem"
+            " GROUP BY 1, 2) SELECT ship_year, l_returnflag, n,"
+            f" {R('100.0 * n / sum(n) OVER (PARTITION BY ship_year)', 1)} AS share_pct FROM g"
+        ),
+        "part_size_buckets": (
+            "SELECT cast(floor(p_size / 5) * 5 AS bigint) AS size_bucket, count(*) AS n_parts FROM part GROUP BY 1"
+        ),
+        "quantity_band_price": with_ctes(
+            "x AS (SELECT CASE WHEN l_quantity < 10 THEN '1-9' WHEN l_quantity < 25 THEN '10-24'"
+            " WHEN l_quantity < 40 THEN '25-39' ELSE '40+' END AS quantity_band, l_quantity, l_extendedprice FROM lineitem)",
+            body=(
+                f"SELECT b.quantity_band, b.n_lines, b.avg_price, {R('m.q', 2)} AS median_price FROM"
+                f" (SELECT quantity_band, count(*) AS n_lines, {R('avg(l_extendedprice)', 2)} AS avg_price"
+                " FROM x GROUP BY quantity_band) b LEFT JOIN"
+                f" ({pct_disc('x', 'l_extendedprice', 0.5, ['quantity_band'])}) m USING (quantity_band)"
+            ),
+        ),
+        "orders_hash_keys": (
+            "SELECT o_orderkey, sha256(concat_ws('|', coalesce(cast(o_orderkey AS varchar), ''),"
+            " coalesce(cast(o_custkey AS varchar), ''), coalesce(o_orderstatus, ''), coalesce(o_orderpriority, '')))"
+            " AS order_hash, sha256(coalesce(cast(o_custkey AS varchar), '')) AS customer_hash FROM orders"
+        ),
+        "events_props_validated": _events_sql(),
+        "tpch_star_audit": _audit_sql(),
+        "orders_compare": _compare_sql(),
+        "lineitem_profile": _profile_sql(),
+    }
+
+
 def all_oracles() -> dict[str, str]:
-    return {**race_queries()}
+    return {**race_queries(), **eda_queries(), **base_queries()}

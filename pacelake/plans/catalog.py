@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacelake.plans import base_queries as bq
 from pacelake.plans import dashboard as d
+from pacelake.plans import eda
 from pacelake.plans.lake import lake_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,5 +76,36 @@ RACE_QUERIES: dict[str, Query] = {
 }
 
 
+EDA_QUERIES: dict[str, Query] = {
+    "x1_shape": _on_lake(eda.x1_shape),
+    "x2_numeric_summary": _on_lake(eda.x2_numeric_summary),
+    "x3_null_counts": _on_lake(eda.x3_null_counts),
+    "x4_unique_events": _on_lake(eda.x4_unique_events),
+    "x4_top_events": _on_lake(eda.x4_top_events),
+    "x5_age_percentiles": _on_lake(eda.x5_age_percentiles),
+    "x6_age_buckets": _on_lake(eda.x6_age_buckets),
+    "x7_top_countries_raw": _on_lake(eda.x7_top_countries_raw),
+    "x8_sample_pairs": _on_lake(eda.x8_sample_pairs),
+}
+
+BASE_QUERIES: dict[str, Query] = {
+    "orders_yoy_growth": bq.orders_yoy_growth,
+    "customer_debut_cohorts": bq.customer_debut_cohorts,
+    "orders_record_low_price": bq.orders_record_low_price,
+    "customer_latest_order": bq.customer_latest_order,
+    "orders_date_dim": bq.orders_date_dim,
+    "nation_customer_top": bq.nation_customer_top,
+    "nations_per_year": bq.nations_per_year,
+    "returnflag_share": bq.returnflag_share,
+    "part_size_buckets": bq.part_size_buckets,
+    "quantity_band_price": bq.quantity_band_price,
+    "orders_hash_keys": bq.orders_hash_keys,
+    "events_props_validated": bq.events_props_validated,
+    "tpch_star_audit": bq.tpch_star_audit,
+    "orders_compare": bq.orders_compare,
+    "lineitem_profile": bq.lineitem_profile,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return dict(RACE_QUERIES)
+    return {**RACE_QUERIES, **EDA_QUERIES, **BASE_QUERIES}
