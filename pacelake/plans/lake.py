@@ -21,6 +21,7 @@ from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
 from pacelake.session import scratch_path
+from pacelake.sources.sinks import current_version, new_version, publish_version
 from pacelake.sources.feed import race_feed
 
 # Fixed as-of year for reproducible silver (the birth-year check depends on it).
@@ -98,12 +99,23 @@ def lazy_lake(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF
     return lake
 
 
+STREAM_TABLES = ["bronze", "silver", "fct_results"]
+VIEW_TABLES = ["dim_event", "dim_athlete", "dim_date", "vw_results_enriched", *GOLD_VIEWS]
+
+
 def open_lake(spark: SparkSession, root: str) -> Lake:
-    """Read a lake written by ``build_lake`` (or by the streaming refresh)."""
+    """Read a lake written by ``build_lake`` or by the streaming refresh.
+
+    Append-only tables live at ``root/<name>``; the recomputed tables are read
+    from the published version folder ``root/mv/<version>/<name>``.
+    """
     lake = Lake(spark, root)
-    for name in ["bronze", "silver", "fct_results", "dim_event", "dim_athlete", "dim_date",
-                 "vw_results_enriched", *GOLD_VIEWS]:
+    version = current_version(spark, root)
+    for name in STREAM_TABLES:
         lake._tables[name] = (lambda n: lambda: spark.read.parquet(f"{root}/{n}"))(name)
+    if version is not None:
+        for name in VIEW_TABLES:
+            lake._tables[name] = (lambda n: lambda: spark.read.parquet(f"{root}/mv/{version}/{n}"))(name)
     lake._tables["dim_country"] = lambda: dim_country(spark)
     return lake
 
@@ -112,27 +124,38 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def build_gold(spark: SparkSession, root: str) -> None:
-    """silver (written) -> fact, dimensions, enriched view, serving views."""
+def build_views(spark: SparkSession, root: str) -> str:
+    """Recompute dimensions and serving views from the stored silver and
+    fact tables into a new version folder, then publish it."""
+    version = new_version()
+    out = f"{root}/mv/{version}"
     silver = spark.read.parquet(f"{root}/silver")
-    _write(model.fct_results(silver), f"{root}/fct_results")
-    _write(model.dim_event(silver), f"{root}/dim_event")
-    _write(model.dim_athlete(silver), f"{root}/dim_athlete")
-    _write(model.dim_date(silver), f"{root}/dim_date")
-    stored = open_lake(spark, root)
-    builders = _view_builders(stored.table)
-    _write(builders["vw_results_enriched"](), f"{root}/vw_results_enriched")
+    _write(model.dim_event(silver), f"{out}/dim_event")
+    _write(model.dim_athlete(silver), f"{out}/dim_athlete")
+    _write(model.dim_date(silver), f"{out}/dim_date")
+
+    def t(name: str) -> DataFrame:
+        base = root if name in STREAM_TABLES else out
+        return spark.read.parquet(f"{base}/{name}")
+
+    builders = _view_builders(t)
+    _write(builders["vw_results_enriched"](), f"{out}/vw_results_enriched")
     for name in GOLD_VIEWS:
-        _write(builders[name](), f"{root}/{name}")
+        _write(builders[name](), f"{out}/{name}")
+    publish_version(spark, root, version)
+    return version
 
 
 def build_lake(
     spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR
 ) -> Lake:
+    """Batch build of every layer from the input tables; each layer is a
+    written table that the next one reads back."""
     _write(race_feed(spark, base_dir), f"{root}/bronze")
     bronze = spark.read.parquet(f"{root}/bronze")
     _write(clean_results(bronze, as_of_year=as_of_year), f"{root}/silver")
-    build_gold(spark, root)
+    _write(model.fct_results(spark.read.parquet(f"{root}/silver")), f"{root}/fct_results")
+    build_views(spark, root)
     return open_lake(spark, root)
 
 
