@@ -78,6 +78,16 @@ def hms_seconds(trimmed: Column | str, strict: bool = False) -> Column:
     return F.when(hms != "", seconds)
 
 
+def has_hms(trimmed: Column | str, strict: bool = False) -> Column:
+    """True exactly when ``hms_seconds`` is not NULL (cheap: one regex test)."""
+    return _col(trimmed).rlike(STRICT_HMS_PATTERN if strict else HMS_PATTERN)
+
+
+def has_number(c: Column | str) -> Column:
+    """True exactly when ``first_number`` is not NULL (the text has a digit)."""
+    return _col(c).rlike("[0-9]")
+
+
 def leading_date(c: Column | str) -> Column:
     """Date from a leading 'dd.MM.yyyy' (ranges keep their first day); else NULL."""
     head = F.regexp_extract(_col(c), DATE_PREFIX_PATTERN, 1)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacelake.schema import BRONZE_COLUMNS
-from pacelake.sources.tables import read_table
+from pacelake.sources.tables import read_spread, read_table
 
 # --- fixed values: codes written for nations 0..24, three letters each --------
 NATION_CODES = "ALGARGBRACANEGYETHFRAGERINDINAIRIIRQJPNJORKENMARMOZPERCHNROUKSAVIERUSGBRUSA"
@@ -36,7 +36,7 @@ def _txt(c: Column) -> Column:
 
 def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
     c = F.col
-    li = read_table(spark, base_dir, "lineitem").select(
+    li = read_spread(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
     )
     orders = read_table(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
