@@ -128,10 +128,19 @@ def b4_top_events(lake: Lake) -> DataFrame:
 # --- Section C: footprint -----------------------------------------------------
 
 def c1_top_countries(lake: Lake) -> DataFrame:
-    r = _with_country_name(lake.enriched().filter(c("athlete_country").isNotNull()), lake)
-    g = r.groupBy("country", c("athlete_country").alias("ioc_code")).agg(
-        F.count(F.lit(1)).alias("n_finishes"),
-        F.round(F.avg("athlete_average_speed"), 2).alias("avg_speed_kmh"),
+    """Aggregate per country code first (a few hundred rows), then attach the
+    country name: the lookup join touches one row per code, not per result."""
+    per_code = (
+        lake.enriched()
+        .filter(c("athlete_country").isNotNull())
+        .groupBy("athlete_country")
+        .agg(
+            F.count(F.lit(1)).alias("n_finishes"),
+            F.round(F.avg("athlete_average_speed"), 2).alias("avg_speed_kmh"),
+        )
+    )
+    g = _with_country_name(per_code, lake).select(
+        "country", c("athlete_country").alias("ioc_code"), "n_finishes", "avg_speed_kmh"
     )
     return top_k(g, 25, [c("n_finishes").desc()], ["ioc_code"])
 
@@ -143,14 +152,25 @@ def c2_country_diversity(lake: Lake) -> DataFrame:
 
 
 def c3_fastest_100k_nations(lake: Lake, min_finishes: int = 50) -> DataFrame:
-    r = _km100(lake.enriched()).filter(c("athlete_country").isNotNull())
+    """Grouped by country *name* (two codes can share one). Partial sums per
+    code are computed first, then merged per name after the lookup."""
+    per_code = (
+        _km100(lake.enriched())
+        .filter(c("athlete_country").isNotNull())
+        .groupBy("athlete_country")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("performance_time_seconds").alias("s"),
+            F.min("performance_time_seconds").alias("m"),
+        )
+    )
     g = (
-        _with_country_name(r, lake)
+        _with_country_name(per_code, lake)
         .groupBy("country")
         .agg(
-            F.count(F.lit(1)).alias("n_100k_finishes"),
-            F.round(_hours(F.avg("performance_time_seconds")), 2).alias("avg_finish_hours"),
-            F.round(_hours(F.min("performance_time_seconds")), 2).alias("fastest_finish_hours"),
+            F.sum("n").alias("n_100k_finishes"),
+            F.round(_hours(F.sum("s") / F.sum("n")), 2).alias("avg_finish_hours"),
+            F.round(_hours(F.min("m")), 2).alias("fastest_finish_hours"),
         )
         .filter(c("n_100k_finishes") >= min_finishes)
     )
@@ -249,9 +269,11 @@ def e4_24h_distance_per_year(lake: Lake) -> DataFrame:
 # --- Section F: records -------------------------------------------------------
 
 def f1_fastest_100k(lake: Lake) -> DataFrame:
-    r = _with_country_name(_km100(lake.enriched()), lake)
-    best = top_k(r, 10, [c("performance_time_seconds").asc()], ["result_id"])
-    return best.select(
+    # top-k first (k rows leave each task), then the lookup on those 10 rows
+    best = top_k(_km100(lake.enriched()), 10, [c("performance_time_seconds").asc()], ["result_id"])
+    return _with_country_name(best, lake).orderBy(
+        c("performance_time_seconds").asc(), c("result_id").asc()
+    ).select(
         "event_name",
         "event_year",
         "country",
@@ -262,9 +284,11 @@ def f1_fastest_100k(lake: Lake) -> DataFrame:
 
 
 def f2_longest_24h(lake: Lake) -> DataFrame:
-    r = _with_country_name(_h24(lake).filter(c("performance_distance_km").isNotNull()), lake)
+    r = _h24(lake).filter(c("performance_distance_km").isNotNull())
     best = top_k(r, 10, [c("performance_distance_km").desc()], ["result_id"])
-    return best.select(
+    return _with_country_name(best, lake).orderBy(
+        c("performance_distance_km").desc(), c("result_id").asc()
+    ).select(
         "event_name",
         "event_year",
         "country",

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
+from pacelake.schema import ENRICHED_COLUMNS
 from pacelake.session import scratch_path
 from pacelake.sources.sinks import current_version, new_version, publish_version
 from pacelake.sources.feed import race_feed
@@ -116,12 +117,26 @@ def open_lake(spark: SparkSession, root: str) -> Lake:
     if version is not None:
         for name in VIEW_TABLES:
             lake._tables[name] = (lambda n: lambda: spark.read.parquet(f"{root}/mv/{version}/{n}"))(name)
+        enriched = f"{root}/mv/{version}/vw_results_enriched"
+        lake._tables["vw_results_enriched"] = lambda: spark.read.parquet(enriched).select(*ENRICHED_COLUMNS)
     lake._tables["dim_country"] = lambda: dim_country(spark)
     return lake
 
 
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+# The enriched view is scanned by most dashboard queries, which filter on
+# event type, the length text ('24h', '100km') and the 99-101 km window. It
+# is stored partitioned by event type (whole folders are pruned) and sorted
+# within each task by length and km, so parquet min/max statistics let a scan
+# skip the row groups that cannot match. The sort is local (no shuffle).
+ENRICHED_PARTITION = ["event_type"]
+ENRICHED_CLUSTER = ["event_type", "event_distance_length", "event_distance_km"]
 
 
 def build_views(spark: SparkSession, root: str) -> str:
@@ -139,7 +154,11 @@ def build_views(spark: SparkSession, root: str) -> str:
         return spark.read.parquet(f"{base}/{name}")
 
     builders = _view_builders(t)
-    _write(builders["vw_results_enriched"](), f"{out}/vw_results_enriched")
+    _write(
+        builders["vw_results_enriched"]().sortWithinPartitions(*ENRICHED_CLUSTER),
+        f"{out}/vw_results_enriched",
+        partition_by=ENRICHED_PARTITION,
+    )
     for name in GOLD_VIEWS:
         _write(builders[name](), f"{out}/{name}")
     publish_version(spark, root, version)
