@@ -197,6 +197,33 @@ COUNTRY_JOIN = "enriched r LEFT JOIN dim_country c ON r.athlete_country = c.coun
 YEARLY = "SELECT event_year, count(*) AS n_finishes FROM enriched GROUP BY event_year"
 
 
+def _race_audit_body() -> str:
+    pk = [("fct_results", "fct", "result_id"), ("dim_event", "dim_event", "event_id"),
+          ("dim_athlete", "dim_athlete", "athlete_id"), ("dim_date", "dim_date", "date_id"),
+          ("dim_country", "dim_country", "country_code")]
+    fk = [("fct_results", "fct", "event_id", "dim_event", "event_id"),
+          ("fct_results", "fct", "athlete_id", "dim_athlete", "athlete_id"),
+          ("fct_results", "fct", "date_id", "dim_date", "date_id"),
+          ("dim_athlete", "dim_athlete", "athlete_country", "dim_country", "country_code")]
+    nn = [("fct_results", "fct", "event_id"), ("fct_results", "fct", "athlete_id"),
+          ("fct_results", "fct", "date_id"), ("dim_event", "dim_event", "event_name")]
+    parts = [
+        f"SELECT 'primary_key' AS check_name, '{name}' AS table_name, '{k}' AS column_name,"
+        f" cast(count(*) - count(DISTINCT {k}) AS bigint) AS n_violations FROM {cte}"
+        for name, cte, k in pk
+    ]
+    parts += [
+        f"SELECT 'foreign_key', '{name}', '{col}->{pname}.{pk_}', cast(count(*) AS bigint) FROM {cte} t"
+        f" WHERE t.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {pname} p WHERE p.{pk_} = t.{col})"
+        for name, cte, col, pname, pk_ in fk
+    ]
+    parts += [
+        f"SELECT 'not_null', '{name}', '{col}', cast(count(*) FILTER (WHERE {col} IS NULL) AS bigint) FROM {cte}"
+        for name, cte, col in nn
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def race_queries() -> dict[str, str]:
     S = "performance_time_seconds"
     K = "performance_distance_km"
@@ -384,6 +411,9 @@ def race_queries() -> dict[str, str]:
             "SELECT cast(floor(athlete_age / 5) * 5 AS bigint) AS age_bucket_start, count(*) AS n_finishes"
             " FROM enriched WHERE athlete_age BETWEEN 10 AND 100 GROUP BY 1"
         ),
+        "race_star_audit": race(_race_audit_body()),
+        "stream_silver_races_obt": race("SELECT * FROM silver"),
+        "stream_results_enriched": race("SELECT * FROM enriched"),
         "q8_24h_per_year": race(
             f"SELECT event_year, avg({K}) AS avg_distance_km, max({K}) AS max_distance_km, count(*) AS n_finishes"
             " FROM enriched WHERE event_distance_length = '24h' GROUP BY event_year"

@@ -10,6 +10,7 @@ from pacelake.plans import base_queries as bq
 from pacelake.plans import dashboard as d
 from pacelake.plans import eda
 from pacelake.plans.lake import lake_for
+from pacelake.streaming.replay import replayed_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,9 @@ RACE_QUERIES: dict[str, Query] = {
     "q6_gender_per_year": _on_lake(d.q6_gender_per_year),
     "q7_age_histogram_10_100": _on_lake(d.q7_age_histogram_10_100),
     "q8_24h_per_year": _on_lake(d.q8_24h_per_year),
+    "race_star_audit": _on_lake(d.race_star_audit),
+    "stream_silver_races_obt": lambda spark, base: replayed_lake(spark, base).table("silver"),
+    "stream_results_enriched": lambda spark, base: replayed_lake(spark, base).enriched(),
 }
 
 

@@ -399,3 +399,31 @@ def q8_24h_per_year(lake: Lake) -> DataFrame:
         )
         .orderBy(c("event_year").asc_nulls_first())
     )
+
+
+# --- Star-schema audit ----------------------------------------------------------
+
+def race_star_audit(lake: Lake) -> DataFrame:
+    """Key checks of the gold star: duplicate result ids (kept by design),
+    facts without event/athlete/date rows (undated results), athlete
+    country codes missing from the lookup."""
+    from pacelake.operators.quality import audit_star_schema
+
+    names = ["fct_results", "dim_event", "dim_athlete", "dim_date", "dim_country"]
+    return audit_star_schema(
+        {n: lake.table(n) for n in names},
+        primary_keys={
+            "fct_results": "result_id",
+            "dim_event": "event_id",
+            "dim_athlete": "athlete_id",
+            "dim_date": "date_id",
+            "dim_country": "country_code",
+        },
+        foreign_keys=[
+            ("fct_results", "event_id", "dim_event", "event_id"),
+            ("fct_results", "athlete_id", "dim_athlete", "athlete_id"),
+            ("fct_results", "date_id", "dim_date", "date_id"),
+            ("dim_athlete", "athlete_country", "dim_country", "country_code"),
+        ],
+        not_null={"fct_results": ["event_id", "athlete_id", "date_id"], "dim_event": ["event_name"]},
+    )
