@@ -39,24 +39,17 @@ GOLD_VIEWS = [
 
 
 def _view_builders(t: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    e = lambda: t("vw_results_enriched")
     return {
         "vw_results_enriched": lambda: views.results_enriched(
             t("fct_results"), t("dim_event"), t("dim_athlete"), t("dim_date")
         ),
-        "vw_distance_top_events": lambda: views.distance_top_events(t("fct_results"), t("dim_event")),
-        "vw_distance_gender_split": lambda: views.distance_gender_split(
-            t("fct_results"), t("dim_event"), t("dim_athlete")
-        ),
-        "vw_distance_country_leaderboard": lambda: views.distance_country_leaderboard(
-            t("fct_results"), t("dim_event"), t("dim_athlete")
-        ),
-        "vw_time_top_events": lambda: views.time_top_events(t("fct_results"), t("dim_event")),
-        "vw_time_country_leaderboard": lambda: views.time_country_leaderboard(
-            t("fct_results"), t("dim_event"), t("dim_athlete")
-        ),
-        "vw_time_yearly_progression": lambda: views.time_yearly_progression(
-            t("fct_results"), t("dim_event"), t("dim_date")
-        ),
+        "vw_distance_top_events": lambda: views.distance_top_events(e()),
+        "vw_distance_gender_split": lambda: views.distance_gender_split(e()),
+        "vw_distance_country_leaderboard": lambda: views.distance_country_leaderboard(e()),
+        "vw_time_top_events": lambda: views.time_top_events(e()),
+        "vw_time_country_leaderboard": lambda: views.time_country_leaderboard(e()),
+        "vw_time_yearly_progression": lambda: views.time_yearly_progression(e()),
     }
 
 
@@ -151,7 +144,8 @@ def build_views(spark: SparkSession, root: str) -> str:
 
     def t(name: str) -> DataFrame:
         base = root if name in STREAM_TABLES else out
-        return spark.read.parquet(f"{base}/{name}")
+        df = spark.read.parquet(f"{base}/{name}")
+        return df.select(*ENRICHED_COLUMNS) if name == "vw_results_enriched" else df
 
     builders = _view_builders(t)
     _write(
