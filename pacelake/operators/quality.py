@@ -167,10 +167,17 @@ def audit_star_schema(
             df.agg(*_report("primary_key", t, k, F.count(F.lit(1)) - F.count_distinct(c(k))))
         )
     for t, col, parent, pk in foreign_keys:
-        child = tables[t].select(c(col).alias("_k")).filter(c("_k").isNotNull())
+        # count child rows per key first (partial aggregation on every
+        # mapper), so the anti join moves one row per key, not per fact row
+        child = (
+            tables[t].select(c(col).alias("_k")).filter(c("_k").isNotNull())
+            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+        )
         keys = tables[parent].select(c(pk).alias("_k")).distinct()
         orphans = child.join(keys, "_k", "left_anti")
-        parts.append(orphans.agg(*_report("foreign_key", t, f"{col}->{parent}.{pk}", F.count(F.lit(1)))))
+        parts.append(
+            orphans.agg(*_report("foreign_key", t, f"{col}->{parent}.{pk}", F.coalesce(F.sum("_n"), F.lit(0))))
+        )
     for t, cols in (not_null or {}).items():
         df = tables[t]
         counts = df.agg(*[F.count_if(c(x).isNull()).alias(f"_n{i}") for i, x in enumerate(cols)])
