@@ -97,12 +97,17 @@ def growth_over_prior(
     digits: int = 1,
     prev_name: str | None = None,
     growth_name: str = "growth_pct",
+    drop_null_period: bool = False,
 ) -> DataFrame:
     """Adds the previous period's value and the % change against it.
 
     ``df`` must already be one row per (partition_by, period) – aggregate
-    first – so the window is small even without partition keys.
+    first – so the window is small even without partition keys. A NULL
+    period sorts first and so becomes the "previous" of the earliest real
+    period; ``drop_null_period`` removes that row instead.
     """
+    if drop_null_period:
+        df = df.filter(F.col(period).isNotNull())
     w = Window.partitionBy(*partition_by).orderBy(F.col(period).asc_nulls_first())
     prev = F.lag(value).over(w)
     return df.select(
@@ -146,9 +151,16 @@ def running_best(
     partition_by: Sequence[str] = (),
     best_name: str = "period_best",
     running_name: str = "best_to_date",
+    drop_null_period: bool = False,
 ) -> DataFrame:
-    """Best value per period and the best seen up to and including it."""
+    """Best value per period and the best seen up to and including it.
+
+    A NULL period sorts first, so its best seeds the running best of every
+    later period; ``drop_null_period`` leaves those rows out.
+    """
     agg = F.min if best == "min" else F.max
+    if drop_null_period:
+        df = df.filter(F.col(period).isNotNull())
     per = df.groupBy(*partition_by, period).agg(agg(value).alias(best_name))
     w = (
         Window.partitionBy(*partition_by)

@@ -95,13 +95,16 @@ def b1_finishes_per_year(lake: Lake) -> DataFrame:
     return _finishes_per_year(lake).orderBy(c("event_year").asc_nulls_first())
 
 
-def b2_yoy_growth(lake: Lake) -> DataFrame:
+def b2_yoy_growth(lake: Lake, exclude_null_year: bool = False) -> DataFrame:
+    """Undated results form a NULL-year row that sorts first and becomes the
+    prior year of the earliest real year (kept by default, as defined)."""
     return growth_over_prior(
         _finishes_per_year(lake),
         period="event_year",
         value="n_finishes",
         prev_name="prev_year_finishes",
         growth_name="yoy_growth_pct",
+        drop_null_period=exclude_null_year,
     ).orderBy(c("event_year").asc_nulls_first())
 
 
@@ -298,9 +301,14 @@ def f2_longest_24h(lake: Lake) -> DataFrame:
     )
 
 
-def f3_record_progression(lake: Lake) -> DataFrame:
+def f3_record_progression(lake: Lake, exclude_null_year: bool = False) -> DataFrame:
+    """An undated best time sorts first and seeds the record of every year
+    (kept by default, as defined; ``exclude_null_year`` drops it)."""
     r = _km100(lake.enriched()).select("event_year", _hours(c("performance_time_seconds")).alias("h"))
-    rb = running_best(r, "event_year", "h", "min", best_name="year_best_hours", running_name="wrtd")
+    rb = running_best(
+        r, "event_year", "h", "min", best_name="year_best_hours", running_name="wrtd",
+        drop_null_period=exclude_null_year,
+    )
     return rb.select(
         "event_year",
         F.round("year_best_hours", 2).alias("year_best_hours"),

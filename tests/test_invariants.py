@@ -46,3 +46,12 @@ def test_enriched_keeps_undated(lake):
 def test_views_consistent(lake):
     n = lake.table("vw_distance_top_events").agg(F.sum("n_finishers_total")).first()[0]
     assert n == lake.enriched().filter(F.col("event_type") == "distance").count()
+
+
+def test_null_year_option(lake):
+    kept = d.f3_record_progression(lake).collect()
+    dropped = d.f3_record_progression(lake, exclude_null_year=True).collect()
+    assert kept[0].event_year is None and all(r.event_year is not None for r in dropped)
+    assert len(dropped) == len(kept) - 1
+    b2 = d.b2_yoy_growth(lake, exclude_null_year=True).collect()
+    assert b2[0].prev_year_finishes is None
