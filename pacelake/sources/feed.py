@@ -7,10 +7,10 @@ every kind of dirt the cleaning rules handle (wrong-unit pairs, upper-case
 ``H``, day-prefixed times, date ranges, blank clubs, mixed-case and unknown
 country codes, implausible birth years and speeds, multi-length events).
 
-The plan is lineitem ⋈ orders ⋈ part ⋈ customer on their keys, all inner
-equi-joins; the two smaller sides are picked for broadcast by AQE only when
-their measured size is under the broadcast threshold, otherwise they are
-sort-merge joined.
+The plan is lineitem ⋈ (orders ⋈ customer) ⋈ part on their keys, all inner
+equi-joins; a side is broadcast by AQE only when its measured size is under
+the broadcast threshold, otherwise it is sort-merge joined (with AQE
+splitting skewed key partitions).
 """
 
 from __future__ import annotations
@@ -43,11 +43,11 @@ def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
     part = read_table(spark, base_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     cust = read_table(spark, base_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
 
-    b = (
-        li.join(orders, c("l_orderkey") == c("o_orderkey"))
-        .join(part, c("l_partkey") == c("p_partkey"))
-        .join(cust, c("o_custkey") == c("c_custkey"))
-    )
+    # orders ⋈ customer first: both are far smaller than lineitem, so when
+    # nothing can be broadcast the lineitem-sized rows are shuffled twice
+    # (by order key, then by part key) instead of three times.
+    buyers = orders.join(cust, c("o_custkey") == c("c_custkey"))
+    b = li.join(buyers, c("l_orderkey") == c("o_orderkey")).join(part, c("l_partkey") == c("p_partkey"))
 
     pk8 = c("l_partkey") % 8
     length = (
