@@ -16,6 +16,19 @@ import duckdb  # noqa: E402
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "smallint": "SMALLINT",
+    "float": "FLOAT",
+}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -76,6 +89,12 @@ def compare(spark, sf_dir, names=None):
         if sorted(s_cols) != sorted(d_cols):
             results[name] = ("COLS", f"{sorted(s_cols)} vs {sorted(d_cols)}")
             continue
+        s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+        d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+        bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+        if bad_types:
+            results[name] = ("TYPES", str(bad_types))
+            continue
         if len(s_rows) != len(d_rows):
             results[name] = ("ROWCOUNT", f"{len(s_rows)} vs {len(d_rows)}")
             continue
