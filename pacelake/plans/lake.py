@@ -67,6 +67,15 @@ class Lake:
     def names(self) -> list[str]:
         return list(self._tables)
 
+    def register(self, prefix: str = "") -> list[str]:
+        """Register every table as a temporary view (``prefix + name``), so SQL
+        written against the gold tables runs as-is through ``spark.sql``."""
+        names = []
+        for name in self._tables:
+            self.table(name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     # convenience accessors
     def enriched(self) -> DataFrame:
         return self.table("vw_results_enriched")

@@ -55,3 +55,23 @@ def test_null_year_option(lake):
     assert len(dropped) == len(kept) - 1
     b2 = d.b2_yoy_growth(lake, exclude_null_year=True).collect()
     assert b2[0].prev_year_finishes is None
+
+
+def test_sql_over_registered_views(spark, lake):
+    """SQL written against the gold tables runs unchanged on the lake."""
+    lake.register()
+    sql = spark.sql(
+        """
+        WITH best AS (
+          SELECT event_year, MIN(performance_time_seconds) / 3600.0 AS h
+          FROM vw_results_enriched
+          WHERE event_distance_km BETWEEN 99 AND 101 AND performance_time_seconds IS NOT NULL
+          GROUP BY event_year)
+        SELECT event_year, ROUND(h, 2) AS year_best_hours,
+               ROUND(MIN(h) OVER (ORDER BY event_year), 2) AS world_record_to_date
+        FROM best ORDER BY event_year
+        """
+    ).collect()
+    assert sql == d.f3_record_progression(lake).collect()
+    n = spark.sql("SELECT COUNT(*) FROM fct_results f JOIN dim_date d USING (date_id)").first()[0]
+    assert n == lake.enriched().filter(F.col("event_year").isNotNull()).count()
