@@ -2,7 +2,8 @@
 query. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3; the median of the runs is reported per query).
+BENCH_REPEAT (default 3; the median of the runs is reported per query),
+BENCH_DRIVER_MEM (default 4g; local mode runs everything in the driver JVM).
 Queries are executed with the ``noop`` sink, so every row is produced but
 nothing is collected to the driver.
 """
@@ -27,7 +28,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="pacelake-bench")
+    mem = os.environ.get("BENCH_DRIVER_MEM", "4g")
+    spark = build_session(
+        f"local[{cpus}]",
+        shuffle_partitions=max(8, 2 * cpus),
+        app_name="pacelake-bench",
+        extra={"spark.driver.memory": mem},
+    )
 
     t0 = time.perf_counter()
     lake = build_lake(spark, sf_dir, scratch_path(spark, "bench-lake"), AS_OF_YEAR)
