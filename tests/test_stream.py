@@ -61,3 +61,27 @@ def test_csv_positional_and_header_check(spark, tmp_dir):
     except Exception:  # noqa: BLE001
         raised = True
     assert raised
+
+
+def test_csv_bad_cells_and_short_rows(spark, tmp_dir):
+    from pacelake.schema import SOURCE_HEADERS
+
+    header = ",".join(f'"{h}"' for h in SOURCE_HEADERS)
+    lines = [
+        header,
+        '2018,06.01.2018,"Ridge, Loop (BEL)",50km,22,4:51:39 h,,BEL,1978.0,M,M35,10.3,7',
+        "notayear,06.01.2018,Short Run,50km",
+        "2019,07.01.2019,Other,100km,x,9:00:00 h,Club,FRA,abc,W,,11.1,8",
+    ]
+    import os
+
+    os.makedirs(f"{tmp_dir}/raw", exist_ok=True)
+    with open(f"{tmp_dir}/raw/results.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    rows = sorted(read_results(spark, f"{tmp_dir}/raw", lineage=False).collect(), key=lambda r: r.event_name)
+    other, ridge, short = rows
+    assert ridge.event_name == "Ridge, Loop (BEL)" and ridge.athlete_club is None and ridge.athlete_source_id == 7
+    assert short.year_of_event is None and short.event_distance_length == "50km"
+    assert short.athlete_performance is None and short.athlete_source_id is None
+    assert other.event_number_of_finishers is None and other.athlete_year_of_birth is None
+    assert other.athlete_average_speed == 11.1
