@@ -21,9 +21,10 @@ from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
 from pacelake.schema import ENRICHED_COLUMNS
-from pacelake.session import scratch_path
+from pacelake.session import scratch_path, sized_shuffles
 from pacelake.sources.sinks import current_version, new_version, publish_version
-from pacelake.sources.feed import race_feed
+from pacelake.sources.feed import FEED_TABLES, race_feed
+from pacelake.sources.tables import table_path
 
 # Fixed as-of year for reproducible silver (the birth-year check depends on it).
 AS_OF_YEAR = 2026
@@ -172,12 +173,15 @@ def build_lake(
     spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR
 ) -> Lake:
     """Batch build of every layer from the input tables; each layer is a
-    written table that the next one reads back."""
-    _write(race_feed(spark, base_dir), f"{root}/bronze")
-    bronze = spark.read.parquet(f"{root}/bronze")
-    _write(clean_results(bronze, as_of_year=as_of_year), f"{root}/silver")
-    _write(model.fct_results(spark.read.parquet(f"{root}/silver")), f"{root}/fct_results")
-    build_views(spark, root)
+    written table that the next one reads back. Shuffle partitions are sized
+    from the input tables for the duration of the build."""
+    inputs = [table_path(base_dir, t) for t in FEED_TABLES]
+    with sized_shuffles(spark, *inputs):
+        _write(race_feed(spark, base_dir), f"{root}/bronze")
+        bronze = spark.read.parquet(f"{root}/bronze")
+        _write(clean_results(bronze, as_of_year=as_of_year), f"{root}/silver")
+        _write(model.fct_results(spark.read.parquet(f"{root}/silver")), f"{root}/fct_results")
+        build_views(spark, root)
     return open_lake(spark, root)
 
 

@@ -78,3 +78,48 @@ def is_local(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+# --- shuffle sizing -------------------------------------------------------------------
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 64_000
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under the given paths (one listing call each)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def shuffle_partitions_for(spark: SparkSession, nbytes: int) -> int:
+    """Enough partitions for ~128 MB each, at least two per task slot; AQE
+    coalesces them down when the shuffled data turns out smaller."""
+    slots = spark.sparkContext.defaultParallelism
+    want = -(-nbytes // TARGET_PARTITION_BYTES)
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(2 * slots, want)))
+
+
+class sized_shuffles:
+    """Context manager: set ``spark.sql.shuffle.partitions`` from the input size
+    for the duration of a build, never below the session's own setting."""
+
+    def __init__(self, spark: SparkSession, *paths: str):
+        self.spark, self.paths = spark, paths
+        self.saved: str | None = None
+
+    def __enter__(self):
+        self.saved = self.spark.conf.get("spark.sql.shuffle.partitions")
+        n = shuffle_partitions_for(self.spark, input_bytes(self.spark, *self.paths))
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(max(n, int(self.saved))))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.saved)
+        return False

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pacelake.schema import BRONZE_COLUMNS
 from pacelake.sources.tables import read_spread, read_table
 
+FEED_TABLES = ["lineitem", "orders", "part", "customer"]
+
 # --- fixed values: codes written for nations 0..24, three letters each --------
 NATION_CODES = "ALGARGBRACANEGYETHFRAGERINDINAIRIIRQJPNJORKENMARMOZPERCHNROUKSAVIERUSGBRUSA"
 # ------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 from pacelake.functions.clean import clean_results
 from pacelake.plans.lake import Lake, build_views, open_lake
 from pacelake.plans.model import fct_results
+from pacelake.session import sized_shuffles
 from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
 from pacelake.sources.sinks import append_stream
 
@@ -32,6 +33,11 @@ def refresh(
     max_files_per_trigger: int | None = 1000,
     strict: bool = False,
 ) -> Lake:
+    with sized_shuffles(spark, landing_dir):
+        return _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, strict)
+
+
+def _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, strict) -> Lake:
     ck = f"{lake_dir}/_checkpoints"
 
     bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
