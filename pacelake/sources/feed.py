@@ -41,7 +41,9 @@ def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
     li = read_spread(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
     )
-    orders = read_table(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # both big inputs are spread when small (a single split would otherwise
+    # run the whole join in one task, whichever side gets broadcast)
+    orders = read_spread(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, base_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     cust = read_table(spark, base_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
 
