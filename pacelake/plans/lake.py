@@ -22,7 +22,7 @@ from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
 from pacelake.schema import ENRICHED_COLUMNS
 from pacelake.session import scratch_path, sized_shuffles
-from pacelake.sources.sinks import current_version, new_version, publish_version
+from pacelake.sources.sinks import current_version, new_version, prune_versions, publish_version
 from pacelake.sources.feed import FEED_TABLES, race_feed
 from pacelake.sources.tables import table_path
 
@@ -142,9 +142,10 @@ ENRICHED_PARTITION = ["event_type"]
 ENRICHED_CLUSTER = ["event_type", "event_distance_length", "event_distance_km"]
 
 
-def build_views(spark: SparkSession, root: str) -> str:
+def build_views(spark: SparkSession, root: str, keep_versions: int = 2) -> str:
     """Recompute dimensions and serving views from the stored silver and
-    fact tables into a new version folder, then publish it."""
+    fact tables into a new version folder, publish it, and drop versions
+    older than the previous one."""
     version = new_version()
     out = f"{root}/mv/{version}"
     silver = spark.read.parquet(f"{root}/silver")
@@ -166,6 +167,7 @@ def build_views(spark: SparkSession, root: str) -> str:
     for name in GOLD_VIEWS:
         _write(builders[name](), f"{out}/{name}")
     publish_version(spark, root, version)
+    prune_versions(spark, f"{root}/mv", keep=keep_versions)
     return version
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,27 @@ def _fs(spark: SparkSession, path: str):
 
 
 def new_version() -> str:
-    return "v_" + uuid.uuid4().hex
+    """Sortable by creation time (zero-padded epoch milliseconds first)."""
+    return f"v_{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
+
+
+def prune_versions(spark: SparkSession, versions_dir: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest version folders under ``versions_dir``.
+
+    The default keeps the published version and the one before it, so a
+    reader that opened the previous version just before the swap can finish.
+    Returns the names deleted.
+    """
+    fs, path, _ = _fs(spark, versions_dir)
+    if not fs.exists(path):
+        return []
+    names = sorted(
+        st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory() and st.getPath().getName().startswith("v_")
+    )
+    doomed = names[:-keep] if keep > 0 else names
+    for name in doomed:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{versions_dir}/{name}"), True)
+    return doomed
 
 
 def publish_version(spark: SparkSession, root: str, version: str) -> None:

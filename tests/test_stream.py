@@ -29,6 +29,8 @@ def test_incremental_refresh_equals_batch(spark, tmp_dir):
     # nothing new -> nothing added
     lake = refresh(spark, landing, lake_dir, as_of_year=2026)
     assert lake.table("bronze").count() == 6000
+    # three refreshes published three versions; only the last two are kept
+    assert len(glob.glob(f"{lake_dir}/mv/v_*")) == 2
     landed = glob.glob(f"{landing}/**/*.csv", recursive=True)
     assert lake.table("bronze").select("source_file").distinct().count() == len(landed)
 
