@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pacelake.operators.metrics import DEFAULT_PERCENTILE_ACCURACY, top_k
 from pacelake.operators.quality import null_counts, numeric_summary, shape
 from pacelake.plans.lake import Lake
+from pacelake.schema import BRONZE_COLUMNS
 
 c = F.col
 
@@ -25,7 +26,8 @@ SAMPLE_FRACTION, SAMPLE_SEED, SAMPLE_ROWS = 0.0001, 42, 30
 
 
 def _raw(lake: Lake) -> DataFrame:
-    return lake.table("bronze")
+    """The 13 source columns of the landed result rows (lineage left out)."""
+    return lake.table("bronze").select(*BRONZE_COLUMNS)
 
 
 def _ages(lake: Lake) -> DataFrame:

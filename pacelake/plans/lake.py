@@ -16,14 +16,17 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
-from pacelake.schema import ENRICHED_COLUMNS
+from pacelake.schema import ENRICHED_COLUMNS, FEED_SCHEMA
 from pacelake.session import scratch_path, sized_shuffles
 from pacelake.sources.sinks import current_version, new_version, prune_versions, publish_version
 from pacelake.sources.feed import FEED_TABLES, race_feed
+from pacelake.sources.results_csv import BRONZE_SCHEMA
 from pacelake.sources.tables import table_path
 
 # Fixed as-of year for reproducible silver (the birth-year check depends on it).
@@ -107,6 +110,46 @@ STREAM_TABLES = ["bronze", "silver", "fct_results"]
 VIEW_TABLES = ["dim_event", "dim_athlete", "dim_date", "vw_results_enriched", *GOLD_VIEWS]
 
 
+_SCHEMAS: dict[str, dict[str, StructType]] = {}
+
+
+def table_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Schema of every stored table, derived by building the same plans over
+    empty inputs (analysis only, no job). Stored tables are read with these,
+    so nothing is inferred and an empty layer reads as an empty table."""
+    key = spark.sparkContext.applicationId
+    if key not in _SCHEMAS:
+        empty = Lake(spark)
+        t = empty.table
+        empty._tables.update(
+            {
+                "silver": lambda: clean_results(spark.createDataFrame([], FEED_SCHEMA)),
+                "fct_results": lambda: model.fct_results(t("silver")),
+                "dim_event": lambda: model.dim_event(t("silver")),
+                "dim_athlete": lambda: model.dim_athlete(t("silver")),
+                "dim_date": lambda: model.dim_date(t("silver")),
+                **_view_builders(t),
+            }
+        )
+        _SCHEMAS[key] = {n: empty.table(n).schema for n in empty.names()}
+    return _SCHEMAS[key]
+
+
+def silver_schema(spark: SparkSession) -> StructType:
+    return table_schemas(spark)["silver"]
+
+
+def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Read a stored table with its known schema."""
+    schema = BRONZE_SCHEMA if name == "bronze" else table_schemas(spark)[name]
+    df = spark.read.schema(schema).parquet(path)
+    return df.select(*ENRICHED_COLUMNS) if name == "vw_results_enriched" else df
+
+
+def _read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return _read(spark, f"{root}/{name}", name)
+
+
 def open_lake(spark: SparkSession, root: str) -> Lake:
     """Read a lake written by ``build_lake`` or by the streaming refresh.
 
@@ -116,12 +159,10 @@ def open_lake(spark: SparkSession, root: str) -> Lake:
     lake = Lake(spark, root)
     version = current_version(spark, root)
     for name in STREAM_TABLES:
-        lake._tables[name] = (lambda n: lambda: spark.read.parquet(f"{root}/{n}"))(name)
+        lake._tables[name] = (lambda n: lambda: _read_layer(spark, root, n))(name)
     if version is not None:
         for name in VIEW_TABLES:
-            lake._tables[name] = (lambda n: lambda: spark.read.parquet(f"{root}/mv/{version}/{n}"))(name)
-        enriched = f"{root}/mv/{version}/vw_results_enriched"
-        lake._tables["vw_results_enriched"] = lambda: spark.read.parquet(enriched).select(*ENRICHED_COLUMNS)
+            lake._tables[name] = (lambda n: lambda: _read(spark, f"{root}/mv/{version}/{n}", n))(name)
     lake._tables["dim_country"] = lambda: dim_country(spark)
     return lake
 
@@ -148,15 +189,13 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2) -> str:
     older than the previous one."""
     version = new_version()
     out = f"{root}/mv/{version}"
-    silver = spark.read.parquet(f"{root}/silver")
+    silver = _read_layer(spark, root, "silver")
     _write(model.dim_event(silver), f"{out}/dim_event")
     _write(model.dim_athlete(silver), f"{out}/dim_athlete")
     _write(model.dim_date(silver), f"{out}/dim_date")
 
     def t(name: str) -> DataFrame:
-        base = root if name in STREAM_TABLES else out
-        df = spark.read.parquet(f"{base}/{name}")
-        return df.select(*ENRICHED_COLUMNS) if name == "vw_results_enriched" else df
+        return _read(spark, f"{root if name in STREAM_TABLES else out}/{name}", name)
 
     builders = _view_builders(t)
     _write(
@@ -171,6 +210,12 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2) -> str:
     return version
 
 
+def with_lineage(feed: DataFrame, source: str) -> DataFrame:
+    """Bronze columns for rows that did not come from a landed file: the
+    source they were derived from and the ingest time."""
+    return feed.withColumns({"source_file": F.lit(source), "ingest_ts": F.current_timestamp()})
+
+
 def build_lake(
     spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR
 ) -> Lake:
@@ -179,8 +224,8 @@ def build_lake(
     from the input tables for the duration of the build."""
     inputs = [table_path(base_dir, t) for t in FEED_TABLES]
     with sized_shuffles(spark, *inputs):
-        _write(race_feed(spark, base_dir), f"{root}/bronze")
-        bronze = spark.read.parquet(f"{root}/bronze")
+        _write(with_lineage(race_feed(spark, base_dir), table_path(base_dir, "lineitem")), f"{root}/bronze")
+        bronze = _read_layer(spark, root, "bronze")
         _write(clean_results(bronze, as_of_year=as_of_year), f"{root}/silver")
         _write(model.fct_results(spark.read.parquet(f"{root}/silver")), f"{root}/fct_results")
         build_views(spark, root)

@@ -114,3 +114,9 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         return reader.readLine().strip()
     finally:
         stream.close()
+
+
+def mkdirs(spark: SparkSession, *paths: str) -> None:
+    for p in paths:
+        fs, path, _ = _fs(spark, p)
+        fs.mkdirs(path)

@@ -18,11 +18,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from pacelake.functions.clean import clean_results
-from pacelake.plans.lake import Lake, build_views, open_lake
+from pacelake.plans.lake import STREAM_TABLES, Lake, build_views, open_lake, silver_schema
 from pacelake.plans.model import fct_results
 from pacelake.session import sized_shuffles
 from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
-from pacelake.sources.sinks import append_stream
+from pacelake.sources.sinks import append_stream, mkdirs
 
 
 def refresh(
@@ -39,6 +39,8 @@ def refresh(
 
 def _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, strict) -> Lake:
     ck = f"{lake_dir}/_checkpoints"
+    # every layer exists from the first run on, even before any file lands
+    mkdirs(spark, landing_dir, *[f"{lake_dir}/{t}" for t in STREAM_TABLES])
 
     bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
     append_stream(bronze, f"{lake_dir}/bronze", f"{ck}/bronze", "bronze").awaitTermination()
@@ -47,8 +49,7 @@ def _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, st
     silver = clean_results(bronze_in, as_of_year=as_of_year, strict=strict)
     append_stream(silver, f"{lake_dir}/silver", f"{ck}/silver", "silver").awaitTermination()
 
-    silver_schema = spark.read.parquet(f"{lake_dir}/silver").schema
-    silver_in = spark.readStream.schema(silver_schema).parquet(f"{lake_dir}/silver")
+    silver_in = spark.readStream.schema(silver_schema(spark)).parquet(f"{lake_dir}/silver")
     append_stream(fct_results(silver_in), f"{lake_dir}/fct_results", f"{ck}/fct_results", "fct").awaitTermination()
 
     build_views(spark, lake_dir)

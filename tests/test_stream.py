@@ -87,3 +87,10 @@ def test_csv_bad_cells_and_short_rows(spark, tmp_dir):
     assert short.athlete_performance is None and short.athlete_source_id is None
     assert other.event_number_of_finishers is None and other.athlete_year_of_birth is None
     assert other.athlete_average_speed == 11.1
+
+
+def test_refresh_before_any_file_lands(spark, tmp_dir):
+    lake = refresh(spark, f"{tmp_dir}/landing", f"{tmp_dir}/lake", as_of_year=2026)
+    assert lake.table("bronze").count() == 0
+    assert lake.enriched().count() == 0 and lake.table("vw_time_yearly_progression").count() == 0
+    assert lake.enriched().columns == lake.table("vw_results_enriched").columns
