@@ -233,6 +233,11 @@ def share_pct(
     )
 
 
+def small_enough_to_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """Bounded size check: reads at most ``max_rows + 1`` rows of ``df``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def lookup_label(
     df: DataFrame,
     lookup: DataFrame,
@@ -240,15 +245,16 @@ def lookup_label(
     lookup_key: str,
     label: str,
     out: str,
-    broadcast_lookup: bool = True,
+    max_broadcast_rows: int = 10_000,
 ) -> DataFrame:
-    """Left-join a label from a small lookup; unmatched keys fall back to the key.
+    """Left-join a label from a lookup; unmatched keys fall back to the key text.
 
-    ``broadcast_lookup`` is only for lookups of a fixed, known size (like
-    the country table); otherwise leave it to AQE's runtime size check.
+    The lookup is broadcast only after a bounded check shows it has at most
+    ``max_broadcast_rows`` rows; a bigger lookup is joined however AQE
+    decides from its measured size (sort-merge beyond the threshold).
     """
     lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(label).alias("_label"))
-    if broadcast_lookup:
+    if max_broadcast_rows and small_enough_to_broadcast(lk, max_broadcast_rows):
         lk = F.broadcast(lk)
     return (
         df.join(lk, F.col(key) == F.col("_lk"), "left")

@@ -80,7 +80,6 @@ def orders_date_dim(spark: SparkSession, base: str) -> DataFrame:
 
 
 def nation_customer_top(spark: SparkSession, base: str, k: int = 10) -> DataFrame:
-    # nation is a fixed 25-row table at every scale, so broadcasting it is bounded
     labelled = lookup_label(
         read_table(spark, base, "customer"), read_table(spark, base, "nation"),
         "c_nationkey", "n_nationkey", "n_name", "nation",

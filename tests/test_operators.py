@@ -118,3 +118,13 @@ def test_profiles(spark):
     prof = {r.column_name: r for r in q.profile_table(df).collect()}
     assert prof["s"].n_nulls == 1 and prof["s"].min is None and prof["s"].data_type == "string"
     assert prof["d"].mean == 3.0 and prof["i"].max == 3.0
+
+
+def test_lookup_broadcast_is_size_checked(spark):
+    facts = spark.createDataFrame([(i % 50,) for i in range(200)], "k int")
+    lk = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "k2 int, name string")
+    small = m.lookup_label(facts, lk, "k", "k2", "name", "label", max_broadcast_rows=100)
+    big = m.lookup_label(facts, lk, "k", "k2", "name", "label", max_broadcast_rows=10)
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    assert sorted(small.collect()) == sorted(big.collect())
