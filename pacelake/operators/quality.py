@@ -108,11 +108,12 @@ def validate_event_specs(df: DataFrame, text_col: str, keep: Sequence[str] = ())
         {"distance_km": EVENT_DISTANCE_RANGE, "n_finishers": EVENT_FINISHERS_RANGE},
         keep=keep,
     )
+    # (?U): whitespace in the Unicode sense, like a str.strip() / \s in Python
     name = F.regexp_replace(c("event_name"), r"[,\"\r\n\t]+", " ")
-    name = F.regexp_replace(F.regexp_replace(name, r"\s+", " "), r"^\s+|\s+$", "")
-    country = F.upper(F.regexp_replace(c("country"), r"^\s+|\s+$", ""))
+    name = F.regexp_replace(F.regexp_replace(name, r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")
+    country = F.upper(F.regexp_replace(c("country"), r"(?U)^\s+|\s+$", ""))
     suffix = F.concat(F.lit("("), country, F.lit(")"))
-    stem = F.regexp_replace(F.regexp_replace(name, r"\s*\([A-Z]{3}\)\s*$", ""), r"^\s+|\s+$", "")
+    stem = F.regexp_replace(F.regexp_replace(name, r"(?U)\s*\([A-Z]{3}\)\s*$", ""), r"(?U)^\s+|\s+$", "")
     final_name = F.when(name.endswith(suffix), name).otherwise(F.concat(stem, F.lit(" "), suffix))
     reason = c("reject_reason")
     # name and country checks sit between "missing keys" and the numeric checks

@@ -50,3 +50,9 @@ def test_generic_specs(spark):
     df = spark.createDataFrame([(1, '{"k": 5}'), (2, '{"k": 50}'), (3, "{}"), (4, '{"k": "x"}')], "id int, p string")
     got = {r.id: (r.k, r.reject_reason) for r in validate_json_specs(df, "p", ["k"], {"k": (10, 90)}, keep=["id"]).collect()}
     assert got == {1: (5, "k out of range"), 2: (50, None), 3: (None, "missing keys"), 4: (None, "non-numeric k")}
+
+
+def test_unicode_whitespace_in_name(spark):
+    text = '{"event_name": "\\u00a0Fjord\\u2003 Run\\u00a0", "country": " nor\\u00a0", "distance_km": 60, "n_finishers": 40}'
+    r = validate_event_specs(spark.createDataFrame([(text,)], "t string"), "t").first()
+    assert (r.event_name, r.country, r.reject_reason) == ("Fjord Run (NOR)", "NOR", None)
