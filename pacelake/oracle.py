@@ -235,7 +235,6 @@ def race_queries() -> dict[str, str]:
         "gold_dim_event": race("SELECT * FROM dim_event"),
         "gold_dim_athlete": race("SELECT * FROM dim_athlete"),
         "gold_dim_date": race("SELECT * FROM dim_date"),
-        "gold_dim_country": race("SELECT * FROM dim_country"),
         "vw_results_enriched": race("SELECT * FROM enriched"),
         "vw_distance_top_events": race(
             f"SELECT e.event_name, e.event_distance_length, e.event_distance_km, count(*) AS n_finishers_total,"

@@ -34,7 +34,6 @@ RACE_QUERIES: dict[str, Query] = {
     "gold_dim_event": _table("dim_event"),
     "gold_dim_athlete": _table("dim_athlete"),
     "gold_dim_date": _table("dim_date"),
-    "gold_dim_country": _table("dim_country"),
     "vw_results_enriched": _table("vw_results_enriched"),
     "vw_distance_top_events": _table("vw_distance_top_events"),
     "vw_distance_gender_split": _table("vw_distance_gender_split"),
