@@ -47,14 +47,20 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when the session has
-    none (local runs, tests) a fresh private folder is created and set.
+    Uses the cluster's ``spark.checkpoint.dir``. Only in local mode, when the
+    session has none (tests), a fresh private folder is created and set; a
+    cluster session without it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise RuntimeError(
+                    "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+                    "(a machine-local folder is lost with its executor)"
+                )
             d = tempfile.mkdtemp(prefix="pacelake-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
