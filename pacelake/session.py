@@ -93,15 +93,9 @@ MAX_SHUFFLE_PARTITIONS = 64_000
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total size of the files under the given paths (one listing call each)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
+    from pacelake.sources.fs import total_bytes
+
+    return total_bytes(spark, *paths)
 
 
 def shuffle_partitions_for(spark: SparkSession, nbytes: int) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pacelake.schema import BRONZE_COLUMNS, SOURCE_HEADERS
+from pacelake.sources import fs
 
 
 def drop_batch(df: DataFrame, landing_dir: str, run_name: str, single_file: bool = True) -> str:
@@ -61,17 +62,19 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None =
 POINTER = "_CURRENT"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
 def new_version() -> str:
     """Sortable by creation time (zero-padded epoch milliseconds first)."""
     return f"v_{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
 
 
+def publish_version(spark: SparkSession, root: str, version: str) -> None:
+    fs.write_small_text(spark, f"{root}/{POINTER}", version)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    return fs.read_small_text(spark, f"{root}/{POINTER}")
+
+
 def prune_versions(spark: SparkSession, versions_dir: str, keep: int = 2) -> list[str]:
     """Delete all but the ``keep`` newest version folders under ``versions_dir``.
 
@@ -79,44 +82,12 @@ def prune_versions(spark: SparkSession, versions_dir: str, keep: int = 2) -> lis
     reader that opened the previous version just before the swap can finish.
     Returns the names deleted.
     """
-    fs, path, _ = _fs(spark, versions_dir)
-    if not fs.exists(path):
-        return []
-    names = sorted(
-        st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory() and st.getPath().getName().startswith("v_")
-    )
+    names = [n for n in fs.list_dirs(spark, versions_dir) if n.startswith("v_")]
     doomed = names[:-keep] if keep > 0 else names
     for name in doomed:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{versions_dir}/{name}"), True)
+        fs.delete(spark, f"{versions_dir}/{name}")
     return doomed
 
 
-def publish_version(spark: SparkSession, root: str, version: str) -> None:
-    fs, _, jvm = _fs(spark, root)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}.{version}.tmp")
-    dst = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, _, jvm = _fs(spark, root)
-    p = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine().strip()
-    finally:
-        stream.close()
-
-
 def mkdirs(spark: SparkSession, *paths: str) -> None:
-    for p in paths:
-        fs, path, _ = _fs(spark, p)
-        fs.mkdirs(path)
+    fs.mkdirs(spark, *paths)
