@@ -18,13 +18,37 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from pacelake.functions.clean import clean_results
-from pacelake.plans.lake import STREAM_TABLES, Lake, build_views, open_lake, silver_schema
+from pacelake.plans.lake import Lake, build_views, open_lake, silver_schema
 from pacelake.plans.model import fct_results
 from pacelake.session import sized_shuffles
 from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
 from pacelake.sources.sinks import append_stream, mkdirs
 
 
+def ingest_bronze(spark: SparkSession, landing_dir: str, lake_dir: str, max_files_per_trigger: int | None = 1000) -> None:
+    """Landed result files -> bronze (each file once per checkpoint)."""
+    mkdirs(spark, landing_dir, f"{lake_dir}/bronze")
+    bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
+    append_stream(bronze, f"{lake_dir}/bronze", f"{lake_dir}/_checkpoints/bronze", "bronze").awaitTermination()
+
+
+def bronze_to_silver(spark: SparkSession, lake_dir: str, as_of_year: int | None = None, strict: bool = False) -> None:
+    """New bronze rows -> cleaned silver rows."""
+    mkdirs(spark, f"{lake_dir}/bronze", f"{lake_dir}/silver")
+    bronze_in = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{lake_dir}/bronze")
+    silver = clean_results(bronze_in, as_of_year=as_of_year, strict=strict)
+    append_stream(silver, f"{lake_dir}/silver", f"{lake_dir}/_checkpoints/silver", "silver").awaitTermination()
+
+
+def silver_to_fact(spark: SparkSession, lake_dir: str) -> None:
+    """New silver rows -> fact rows."""
+    mkdirs(spark, f"{lake_dir}/silver", f"{lake_dir}/fct_results")
+    silver_in = spark.readStream.schema(silver_schema(spark)).parquet(f"{lake_dir}/silver")
+    append_stream(
+        fct_results(silver_in), f"{lake_dir}/fct_results", f"{lake_dir}/_checkpoints/fct_results", "fct"
+    ).awaitTermination()
+
+
 def refresh(
     spark: SparkSession,
     landing_dir: str,
@@ -33,24 +57,11 @@ def refresh(
     max_files_per_trigger: int | None = 1000,
     strict: bool = False,
 ) -> Lake:
+    """One pipeline run. Each hop only processes what its checkpoint has not
+    seen, so a run that died part-way is completed by the next one."""
     with sized_shuffles(spark, landing_dir):
-        return _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, strict)
-
-
-def _refresh(spark, landing_dir, lake_dir, as_of_year, max_files_per_trigger, strict) -> Lake:
-    ck = f"{lake_dir}/_checkpoints"
-    # every layer exists from the first run on, even before any file lands
-    mkdirs(spark, landing_dir, *[f"{lake_dir}/{t}" for t in STREAM_TABLES])
-
-    bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
-    append_stream(bronze, f"{lake_dir}/bronze", f"{ck}/bronze", "bronze").awaitTermination()
-
-    bronze_in = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{lake_dir}/bronze")
-    silver = clean_results(bronze_in, as_of_year=as_of_year, strict=strict)
-    append_stream(silver, f"{lake_dir}/silver", f"{ck}/silver", "silver").awaitTermination()
-
-    silver_in = spark.readStream.schema(silver_schema(spark)).parquet(f"{lake_dir}/silver")
-    append_stream(fct_results(silver_in), f"{lake_dir}/fct_results", f"{ck}/fct_results", "fct").awaitTermination()
-
-    build_views(spark, lake_dir)
+        ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger)
+        bronze_to_silver(spark, lake_dir, as_of_year, strict)
+        silver_to_fact(spark, lake_dir)
+        build_views(spark, lake_dir)
     return open_lake(spark, lake_dir)

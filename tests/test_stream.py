@@ -94,3 +94,18 @@ def test_refresh_before_any_file_lands(spark, tmp_dir):
     assert lake.table("bronze").count() == 0
     assert lake.enriched().count() == 0 and lake.table("vw_time_yearly_progression").count() == 0
     assert lake.enriched().columns == lake.table("vw_results_enriched").columns
+
+
+def test_run_that_died_after_bronze_is_completed(spark, tmp_dir):
+    from pacelake.streaming.refresh import ingest_bronze
+
+    feed = race_feed(spark, SF_SMALL)
+    landing, lake_dir = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    drop_batch(feed, f"{landing}/historical", "all", single_file=False)
+    ingest_bronze(spark, landing, lake_dir)  # ... and the driver dies here
+    ingest_bronze(spark, landing, lake_dir)  # a retry of the same hop adds nothing
+    lake = refresh(spark, landing, lake_dir, as_of_year=2026)
+    batch = lazy_lake(spark, SF_SMALL, as_of_year=2026)
+    assert lake.table("bronze").count() == 6000
+    assert compare_results(lake.table("silver"), batch.table("silver")).count() == 0
+    assert compare_results(lake.table("fct_results"), batch.table("fct_results")).count() == 0
