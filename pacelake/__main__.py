@@ -17,6 +17,7 @@ from pacelake.session import build_session
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="pacelake")
     p.add_argument("--master", default="local[*]")
+    p.add_argument("--cluster", action="store_true", help="cluster settings; master from spark-submit")
     p.add_argument("--shuffle-partitions", type=int, default=200)
     sub = p.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build")
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
 
         print("\n".join(all_queries()))
         return
-    spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
+    spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions, cluster=a.cluster)
     if a.cmd == "build":
         from pacelake.plans.lake import build_lake
 

@@ -24,21 +24,49 @@ RECOMMENDED_CONF = {
 }
 
 
+# Additional settings for a large shared cluster: coalesce shuffle partitions
+# to the advisory size instead of maximising parallelism (which makes many
+# tiny tasks on a 1000-executor cluster), split skewed partitions earlier,
+# and keep the broadcast threshold explicit.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+}
+
+
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     shuffle_partitions: int = 8,
     app_name: str = "pacelake",
     extra: dict | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
+    """A session with the settings the operators are designed around.
+
+    ``cluster=True`` adds ``CLUSTER_CONF`` (for a large shared cluster;
+    ``shuffle_partitions`` is then only a floor — builds size it from the
+    input anyway) and leaves the master to ``spark-submit``.
+    ``master=None`` never sets a master.
+    """
+    if cluster:
+        master = None if master == "local[*]" else master
+        extra = {**CLUSTER_CONF, **(extra or {})}
+        shuffle_partitions = max(shuffle_partitions, int(CLUSTER_CONF["spark.sql.shuffle.partitions"]))
+    b = SparkSession.builder if master is None else SparkSession.builder.master(master)
     b = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        b.appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
-        b = b.config(k, v)
+        if k != "spark.sql.shuffle.partitions":
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
