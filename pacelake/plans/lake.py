@@ -183,7 +183,7 @@ ENRICHED_PARTITION = ["event_type"]
 ENRICHED_CLUSTER = ["event_type", "event_distance_length", "event_distance_km"]
 
 
-def build_views(spark: SparkSession, root: str, keep_versions: int = 2) -> str:
+def build_views(spark: SparkSession, root: str, keep_versions: int = 2, stamp: str = "") -> str:
     """Recompute dimensions and serving views from the stored silver and
     fact tables into a new version folder, publish it, and drop versions
     older than the previous one."""
@@ -205,7 +205,7 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2) -> str:
     )
     for name in GOLD_VIEWS:
         _write(builders[name](), f"{out}/{name}")
-    publish_version(spark, root, version)
+    publish_version(spark, root, version, stamp)
     prune_versions(spark, f"{root}/mv", keep=keep_versions)
     return version
 

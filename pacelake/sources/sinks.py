@@ -67,12 +67,34 @@ def new_version() -> str:
     return f"v_{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
 
 
-def publish_version(spark: SparkSession, root: str, version: str) -> None:
-    fs.write_small_text(spark, f"{root}/{POINTER}", version)
+def publish_version(spark: SparkSession, root: str, version: str, stamp: str = "") -> None:
+    """Point readers at ``version``; ``stamp`` records what it was built from."""
+    fs.write_small_text(spark, f"{root}/{POINTER}", f"{version} {stamp}".strip())
+
+
+def _pointer(spark: SparkSession, root: str) -> list[str]:
+    text = fs.read_small_text(spark, f"{root}/{POINTER}")
+    return text.split(" ", 1) if text else []
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    return fs.read_small_text(spark, f"{root}/{POINTER}")
+    p = _pointer(spark, root)
+    return p[0] if p else None
+
+
+def current_stamp(spark: SparkSession, root: str) -> str | None:
+    p = _pointer(spark, root)
+    return p[1] if len(p) > 1 else None
+
+
+def sink_batch_id(spark: SparkSession, path: str) -> int | None:
+    """Last batch committed by a streaming file sink (from its metadata log)."""
+    ids = [
+        int(n.split(".")[0])
+        for n in fs.list_files(spark, f"{path}/_spark_metadata")
+        if n.split(".")[0].isdigit()
+    ]
+    return max(ids) if ids else None
 
 
 def prune_versions(spark: SparkSession, versions_dir: str, keep: int = 2) -> list[str]:

@@ -22,7 +22,7 @@ from pacelake.plans.lake import Lake, build_views, open_lake, silver_schema
 from pacelake.plans.model import fct_results
 from pacelake.session import sized_shuffles
 from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
-from pacelake.sources.sinks import append_stream, mkdirs
+from pacelake.sources.sinks import append_stream, current_stamp, current_version, mkdirs, sink_batch_id
 
 
 def ingest_bronze(spark: SparkSession, landing_dir: str, lake_dir: str, max_files_per_trigger: int | None = 1000) -> None:
@@ -63,5 +63,11 @@ def refresh(
         ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger)
         bronze_to_silver(spark, lake_dir, as_of_year, strict)
         silver_to_fact(spark, lake_dir)
-        build_views(spark, lake_dir)
+        # the views are rebuilt only when the fact table moved on since the
+        # published version was built (a run that adds nothing costs a
+        # listing, not a rebuild; a run that died before its rebuild is
+        # caught up by the next one)
+        stamp = f"fact_batch={sink_batch_id(spark, f'{lake_dir}/fct_results')}"
+        if current_version(spark, lake_dir) is None or current_stamp(spark, lake_dir) != stamp:
+            build_views(spark, lake_dir, stamp=stamp)
     return open_lake(spark, lake_dir)

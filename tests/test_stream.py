@@ -1,6 +1,7 @@
 """Streaming refresh: incremental, idempotent, and equal to the batch path."""
 
 import glob
+import os
 
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ def test_incremental_refresh_equals_batch(spark, tmp_dir):
     # nothing new -> nothing added
     lake = refresh(spark, landing, lake_dir, as_of_year=2026)
     assert lake.table("bronze").count() == 6000
-    # three refreshes published three versions; only the last two are kept
+    # two refreshes with new files published two versions; the third found
+    # nothing new and rebuilt nothing
     assert len(glob.glob(f"{lake_dir}/mv/v_*")) == 2
     landed = glob.glob(f"{landing}/**/*.csv", recursive=True)
     assert lake.table("bronze").select("source_file").distinct().count() == len(landed)
@@ -109,3 +111,22 @@ def test_run_that_died_after_bronze_is_completed(spark, tmp_dir):
     assert lake.table("bronze").count() == 6000
     assert compare_results(lake.table("silver"), batch.table("silver")).count() == 0
     assert compare_results(lake.table("fct_results"), batch.table("fct_results")).count() == 0
+
+
+def test_views_rebuilt_only_when_facts_move(spark, tmp_dir):
+    from pacelake.sources.sinks import current_version
+
+    feed = race_feed(spark, SF_SMALL)
+    landing, lake_dir = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    drop_batch(feed.filter(F.col("year_of_event") <= 1996), f"{landing}/h", "a")
+    refresh(spark, landing, lake_dir, as_of_year=2026)
+    v1 = current_version(spark, lake_dir)
+    refresh(spark, landing, lake_dir, as_of_year=2026)
+    assert current_version(spark, lake_dir) == v1  # nothing new: no rebuild
+    drop_batch(feed.filter(F.col("year_of_event") == 1997), f"{landing}/h", "b")
+    lake = refresh(spark, landing, lake_dir, as_of_year=2026)
+    assert current_version(spark, lake_dir) != v1
+    assert lake.enriched().count() == lake.table("fct_results").count()
+    for v in glob.glob(f"{lake_dir}/mv/v_*"):
+        assert os.path.isdir(v)
+    assert len(glob.glob(f"{lake_dir}/mv/v_*")) == 2
