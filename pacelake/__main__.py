@@ -2,7 +2,7 @@
 
     python -m pacelake build   --input /data/tables --lake /data/lake
     python -m pacelake refresh --landing /data/landing --lake /data/lake
-    python -m pacelake query   f3_record_progression --input /data/tables [--show 20]
+    python -m pacelake query   f3_record_progression --input /data/tables [--show 20] [--explain]
     python -m pacelake sql     "SELECT ... FROM vw_results_enriched" --lake /data/lake
     python -m pacelake list
 """
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("name")
     q.add_argument("--input", required=True)
     q.add_argument("--show", type=int, default=20)
+    q.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     s = sub.add_parser("sql")
     s.add_argument("text")
     s.add_argument("--lake", required=True)
@@ -57,7 +58,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "query":
         from pacelake.plans.catalog import all_queries
 
-        all_queries()[a.name](spark, a.input).show(a.show, truncate=False)
+        df = all_queries()[a.name](spark, a.input)
+        if a.explain:
+            df.explain("formatted")
+        df.show(a.show, truncate=False)
     elif a.cmd == "sql":
         from pacelake.plans.lake import open_lake
 
