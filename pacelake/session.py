@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -134,20 +135,36 @@ def shuffle_partitions_for(spark: SparkSession, nbytes: int) -> int:
     return int(min(MAX_SHUFFLE_PARTITIONS, max(2 * slots, want)))
 
 
+_SIZING_LOCK = threading.Lock()
+_SIZING: dict[str, tuple[int, str]] = {}  # application id -> (open builds, saved setting)
+
+
 class sized_shuffles:
-    """Context manager: set ``spark.sql.shuffle.partitions`` from the input size
-    for the duration of a build, never below the session's own setting."""
+    """Context manager: raise ``spark.sql.shuffle.partitions`` to fit the
+    input size for the duration of a build (never below the session's own
+    setting). Reference-counted, so concurrent builds in one session restore
+    the original setting only when the last one finishes."""
 
     def __init__(self, spark: SparkSession, *paths: str):
         self.spark, self.paths = spark, paths
-        self.saved: str | None = None
 
     def __enter__(self):
-        self.saved = self.spark.conf.get("spark.sql.shuffle.partitions")
         n = shuffle_partitions_for(self.spark, input_bytes(self.spark, *self.paths))
-        self.spark.conf.set("spark.sql.shuffle.partitions", str(max(n, int(self.saved))))
+        app = self.spark.sparkContext.applicationId
+        with _SIZING_LOCK:
+            depth, saved = _SIZING.get(app, (0, self.spark.conf.get("spark.sql.shuffle.partitions")))
+            current = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(max(n, current)))
+            _SIZING[app] = (depth + 1, saved)
         return self
 
     def __exit__(self, *exc):
-        self.spark.conf.set("spark.sql.shuffle.partitions", self.saved)
+        app = self.spark.sparkContext.applicationId
+        with _SIZING_LOCK:
+            depth, saved = _SIZING[app]
+            if depth == 1:
+                self.spark.conf.set("spark.sql.shuffle.partitions", saved)
+                del _SIZING[app]
+            else:
+                _SIZING[app] = (depth - 1, saved)
         return False

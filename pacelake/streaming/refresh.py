@@ -29,7 +29,7 @@ def ingest_bronze(spark: SparkSession, landing_dir: str, lake_dir: str, max_file
     """Landed result files -> bronze (each file once per checkpoint)."""
     mkdirs(spark, landing_dir, f"{lake_dir}/bronze")
     bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
-    append_stream(bronze, f"{lake_dir}/bronze", f"{lake_dir}/_checkpoints/bronze", "bronze").awaitTermination()
+    append_stream(bronze, f"{lake_dir}/bronze", f"{lake_dir}/_checkpoints/bronze").awaitTermination()
 
 
 def bronze_to_silver(spark: SparkSession, lake_dir: str, as_of_year: int | None = None, strict: bool = False) -> None:
@@ -37,16 +37,14 @@ def bronze_to_silver(spark: SparkSession, lake_dir: str, as_of_year: int | None
     mkdirs(spark, f"{lake_dir}/bronze", f"{lake_dir}/silver")
     bronze_in = spark.readStream.schema(BRONZE_SCHEMA).parquet(f"{lake_dir}/bronze")
     silver = clean_results(bronze_in, as_of_year=as_of_year, strict=strict)
-    append_stream(silver, f"{lake_dir}/silver", f"{lake_dir}/_checkpoints/silver", "silver").awaitTermination()
+    append_stream(silver, f"{lake_dir}/silver", f"{lake_dir}/_checkpoints/silver").awaitTermination()
 
 
 def silver_to_fact(spark: SparkSession, lake_dir: str) -> None:
     """New silver rows -> fact rows."""
     mkdirs(spark, f"{lake_dir}/silver", f"{lake_dir}/fct_results")
     silver_in = spark.readStream.schema(silver_schema(spark)).parquet(f"{lake_dir}/silver")
-    append_stream(
-        fct_results(silver_in), f"{lake_dir}/fct_results", f"{lake_dir}/_checkpoints/fct_results", "fct"
-    ).awaitTermination()
+    append_stream(fct_results(silver_in), f"{lake_dir}/fct_results", f"{lake_dir}/_checkpoints/fct_results").awaitTermination()
 
 
 def refresh(

@@ -130,3 +130,14 @@ def test_views_rebuilt_only_when_facts_move(spark, tmp_dir):
     for v in glob.glob(f"{lake_dir}/mv/v_*"):
         assert os.path.isdir(v)
     assert len(glob.glob(f"{lake_dir}/mv/v_*")) == 2
+
+
+def test_two_lakes_refresh_concurrently(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    feed = race_feed(spark, SF_SMALL)
+    for i in range(2):
+        drop_batch(feed.filter(F.col("year_of_event") % 2 == i), f"{tmp_dir}/landing{i}", "a")
+    with ThreadPoolExecutor(2) as pool:
+        lakes = list(pool.map(lambda i: refresh(spark, f"{tmp_dir}/landing{i}", f"{tmp_dir}/lake{i}", as_of_year=2026), range(2)))
+    assert sum(lk.table("bronze").count() for lk in lakes) == 6000
