@@ -34,7 +34,7 @@ def main() -> None:
     mem = os.environ.get("BENCH_DRIVER_MEM", "4g")
     spark = build_session(
         f"local[{cpus}]",
-        shuffle_partitions=max(8, 2 * cpus),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))),
         app_name="pacelake-bench",
         extra={"spark.driver.memory": mem},
     )
