@@ -1,6 +1,8 @@
 from pacelake.functions.parsing import (  # noqa: F401
     blank_to_null,
     first_number,
+    has_hms,
+    has_number,
     hash_key,
     hms_seconds,
     leading_date,

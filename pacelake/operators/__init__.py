@@ -14,5 +14,16 @@ from pacelake.operators.metrics import (  # noqa: F401
     round_half_up,
     running_best,
     share_pct,
+    small_enough_to_broadcast,
     top_k,
 )
+from pacelake.operators.quality import (  # noqa: F401
+    audit_star_schema,
+    compare_results,
+    null_counts,
+    numeric_summary,
+    profile_table,
+    shape,
+    validate_event_specs,
+    validate_json_specs,
+)
