@@ -27,6 +27,7 @@ def read_results(
     check_header: bool = False,
     lineage: bool = True,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Read result CSVs with the fixed source schema.
 
@@ -39,6 +40,8 @@ def read_results(
     stream: an unbounded file stream; each file is read once per checkpoint,
         so re-running a query only picks up files that arrived since.
     lineage: adds ``source_file`` (the file's path) and ``ingest_ts``.
+    archive_dir: (streams) move each file there once its batch is committed,
+        so the landing folder – listed on every trigger – stays small.
     """
     reader = spark.readStream if stream else spark.read
     reader = (
@@ -52,6 +55,8 @@ def read_results(
     )
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if stream and archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.load(path)
     if lineage:
         df = df.withColumns(

@@ -25,10 +25,19 @@ from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
 from pacelake.sources.sinks import append_stream, current_stamp, current_version, mkdirs, sink_batch_id
 
 
-def ingest_bronze(spark: SparkSession, landing_dir: str, lake_dir: str, max_files_per_trigger: int | None = 1000) -> None:
-    """Landed result files -> bronze (each file once per checkpoint)."""
+def ingest_bronze(
+    spark: SparkSession,
+    landing_dir: str,
+    lake_dir: str,
+    max_files_per_trigger: int | None = 1000,
+    archive_dir: str | None = None,
+) -> None:
+    """Landed result files -> bronze (each file once per checkpoint); with
+    ``archive_dir``, ingested files are moved out of the landing folder."""
     mkdirs(spark, landing_dir, f"{lake_dir}/bronze")
-    bronze = read_results(spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger)
+    bronze = read_results(
+        spark, landing_dir, stream=True, max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir
+    )
     append_stream(bronze, f"{lake_dir}/bronze", f"{lake_dir}/_checkpoints/bronze").awaitTermination()
 
 
@@ -54,11 +63,12 @@ def refresh(
     as_of_year: int | None = None,
     max_files_per_trigger: int | None = 1000,
     strict: bool = False,
+    archive_dir: str | None = None,
 ) -> Lake:
     """One pipeline run. Each hop only processes what its checkpoint has not
     seen, so a run that died part-way is completed by the next one."""
     with sized_shuffles(spark, landing_dir):
-        ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger)
+        ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger, archive_dir)
         bronze_to_silver(spark, lake_dir, as_of_year, strict)
         silver_to_fact(spark, lake_dir)
         # the views are rebuilt only when the fact table moved on since the

@@ -141,3 +141,23 @@ def test_two_lakes_refresh_concurrently(spark, tmp_dir):
     with ThreadPoolExecutor(2) as pool:
         lakes = list(pool.map(lambda i: refresh(spark, f"{tmp_dir}/landing{i}", f"{tmp_dir}/lake{i}", as_of_year=2026), range(2)))
     assert sum(lk.table("bronze").count() for lk in lakes) == 6000
+
+
+def test_ingested_files_are_archived(spark, tmp_dir):
+    """Files of a committed batch are moved out of the landing folder when the
+    next batch is planned, so the folder listed on every trigger stays small."""
+    import time
+
+    feed = race_feed(spark, SF_SMALL)
+    landing, lake_dir, archive = f"{tmp_dir}/landing", f"{tmp_dir}/lake", f"{tmp_dir}/archive"
+    drop_batch(feed.filter(F.col("year_of_event") <= 1997), f"{landing}/h", "a")
+    refresh(spark, landing, lake_dir, as_of_year=2026, archive_dir=archive)
+    drop_batch(feed.filter(F.col("year_of_event") > 1997), f"{landing}/h", "b")
+    lake = refresh(spark, landing, lake_dir, as_of_year=2026, archive_dir=archive)
+    assert lake.table("bronze").count() == 6000
+    for _ in range(20):  # the move runs on a background cleaner thread
+        if glob.glob(f"{archive}/**/a/*.csv", recursive=True):
+            break
+        time.sleep(0.5)
+    assert len(glob.glob(f"{archive}/**/a/*.csv", recursive=True)) == 1
+    assert glob.glob(f"{landing}/h/a/*.csv") == []
