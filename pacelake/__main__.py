@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--lake", required=True)
     r.add_argument("--as-of-year", type=int, default=None)
     r.add_argument("--strict", action="store_true")
+    r.add_argument("--archive", default=None, help="move ingested files here")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--input", required=True)
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "refresh":
         from pacelake.streaming import refresh
 
-        refresh(spark, a.landing, a.lake, as_of_year=a.as_of_year, strict=a.strict)
+        refresh(spark, a.landing, a.lake, as_of_year=a.as_of_year, strict=a.strict, archive_dir=a.archive)
     elif a.cmd == "query":
         from pacelake.plans.catalog import all_queries
 
