@@ -39,6 +39,7 @@ def safe_double(c: Column | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
+    """'' -> NULL, anything else unchanged."""
     c = _col(c)
     return F.when(c == "", _null_str()).otherwise(c)
 

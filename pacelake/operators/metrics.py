@@ -53,6 +53,7 @@ def pct_where(cond: Column, digits: int = 1) -> Column:
 
 
 def median(c: ColumnLike, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> Column:
+    """Discrete median from a mergeable quantile sketch (``percentile_approx``)."""
     return F.percentile_approx(_c(c), 0.5, accuracy)
 
 
@@ -173,6 +174,7 @@ def running_best(
 def bucket_counts(
     df: DataFrame, c: ColumnLike, width: int, name: str = "bucket", count_name: str = "n"
 ) -> DataFrame:
+    """Histogram: rows per ``floor(c / width) * width`` bucket (NULL values form their own row)."""
     return df.groupBy(bucket(c, width).alias(name)).agg(F.count(F.lit(1)).alias(count_name))
 
 

@@ -89,6 +89,7 @@ class Lake:
 
 
 def lazy_lake(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
+    """Every table as an un-materialised plan over the input tables."""
     lake = Lake(spark)
     t = lake.table
     lake._tables.update(

@@ -37,6 +37,8 @@ def _txt(c: Column) -> Column:
 
 
 def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Raw result rows (the 13 source columns, snake_case) derived from the
+    lineitem, orders, part and customer tables under ``base_dir``."""
     c = F.col
     li = read_spread(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
