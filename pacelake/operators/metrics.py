@@ -248,15 +248,21 @@ def lookup_label(
     label: str,
     out: str,
     max_broadcast_rows: int = 10_000,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Left-join a label from a lookup; unmatched keys fall back to the key text.
 
-    The lookup is broadcast only after a bounded check shows it has at most
-    ``max_broadcast_rows`` rows; a bigger lookup is joined however AQE
-    decides from its measured size (sort-merge beyond the threshold).
+    The lookup is broadcast only when it has at most ``max_broadcast_rows``
+    rows: ``known_rows`` when the caller built it from a fixed list, else a
+    bounded check (``limit(n + 1).count()``). A bigger lookup is joined
+    however AQE decides from its measured size (sort-merge beyond the
+    threshold).
     """
     lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(label).alias("_label"))
-    if max_broadcast_rows and small_enough_to_broadcast(lk, max_broadcast_rows):
+    if max_broadcast_rows and (
+        known_rows <= max_broadcast_rows if known_rows is not None
+        else small_enough_to_broadcast(lk, max_broadcast_rows)
+    ):
         lk = F.broadcast(lk)
     return (
         df.join(lk, F.col(key) == F.col("_lk"), "left")

@@ -27,6 +27,7 @@ from pacelake.operators.metrics import (
     running_best,
     top_k,
 )
+from pacelake.plans.countries import country_rows
 from pacelake.plans.lake import Lake
 
 c = F.col
@@ -50,7 +51,11 @@ def _km100(df: DataFrame) -> DataFrame:
 
 
 def _with_country_name(df: DataFrame, lake: Lake, out: str = "country") -> DataFrame:
-    return lookup_label(df, lake.countries(), "athlete_country", "country_code", "country_name", out)
+    # the lookup is built from the fixed list, so its size is known without a job
+    return lookup_label(
+        df, lake.countries(), "athlete_country", "country_code", "country_name", out,
+        known_rows=len(country_rows()),
+    )
 
 
 # --- Section A: headline counters --------------------------------------------
