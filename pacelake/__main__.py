@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--input", required=True)
     b.add_argument("--lake", required=True)
     b.add_argument("--as-of-year", type=int, default=None)
+    b.add_argument("--strict", action="store_true")
     r = sub.add_parser("refresh")
     r.add_argument("--landing", required=True)
     r.add_argument("--lake", required=True)
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "build":
         from pacelake.plans.lake import build_lake
 
-        build_lake(spark, a.input, a.lake, a.as_of_year)
+        build_lake(spark, a.input, a.lake, a.as_of_year, strict=a.strict)
     elif a.cmd == "refresh":
         from pacelake.streaming import refresh
 

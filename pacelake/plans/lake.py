@@ -88,14 +88,16 @@ class Lake:
         return self.table("dim_country")
 
 
-def lazy_lake(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
+def lazy_lake(
+    spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR, strict: bool = False
+) -> Lake:
     """Every table as an un-materialised plan over the input tables."""
     lake = Lake(spark)
     t = lake.table
     lake._tables.update(
         {
             "bronze": lambda: race_feed(spark, base_dir),
-            "silver": lambda: clean_results(t("bronze"), as_of_year=as_of_year),
+            "silver": lambda: clean_results(t("bronze"), as_of_year=as_of_year, strict=strict),
             "fct_results": lambda: model.fct_results(t("silver")),
             "dim_event": lambda: model.dim_event(t("silver")),
             "dim_athlete": lambda: model.dim_athlete(t("silver")),
@@ -218,7 +220,11 @@ def with_lineage(feed: DataFrame, source: str) -> DataFrame:
 
 
 def build_lake(
-    spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR
+    spark: SparkSession,
+    base_dir: str,
+    root: str,
+    as_of_year: int | None = AS_OF_YEAR,
+    strict: bool = False,
 ) -> Lake:
     """Batch build of every layer from the input tables; each layer is a
     written table that the next one reads back. Shuffle partitions are sized
@@ -227,7 +233,7 @@ def build_lake(
     with sized_shuffles(spark, *inputs):
         _write(with_lineage(race_feed(spark, base_dir), table_path(base_dir, "lineitem")), f"{root}/bronze")
         bronze = _read_layer(spark, root, "bronze")
-        _write(clean_results(bronze, as_of_year=as_of_year), f"{root}/silver")
+        _write(clean_results(bronze, as_of_year=as_of_year, strict=strict), f"{root}/silver")
         _write(model.fct_results(spark.read.parquet(f"{root}/silver")), f"{root}/fct_results")
         build_views(spark, root)
     return open_lake(spark, root)
