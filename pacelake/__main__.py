@@ -1,5 +1,6 @@
 """Command line: build a lake, run a refresh, or run a named query.
 
+    python -m pacelake init    --root /data/races        (raw/historical, raw/simulated, lake)
     python -m pacelake build   --input /data/tables --lake /data/lake
     python -m pacelake refresh --landing /data/landing --lake /data/lake
     python -m pacelake query   f3_record_progression --input /data/tables [--show 20] [--explain]
@@ -41,6 +42,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--lake", required=True)
     s.add_argument("--show", type=int, default=20)
     sub.add_parser("list")
+    i = sub.add_parser("init")
+    i.add_argument("--root", required=True)
     a = p.parse_args(argv)
 
     if a.cmd == "list":
@@ -64,6 +67,12 @@ def main(argv: list[str] | None = None) -> None:
         if a.explain:
             df.explain("formatted")
         df.show(a.show, truncate=False)
+    elif a.cmd == "init":
+        from pacelake.sources.fs import mkdirs
+
+        root = a.root.rstrip("/")
+        mkdirs(spark, f"{root}/raw/historical", f"{root}/raw/simulated", f"{root}/lake")
+        print(f"landing: {root}/raw   lake: {root}/lake")
     elif a.cmd == "sql":
         from pacelake.plans.lake import open_lake
 
