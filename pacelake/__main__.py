@@ -5,6 +5,7 @@
     python -m pacelake refresh --landing /data/landing --lake /data/lake
     python -m pacelake query   f3_record_progression --input /data/tables [--show 20] [--explain]
     python -m pacelake sql     "SELECT ... FROM vw_results_enriched" --lake /data/lake
+    python -m pacelake validate --specs /data/specs.txt    (one event-spec text per line)
     python -m pacelake list
 """
 
@@ -42,6 +43,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--lake", required=True)
     s.add_argument("--show", type=int, default=20)
     sub.add_parser("list")
+    v = sub.add_parser("validate")
+    v.add_argument("--specs", required=True)
+    v.add_argument("--show", type=int, default=20)
     i = sub.add_parser("init")
     i.add_argument("--root", required=True)
     a = p.parse_args(argv)
@@ -67,6 +71,11 @@ def main(argv: list[str] | None = None) -> None:
         if a.explain:
             df.explain("formatted")
         df.show(a.show, truncate=False)
+    elif a.cmd == "validate":
+        from pacelake.operators.quality import validate_event_specs
+
+        texts = spark.read.text(a.specs).withColumnRenamed("value", "spec")
+        validate_event_specs(texts, "spec", keep=["spec"]).show(a.show, truncate=60)
     elif a.cmd == "init":
         from pacelake.sources.fs import mkdirs
 
