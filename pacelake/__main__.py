@@ -6,6 +6,7 @@
     python -m pacelake query   f3_record_progression --input /data/tables [--show 20] [--explain]
     python -m pacelake sql     "SELECT ... FROM vw_results_enriched" --lake /data/lake
     python -m pacelake validate --specs /data/specs.txt    (one event-spec text per line)
+    python -m pacelake drop    --input rows.parquet --landing /data/races/raw/simulated --name 2026-12-02_aurora
     python -m pacelake list
 """
 
@@ -46,6 +47,11 @@ def main(argv: list[str] | None = None) -> None:
     v = sub.add_parser("validate")
     v.add_argument("--specs", required=True)
     v.add_argument("--show", type=int, default=20)
+    dr = sub.add_parser("drop")
+    dr.add_argument("--input", required=True, help="parquet with the 13 snake_case result columns")
+    dr.add_argument("--landing", required=True)
+    dr.add_argument("--name", required=True)
+    dr.add_argument("--keep-partitions", action="store_true", help="do not merge into one file")
     i = sub.add_parser("init")
     i.add_argument("--root", required=True)
     a = p.parse_args(argv)
@@ -76,6 +82,11 @@ def main(argv: list[str] | None = None) -> None:
 
         texts = spark.read.text(a.specs).withColumnRenamed("value", "spec")
         validate_event_specs(texts, "spec", keep=["spec"]).show(a.show, truncate=60)
+    elif a.cmd == "drop":
+        from pacelake.sources.sinks import drop_batch
+
+        out = drop_batch(spark.read.parquet(a.input), a.landing, a.name, single_file=not a.keep_partitions)
+        print(f"landed {out}")
     elif a.cmd == "init":
         from pacelake.sources.fs import mkdirs
 
