@@ -12,6 +12,7 @@ tables (used by tests and for one-off exploration).
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from collections.abc import Callable
 
@@ -23,8 +24,9 @@ from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
 from pacelake.plans.countries import dim_country
 from pacelake.schema import ENRICHED_COLUMNS, FEED_SCHEMA
-from pacelake.session import scratch_path, sized_shuffles
-from pacelake.sources.sinks import current_version, new_version, prune_versions, publish_version
+from pacelake.session import scratch_path, shared_root, sized_shuffles
+from pacelake.sources import fs
+from pacelake.sources.sinks import POINTER, current_version, new_version, prune_versions, publish_version
 from pacelake.sources.feed import FEED_TABLES, race_feed
 from pacelake.sources.results_csv import BRONZE_SCHEMA
 from pacelake.sources.tables import table_path
@@ -243,8 +245,40 @@ _LAKES: dict[tuple, Lake] = {}
 _LOCK = threading.Lock()
 
 
+def _code_digest() -> str:
+    """Hash of the package source: a stored build is only reused by the same code."""
+    import pathlib
+
+    h = hashlib.sha256()
+    for p in sorted(pathlib.Path(__file__).resolve().parents[1].rglob("*.py")):
+        h.update(p.read_bytes())
+    return h.hexdigest()[:16]
+
+
+def reuse_or_build(spark: SparkSession, kind: str, inputs: list[str], params: str, build: Callable[[str], Lake]) -> Lake:
+    """A lake built from exactly these input files with this code and these
+    parameters, reused across applications.
+
+    The key is a digest of the input files (path, size, modification time),
+    the package source and the parameters. A build goes to a fresh folder and
+    is published by an atomic pointer file under the key, so concurrent
+    builders never share a folder; a changed input or code gives a new key.
+    """
+    key_text = repr((fs.fingerprint(spark, *inputs), _code_digest(), params))
+    key = hashlib.sha256(key_text.encode()).hexdigest()[:24]
+    pointer = f"{shared_root(spark)}/pacelake/{kind}/{key}/_LAKE"
+    root = fs.read_small_text(spark, pointer)
+    if root and fs.exists(spark, f"{root}/{POINTER}"):
+        return open_lake(spark, root)
+    root = scratch_path(spark, kind)
+    lake = build(root)
+    fs.write_small_text(spark, pointer, root)
+    return lake
+
+
 def lake_for(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
-    """The stored lake for ``base_dir``, built once per Spark application.
+    """The stored lake for ``base_dir``, built once and reused while the input
+    files and the code are unchanged.
 
     Written under the session's shared scratch folder (``spark.checkpoint.dir``).
     """
@@ -252,6 +286,10 @@ def lake_for(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_
     with _LOCK:
         lake = _LAKES.get(key)
         if lake is None:
-            lake = build_lake(spark, base_dir, scratch_path(spark, "lake"), as_of_year)
+            inputs = [table_path(base_dir, t) for t in FEED_TABLES]
+            lake = reuse_or_build(
+                spark, "lake", inputs, f"as_of_year={as_of_year}",
+                lambda root: build_lake(spark, base_dir, root, as_of_year),
+            )
             _LAKES[key] = lake
         return lake

@@ -96,6 +96,13 @@ def scratch_root(spark: SparkSession) -> str:
     return d
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (``scratch_root`` is a per-application
+    subfolder of it), for results that later applications may reuse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or scratch_root(spark).rsplit("/", 1)[0]).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new unique path under the scratch root (never reused between runs)."""
     root = scratch_root(spark)

@@ -81,3 +81,18 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
         return line.strip() if line else None
     finally:
         stream.close()
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> list[tuple[str, int, int]]:
+    """(file, size, modification time) of every file under the paths."""
+    out = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):
+            out.append((path, -1, -1))
+            continue
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)

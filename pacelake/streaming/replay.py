@@ -12,9 +12,9 @@ import threading
 
 from pyspark.sql import SparkSession
 
-from pacelake.plans.lake import AS_OF_YEAR, Lake
-from pacelake.session import scratch_path
-from pacelake.sources.feed import race_feed
+from pacelake.plans.lake import AS_OF_YEAR, Lake, open_lake, reuse_or_build
+from pacelake.sources.feed import FEED_TABLES, race_feed
+from pacelake.sources.tables import table_path
 from pacelake.sources.sinks import drop_batch
 from pacelake.streaming.refresh import refresh
 
@@ -22,13 +22,23 @@ _REPLAYS: dict[tuple, Lake] = {}
 _LOCK = threading.Lock()
 
 
+def build_replay(spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
+    """Land the feed as CSV files under ``root/landing`` and run the streaming
+    refresh into ``root`` (always builds)."""
+    drop_batch(race_feed(spark, base_dir), f"{root}/landing/historical", "feed", single_file=False)
+    refresh(spark, f"{root}/landing", root, as_of_year=as_of_year)
+    return open_lake(spark, root)
+
+
 def replayed_lake(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
     key = (spark.sparkContext.applicationId, base_dir.rstrip("/"), as_of_year)
     with _LOCK:
         lake = _REPLAYS.get(key)
         if lake is None:
-            root = scratch_path(spark, "replay")
-            drop_batch(race_feed(spark, base_dir), f"{root}/landing/historical", "feed", single_file=False)
-            lake = refresh(spark, f"{root}/landing", f"{root}/lake", as_of_year=as_of_year)
+            inputs = [table_path(base_dir, t) for t in FEED_TABLES]
+            lake = reuse_or_build(
+                spark, "replay", inputs, f"as_of_year={as_of_year}",
+                lambda root: build_replay(spark, base_dir, root, as_of_year),
+            )
             _REPLAYS[key] = lake
         return lake

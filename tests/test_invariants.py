@@ -102,3 +102,22 @@ def test_stored_tables_equal_lazy_plans(spark, lake):
             assert compare_results(stored, plan).count() == 0, name
         else:
             assert stored.count() == plan.count(), name
+
+
+def test_reuse_or_build_keys(spark):
+    from pacelake.plans.lake import open_lake, reuse_or_build
+    from pacelake.sources.sinks import publish_version
+
+    built = []
+
+    def build(root):
+        built.append(root)
+        publish_version(spark, root, "v_000000000000000_test")
+        return open_lake(spark, root)
+
+    inputs = [f"{SF_SMALL}/part.parquet"]
+    tag = f"test-{spark.sparkContext.applicationId}"
+    a = reuse_or_build(spark, "unit", inputs, tag, build)
+    b = reuse_or_build(spark, "unit", inputs, tag, build)
+    c = reuse_or_build(spark, "unit", inputs, tag + "-other", build)
+    assert a.root == b.root and len(built) == 2 and c.root != a.root
