@@ -44,6 +44,7 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None =
     """
     w = (
         df.writeStream.format("parquet")
+        .option("compression", "zstd")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
