@@ -67,7 +67,9 @@ def refresh(
 ) -> Lake:
     """One pipeline run. Each hop only processes what its checkpoint has not
     seen, so a run that died part-way is completed by the next one."""
-    with sized_shuffles(spark, landing_dir):
+    # the rebuild runs over all history: size from what is landed plus what
+    # bronze already holds (the landing folder alone may be archived away)
+    with sized_shuffles(spark, landing_dir, f"{lake_dir}/bronze"):
         ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger, archive_dir)
         bronze_to_silver(spark, lake_dir, as_of_year, strict)
         silver_to_fact(spark, lake_dir)
