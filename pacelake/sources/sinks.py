@@ -12,7 +12,9 @@ from pacelake.schema import BRONZE_COLUMNS, SOURCE_HEADERS
 from pacelake.sources import fs
 
 
-def drop_batch(df: DataFrame, landing_dir: str, run_name: str, single_file: bool = True) -> str:
+def drop_batch(
+    df: DataFrame, landing_dir: str, run_name: str, single_file: bool = True, replace: bool = False
+) -> str:
     """Land result rows as CSV with the source header, in their own run folder.
 
     The column order is pinned to the source order because readers match
@@ -20,6 +22,9 @@ def drop_batch(df: DataFrame, landing_dir: str, run_name: str, single_file: bool
     (meant for small drops such as one event's finishers); large batches keep
     their partitions. Values are written as they are (no whitespace
     trimming), so the file is exactly what a producer would send.
+    A run folder is written once: re-using a run name is an error unless
+    ``replace`` is set, because rewritten files get new names and a stream
+    that already ingested the old ones would ingest the rows again.
     Returns the folder written.
     """
     out = f"{landing_dir.rstrip('/')}/{run_name}"
@@ -30,7 +35,7 @@ def drop_batch(df: DataFrame, landing_dir: str, run_name: str, single_file: bool
         rows.write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .mode("overwrite")
+        .mode("overwrite" if replace else "errorifexists")
         .csv(out)
     )
     return out

@@ -161,3 +161,13 @@ def test_ingested_files_are_archived(spark, tmp_dir):
         time.sleep(0.5)
     assert len(glob.glob(f"{archive}/**/a/*.csv", recursive=True)) == 1
     assert glob.glob(f"{landing}/h/a/*.csv") == []
+
+
+def test_run_folder_is_written_once(spark, tmp_dir):
+    import pytest as _pytest
+
+    feed = race_feed(spark, SF_SMALL).limit(10)
+    drop_batch(feed, tmp_dir, "run")
+    with _pytest.raises(Exception):
+        drop_batch(feed, tmp_dir, "run")
+    drop_batch(feed, tmp_dir, "run", replace=True)
