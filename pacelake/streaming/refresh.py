@@ -21,10 +21,22 @@ from pacelake.functions.clean import clean_results
 from pacelake.plans.lake import Lake, build_views, open_lake, silver_schema
 from pacelake.plans.model import fct_results
 from pacelake.session import sized_shuffles
+from pacelake.sources import fs
 from pacelake.sources.results_csv import BRONZE_SCHEMA, read_results
 from pacelake.sources.sinks import append_stream, current_stamp, current_version, mkdirs, sink_batch_id
 
 
+def _check_streamed(spark: SparkSession, lake_dir: str) -> None:
+    """A lake root is either built in batch or maintained by streams: once a
+    stream sink owns a folder, readers only see the files in its log, so
+    batch-written layers would silently disappear."""
+    for layer in ("bronze", "silver", "fct_results"):
+        path = f"{lake_dir}/{layer}"
+        has_files = any(n.endswith(".parquet") for n in fs.list_files(spark, path))
+        if has_files and not fs.exists(spark, f"{path}/_spark_metadata"):
+            raise ValueError(f"{path} was written in batch (build_lake); refresh needs its own lake folder")
+
+
 def ingest_bronze(
     spark: SparkSession,
     landing_dir: str,
@@ -69,6 +81,7 @@ def refresh(
     seen, so a run that died part-way is completed by the next one."""
     # the rebuild runs over all history: size from what is landed plus what
     # bronze already holds (the landing folder alone may be archived away)
+    _check_streamed(spark, lake_dir)
     with sized_shuffles(spark, landing_dir, f"{lake_dir}/bronze"):
         ingest_bronze(spark, landing_dir, lake_dir, max_files_per_trigger, archive_dir)
         bronze_to_silver(spark, lake_dir, as_of_year, strict)

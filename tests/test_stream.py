@@ -171,3 +171,13 @@ def test_run_folder_is_written_once(spark, tmp_dir):
     with _pytest.raises(Exception):
         drop_batch(feed, tmp_dir, "run")
     drop_batch(feed, tmp_dir, "run", replace=True)
+
+
+def test_refresh_refuses_a_batch_built_lake(spark, tmp_dir):
+    import pytest as _pytest
+
+    from pacelake.plans.lake import build_lake
+
+    build_lake(spark, SF_SMALL, f"{tmp_dir}/lake")
+    with _pytest.raises(ValueError, match="written in batch"):
+        refresh(spark, f"{tmp_dir}/landing", f"{tmp_dir}/lake")
