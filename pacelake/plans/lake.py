@@ -68,6 +68,11 @@ class Lake:
         self._tables: dict[str, Callable[[], DataFrame]] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            raise KeyError(
+                f"no table {name!r} in this lake (tables: {', '.join(self._tables)}); "
+                "dimensions and views exist once a build or refresh has published them"
+            )
         return self._tables[name]()
 
     def names(self) -> list[str]:
