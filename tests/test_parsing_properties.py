@@ -25,7 +25,7 @@ _perf = st.one_of(
     st.tuples(st.sampled_from(["", "-", " "]), _num, st.sampled_from([" km", "km", " KM", " kmh", " m", ",5 km"])).map(
         lambda t: "".join(t)
     ),
-    st.text(alphabet="0123456789:. hkmHK,-d", max_size=14),
+    st.text(alphabet="0123456789:. hkmHK,-dD\t", max_size=14),
 )
 
 
