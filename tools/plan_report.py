@@ -67,10 +67,43 @@ def main() -> None:
         lines.append(
             f"| {name} | {sh} | {jn} | {s['read_cols'] or '–'} | {pf} | {tw} | {'yes' if s['python'] else 'no'} |"
         )
+    lines += detail_sections(spark, sf)
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
     spark.stop()
 
 
+def _formatted(df) -> str:
+    """The physical plan tree and per-node details of ``explain("formatted")``,
+    with expression ids removed for readability."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    return re.sub(r"#\d+L?", "", text).strip()
+
+
+def detail_sections(spark, sf: str) -> list[str]:
+    from pacelake.functions.clean import clean_results
+    from pacelake.plans import dashboard, views
+    from pacelake.plans.lake import lake_for
+
+    lake = lake_for(spark, sf)
+    cases = [
+        ("Silver cleaning (one map stage, no exchange)", clean_results(lake.table("bronze"), as_of_year=2026)),
+        (
+            "Enriched star join (as built by a refresh)",
+            views.results_enriched(
+                lake.table("fct_results"), lake.table("dim_event"), lake.table("dim_athlete"), lake.table("dim_date")
+            ),
+        ),
+        ("F3 record progression (aggregate, then a window over one row per year)", dashboard.f3_record_progression(lake)),
+        ("C1 top countries (aggregate per code before the lookup join)", dashboard.c1_top_countries(lake)),
+    ]
+    out = ["", "## Formatted plans of representative stages", ""]
+    for title, df in cases:
+        out += [f"### {title}", "", "```", _formatted(df), "```", ""]
+    return out
+
+
 if __name__ == "__main__":
     main()
