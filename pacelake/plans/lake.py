@@ -218,8 +218,13 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2, stamp: s
         f"{out}/vw_results_enriched",
         partition_by=ENRICHED_PARTITION,
     )
-    for name in GOLD_VIEWS:
-        _write(builders[name](), f"{out}/{name}")
+    # the six serving views from one scan of the stored enriched view
+    parts, cached = views.serving_views(t("vw_results_enriched"))
+    try:
+        for name in GOLD_VIEWS:
+            _write(parts[name], f"{out}/{name}")
+    finally:
+        cached.unpersist()
     publish_version(spark, root, version, stamp)
     prune_versions(spark, f"{root}/mv", keep=keep_versions)
     return version

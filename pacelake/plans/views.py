@@ -118,3 +118,94 @@ def time_yearly_progression(enriched: DataFrame) -> DataFrame:
             F.round(F.max("performance_distance_km"), 2).alias("max_distance_km"),
         )
     )
+
+
+# --- all six serving views from one scan ------------------------------------------
+
+_VIEW_SETS = {
+    "vw_distance_top_events": ("distance", ["event_name", "event_distance_length", "event_distance_km"]),
+    "vw_distance_gender_split": ("distance", ["event_distance_length", "event_distance_km", "athlete_gender"]),
+    "vw_distance_country_leaderboard": ("distance", ["athlete_country", "event_distance_length"]),
+    "vw_time_top_events": ("time", ["event_name", "event_duration_hours"]),
+    "vw_time_country_leaderboard": ("time", ["athlete_country", "event_duration_hours"]),
+    "vw_time_yearly_progression": ("time", ["event_year", "event_duration_hours"]),
+}
+_KEYS = ["event_type", "event_name", "event_distance_length", "event_distance_km", "athlete_gender",
+         "athlete_country", "event_duration_hours", "event_year"]
+
+
+def serving_views(enriched: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The six serving views from a single scan of the enriched view.
+
+    One GROUPING SETS aggregation computes every view's groups (partial
+    aggregation before one shuffle); its result – one row per group, small –
+    is cached and split into the six outputs. Returns the views and the
+    cached aggregate (unpersist it after writing). Same results as the
+    per-view functions above, which remain the definitions.
+    """
+    sets = [["event_type", *cols] for _, cols in _VIEW_SETS.values()]
+    agg = (
+        enriched.groupingSets(sets, *_KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("performance_time_seconds").alias("avg_secs"),
+            F.min("performance_time_seconds").alias("min_secs"),
+            F.avg("athlete_average_speed").alias("avg_speed"),
+            F.avg("performance_distance_km").alias("avg_km"),
+            F.max("performance_distance_km").alias("max_km"),
+            F.grouping_id().alias("_gid"),
+        )
+        .cache()
+    )
+
+    def part(name: str) -> DataFrame:
+        etype, cols = _VIEW_SETS[name]
+        keep = {"event_type", *cols}
+        gid = sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in keep)
+        return agg.filter((F.col("_gid") == gid) & (F.col("event_type") == etype))
+
+    c = F.col
+    out = {
+        "vw_distance_top_events": part("vw_distance_top_events").select(
+            "event_name", "event_distance_length", "event_distance_km",
+            c("n").alias("n_finishers_total"),
+            _hours(c("avg_secs")).alias("avg_finish_hours"),
+            _hours(c("min_secs")).alias("fastest_finish_hours"),
+        ),
+        "vw_distance_gender_split": part("vw_distance_gender_split")
+        .filter(c("athlete_gender").isin("M", "W"))
+        .select(
+            "event_distance_length", "event_distance_km", "athlete_gender",
+            c("n").alias("n_finishes"),
+            F.round("avg_speed", 3).alias("avg_speed_kmh"),
+            F.round(_hours(c("avg_secs")), 2).alias("avg_finish_hours"),
+            F.round(_hours(c("min_secs")), 2).alias("fastest_finish_hours"),
+        ),
+        "vw_distance_country_leaderboard": part("vw_distance_country_leaderboard").select(
+            "athlete_country", "event_distance_length",
+            c("n").alias("n_finishes"),
+            c("avg_speed").alias("avg_speed_kmh"),
+            _hours(c("min_secs")).alias("fastest_finish_hours"),
+        ),
+        "vw_time_top_events": part("vw_time_top_events").select(
+            "event_name", "event_duration_hours",
+            c("n").alias("n_finishers_total"),
+            c("avg_km").alias("avg_distance_km"),
+            c("max_km").alias("max_distance_km"),
+        ),
+        "vw_time_country_leaderboard": part("vw_time_country_leaderboard").select(
+            "athlete_country", "event_duration_hours",
+            c("n").alias("n_finishes"),
+            c("avg_km").alias("avg_distance_km"),
+            c("max_km").alias("max_distance_km"),
+        ),
+        "vw_time_yearly_progression": part("vw_time_yearly_progression")
+        .filter(c("event_year").isNotNull())
+        .select(
+            "event_year", "event_duration_hours",
+            c("n").alias("n_finishes"),
+            F.round("avg_km", 2).alias("avg_distance_km"),
+            F.round("max_km", 2).alias("max_distance_km"),
+        ),
+    }
+    return out, agg

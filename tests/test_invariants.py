@@ -98,10 +98,11 @@ def test_stored_tables_equal_lazy_plans(spark, lake):
         stored, plan = lake.table(name), lazy.table(name)
         assert stored.columns == plan.columns, name
         assert [f.dataType for f in stored.schema] == [f.dataType for f in plan.schema], name
-        if "avg" not in " ".join(plan.columns):  # unrounded averages may differ in the last bit
-            assert compare_results(stored, plan).count() == 0, name
-        else:
-            assert stored.count() == plan.count(), name
+        # unrounded averages may differ in the last bits (summation order)
+        dbl = {c for c, t in plan.dtypes if t == "double"}
+        r1 = stored.select(*[F.round(c, 9).alias(c) if c in dbl else c for c in stored.columns])
+        r2 = plan.select(*[F.round(c, 9).alias(c) if c in dbl else c for c in plan.columns])
+        assert compare_results(r1, r2).count() == 0, name
 
 
 def test_reuse_or_build_keys(spark):
