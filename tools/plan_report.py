@@ -79,7 +79,10 @@ def _formatted(df) -> str:
     text = df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    return re.sub(r"#\d+L?", "", text).strip()
+    text = re.sub(r"#\d+L?", "", text)
+    # scratch folders differ per run: show them relative to the lake root
+    text = re.sub(r"file:\S*?/lake/[0-9a-f]{32}", "<lake>", text)
+    return re.sub(r"/mv/v_\d+_[0-9a-f]+", "/mv/<version>", text).strip()
 
 
 def detail_sections(spark, sf: str) -> list[str]:
