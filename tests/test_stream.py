@@ -181,3 +181,17 @@ def test_refresh_refuses_a_batch_built_lake(spark, tmp_dir):
     build_lake(spark, SF_SMALL, f"{tmp_dir}/lake")
     with _pytest.raises(ValueError, match="written in batch"):
         refresh(spark, f"{tmp_dir}/landing", f"{tmp_dir}/lake")
+
+
+def test_backlog_in_bounded_micro_batches(spark, tmp_dir):
+    from pacelake.sources.sinks import sink_batch_id
+
+    feed = race_feed(spark, SF_SMALL)
+    landing, lake_dir = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    for y in (1995, 1996, 1997):
+        drop_batch(feed.filter(F.col("year_of_event") == y), f"{landing}/h", f"y{y}")
+    lake = refresh(spark, landing, lake_dir, as_of_year=2026, max_files_per_trigger=1)
+    assert sink_batch_id(spark, f"{lake_dir}/bronze") == 2  # three files, one per micro-batch
+    expected = feed.filter(F.col("year_of_event").isin(1995, 1996, 1997)).count()
+    assert lake.table("bronze").count() == expected
+    assert lake.enriched().count() == lake.table("fct_results").count()
