@@ -1,6 +1,7 @@
 """Run queries() against oracle_sql() the way the driver does (row count,
 column names, order-insensitive values), reporting exact and approximate
-(float-tolerant) matches. Usage: python tests/compare.py [sf_dir] [name ...]"""
+(float-tolerant) matches.
+Usage: python tests/compare.py [--json report.json] [sf_dir] [name ...]"""
 
 from __future__ import annotations
 
@@ -111,12 +112,23 @@ def compare(spark, sf_dir, names=None):
 
 
 if __name__ == "__main__":
+    import json
+
     from pacelake.session import build_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
+    args = sys.argv[1:]
+    out_json = None
+    if "--json" in args:
+        i = args.index("--json")
+        out_json = args[i + 1]
+        del args[i : i + 2]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
     spark = build_session("local[8]")
     res = compare(spark, sf, names)
+    if out_json:
+        with open(out_json, "w") as fh:
+            json.dump({k: {"status": s, "detail": d} for k, (s, d) in res.items()}, fh, indent=1)
     for k, (s, d) in res.items():
         print(f"{s:12s} {k:36s} {d}")
     print({s: sum(1 for v in res.values() if v[0] == s) for s in sorted({v[0] for v in res.values()})})
