@@ -161,12 +161,22 @@ def audit_star_schema(
     not_null: table -> columns that must not be NULL.
     """
     parts: list[DataFrame] = []
-    for t, k in primary_keys.items():
+    # primary-key and not-null checks of one table share one aggregation pass
+    not_null = not_null or {}
+    for t in dict.fromkeys([*primary_keys, *not_null]):
         df = tables[t]
-        # rows - distinct non-NULL keys = duplicate copies + NULL keys
-        parts.append(
-            df.agg(*_report("primary_key", t, k, F.count(F.lit(1)) - F.count_distinct(c(k))))
+        checks: list[tuple[str, str, Column]] = []
+        if t in primary_keys:
+            k = primary_keys[t]
+            # rows - distinct non-NULL keys = duplicate copies + NULL keys
+            checks.append(("primary_key", k, F.count(F.lit(1)) - F.count_distinct(c(k))))
+        for x in not_null.get(t, []):
+            checks.append(("not_null", x, F.count_if(c(x).isNull())))
+        wide = df.agg(*[expr.alias(f"_n{i}") for i, (_, _, expr) in enumerate(checks)])
+        rows = F.array(
+            *[F.struct(*_report(kind, t, col, c(f"_n{i}"))) for i, (kind, col, _) in enumerate(checks)]
         )
+        parts.append(wide.select(F.inline(rows)))
     for t, col, parent, pk in foreign_keys:
         # count child rows per key first (partial aggregation on every
         # mapper), so the anti join moves one row per key, not per fact row
@@ -179,11 +189,6 @@ def audit_star_schema(
         parts.append(
             orphans.agg(*_report("foreign_key", t, f"{col}->{parent}.{pk}", F.coalesce(F.sum("_n"), F.lit(0))))
         )
-    for t, cols in (not_null or {}).items():
-        df = tables[t]
-        counts = df.agg(*[F.count_if(c(x).isNull()).alias(f"_n{i}") for i, x in enumerate(cols)])
-        rows = F.array(*[F.struct(*_report("not_null", t, x, c(f"_n{i}"))) for i, x in enumerate(cols)])
-        parts.append(counts.select(F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)
 
 
