@@ -132,3 +132,4 @@ if __name__ == "__main__":
     for k, (s, d) in res.items():
         print(f"{s:12s} {k:36s} {d}")
     print({s: sum(1 for v in res.values() if v[0] == s) for s in sorted({v[0] for v in res.values()})})
+    sys.exit(0 if all(v[0] in ("EXACT", "APPROX", "NO_ORACLE") for v in res.values()) else 1)
