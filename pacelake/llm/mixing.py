@@ -60,11 +60,11 @@ def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.n
     """Move fractional probabilities to 0 or 1 three at a time, keeping the
     sums of probabilities and of probability times size; at most two stay
     fractional. Documents are visited in order of size, so that each step
-    trades documents of like sizes."""
+    trades documents of like sizes and short ones are left for the landing."""
     p = prob.astype(float).copy()
     scale = max(1.0, float(size.max(initial=1)))
     x = size / scale
-    queue = [int(i) for i in np.argsort(size, kind="stable") if ROUND < p[i] < 1 - ROUND]
+    queue = [int(i) for i in np.argsort(-size, kind="stable") if ROUND < p[i] < 1 - ROUND]
     hand: list[int] = []
     coins = rng.random(len(queue) + 3)
     k = 0
