@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacelake.llm.fingerprint import op2_fingerprint
+from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
 from pacelake.llm.quality import op10_quality_rules
+from pacelake.llm.tokens import op4_token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_fingerprint": op2_fingerprint,
+    "op4_token_output": op4_token_output,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

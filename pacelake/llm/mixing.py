@@ -8,9 +8,10 @@ an inclusion probability of a balanced sample.
 
 The cube method moves the fractions of a block of documents along vectors that
 change neither the block's expected words nor its expected documents (the
-null space of two constraints), until at most two documents stay fractional.
-Those go on to wider blocks of the same source, and the handful that is left
-lands by the nearest rounding of the source's words. Blocks are bounded, so a
+null space of two constraints), until at most two documents, and a small
+reserve kept for the landing, stay fractional. Those go on to wider blocks of
+the same source; the handful that is left lands on the choice whose words come
+nearest to the expected. Blocks are bounded, so a
 source with a third of all rows is worked on by many tasks.
 """
 
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from pacelake.llm.common import WORD, documents, written
 
-BLOCK = 2048
+BLOCK = 2048  # documents that a flight takes at once
+RESERVE = 12  # documents that a block keeps for the landing
 ROUND = 1e-9
 
 
@@ -56,46 +58,51 @@ def source_targets(sizes: DataFrame, cap: float = 3.0) -> DataFrame:
     return per.select("source", "source_size", "n_docs", target.cast("double").alias("target"))
 
 
-def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator, reserve: int = 0) -> np.ndarray:
     """Move fractional probabilities to 0 or 1 three at a time, keeping the
-    sums of probabilities and of probability times size; at most two stay
-    fractional. Documents are visited in order of size, so that each step
-    trades documents of like sizes and short ones are left for the landing."""
+    sums of probabilities and of probability times size, until at most two
+    (and ``reserve`` others, evenly spread over the sizes and left untouched
+    for the landing) stay fractional."""
     p = prob.astype(float).copy()
-    scale = max(1.0, float(size.max(initial=1)))
-    x = size / scale
+    x = size / max(1.0, float(size.max(initial=1)))
     queue = [int(i) for i in np.argsort(-size, kind="stable") if ROUND < p[i] < 1 - ROUND]
+    if reserve:
+        spared = {queue[int(k)] for k in np.linspace(0, len(queue) - 1, min(reserve, len(queue)))} if queue else set()
+        queue = [i for i in queue if i not in spared]
     hand: list[int] = []
-    coins = rng.random(len(queue) + 3)
-    k = 0
-    for i in queue:
+    for i, coin in zip(queue, rng.random(len(queue))):
         hand.append(i)
-        while len(hand) == 3:
-            a, b, c = hand
-            # null space of [[1, 1, 1], [xa, xb, xc]]
-            v = (x[c] - x[b], x[a] - x[c], x[b] - x[a])
-            if not any(v):
-                v = (1.0, -1.0, 0.0)
-            up = min((1 - p[j]) / d if d > 0 else -p[j] / d for j, d in zip(hand, v) if d)
-            down = min(p[j] / d if d > 0 else (p[j] - 1) / d for j, d in zip(hand, v) if d)
-            step = up if coins[k % len(coins)] * (up + down) < down else -down
-            k += 1
-            for j, d in zip(hand, v):
-                p[j] += step * d
-                if p[j] < ROUND or p[j] > 1 - ROUND:
-                    p[j] = round(p[j])
-            rest = [j for j in hand if ROUND < p[j] < 1 - ROUND]
-            hand = rest if len(rest) < 3 else [j for j in hand if j != min(hand, key=lambda j: min(p[j], 1 - p[j]))]
+        if len(hand) < 3:
+            continue
+        a, b, c = hand
+        v = (x[c] - x[b], x[a] - x[c], x[b] - x[a])  # null space of the two constraints
+        if not any(v):
+            v = (1.0, -1.0, 0.0)
+        up = min((1 - p[j]) / d if d > 0 else -p[j] / d for j, d in zip(hand, v) if d)
+        down = min(p[j] / d if d > 0 else (p[j] - 1) / d for j, d in zip(hand, v) if d)
+        step = up if coin * (up + down) < down else -down
+        for j, d in zip(hand, v):
+            p[j] += step * d
+        nearest = min((j for j, d in zip(hand, v) if d), key=lambda j: min(p[j], 1 - p[j]))
+        p[nearest] = round(p[nearest])  # the one that met its bound
+        for j in hand:
+            if p[j] <= ROUND or p[j] >= 1 - ROUND:
+                p[j] = round(p[j])
+        hand = [j for j in hand if 0 < p[j] < 1]
     return p
 
 
 def landing(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Round what is left (a few documents) so that the words come nearest."""
-    p = flight(prob, size, rng)
+    """Decide what is left: all but ``RESERVE`` documents by another flight,
+    the rest by trying every choice for the words nearest to the expected."""
+    p = flight(prob, size, rng, RESERVE)
     left = np.flatnonzero((p > ROUND) & (p < 1 - ROUND))
-    want = float((p[left] * size[left]).sum())
-    best = min(range(2 ** len(left)), key=lambda m: abs(sum(size[j] for k, j in enumerate(left) if m >> k & 1) - want), default=0)
-    p[left] = [best >> k & 1 for k in range(len(left))]
+    if len(left):
+        want, sums = float((p[left] * size[left]).sum()), np.zeros(1)
+        for z in size[left]:
+            sums = np.concatenate([sums, sums + z])
+        best = int(np.abs(sums - want).argmin())
+        p[left] = [best >> k & 1 for k in range(len(left))]
     return np.round(p)
 
 
@@ -105,7 +112,7 @@ def _settle(rows: DataFrame, final: bool, level: int) -> DataFrame:
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["key", "size", "p"], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng([level, len(pdf), int(pdf["key"].iloc[0]) & 0x7FFFFFFF])
-        p = (landing if final else flight)(pdf["p"].to_numpy(), pdf["size"].to_numpy(), rng)
+        p = landing(pdf["p"].to_numpy(), pdf["size"].to_numpy(), rng) if final else flight(pdf["p"].to_numpy(), pdf["size"].to_numpy(), rng, RESERVE)
         return pdf.assign(p=p)[["sid", "key", "size", "p"]]
 
     return rows.groupBy("sid", "block").applyInPandas(work, "sid int, key long, size long, p double")
