@@ -11,6 +11,7 @@ from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
 from pacelake.llm.quality import op10_quality_rules
 from pacelake.llm.tokens import op4_token_output
+from pacelake.llm.toxicity import op6_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_fingerprint": op2_fingerprint,
     "op4_token_output": op4_token_output,
+    "op6_toxicity": op6_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -22,18 +22,19 @@ from pyspark.sql import functions as F
 from pacelake.llm.common import documents, written
 from pacelake.llm.text import BASE, U64, mix
 
-K, L, M = 8, 2, 32
+K, L, M = 6, 2, 32
 NO_ID = -(2**63)
 _FACTORS = mix(np.arange(1, M + 1, dtype=np.uint64) * BASE) | U64(1)
 
 
 def numbered_kmers(points: np.ndarray, k: int = K) -> np.ndarray:
     """Hashes of the occurrence-numbered k-mers of a text's code points, in
-    text order. A shorter text is a single k-mer, an empty one has none."""
+    text order. Texts of less than 4 k points take k-mers of a quarter of their
+    length (at least one point); an empty text has none."""
     n = len(points)
     if not n:
         return np.zeros(0, np.uint64)
-    k = min(k, n)
+    k = max(1, min(k, n // 4))
     with np.errstate(over="ignore"):
         x = (points.astype(np.uint64) + U64(1)) * U64(0xD6E8FEB86659FD93)
         h = np.zeros(n - k + 1, np.uint64)
