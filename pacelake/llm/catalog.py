@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pacelake.llm.fingerprint import op2_fingerprint
+from pacelake.llm.jaccard import op5_jaccard_join
 from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
 from pacelake.llm.quality import op10_quality_rules
@@ -19,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_fingerprint": op2_fingerprint,
     "op4_token_output": op4_token_output,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
