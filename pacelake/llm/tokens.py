@@ -32,7 +32,7 @@ from pacelake.llm.text import Texts, slices
 from pacelake.session import scratch_path
 
 END_ID = 2
-CACHE = 400_000  # distinct pieces a worker remembers between batches
+CACHE = 500_000  # distinct pieces a worker remembers between batches and tasks
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -60,20 +60,25 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, np.ndarray] = {}
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _look_up(self, pieces: list[str]) -> list[np.ndarray]:
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = pieces
-        for i in range(0, len(new), 10_000):
-            known.update(zip(new[i : i + 10_000], self._whole(new[i : i + 10_000])))
-        return [known[p] for p in pieces]
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<i4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; the two generations hold at most CACHE of them, and
+        what was used lately outlives the rest."""
+        new = [p for p in pieces if p not in self.recent]
+        fresh = [p for p in new if p not in self.older]
+        found = {p: self.older[p] for p in new if p in self.older}
+        for i in range(0, len(fresh), 10_000):
+            found.update(zip(fresh[i : i + 10_000], self._whole(fresh[i : i + 10_000])))
+        out = [self.recent[p] if p in self.recent else found[p] for p in pieces]
+        self.recent.update(found)
+        if len(self.recent) > CACHE // 2:
+            self.older, self.recent = self.recent, {}
+        return out
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets of texts in them); a null text has no ids."""
@@ -119,8 +124,8 @@ class PieceEncoder:
                 ids[i] = x
         else:
             ids = self._look_up(words)
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype="<i4")
         begin = np.cumsum(size) - size
         n = size[codes]
         ends = np.cumsum(n)
@@ -128,14 +133,24 @@ class PieceEncoder:
         return flat[take], np.concatenate([[0], ends])[first]
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """The worker's encoder for a tokenizer file, kept between tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
     """(doc_id, n_tokens, ids) in the order and partitions of ``docs``
     (doc_id, text). Null and empty texts hold the end id alone."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text", 8_000_000):
+            for part in slices(batch, "text"):
                 ids, offsets = encoder.encode(part.column("text"))
                 if end_id is not None:
                     ids = np.insert(ids, offsets[1:], end_id)
