@@ -11,6 +11,7 @@ from pacelake.llm.jaccard import op5_jaccard_join
 from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
 from pacelake.llm.quality import op10_quality_rules
+from pacelake.llm.substring import op7_substring_dedup
 from pacelake.llm.tokens import op4_token_output
 from pacelake.llm.toxicity import op6_toxicity
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_output": op4_token_output,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
