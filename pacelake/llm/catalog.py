@@ -10,6 +10,7 @@ from pacelake.llm.fingerprint import op2_fingerprint
 from pacelake.llm.jaccard import op5_jaccard_join
 from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
+from pacelake.llm.pieces import op3_sentencepiece
 from pacelake.llm.quality import op10_quality_rules
 from pacelake.llm.substring import op7_substring_dedup
 from pacelake.llm.tokens import op4_token_output
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_fingerprint": op2_fingerprint,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_token_output": op4_token_output,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
