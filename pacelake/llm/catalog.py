@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pacelake.llm.fingerprint import op2_fingerprint
+from pacelake.llm.flatfiles import op8_token_counts
 from pacelake.llm.jaccard import op5_jaccard_join
 from pacelake.llm.language import op1_language_id
 from pacelake.llm.mixing import op9_mixing
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

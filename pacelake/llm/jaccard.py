@@ -298,6 +298,19 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     return linked.union(rows.where("n = 0").select("doc_id", F.col("n"), F.col("doc_id")))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents (all columns) of which one stays per component: that of the
+    smallest id. Rows that repeat its id and text go, too; other texts under
+    the same id stay, and so do texts without words."""
+    found = jaccard_components(docs, size, num, den)
+    gone = found.groupBy("doc_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("own")).where("own = 0")
+    ids = gone.select(F.col("doc_id").alias("_gone"))
+    twice = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
+    left = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    same = left.join(twice, F.col("doc_id").eqNullSafe(F.col("_twice")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(twice, F.col("doc_id").eqNullSafe(F.col("_twice")), "left_anti").union(same.select(*docs.columns))
+
+
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Sizes and components of all documents, four-word shingles at 0.85."""
     return jaccard_components(documents(spark, sf_dir), 4, 85, 100)

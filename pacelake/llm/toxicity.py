@@ -290,6 +290,17 @@ def scored(docs: DataFrame, machine: Machine | None, keep: list[str]) -> DataFra
     return own.mapInArrow(work, schema).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_score").alias("score"))
 
 
+def without_toxic(docs: DataFrame, machine: Machine | None, threshold: float = 0.5) -> DataFrame:
+    """Rows (all columns) whose text scores under the threshold."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield part.filter(pa.array(scores(machine, part.column("text")) < threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def trained(spark, docs: DataFrame, sf_dir: str) -> Machine | None:
     """The machine learned from the labelled rows that are not held out."""
     labels = read_table(spark, sf_dir, "labels").where(crc_bucket("doc_id", 5) != 0)
