@@ -15,15 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacelake.llm.common import documents, written
+from pacelake.llm.common import documents, partitions
 from pacelake.llm.text import BASE, U64, mix
 
 K, L, M = 6, 2, 32
 NO_ID = -(2**63)
+PARTS = 20_000  # at most so many ranges of ids
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 _FACTORS = mix(np.arange(1, M + 1, dtype=np.uint64) * BASE) | U64(1)
 
 
@@ -63,9 +64,7 @@ def signature(kmers: np.ndarray, l: int = L, m: int = M) -> np.ndarray:
         step = 32_768
         for a in range(0, n, step):
             with np.errstate(over="ignore"):
-                v = kmers[None, a : a + step] * _FACTORS[:m, None]
-                v ^= v >> U64(32)
-                v *= BASE
+                v = kmers[None, a : a + step] * _FACTORS[:m, None]  # the high bits of a product by an odd factor
             r, c = np.nonzero(v <= bound)
             rows.append(r)
             cols.append(c + a)
@@ -91,22 +90,39 @@ def fingerprint(text: str) -> str:
     return signature(numbered_kmers(points)).astype(">u4").tobytes().hex()
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: str, b: str) -> float:
     """Share of equal components of two fingerprints (0 to 1)."""
-    same = F.transform(F.sequence(F.lit(0), F.lit(M - 1)), lambda j: (F.substr(a, j * 8 + 1, F.lit(8)) == F.substr(b, j * 8 + 1, F.lit(8))).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda x, y: x + y) / F.lit(float(M))
+    return sum(a[i : i + 8] == b[i : i + 8] for i in range(0, 8 * M, 8)) / M
 
 
-def successors(ids: DataFrame) -> DataFrame:
-    """(id, next_id) of distinct ids: the next greater one, after the last the
-    first. Ids are sorted by ranges; a task sees its own range, and the first
-    ids of the ranges (a row per range) tell what follows a range's last."""
-    ranged = written(ids.distinct().repartitionByRange("id").withColumn("part", F.spark_partition_id()), "ids")
-    firsts = ranged.groupBy("part").agg(F.min("id").alias("first"))
-    everything = W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    after = firsts.select("part", F.coalesce(F.lead("first").over(W.orderBy("part")), F.min("first").over(everything)).alias("after"))
-    own = ranged.withColumn("next_id", F.lead("id").over(W.partitionBy("part").orderBy("id")))
-    return own.join(after, "part").select("id", F.coalesce("next_id", "after").alias("next_id"))
+def in_order(docs: DataFrame) -> DataFrame:
+    """Rows (part, flag, id, text), sorted by part, id and text within their
+    partitions, so that the next row of a part is the next document.
+
+    Parts are ranges of ids cut at ids that occur (approximate quantiles, a
+    bounded list). The rows of a range's first id are also sent, flagged, to
+    the end of the part before (those of the first range to the last part): no
+    part needs to look into another.
+    """
+    want = min(PARTS, 4 * partitions(docs.sparkSession))
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    shares = [k / want for k in range(1, want)]
+    found = own.agg(F.min("id").alias("low"), F.percentile_approx("id", shares, 10 * want).alias("cuts")).first()
+    bounds = np.array(sorted({found["low"], *found["cuts"]}) if found["cuts"] else [0], np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            part = np.searchsorted(bounds, ids, side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.zeros(len(ids), np.int8)), *batch.columns], names=["part", "flag", "id", "text"])
+            first = np.flatnonzero(bounds[part] == ids)
+            if len(first):
+                before = (part[first] - 1) % len(bounds)
+                again = [c.take(pa.array(first)) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([pa.array(before, pa.int32()), pa.array(np.ones(len(first), np.int8)), *again], names=["part", "flag", "id", "text"])
+
+    dealt = own.mapInArrow(deal, "part int, flag byte, id long, text string")
+    return dealt.repartition("part").sortWithinPartitions("part", "flag", "id", "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -114,47 +130,33 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     near_edited, near_next.
 
     The edited text replaces the last quarter of the code points by the first
-    as many (or all) of the next document by doc_id, nulls first; of rows with
-    the same doc_id the smallest text counts as the next document, and a single
-    document is its own next. Null texts count as empty; two empty texts are
-    alike (1.0), an empty and another text are not. Extra columns are ignored.
+    as many (or all) of the next document by doc_id, nulls first; rows with the
+    same doc_id follow one another by text, and a single document is its own
+    next. Null texts count as empty; two empty texts are alike (1.0), an empty
+    and another text are not. Extra columns are ignored.
     """
-    own = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    follow = written(successors(own.select("id")), "successors")
-    need = written(own.groupBy("id").agg(F.max(F.floor(F.length("text") / 4)).cast("int").alias("need")), "need")
-    wanted = follow.join(need, "id").select(F.col("next_id").alias("id"), F.col("id").alias("for_id"), "need")
-    heads = own.join(wanted, "id").select(F.col("for_id").alias("id"), F.substr("text", F.lit(1), F.col("need")).alias("head"))
-    heads = heads.groupBy("id").agg(F.min("head").alias("head"))
+    rows = in_order(docs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (part, id, text, fingerprint) of the row that waits for its next
         for batch in batches:
-            n, sha, mark, edited_mark = [], [], [], []
-            for text, head in zip(batch.column("text").to_pylist(), batch.column("head").to_pylist()):
-                k = len(text) // 4
-                edited = text[: len(text) - k] + head[:k]
-                n.append(len(text))
-                sha.append(hashlib.sha256(edited.encode()).hexdigest())
-                mark.append(fingerprint(text))
-                edited_mark.append(mark[-1] if edited == text else fingerprint(edited))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (sha, mark, edited_mark))],
-                names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"],
-            )
-
-    schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string"
-    marks = written(own.join(heads, "id").mapInArrow(work, schema), "fingerprints")
-    following = follow.join(marks.groupBy("id").agg(F.min("fingerprint").alias("next_mark")).withColumnRenamed("id", "next_id"), "next_id")
-    return marks.join(following.select("id", "next_mark"), "id").select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_mark")).alias("near_next"),
-    )
+            out = []
+            for part, flag, i, text in zip(*(batch.column(c).to_pylist() for c in ("part", "flag", "id", "text"))):
+                if held is None and flag:
+                    continue  # a further row of the next range's first id
+                mark = fingerprint(text)
+                if held is not None:
+                    _, held_id, own, own_mark = held
+                    k = len(own) // 4
+                    edited = own[: len(own) - k] + text[:k]
+                    edited_mark = own_mark if edited == own else fingerprint(edited)
+                    out.append((held_id, len(own), hashlib.sha256(edited.encode()).hexdigest(), own_mark, edited_mark, likeness(own_mark, edited_mark), likeness(own_mark, mark)))
+                held = None if flag else (part, i, text, mark)
+            if out:
+                ids, *rest = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array([None if i == NO_ID else i for i in ids], pa.int64()), *map(pa.array, rest)], names=NAMES)
+
+    return rows.mapInArrow(work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def op2_fingerprint(spark, sf_dir: str) -> DataFrame:
