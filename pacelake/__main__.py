@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     dr.add_argument("--input", required=True, help="parquet with the 13 snake_case result columns")
     dr.add_argument("--landing", required=True)
     dr.add_argument("--name", required=True)
-    dr.add_argument("--keep-partitions", action="store_true", help="do not merge into one file")
+    dr.add_argument("--single-file", action="store_true", help="merge the batch into one file (small drops)")
     i = sub.add_parser("init")
     i.add_argument("--root", required=True)
     a = p.parse_args(argv)
@@ -85,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "drop":
         from pacelake.sources.sinks import drop_batch
 
-        out = drop_batch(spark.read.parquet(a.input), a.landing, a.name, single_file=not a.keep_partitions)
+        out = drop_batch(spark.read.parquet(a.input), a.landing, a.name, single_file=a.single_file)
         print(f"landed {out}")
     elif a.cmd == "init":
         from pacelake.sources.fs import mkdirs

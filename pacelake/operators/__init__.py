@@ -9,12 +9,11 @@ from pacelake.operators.metrics import (  # noqa: F401
     growth_over_prior,
     latest_by_key,
     lookup_label,
-    median,
     pct_where,
     round_half_up,
     running_best,
     share_pct,
-    small_enough_to_broadcast,
+    quantiles,
     top_k,
 )
 from pacelake.operators.quality import (  # noqa: F401

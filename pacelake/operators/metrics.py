@@ -11,8 +11,9 @@ operators. The shapes they are built for, and how they behave at scale:
   single window partition holds one row per year/bucket, not the raw rows;
 * top-k is ``orderBy + limit``, planned as TakeOrderedAndProject (per-task
   top-k then a k-row merge), with a deterministic tie-break;
-* medians use ``percentile_approx`` – a bounded mergeable sketch per group,
-  never a collected list of values.
+* quantiles are exact in two passes: a small mergeable sketch brackets the
+  rank, a second pass counts the rows outside the bracket and ranks the
+  distinct values inside it; the column itself never meets in one task.
 """
 
 from __future__ import annotations
@@ -24,11 +25,9 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Accuracy for percentile_approx: relative rank error is 1/accuracy, so at
-# 1e6 the answer is the exact discrete quantile for groups of up to a
-# million rows and within 1e-6 of the rank beyond that (sketch memory grows
-# with log(n)/accuracy, not with n).
-DEFAULT_PERCENTILE_ACCURACY = 1_000_000
+# Accuracy of the sketch that brackets a quantile: relative rank error at most
+# 1/accuracy, so a bracket holds about 4/accuracy of a group's rows.
+BRACKET_ACCURACY = 10_000
 
 
 def _c(c: ColumnLike) -> Column:
@@ -52,9 +51,52 @@ def pct_where(cond: Column, digits: int = 1) -> Column:
     )
 
 
-def median(c: ColumnLike, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> Column:
-    """Discrete median from a mergeable quantile sketch (``percentile_approx``)."""
-    return F.percentile_approx(_c(c), 0.5, accuracy)
+def quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    accuracy: int = BRACKET_ACCURACY,
+) -> DataFrame:
+    """Exact discrete quantiles of ``value`` per group, one row per group with
+    a non-NULL value: ``by`` columns, ``n`` and one column per name in ``probs``
+    (the smallest value with at least ``ceil(p * n)`` values up to it).
+
+    Pass 1: row count and, for every p, the sketch's values at p -/+ 2/accuracy;
+    the sketch's rank error is at most 1/accuracy, so they bracket the answer.
+    Pass 2: rows inside a bracket are counted per distinct value, all others
+    per nearest bracket end below them (both pre-reduced on every mapper);
+    running sums over these few rows per group give the ranks.
+    """
+    ps = sorted(set(probs.values()))
+    ends = [min(1.0, max(0.0, p + d)) for p in ps for d in (-2.0 / accuracy, 2.0 / accuracy)]
+    src = df.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(by)], F.lit(0).alias("_all"), F.col(value).alias("_v"))
+    src = src.filter(F.col("_v").isNotNull())
+    keys = [*(f"_g{i}" for i in range(len(by))), "_all"]
+    sketch = src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_e")
+    )
+    there = sketch.select(*[F.col(k).alias(f"{k}b") for k in keys], "_n", "_e")
+    same = [F.col(k).eqNullSafe(F.col(f"{k}b")) for k in keys]
+    rows = src.join(there, same)
+    v, e = F.col("_v"), F.col("_e")
+    inside = F.lit(False)
+    below = F.lit(None).cast(df.schema[value].dataType)
+    for i in range(len(ps)):
+        inside = inside | ((v >= e[2 * i]) & (v <= e[2 * i + 1]))
+        below = F.when(v > e[2 * i + 1], e[2 * i + 1]).otherwise(below)
+    counted = (
+        rows.groupBy(*keys, "_n", inside.alias("_in"), F.when(inside, v).otherwise(below).alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    # a bracket's values come before the rows counted at its upper end
+    order = Window.partitionBy(*keys).orderBy(F.col("_k").asc_nulls_first(), F.col("_in").desc())
+    ranked = counted.withColumn("_r", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    reach = lambda p: F.col("_in") & (F.col("_r") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)))
+    out = ranked.groupBy(*keys).agg(
+        F.max("_n").alias("n"), *[F.min(F.when(reach(p), F.col("_k"))).alias(name) for name, p in probs.items()]
+    )
+    return out.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(by)], "n", *probs)
 
 
 def bucket(c: ColumnLike, width: int) -> Column:
@@ -87,7 +129,9 @@ def latest_by_key(
     """
     o = _c(order)
     ordering = F.when(o.isNotNull(), F.struct(o, *[_c(t) for t in tie_break])) if tie_break else o
-    return df.groupBy(*keys).agg(*[F.max_by(v, ordering).alias(v) for v in values])
+    # one buffer for all values: the ordering is kept once
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), ordering).alias("_latest"))
+    return latest.select(*keys, *[F.col("_latest")[v].alias(v) for v in values])
 
 
 def growth_over_prior(
@@ -127,21 +171,19 @@ def debut_cohorts(
     period_name: str | None = None,
     new_name: str = "new_entities",
     cumulative_name: str = "cumulative_entities",
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Entities counted in the period of their first appearance, plus running total.
+    """Entities counted in the period of their first appearance, plus running
+    total, per ``partition_by`` group (an entity debuts once in each group).
 
     Two aggregations (min period per entity, then count per period); the
-    running sum runs over one row per period.
+    running sum runs over one row per group and period.
     """
     out = period_name or period
-    firsts = (
-        df.filter(F.col(period).isNotNull())
-        .groupBy(entity)
-        .agg(F.min(period).alias(out))
-    )
-    per = firsts.groupBy(out).agg(F.count(F.lit(1)).alias(new_name))
-    w = Window.orderBy(F.col(out)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return per.select(out, new_name, F.sum(new_name).over(w).cast("long").alias(cumulative_name))
+    firsts = df.filter(F.col(period).isNotNull()).groupBy(*partition_by, entity).agg(F.min(period).alias(out))
+    per = firsts.groupBy(*partition_by, out).agg(F.count(F.lit(1)).alias(new_name))
+    w = Window.partitionBy(*partition_by).orderBy(F.col(out)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return per.select(*partition_by, out, new_name, F.sum(new_name).over(w).cast("long").alias(cumulative_name))
 
 
 def running_best(
@@ -179,31 +221,26 @@ def bucket_counts(
 
 
 def band_label(c: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """CASE band: labels[i] for c < edges[i]; labels[-1] above the last edge."""
+    """CASE band: labels[i] for c < edges[i]; labels[-1] from the last edge on;
+    NULL for NULL."""
     x = _c(c)
-    expr = None
+    expr = F.when(x.isNull(), F.lit(None).cast("string"))
     for e, lab in zip(edges, labels):
-        expr = F.when(x < e, F.lit(lab)) if expr is None else expr.when(x < e, F.lit(lab))
+        expr = expr.when(x < e, F.lit(lab))
     return expr.otherwise(F.lit(labels[len(edges)]))
 
 
-def band_stats(
-    df: DataFrame,
-    band: Column,
-    value: str,
-    order_by: ColumnLike,
-    digits: int = 2,
-    accuracy: int = DEFAULT_PERCENTILE_ACCURACY,
-) -> DataFrame:
-    """Per band: count, mean and median of ``value``; rows ordered by min(order_by)."""
+def band_stats(df: DataFrame, band: Column, value: str, order_by: ColumnLike, digits: int = 2) -> DataFrame:
+    """Per band: count, mean and exact median of ``value``; rows ordered by
+    min(order_by)."""
+    rows = df.select(band.alias("band"), F.col(value).alias("_value"), _c(order_by).alias("_by"))
+    stats = rows.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("_value"), digits).alias("mean"), F.min("_by").alias("_order")
+    )
+    mid = quantiles(rows, ["band"], "_value", {"_median": 0.5}).select(F.col("band").alias("_band"), "_median")
     return (
-        df.groupBy(band.alias("band"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.round(F.avg(value), digits).alias("mean"),
-            F.round(median(value, accuracy), digits).alias("median"),
-            F.min(order_by).alias("_order"),
-        )
+        stats.join(mid, F.col("band").eqNullSafe(F.col("_band")), "left")
+        .select("band", "n", "mean", F.round("_median", digits).alias("median"), "_order")
         .orderBy("_order")
         .drop("_order")
     )
@@ -212,12 +249,9 @@ def band_stats(
 def distinct_per_group(
     df: DataFrame, group: Sequence[str], value: str, name: str = "n_distinct"
 ) -> DataFrame:
-    """Exact COUNT(DISTINCT value) per group (two-phase distinct aggregation)."""
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group)
-        .agg(F.count_distinct(value).alias(name))
-    )
+    """Exact COUNT(DISTINCT value) per group (two-phase distinct aggregation);
+    a group without a non-NULL value has 0."""
+    return df.groupBy(*group).agg(F.count_distinct(value).alias(name))
 
 
 def share_pct(
@@ -235,35 +269,13 @@ def share_pct(
     )
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_label(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    lookup_key: str,
-    label: str,
-    out: str,
-    max_broadcast_rows: int = 10_000,
-    known_rows: int | None = None,
-) -> DataFrame:
+def lookup_label(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, label: str, out: str) -> DataFrame:
     """Left-join a label from a lookup; unmatched keys fall back to the key text.
 
-    The lookup is broadcast only when it has at most ``max_broadcast_rows``
-    rows: ``known_rows`` when the caller built it from a fixed list, else a
-    bounded check (``limit(n + 1).count()``). A bigger lookup is joined
-    however AQE decides from its measured size (sort-merge beyond the
-    threshold).
+    No hint and no counting job: AQE broadcasts the lookup when its measured
+    size is under the session's threshold and sort-merge joins it otherwise.
     """
     lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(label).alias("_label"))
-    if max_broadcast_rows and (
-        known_rows <= max_broadcast_rows if known_rows is not None
-        else small_enough_to_broadcast(lk, max_broadcast_rows)
-    ):
-        lk = F.broadcast(lk)
     return (
         df.join(lk, F.col(key) == F.col("_lk"), "left")
         .withColumn(out, F.coalesce(F.col("_label"), F.col(key).cast("string")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pacelake.operators.metrics import DEFAULT_PERCENTILE_ACCURACY
+from pacelake.operators.metrics import quantiles
 
 c = F.col
 
@@ -33,11 +33,15 @@ def _json_object(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
 
-def _int_of(raw: Column) -> tuple[Column, Column]:
-    """(truncated int, is_numeric) of a JSON scalar given as text."""
-    d = F.trim(raw).try_cast("double")
-    ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(2.0**31))
-    return F.when(ok, d.cast("long")), ok
+# A number as Python's float() reads it: sign, digits with single underscores
+# between them, fraction, exponent, white space around. No Java suffix (1d, 1f).
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+NUMBER_TEXT = rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+
+
+def _number_of(raw: Column) -> Column:
+    """The number a JSON scalar's text stands for, as double; NULL if none."""
+    return F.when(raw.rlike(NUMBER_TEXT), F.regexp_replace(F.trim(raw), "_", "").try_cast("double"))
 
 
 # --- R1: JSON specs --------------------------------------------------------------
@@ -51,42 +55,42 @@ def validate_json_specs(
 ) -> DataFrame:
     """Parse a JSON object out of free text and check it.
 
-    Output: ``keep`` columns, one column per required key (ints for keys in
-    ``int_ranges``, strings otherwise) and ``reject_reason`` (NULL when the
-    row is accepted). Reasons: no JSON object, invalid JSON, missing keys,
-    non-numeric <key>, <key> out of range.
+    Output: ``keep`` columns, one column per required key (longs for keys in
+    ``int_ranges``, text otherwise, a JSON null as NULL) and ``reject_reason``
+    (NULL when the row is accepted). Reasons, first one wins: no JSON object
+    (also for a NULL text), invalid JSON (also text after the object, or single
+    quotes), missing keys, non-numeric <key>, <key> out of range (fractions are
+    cut off first). A check that cannot be decided counts as failed.
     """
     int_ranges = int_ranges or {}
-    obj = _json_object(c(text_col))
-    keys = F.json_object_keys(F.nullif(obj, F.lit("")))
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in required])
-    parsed = df.select(
-        *keep,
-        obj.alias("_obj"),
-        keys.alias("_keys"),
-        F.from_json(F.nullif(obj, F.lit("")), schema).alias("_j"),
-    )
-    missing = reduce(lambda a, b: a | b, [~F.array_contains(c("_keys"), k) for k in required])
+    obj = F.coalesce(_json_object(c(text_col)), F.lit(""))
+    # read as the only element of an array, the object must be the whole text; one parse gives keys and values
+    items = F.from_json(F.concat(F.lit("["), obj, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
+    parsed = df.select(*keep, obj.alias("_obj"), items.alias("_items"))
+    parsed = parsed.withColumn("_j", F.when(F.size("_items") == 1, c("_items")[0]))
+    missing = reduce(lambda a, b: a | b, [~F.map_contains_key("_j", F.lit(k)) for k in required])
     checks: list[tuple[Column, str]] = [
         (c("_obj") == "", "no JSON object"),
-        (c("_keys").isNull(), "invalid JSON"),
+        (c("_j").isNull(), "invalid JSON"),
         (missing, "missing keys"),
     ]
     values = {}
     for k in required:
-        raw = c(f"_j.{k}")
+        raw = F.try_element_at("_j", F.lit(k))
         if k in int_ranges:
             lo, hi = int_ranges[k]
-            v, ok = _int_of(raw)
-            checks.append((~ok, f"non-numeric {k}"))
-            checks.append((~v.between(lo, hi), f"{k} out of range"))
-            values[k] = v
+            number = _number_of(raw)
+            whole = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number))
+            checks.append((number.isNull(), f"non-numeric {k}"))
+            # compared as doubles: a number beyond any integer type is out of range like others
+            checks.append((~F.when(F.abs(number) < 2.0**53, whole.between(lo, hi)).otherwise(F.lit(False)), f"{k} out of range"))
+            values[k] = F.when(F.abs(number) < 2.0**63, whole).cast("long")
         else:
             values[k] = raw
     return parsed.select(
         *keep,
         *[v.alias(k) for k, v in values.items()],
-        _first_reason(checks).alias("reject_reason"),
+        _first_reason([(F.coalesce(failed, F.lit(True)), label) for failed, label in checks]).alias("reject_reason"),
     )
 
 
@@ -94,101 +98,103 @@ def validate_json_specs(
 EVENT_SPEC_KEYS = ["event_name", "country", "distance_km", "n_finishers"]
 EVENT_DISTANCE_RANGE = (50, 250)
 EVENT_FINISHERS_RANGE = (30, 300)
+CSV_BREAKERS = r"[,\"\r\n\t]+"
+COUNTRY_CODE = r"^[A-Z]{3}$"
+CODE_SUFFIX = r"(?U)\s*\([A-Z]{3}\)\s*$"
+NULL_NAME = "None"
 # -----------------------------------------------------------------------------------
 
+# (?U): white space in the Unicode sense
+_OUTER_SPACE = r"(?U)^\s+|\s+$"
+
 
 def validate_event_specs(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """Race event specs: name, 3-letter country code, distance 50-250 km,
-    30-300 finishers. The name loses CSV-breaking characters (comma, quote,
-    CR, LF, TAB), has whitespace squeezed, and ends with '(CODE)'."""
-    base = validate_json_specs(
+    30-300 finishers. The name loses what would break a CSV row (comma, quote,
+    CR, LF, TAB), has white space squeezed, and ends with '(CODE)'; a JSON null
+    as name is the text "None". Name and country are checked before the
+    numbers."""
+    specs = validate_json_specs(
         df,
         text_col,
         EVENT_SPEC_KEYS,
         {"distance_km": EVENT_DISTANCE_RANGE, "n_finishers": EVENT_FINISHERS_RANGE},
         keep=keep,
-    )
-    # (?U): whitespace in the Unicode sense, like a str.strip() / \s in Python
-    name = F.regexp_replace(c("event_name"), r"[,\"\r\n\t]+", " ")
-    name = F.regexp_replace(F.regexp_replace(name, r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")
-    country = F.upper(F.regexp_replace(c("country"), r"(?U)^\s+|\s+$", ""))
-    suffix = F.concat(F.lit("("), country, F.lit(")"))
-    stem = F.regexp_replace(F.regexp_replace(name, r"(?U)\s*\([A-Z]{3}\)\s*$", ""), r"(?U)^\s+|\s+$", "")
-    final_name = F.when(name.endswith(suffix), name).otherwise(F.concat(stem, F.lit(" "), suffix))
-    reason = c("reject_reason")
-    # name and country checks sit between "missing keys" and the numeric checks
-    early = reason.isin("no JSON object", "invalid JSON", "missing keys")
+    ).withColumnRenamed("reject_reason", "_found")
+    name = F.regexp_replace(F.coalesce("event_name", F.lit(NULL_NAME)), CSV_BREAKERS, " ")
+    name = F.regexp_replace(F.regexp_replace(name, r"(?U)\s+", " "), _OUTER_SPACE, "")
+    country = F.upper(F.regexp_replace("country", _OUTER_SPACE, ""))
+    named = specs.withColumns({"_name": name, "_code": country}).withColumn("_tail", F.concat(F.lit("("), "_code", F.lit(")")))
+    stem = F.regexp_replace(F.regexp_replace("_name", CODE_SUFFIX, ""), _OUTER_SPACE, "")
+    full = F.when(c("_name").endswith(c("_tail")), c("_name")).otherwise(F.concat_ws(" ", stem, "_tail"))
     reason = (
-        F.when(early, reason)
-        .when(name == "", F.lit("empty event_name"))
-        .when(~country.rlike(r"^[A-Z]{3}$"), F.lit("bad country code"))
-        .otherwise(reason)
+        F.when(c("_found").isin("no JSON object", "invalid JSON", "missing keys"), c("_found"))
+        .when(c("_name") == "", F.lit("empty event_name"))
+        .when(~F.coalesce(c("_code").rlike(COUNTRY_CODE), F.lit(False)), F.lit("bad country code"))
+        .otherwise(c("_found"))
     )
-    return base.select(
+    accepted = named.withColumn("reject_reason", reason).withColumn("_full", full)
+    ok = c("reject_reason").isNull()
+    return accepted.select(
         *keep,
-        F.when(reason.isNull(), final_name).alias("event_name"),
-        F.when(reason.isNull(), country).alias("country"),
-        F.when(reason.isNull(), c("distance_km")).alias("distance_km"),
-        F.when(reason.isNull(), c("n_finishers")).alias("n_finishers"),
-        reason.alias("reject_reason"),
+        F.when(ok, c("_full")).alias("event_name"),
+        F.when(ok, c("_code")).alias("country"),
+        F.when(ok, c("distance_km")).alias("distance_km"),
+        F.when(ok, c("n_finishers")).alias("n_finishers"),
+        "reject_reason",
     )
 
 
 # --- R2: star-schema audit ---------------------------------------------------------
 
-def _report(check: str, table: str, column: str, n: Column) -> list[Column]:
-    return [
-        F.lit(check).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        n.cast("long").alias("n_violations"),
-    ]
+def _columns(x: str | Sequence[str]) -> list[str]:
+    return [x] if isinstance(x, str) else list(x)
 
 
 def audit_star_schema(
     tables: dict[str, DataFrame],
-    primary_keys: dict[str, str],
+    primary_keys: dict[str, str | Sequence[str]],
     foreign_keys: Sequence[tuple[str, str, str, str]],
     not_null: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Report of key violations, one row per check.
 
-    primary_keys: table -> key column (violations = rows beyond the first
-        per key value, plus NULL keys).
+    primary_keys: table -> key column or columns (violations = rows beyond the
+        first per key value, plus rows with a NULL in the key).
     foreign_keys: (table, column, parent table, parent key); violations =
-        non-NULL child values with no parent row (left-anti join; the parent
-        side is the deduplicated key list).
+        non-NULL child values with no parent row.
     not_null: table -> columns that must not be NULL.
+
+    A table's key and NULL checks are one aggregation; all its foreign keys are
+    counted per value in one further scan (reduced on every mapper) and joined
+    with the parents' keys in one join.
     """
-    parts: list[DataFrame] = []
-    # primary-key and not-null checks of one table share one aggregation pass
+    report = "check_name string, table_name string, column_name string, n_violations long"
     not_null = not_null or {}
+    parts: list[DataFrame] = []
     for t in dict.fromkeys([*primary_keys, *not_null]):
-        df = tables[t]
         checks: list[tuple[str, str, Column]] = []
         if t in primary_keys:
-            k = primary_keys[t]
-            # rows - distinct non-NULL keys = duplicate copies + NULL keys
-            checks.append(("primary_key", k, F.count(F.lit(1)) - F.count_distinct(c(k))))
-        for x in not_null.get(t, []):
-            checks.append(("not_null", x, F.count_if(c(x).isNull())))
-        wide = df.agg(*[expr.alias(f"_n{i}") for i, (_, _, expr) in enumerate(checks)])
-        rows = F.array(
-            *[F.struct(*_report(kind, t, col, c(f"_n{i}"))) for i, (kind, col, _) in enumerate(checks)]
-        )
-        parts.append(wide.select(F.inline(rows)))
-    for t, col, parent, pk in foreign_keys:
-        # count child rows per key first (partial aggregation on every
-        # mapper), so the anti join moves one row per key, not per fact row
-        child = (
-            tables[t].select(c(col).alias("_k")).filter(c("_k").isNotNull())
-            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-        )
-        keys = tables[parent].select(c(pk).alias("_k")).distinct()
-        orphans = child.join(keys, "_k", "left_anti")
+            key = _columns(primary_keys[t])
+            # rows - distinct keys without NULL = further copies + rows with a NULL key
+            checks.append(("primary_key", ",".join(key), F.count(F.lit(1)) - F.count_distinct(*key)))
+        checks += [("not_null", x, F.count_if(c(x).isNull())) for x in not_null.get(t, [])]
+        wide = tables[t].agg(*[n.cast("long").alias(f"_n{i}") for i, (_, _, n) in enumerate(checks)])
+        rows = [F.struct(F.lit(k), F.lit(t), F.lit(col), c(f"_n{i}").alias("_n")) for i, (k, col, _) in enumerate(checks)]
+        parts.append(wide.select(F.inline(F.array(*rows)).alias("check_name", "table_name", "column_name", "n_violations")))
+    for t in dict.fromkeys(fk[0] for fk in foreign_keys):
+        mine = [(i, fk) for i, fk in enumerate(foreign_keys) if fk[0] == t]
+        values = [F.struct(F.lit(i).alias("_fk"), c(col).cast("string").alias("_k")) for i, (_, col, _, _) in mine]
+        child = tables[t].select(F.inline(F.array(*values))).filter("_k is not null").groupBy("_fk", "_k").agg(F.count(F.lit(1)).alias("_n"))
+        keys = reduce(DataFrame.union, [tables[p].select(F.lit(i).alias("_fk"), c(pk).cast("string").alias("_k")) for i, (_, _, p, pk) in mine]).distinct()
+        orphans = child.join(keys, ["_fk", "_k"], "left_anti").groupBy("_fk").agg(F.sum("_n").alias("_n"))
+        names = [(i, "foreign_key", t, f"{col}->{p}.{pk}") for i, (_, col, p, pk) in mine]
+        listed = tables[t].sparkSession.createDataFrame(names, "_fk int, check_name string, table_name string, column_name string")
         parts.append(
-            orphans.agg(*_report("foreign_key", t, f"{col}->{parent}.{pk}", F.coalesce(F.sum("_n"), F.lit(0))))
+            listed.join(orphans, "_fk", "left").select("check_name", "table_name", "column_name", F.coalesce("_n", F.lit(0)).cast("long").alias("n_violations"))
         )
+    if not parts:
+        raise ValueError("no check asked for")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -198,25 +204,25 @@ def compare_results(left: DataFrame, right: DataFrame, name_left: str = "left",
     """Rows present in one input and not the other (multiset semantics).
 
     Output: ``side`` plus the row's columns plus ``n`` = how many more copies
-    that side has. Empty when the inputs are equal as multisets.
+    that side has. Empty when the inputs are equal as multisets. Columns are
+    matched by name; a column that only one side has, or of another type, is
+    an error. One shuffle: copies count +1 and -1 and are summed per row,
+    pre-reduced on every mapper.
     """
+    kinds_left, kinds_right = dict(left.dtypes), dict(right.dtypes)
+    found = [
+        *(f"{x} only in {name_left}" for x in kinds_left if x not in kinds_right),
+        *(f"{x} only in {name_right}" for x in kinds_right if x not in kinds_left),
+        *(f"{x} is {t} in {name_left} and {kinds_right[x]} in {name_right}" for x, t in kinds_left.items() if kinds_right.get(x, t) != t),
+    ]
+    if found:
+        raise ValueError("the results differ in their columns: " + "; ".join(found))
     cols = left.columns
-    rn = {x: f"_r{i}" for i, x in enumerate(cols)}
-    lc = left.groupBy(*cols).agg(F.count(F.lit(1)).alias("_nl"))
-    rc = (
-        right.select(*[c(x).alias(rn[x]) for x in cols])
-        .groupBy(*rn.values())
-        .agg(F.count(F.lit(1)).alias("_nr"))
+    both = left.select(*cols, F.lit(1).cast("long").alias("_n")).union(right.select(*cols, F.lit(-1).cast("long").alias("_n")))
+    more = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return more.select(
+        F.when(c("_n") > 0, F.lit(name_left)).otherwise(F.lit(name_right)).alias("side"), *cols, F.abs("_n").alias("n")
     )
-    # null-safe full outer join on every column
-    cond = reduce(lambda a, b: a & b, [c(x).eqNullSafe(c(rn[x])) for x in cols])
-    j = lc.join(rc, cond, "full_outer")
-    diff = F.coalesce(c("_nl"), F.lit(0)) - F.coalesce(c("_nr"), F.lit(0))
-    return j.select(
-        F.when(diff > 0, F.lit(name_left)).otherwise(F.lit(name_right)).alias("side"),
-        *[F.coalesce(c(x), c(rn[x])).alias(x) for x in cols],
-        F.abs(diff).cast("long").alias("n"),
-    ).filter(c("n") > 0)
 
 
 # --- R5 / X1-X5: profiling -----------------------------------------------------------
@@ -234,67 +240,65 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.select([F.sum(c(x).isNull().cast("int")).cast("long").alias(x) for x in df.columns])
 
 
-def numeric_summary(
-    df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_PERCENTILE_ACCURACY
-) -> DataFrame:
-    """X2: count, mean, stddev, min, quartiles, max per column (one agg pass,
-    then one row per column)."""
-    aggs = []
-    for i, x in enumerate(cols):
-        v = c(x).cast("double")
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"sd{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
-            F.max(v).alias(f"max{i}"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(x).alias("column_name"),
-                c(f"n{i}").alias("count"),
-                c(f"mean{i}").alias("mean"),
-                c(f"sd{i}").alias("stddev"),
-                c(f"min{i}").alias("min"),
-                c(f"q{i}")[0].alias("p25"),
-                c(f"q{i}")[1].alias("p50"),
-                c(f"q{i}")[2].alias("p75"),
-                c(f"max{i}").alias("max"),
-            )
-            for i, x in enumerate(cols)
-        ]
-    )
-    return wide.select(F.inline(rows))
+def _long_form(df: DataFrame, values: dict[str, Column], kind: str) -> DataFrame:
+    """Rows (column_name, value), one per row of ``df`` and entry of ``values``."""
+    rows = [F.struct(F.lit(x).alias("column_name"), v.cast(kind).alias("value")) for x, v in values.items()]
+    return df.select(F.inline(F.array(*rows)))
+
+
+_QUARTERS = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """X2: count, mean, stddev, min, exact quartiles, max; a row per column."""
+    rows = _long_form(df, {x: c(x) for x in cols}, "double")
+    stats = rows.groupBy("column_name").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    quarters = quantiles(rows, ["column_name"], "value", _QUARTERS).drop("n")
+    return stats.join(quarters, "column_name", "left").select("column_name", "count", "mean", "stddev", "min", *_QUARTERS, "max")
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """R5: per column – type, rows, NULLs, and for numeric columns min, max,
-    mean; one aggregation pass over the table, then one row per column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    """R5, a row per column of any table: type, rows, NULLs, distinct values,
+    the most frequent value with its count (of equals the smallest), and
+
+    * numbers: min, max, mean, stddev, exact quartiles (as double);
+    * text, dates and other types: smallest and greatest value as text.
+
+    Values are counted per column and value first (reduced on every mapper);
+    distinct counts and the most frequent value follow from these counts.
+    """
     fields = df.schema.fields
-    for i, f in enumerate(fields):
-        x = c(f.name)
-        aggs.append(F.count_if(x.isNull()).alias(f"nulls{i}"))
-        if isinstance(f.dataType, _NUMERIC):
-            v = x.cast("double")
-            aggs += [F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"), F.avg(v).alias(f"mean{i}")]
-    wide = df.agg(*aggs)
-    dbl_null = F.lit(None).cast("double")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                c("_rows").alias("n_rows"),
-                c(f"nulls{i}").cast("long").alias("n_nulls"),
-                (c(f"min{i}") if isinstance(f.dataType, _NUMERIC) else dbl_null).alias("min"),
-                (c(f"max{i}") if isinstance(f.dataType, _NUMERIC) else dbl_null).alias("max"),
-                (c(f"mean{i}") if isinstance(f.dataType, _NUMERIC) else dbl_null).alias("mean"),
-            )
-            for i, f in enumerate(fields)
-        ]
+    numeric = [f.name for f in fields if isinstance(f.dataType, _NUMERIC)]
+    other = [f.name for f in fields if not isinstance(f.dataType, _NUMERIC)]
+    kinds = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "_at int, column_name string, data_type string")
+    nulls = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(c(f.name).isNull()).alias(f"_n{i}") for i, f in enumerate(fields)])
+    nulls = nulls.select("_rows", F.inline(F.array(*[F.struct(F.lit(f.name).alias("_c"), c(f"_n{i}").alias("n_nulls")) for i, f in enumerate(fields)])))
+    out = kinds.join(nulls.withColumnRenamed("_c", "column_name"), "column_name")
+    parts = []
+    for names, kind in ((numeric, "double"), (other, "string")):
+        if not names:
+            continue
+        rows = _long_form(df, {x: c(x) for x in names}, kind).filter("value is not null")
+        per_value = rows.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        top = F.min_by("value", F.struct(-c("_n"), c("value")))
+        found = per_value.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n_distinct"), F.max("_n").alias("top_count"), top.alias("_top"), F.min("value").alias("_min"), F.max("value").alias("_max")
+        )
+        null = F.lit(None)
+        if kind == "double":
+            stats = rows.groupBy("column_name").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"))
+            found = found.join(stats, "column_name").join(quantiles(rows, ["column_name"], "value", _QUARTERS).drop("n"), "column_name")
+            cols = [c("_min").alias("min"), c("_max").alias("max"), "mean", "stddev", *_QUARTERS, null.cast("string").alias("min_text"), null.cast("string").alias("max_text"), c("_top").alias("top_number"), null.cast("string").alias("top_text")]
+        else:
+            cols = [*[null.cast("double").alias(x) for x in ("min", "max", "mean", "stddev", *_QUARTERS)], c("_min").alias("min_text"), c("_max").alias("max_text"), null.cast("double").alias("top_number"), c("_top").alias("top_text")]
+        parts.append(found.select("column_name", "n_distinct", *cols, "top_count"))
+    stats = reduce(DataFrame.unionByName, parts)
+    return (
+        out.join(stats, "column_name", "left")
+        .select("_at", "column_name", "data_type", c("_rows").alias("n_rows"), "n_nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), *[x for x in stats.columns if x not in ("column_name", "n_distinct")])
+        .orderBy("_at")
+        .drop("_at")
     )
-    return wide.select(F.inline(rows))

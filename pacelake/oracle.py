@@ -41,7 +41,7 @@ SELECT cast(year(d) AS int) AS year_of_event,
             ELSE substr('ALGARGBRACANEGYETHFRAGERINDINAIRIIRQJPNJORKENMARMOZPERCHNROUKSAVIERUSGBRUSA', c_nationkey*3+1, 3) END AS athlete_country,
        cast(1840 + c_custkey % 200 AS double) AS athlete_year_of_birth,
        CASE c_custkey % 5 WHEN 1 THEN 'w ' WHEN 2 THEN 'F' WHEN 4 THEN 'X' ELSE 'M' END AS athlete_gender,
-       '' AS athlete_age_category, l_quantity * 1.2 AS athlete_average_speed, cast(c_custkey AS int) AS athlete_source_id
+       '' AS athlete_age_category, l_quantity * 1.2 AS athlete_average_speed, cast(c_custkey AS bigint) AS athlete_source_id
 FROM b)"""
 
 # Silver cleaning restated in DuckDB SQL (RE2 regexes; same patterns).
@@ -115,12 +115,12 @@ def R(expr: str, digits: int) -> str:
 
 
 def _country_values() -> str:
-    from pacelake.plans.countries import country_rows
+    from pacelake.plans.countries import COUNTRIES
 
     def q(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    return ",\n".join("(" + ", ".join(q(v) for v in row) + ")" for row in country_rows())
+    return ",\n".join("(" + ", ".join(q(v) for v in row) + ")" for row in COUNTRIES)
 
 
 GOLD = """
@@ -206,7 +206,7 @@ def _race_audit_body() -> str:
           ("fct_results", "fct", "date_id", "dim_date", "date_id"),
           ("dim_athlete", "dim_athlete", "athlete_country", "dim_country", "country_code")]
     nn = [("fct_results", "fct", "event_id"), ("fct_results", "fct", "athlete_id"),
-          ("fct_results", "fct", "date_id"), ("dim_event", "dim_event", "event_name")]
+          ("fct_results", "fct", "date_id"), ("dim_event", "dim_event", "event_name"), ("dim_date", "dim_date", "full_date")]
     parts = [
         f"SELECT 'primary_key' AS check_name, '{name}' AS table_name, '{k}' AS column_name,"
         f" cast(count(*) - count(DISTINCT {k}) AS bigint) AS n_violations FROM {cte}"
@@ -474,6 +474,11 @@ def eda_queries() -> dict[str, str]:
         "x6_age_buckets": feed_query(
             "SELECT cast(trunc(age / 5) AS int) * 5 AS age_bucket, count(*) AS n_results FROM ages GROUP BY 1", ages
         ),
+        "x8_hash_sample": feed_query(
+            "SELECT athlete_source_id, event_distance_length, athlete_performance FROM feed WHERE"
+            " cast(('0x' || substr(md5(concat_ws('|', cast(athlete_source_id AS varchar), event_name, athlete_performance)), 1, 7)) AS bigint)"
+            " % 10000 < 100"
+        ),
         "x7_top_countries_raw": feed_query(
             "SELECT athlete_country, count(*) AS n_results FROM feed GROUP BY athlete_country"
             " ORDER BY n_results DESC, athlete_country NULLS FIRST LIMIT 25"
@@ -503,16 +508,17 @@ def _date_dim_select(d: str) -> str:
 
 
 def _audit_sql() -> str:
-    pk = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey"),
-          ("part", "p_partkey"), ("supplier", "s_suppkey")]
+    pk = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey"), ("region", "r_regionkey"),
+          ("part", "p_partkey"), ("supplier", "s_suppkey"), ("lineitem", "l_orderkey,l_linenumber")]
     fk = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
           ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("orders", "o_custkey", "customer", "c_custkey"),
-          ("customer", "c_nationkey", "nation", "n_nationkey")]
+          ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+          ("nation", "n_regionkey", "region", "r_regionkey")]
     nn = [("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("lineitem", "l_shipdate"),
           ("orders", "o_custkey"), ("orders", "o_orderdate")]
     parts = [
         f"SELECT 'primary_key' AS check_name, '{t}' AS table_name, '{k}' AS column_name,"
-        f" cast(count(*) - count(DISTINCT {k}) AS bigint) AS n_violations FROM {t}"
+        f" cast(count(*) - count(DISTINCT ({k})) FILTER (WHERE {' AND '.join(x + ' IS NOT NULL' for x in k.split(','))}) AS bigint) AS n_violations FROM {t}"
         for t, k in pk
     ]
     parts += [
@@ -528,20 +534,31 @@ def _audit_sql() -> str:
 
 
 def _profile_sql() -> str:
-    parts = []
-    for col, typ in LINEITEM_TYPES:
+    ctes, parts = [], []
+    null = "cast(NULL AS {}) AS {}".format
+    for i, (col, typ) in enumerate(LINEITEM_TYPES):
         num = typ in _NUMERIC_TYPES
-        stats = (
-            f"min(cast({col} AS double)), max(cast({col} AS double)), avg(cast({col} AS double))"
-            if num
-            else "cast(NULL AS double), cast(NULL AS double), cast(NULL AS double)"
-        )
+        value = f"cast({col} AS double)" if num else f"strftime({col}, '%Y-%m-%d %H:%M:%S')" if typ.startswith("timestamp") else col
+        ctes.append(f"v{i} AS (SELECT {value} AS v FROM lineitem)")
+        ctes.append(f"t{i} AS (SELECT v, count(*) AS n FROM v{i} WHERE v IS NOT NULL GROUP BY v)")
+        top = f"(SELECT v FROM t{i} ORDER BY n DESC, v LIMIT 1)"
+        if num:
+            stats = (
+                f"min(v) AS min, max(v) AS max, avg(v) AS mean, stddev_samp(v) AS stddev, "
+                + ", ".join(f"({pct_disc(f'v{i}', 'v', q)}) AS {n}" for n, q in [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)])
+                + f", {null('varchar', 'min_text')}, {null('varchar', 'max_text')}, {top} AS top_number, {null('varchar', 'top_text')}"
+            )
+        else:
+            stats = (
+                ", ".join(null("double", x) for x in ("min", "max", "mean", "stddev", "p25", "p50", "p75"))
+                + f", min(v) AS min_text, max(v) AS max_text, {null('double', 'top_number')}, {top} AS top_text"
+            )
         parts.append(
             f"SELECT '{col}' AS column_name, '{typ}' AS data_type, count(*) AS n_rows,"
-            f" cast(count(*) FILTER (WHERE {col} IS NULL) AS bigint) AS n_nulls, {stats} FROM lineitem"
+            f" cast(count(*) FILTER (WHERE v IS NULL) AS bigint) AS n_nulls, count(DISTINCT v) AS n_distinct, {stats},"
+            f" (SELECT max(n) FROM t{i}) AS top_count FROM v{i}"
         )
-    body = " UNION ALL ".join(parts)
-    return f"SELECT column_name, data_type, n_rows, n_nulls, c5 AS min, c6 AS max, c7 AS mean FROM ({body}) AS t(column_name, data_type, n_rows, n_nulls, c5, c6, c7)"
+    return with_ctes(*ctes, body=" UNION ALL ".join(parts))
 
 
 def _compare_sql() -> str:
@@ -564,7 +581,7 @@ def _events_sql() -> str:
         " j AS (SELECT event_id, obj, CASE WHEN obj <> '' AND json_valid(obj) THEN json_keys(obj) END AS keys,"
         " CASE WHEN obj <> '' AND json_valid(obj) THEN try_cast(trim(json_extract_string(obj, '$.k')) AS double) END AS d"
         " FROM p),"
-        " v AS (SELECT *, d IS NOT NULL AND NOT isnan(d) AND abs(d) < 2147483648.0 AS ok FROM j)"
+        " v AS (SELECT *, d IS NOT NULL AND NOT isnan(d) AS ok FROM j)"
         " SELECT event_id, CASE WHEN ok THEN cast(trunc(d) AS bigint) END AS k,"
         " CASE WHEN obj = '' THEN 'no JSON object' WHEN keys IS NULL THEN 'invalid JSON'"
         " WHEN NOT list_contains(keys, 'k') THEN 'missing keys' WHEN NOT ok THEN 'non-numeric k'"
@@ -572,6 +589,51 @@ def _events_sql() -> str:
     )
 
 
+def _event_specs_sql() -> str:
+    good = (
+        """'{"event_name": "' || upper(c_mktsegment) || ' Trail, ' || c_custkey || '", "country": " n' || substr(n_name, 2, 2)"""
+        """ || '", "distance_km": ' || (c_custkey % 300) || ', "n_finishers": "' || (c_custkey % 400) || '.9"}'"""
+    )
+    number = r"'\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*'"
+    return f"""WITH g AS (SELECT c_custkey, {good} AS good FROM customer JOIN nation ON c_nationkey = n_nationkey),
+t AS (SELECT c_custkey, CASE c_custkey % 12 WHEN 0 THEN good WHEN 1 THEN 'Here it is: ' || good || ' Enjoy'
+  WHEN 2 THEN replace(good, '"country"', '"land"') WHEN 3 THEN regexp_replace(good, '"country": "[^"]*"', '"country": null')
+  WHEN 4 THEN regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": "100d"') WHEN 5 THEN good || ' trailing }}'
+  WHEN 6 THEN good || ' {{"a": 1}}' WHEN 7 THEN replace(good, '"', chr(39)) WHEN 8 THEN 'no object here'
+  WHEN 9 THEN regexp_replace(good, '"event_name": "[^"]*"', '"event_name": null')
+  WHEN 10 THEN regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": 1e12') END AS txt FROM g),
+o AS (SELECT c_custkey, coalesce(regexp_extract(txt, '(?s)\\{{.*\\}}', 0), '') AS obj FROM t),
+j AS (SELECT c_custkey, obj, CASE WHEN obj <> '' AND json_valid(obj) THEN obj END AS doc FROM o),
+f AS (SELECT c_custkey, obj, doc, json_keys(doc) AS keys,
+  trim(regexp_replace(replace(coalesce(json_extract_string(doc, '$.event_name'), 'None'), ',', ' '), ' +', ' ', 'g')) AS name,
+  upper(trim(json_extract_string(doc, '$.country'))) AS code,
+  json_extract_string(doc, '$.distance_km') AS km_text, json_extract_string(doc, '$.n_finishers') AS n_text FROM j),
+n AS (SELECT *, CASE WHEN regexp_full_match(km_text, {number}) THEN trunc(cast(trim(km_text) AS double)) END AS km,
+  CASE WHEN regexp_full_match(n_text, {number}) THEN trunc(cast(trim(n_text) AS double)) END AS fin FROM f),
+r AS (SELECT *, CASE WHEN obj = '' THEN 'no JSON object' WHEN doc IS NULL THEN 'invalid JSON'
+  WHEN NOT list_has_all(keys, ['event_name', 'country', 'distance_km', 'n_finishers']) THEN 'missing keys'
+  WHEN name = '' THEN 'empty event_name' WHEN code IS NULL OR NOT regexp_full_match(code, '[A-Z]{{3}}') THEN 'bad country code'
+  WHEN km IS NULL THEN 'non-numeric distance_km' WHEN km NOT BETWEEN 50 AND 250 THEN 'distance_km out of range'
+  WHEN fin IS NULL THEN 'non-numeric n_finishers' WHEN fin NOT BETWEEN 30 AND 300 THEN 'n_finishers out of range' END AS reason FROM n)
+SELECT c_custkey, CASE WHEN reason IS NULL THEN name || ' (' || code || ')' END AS event_name,
+  CASE WHEN reason IS NULL THEN code END AS country, CASE WHEN reason IS NULL THEN cast(km AS bigint) END AS distance_km,
+  CASE WHEN reason IS NULL THEN cast(fin AS bigint) END AS n_finishers, reason AS reject_reason FROM r"""
+
+
+def ingest_queries() -> dict[str, str]:
+    folder = "CASE WHEN year_of_event <= 1996 THEN 'historical' ELSE 'simulated' END"
+    return {
+        "stream_batch_compare": race("SELECT '' AS side, *, cast(0 AS bigint) AS n FROM silver WHERE false"),
+        "stream_bronze_lineage": feed_query(
+            f"SELECT {folder} AS landing_folder, year_of_event, count(*) AS n_rows FROM feed GROUP BY 1, 2"
+        ),
+        "landed_text_profile": feed_query(
+            f"SELECT {folder} AS landing_folder, count(*) AS n_rows, {len(FEED_COLUMNS)} AS n_columns,"
+            " count(DISTINCT nullif(upper(trim(athlete_country)), '')) AS n_countries FROM feed GROUP BY 1"
+        ),
+    }
+
+
 def base_queries() -> dict[str, str]:
     return {
         "orders_yoy_growth": (
@@ -614,7 +676,7 @@ def base_queries() -> dict[str, str]:
             "SELECT cast(floor(p_size / 5) * 5 AS bigint) AS size_bucket, count(*) AS n_parts FROM part GROUP BY 1"
         ),
         "quantity_band_price": with_ctes(
-            "x AS (SELECT CASE WHEN l_quantity < 10 THEN '1-9' WHEN l_quantity < 25 THEN '10-24'"
+            "x AS (SELECT CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN '1-9' WHEN l_quantity < 25 THEN '10-24'"
             " WHEN l_quantity < 40 THEN '25-39' ELSE '40+' END AS quantity_band, l_quantity, l_extendedprice FROM lineitem)",
             body=(
                 f"SELECT b.quantity_band, b.n_lines, b.avg_price, {R('m.q', 2)} AS median_price FROM"
@@ -629,6 +691,12 @@ def base_queries() -> dict[str, str]:
             " AS order_hash, sha256(coalesce(cast(o_custkey AS varchar), '')) AS customer_hash FROM orders"
         ),
         "events_props_validated": _events_sql(),
+        "event_specs_validated": _event_specs_sql(),
+        "segment_debut_cohorts": (
+            f"WITH f AS (SELECT c_mktsegment, o_custkey, min({OYEAR}) AS o_year FROM orders JOIN customer ON o_custkey = c_custkey"
+            " WHERE o_orderdate IS NOT NULL GROUP BY 1, 2) SELECT c_mktsegment, o_year, count(*) AS new_customers,"
+            " cast(sum(count(*)) OVER (PARTITION BY c_mktsegment ORDER BY o_year) AS bigint) AS cumulative_customers FROM f GROUP BY 1, 2"
+        ),
         "tpch_star_audit": _audit_sql(),
         "orders_compare": _compare_sql(),
         "lineitem_profile": _profile_sql(),
@@ -636,4 +704,4 @@ def base_queries() -> dict[str, str]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {**race_queries(), **eda_queries(), **base_queries()}
+    return {**race_queries(), **ingest_queries(), **eda_queries(), **base_queries()}

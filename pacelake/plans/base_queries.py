@@ -29,6 +29,7 @@ from pacelake.operators.quality import (
     audit_star_schema,
     compare_results,
     profile_table,
+    validate_event_specs,
     validate_json_specs,
 )
 from pacelake.plans.model import dim_date
@@ -80,15 +81,12 @@ def orders_date_dim(spark: SparkSession, base: str) -> DataFrame:
 
 
 def nation_customer_top(spark: SparkSession, base: str, k: int = 10) -> DataFrame:
-    labelled = lookup_label(
-        read_table(spark, base, "customer"), read_table(spark, base, "nation"),
-        "c_nationkey", "n_nationkey", "n_name", "nation",
-    )
-    g = labelled.groupBy("nation", "c_nationkey").agg(
+    per_nation = read_table(spark, base, "customer").groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("n_customers"),
         F.round(F.avg("c_acctbal"), 2).alias("avg_acctbal"),
     )
-    return top_k(g, k, [c("n_customers").desc()], ["c_nationkey"])
+    labelled = lookup_label(per_nation, read_table(spark, base, "nation"), "c_nationkey", "n_nationkey", "n_name", "nation")
+    return top_k(labelled, k, [c("n_customers").desc()], ["c_nationkey"]).select("nation", "c_nationkey", "n_customers", "avg_acctbal")
 
 
 def nations_per_year(spark: SparkSession, base: str) -> DataFrame:
@@ -135,18 +133,63 @@ def events_props_validated(spark: SparkSession, base: str) -> DataFrame:
     return validate_json_specs(ev, "props", ["k"], {"k": EVENT_K_RANGE}, keep=["event_id"])
 
 
+def spec_texts(spark: SparkSession, base: str) -> DataFrame:
+    """(c_custkey, spec): race event specs as free text, one per customer, in
+    twelve kinds of right and wrong ones."""
+    rows = read_table(spark, base, "customer").join(read_table(spark, base, "nation"), c("c_nationkey") == c("n_nationkey"))
+    key = c("c_custkey")
+    name = F.concat_ws(" ", F.upper("c_mktsegment"), F.lit("Trail,"), key.cast("string"))
+    code = F.concat(F.lit(" n"), F.substring("n_name", 2, 2))
+    km, runners = (key % 300).cast("string"), (key % 400).cast("string")
+    good = F.format_string('{"event_name": "%s", "country": "%s", "distance_km": %s, "n_finishers": "%s.9"}', name, code, km, runners)
+    kinds = [
+        good,
+        F.concat(F.lit("Here it is:\n```json\n"), good, F.lit("\n``` Enjoy")),
+        F.regexp_replace(good, '"country"', '"land"'),
+        F.regexp_replace(good, '"country": "[^"]*"', '"country": null'),
+        F.regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": "100d"'),
+        F.concat(good, F.lit(" trailing }")),
+        F.concat(good, F.lit(' {"a": 1}')),
+        F.regexp_replace(good, '"', "'"),
+        F.lit("no object here"),
+        F.regexp_replace(good, '"event_name": "[^"]*"', '"event_name": null'),
+        F.regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": 1e12'),
+        F.lit(None).cast("string"),
+    ]
+    spec = F.lit(None).cast("string")
+    for i, kind in enumerate(kinds):
+        spec = F.when(key % len(kinds) == i, kind).otherwise(spec)
+    return rows.select("c_custkey", spec.alias("spec"))
+
+
+def event_specs_validated(spark: SparkSession, base: str) -> DataFrame:
+    return validate_event_specs(spec_texts(spark, base), "spec", keep=["c_custkey"])
+
+
+def segment_debut_cohorts(spark: SparkSession, base: str) -> DataFrame:
+    """Customers by the year of their first order, with a running total, per market segment."""
+    cu = read_table(spark, base, "customer").select("c_custkey", "c_mktsegment")
+    o = _orders_by_year(spark, base).select("o_custkey", "o_year").join(cu, c("o_custkey") == c("c_custkey"))
+    return debut_cohorts(
+        o, "o_custkey", "o_year", new_name="new_customers", cumulative_name="cumulative_customers", partition_by=["c_mktsegment"]
+    ).orderBy("c_mktsegment", "o_year")
+
+
 def tpch_star_audit(spark: SparkSession, base: str) -> DataFrame:
-    t = {n: read_table(spark, base, n) for n in ["lineitem", "orders", "customer", "nation", "part", "supplier"]}
+    t = {n: read_table(spark, base, n) for n in ["lineitem", "orders", "customer", "nation", "region", "part", "supplier"]}
     return audit_star_schema(
         t,
         primary_keys={"orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey",
-                      "part": "p_partkey", "supplier": "s_suppkey"},
+                      "region": "r_regionkey", "part": "p_partkey", "supplier": "s_suppkey",
+                      "lineitem": ["l_orderkey", "l_linenumber"]},
         foreign_keys=[
             ("lineitem", "l_orderkey", "orders", "o_orderkey"),
             ("lineitem", "l_partkey", "part", "p_partkey"),
             ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
             ("orders", "o_custkey", "customer", "c_custkey"),
             ("customer", "c_nationkey", "nation", "n_nationkey"),
+            ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"),
         ],
         not_null={"lineitem": ["l_orderkey", "l_partkey", "l_shipdate"], "orders": ["o_custkey", "o_orderdate"]},
     )

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacelake.operators.quality import compare_results
 from pacelake.plans import base_queries as bq
 from pacelake.plans import dashboard as d
 from pacelake.plans import eda
 from pacelake.plans.lake import lake_for
-from pacelake.streaming.replay import replayed_lake
+from pacelake.streaming.replay import landed_text_profile, replayed_lake, stream_bronze_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,18 @@ RACE_QUERIES: dict[str, Query] = {
 }
 
 
+def stream_batch_compare(spark: SparkSession, base: str) -> DataFrame:
+    """Silver of the batch build against silver of the streamed files: no row."""
+    return compare_results(lake_for(spark, base).table("silver"), replayed_lake(spark, base).table("silver"), "batch", "stream")
+
+
+INGEST_QUERIES: dict[str, Query] = {
+    "stream_batch_compare": stream_batch_compare,
+    "stream_bronze_lineage": stream_bronze_lineage,
+    "landed_text_profile": landed_text_profile,
+}
+
+
 EDA_QUERIES: dict[str, Query] = {
     "x1_shape": _on_lake(eda.x1_shape),
     "x2_numeric_summary": _on_lake(eda.x2_numeric_summary),
@@ -89,6 +102,7 @@ EDA_QUERIES: dict[str, Query] = {
     "x6_age_buckets": _on_lake(eda.x6_age_buckets),
     "x7_top_countries_raw": _on_lake(eda.x7_top_countries_raw),
     "x8_sample_pairs": _on_lake(eda.x8_sample_pairs),
+    "x8_hash_sample": _on_lake(eda.x8_hash_sample),
 }
 
 BASE_QUERIES: dict[str, Query] = {
@@ -104,6 +118,8 @@ BASE_QUERIES: dict[str, Query] = {
     "quantity_band_price": bq.quantity_band_price,
     "orders_hash_keys": bq.orders_hash_keys,
     "events_props_validated": bq.events_props_validated,
+    "event_specs_validated": bq.event_specs_validated,
+    "segment_debut_cohorts": bq.segment_debut_cohorts,
     "tpch_star_audit": bq.tpch_star_audit,
     "orders_compare": bq.orders_compare,
     "lineitem_profile": bq.lineitem_profile,
@@ -111,4 +127,4 @@ BASE_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**RACE_QUERIES, **EDA_QUERIES, **BASE_QUERIES}
+    return {**RACE_QUERIES, **INGEST_QUERIES, **EDA_QUERIES, **BASE_QUERIES}

@@ -22,12 +22,11 @@ from pacelake.operators.metrics import (
     distinct_per_group,
     growth_over_prior,
     lookup_label,
-    median,
     pct_where,
+    quantiles,
     running_best,
     top_k,
 )
-from pacelake.plans.countries import country_rows
 from pacelake.plans.lake import Lake
 
 c = F.col
@@ -51,11 +50,7 @@ def _km100(df: DataFrame) -> DataFrame:
 
 
 def _with_country_name(df: DataFrame, lake: Lake, out: str = "country") -> DataFrame:
-    # the lookup is built from the fixed list, so its size is known without a job
-    return lookup_label(
-        df, lake.countries(), "athlete_country", "country_code", "country_name", out,
-        known_rows=len(country_rows()),
-    )
+    return lookup_label(df, lake.countries(), "athlete_country", "country_code", "country_name", out)
 
 
 # --- Section A: headline counters --------------------------------------------
@@ -82,7 +77,9 @@ def a4_countries_represented(lake: Lake) -> DataFrame:
 
 def a5_median_100k_hours(lake: Lake) -> DataFrame:
     r = _km100(lake.enriched().filter(c("event_type") == "distance"))
-    return r.agg(F.round(_hours(median("performance_time_seconds")), 2).alias("median_100k_finish_hours"))
+    mid = quantiles(r, [], "performance_time_seconds", {"mid": 0.5})
+    # a row even if no result matches
+    return mid.agg(F.round(_hours(F.max("mid")), 2).alias("median_100k_finish_hours"))
 
 
 def a6_female_participation(lake: Lake) -> DataFrame:
@@ -155,7 +152,7 @@ def c1_top_countries(lake: Lake) -> DataFrame:
 
 def c2_country_diversity(lake: Lake) -> DataFrame:
     return distinct_per_group(
-        lake.enriched(), ["event_year"], "athlete_country", "countries_represented"
+        lake.enriched().filter(c("athlete_country").isNotNull()), ["event_year"], "athlete_country", "countries_represented"
     ).orderBy(c("event_year").asc_nulls_first())
 
 
@@ -225,7 +222,7 @@ def e1_distance_band_mix(lake: Lake) -> DataFrame:
     order = (
         F.when(km < 60, 1).when(km < 110, 2).when(km < 170, 3).when(km.isNotNull(), 4).otherwise(99)
     )
-    label = F.when(km.isNotNull(), band_label(km, DIST_BAND_EDGES, DIST_BAND_LABELS_E1))
+    label = band_label(km, DIST_BAND_EDGES, DIST_BAND_LABELS_E1)
     return (
         _distance_rows(lake)
         .groupBy(label.alias("distance_band"), order.alias("band_order"))
@@ -438,5 +435,9 @@ def race_star_audit(lake: Lake) -> DataFrame:
             ("fct_results", "date_id", "dim_date", "date_id"),
             ("dim_athlete", "athlete_country", "dim_country", "country_code"),
         ],
-        not_null={"fct_results": ["event_id", "athlete_id", "date_id"], "dim_event": ["event_name"]},
+        not_null={
+            "fct_results": ["event_id", "athlete_id", "date_id"],
+            "dim_event": ["event_name"],
+            "dim_date": ["full_date"],
+        },
     )

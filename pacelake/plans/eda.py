@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacelake.operators.metrics import DEFAULT_PERCENTILE_ACCURACY, top_k
+from pacelake.operators.metrics import quantiles, top_k
 from pacelake.operators.quality import null_counts, numeric_summary, shape
 from pacelake.plans.lake import Lake
 from pacelake.schema import BRONZE_COLUMNS
@@ -20,7 +20,7 @@ NUMERIC_COLUMNS = [
     "athlete_average_speed",
     "athlete_source_id",
 ]
-AGE_PERCENTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
+AGE_PERCENTILES = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 SAMPLE_FRACTION, SAMPLE_SEED, SAMPLE_ROWS = 0.0001, 42, 30
 # ------------------------------------------------------------------------------
 
@@ -58,9 +58,7 @@ def x4_top_events(lake: Lake, k: int = 20) -> DataFrame:
 
 
 def x5_age_percentiles(lake: Lake) -> DataFrame:
-    q = F.percentile_approx("age", AGE_PERCENTILES, DEFAULT_PERCENTILE_ACCURACY)
-    names = ["p05", "p25", "p50", "p75", "p95"]
-    return _ages(lake).agg(q.alias("q")).select(*[c("q")[i].alias(n) for i, n in enumerate(names)])
+    return quantiles(_ages(lake), [], "age", AGE_PERCENTILES).drop("n")
 
 
 def x6_age_buckets(lake: Lake) -> DataFrame:
@@ -73,6 +71,18 @@ def x7_top_countries_raw(lake: Lake, k: int = 25) -> DataFrame:
     return top_k(g, k, [c("n_results").desc()], ["athlete_country"])
 
 
+HASH_SAMPLE_BUCKETS = 10_000
+
+
+def x8_hash_sample(lake: Lake, keep: int = 100) -> DataFrame:
+    """Repeatable sample: rows whose athlete and performance hash (md5, the
+    first seven hex digits) falls into the first ``keep`` of 10,000 buckets.
+    The decision depends on the row alone, so any engine picks the same rows."""
+    text = F.concat_ws("|", c("athlete_source_id").cast("string"), "event_name", "athlete_performance")
+    bucket = F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long") % HASH_SAMPLE_BUCKETS
+    return _raw(lake).filter(bucket < keep).select("athlete_source_id", "event_distance_length", "athlete_performance")
+
+
 def x8_sample_pairs(lake: Lake) -> DataFrame:
     """Bernoulli sample of (length, performance) text pairs; the sample and
     the row cap are the feature (a quick look at raw formats)."""

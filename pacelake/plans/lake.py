@@ -34,14 +34,7 @@ from pacelake.sources.tables import table_path
 # Fixed as-of year for reproducible silver (the birth-year check depends on it).
 AS_OF_YEAR = 2026
 
-GOLD_VIEWS = [
-    "vw_distance_top_events",
-    "vw_distance_gender_split",
-    "vw_distance_country_leaderboard",
-    "vw_time_top_events",
-    "vw_time_country_leaderboard",
-    "vw_time_yearly_progression",
-]
+GOLD_VIEWS = [name for names in views.VIEW_KEYS.values() for name in names]
 
 
 def _view_builders(t: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
@@ -50,12 +43,7 @@ def _view_builders(t: Callable[[str], DataFrame]) -> dict[str, Callable[[], Data
         "vw_results_enriched": lambda: views.results_enriched(
             t("fct_results"), t("dim_event"), t("dim_athlete"), t("dim_date")
         ),
-        "vw_distance_top_events": lambda: views.distance_top_events(e()),
-        "vw_distance_gender_split": lambda: views.distance_gender_split(e()),
-        "vw_distance_country_leaderboard": lambda: views.distance_country_leaderboard(e()),
-        "vw_time_top_events": lambda: views.time_top_events(e()),
-        "vw_time_country_leaderboard": lambda: views.time_country_leaderboard(e()),
-        "vw_time_yearly_progression": lambda: views.time_yearly_progression(e()),
+        **{name: (lambda n: lambda: views.serving_view(e(), n))(name) for name in GOLD_VIEWS},
     }
 
 
@@ -218,15 +206,15 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2, stamp: s
         f"{out}/vw_results_enriched",
         partition_by=ENRICHED_PARTITION,
     )
-    # the six serving views from one scan of the stored enriched view
-    parts, cached = views.serving_views(t("vw_results_enriched"))
-    try:
-        for name in GOLD_VIEWS:
-            _write(parts[name], f"{out}/{name}")
-    finally:
-        cached.unpersist()
+    # per event type one aggregation, written once: its views read the few groups
+    for event_type, names in views.VIEW_KEYS.items():
+        groups_path = f"{out}/_groups_{event_type}"
+        _write(views.view_groups(t("vw_results_enriched"), event_type), groups_path)
+        groups = spark.read.parquet(groups_path)
+        for name in names:
+            _write(views.view_of(groups, event_type, name), f"{out}/{name}")
     publish_version(spark, root, version, stamp)
-    prune_versions(spark, f"{root}/mv", keep=keep_versions)
+    prune_versions(spark, root, f"{root}/mv", keep=keep_versions)
     return version
 
 
@@ -291,6 +279,20 @@ def reuse_or_build(spark: SparkSession, kind: str, inputs: list[str], params: st
     return lake
 
 
+def drop_builds(spark: SparkSession, kind: str, keep: set[str]) -> list[str]:
+    """Delete the stored builds of a kind (and their pointers) whose folders are
+    not in ``keep``: every change of inputs or code leaves a build behind. To be
+    called when no reader uses the others. Returns the folders deleted."""
+    top, gone = f"{shared_root(spark)}/pacelake/{kind}", []
+    for key in fs.list_dirs(spark, top):
+        root = fs.read_small_text(spark, f"{top}/{key}/_LAKE")
+        if root and root not in keep:
+            fs.delete(spark, f"{top}/{key}")
+            fs.delete(spark, root)
+            gone.append(root)
+    return gone
+
+
 def lake_for(spark: SparkSession, base_dir: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
     """The stored lake for ``base_dir``, built once and reused while the input
     files and the code are unchanged.

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pacelake.functions.parsing import hash_key
 from pacelake.operators.metrics import latest_by_key
 from pacelake.schema import FACT_COLUMNS
 
@@ -39,7 +40,12 @@ def dim_event(silver: DataFrame) -> DataFrame:
     attributes may come from different lengths (string max of the text,
     'time' > 'distance'); that is the documented grain.
     """
-    return silver.groupBy("event_id", "event_name").agg(
+    attributes = ["event_type", "event_distance_length", "event_distance_km", "event_duration_hours", "event_number_of_finishers"]
+    # rows are first reduced to the distinct attribute rows of an event by a
+    # hash aggregate (a count keeps it apart from the one that follows); the
+    # string maxima, which need a sort, only see those few
+    shapes = silver.groupBy("event_id", "event_name", *attributes).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
+    return shapes.groupBy("event_id", "event_name").agg(
         F.max("event_type").alias("event_type"),
         F.max("event_distance_length").alias("event_distance_length"),
         F.max("event_distance_km").alias("event_distance_km"),
@@ -50,13 +56,22 @@ def dim_event(silver: DataFrame) -> DataFrame:
 
 def dim_athlete(silver: DataFrame) -> DataFrame:
     """Latest known attributes per athlete (by year, then start date, then result id)."""
-    return latest_by_key(
+    # grouped by the short source id; the hash key is a function of it
+    latest = latest_by_key(
         silver,
-        keys=["athlete_id", "athlete_source_id"],
+        keys=["athlete_source_id"],
         values=["athlete_country", "athlete_club", "athlete_gender", "athlete_year_of_birth"],
         order="year_of_event",
         tie_break=["event_start_date", "result_id"],
     )
+    return latest.select(
+        hash_key("athlete_source_id").alias("athlete_id"),
+        "athlete_source_id",
+        "athlete_country",
+        "athlete_club",
+        "athlete_gender",
+        "athlete_year_of_birth",
+    )
 
 
 def dim_date(dates: DataFrame, date_col: str = "event_start_date") -> DataFrame:

@@ -29,183 +29,89 @@ def _hours(c):
     return c / F.lit(3600.0)
 
 
-# The six serving views below are aggregations of the enriched view. Every
-# fact row has its event and athlete rows (all dimensions are rebuilt from
-# the same silver table the facts stream from), so grouping the stored
-# enriched rows gives the same result as re-joining the fact with the
-# dimensions – without six more joins of the fact table per refresh.
-
-
-def _distance(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(F.col("event_type") == "distance")
-
-
-def _time(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(F.col("event_type") == "time")
-
-
-def distance_top_events(enriched: DataFrame) -> DataFrame:
-    return (
-        _distance(enriched)
-        .groupBy("event_name", "event_distance_length", "event_distance_km")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishers_total"),
-            _hours(F.avg("performance_time_seconds")).alias("avg_finish_hours"),
-            _hours(F.min("performance_time_seconds")).alias("fastest_finish_hours"),
-        )
-    )
-
-
-def distance_gender_split(enriched: DataFrame) -> DataFrame:
-    return (
-        _distance(enriched)
-        .filter(F.col("athlete_gender").isin("M", "W"))
-        .groupBy("event_distance_length", "event_distance_km", "athlete_gender")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishes"),
-            F.round(F.avg("athlete_average_speed"), 3).alias("avg_speed_kmh"),
-            F.round(_hours(F.avg("performance_time_seconds")), 2).alias("avg_finish_hours"),
-            F.round(_hours(F.min("performance_time_seconds")), 2).alias("fastest_finish_hours"),
-        )
-    )
-
-
-def distance_country_leaderboard(enriched: DataFrame) -> DataFrame:
-    return (
-        _distance(enriched)
-        .groupBy("athlete_country", "event_distance_length")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishes"),
-            F.avg("athlete_average_speed").alias("avg_speed_kmh"),
-            _hours(F.min("performance_time_seconds")).alias("fastest_finish_hours"),
-        )
-    )
+# The six serving views are aggregations of the enriched view. Every fact row
+# has its event and athlete rows (all dimensions are rebuilt from the same
+# silver table the facts stream from), so grouping the stored enriched rows
+# gives the same result as re-joining the fact with the dimensions - without
+# six more joins of the fact table per refresh. The three views of an event
+# type share one GROUPING SETS aggregation over that type's rows only.
+
+VIEW_KEYS = {
+    "distance": {
+        "vw_distance_top_events": ["event_name", "event_distance_length", "event_distance_km"],
+        "vw_distance_gender_split": ["event_distance_length", "event_distance_km", "athlete_gender"],
+        "vw_distance_country_leaderboard": ["athlete_country", "event_distance_length"],
+    },
+    "time": {
+        "vw_time_top_events": ["event_name", "event_duration_hours"],
+        "vw_time_country_leaderboard": ["athlete_country", "event_duration_hours"],
+        "vw_time_yearly_progression": ["event_year", "event_duration_hours"],
+    },
+}
 
 
-def time_top_events(enriched: DataFrame) -> DataFrame:
-    return (
-        _time(enriched)
-        .groupBy("event_name", "event_duration_hours")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishers_total"),
-            F.avg("performance_distance_km").alias("avg_distance_km"),
-            F.max("performance_distance_km").alias("max_distance_km"),
-        )
-    )
+def _finishes(alias: str):
+    return F.col("n").alias(alias)
 
 
-def time_country_leaderboard(enriched: DataFrame) -> DataFrame:
-    return (
-        _time(enriched)
-        .groupBy("athlete_country", "event_duration_hours")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishes"),
-            F.avg("performance_distance_km").alias("avg_distance_km"),
-            F.max("performance_distance_km").alias("max_distance_km"),
-        )
-    )
+def _measures(name: str) -> list:
+    c = F.col
+    avg_hours, best_hours = _hours(c("avg_secs")), _hours(c("min_secs"))
+    return {
+        "vw_distance_top_events": [
+            _finishes("n_finishers_total"), avg_hours.alias("avg_finish_hours"), best_hours.alias("fastest_finish_hours"),
+        ],
+        "vw_distance_gender_split": [
+            _finishes("n_finishes"), F.round("avg_speed", 3).alias("avg_speed_kmh"),
+            F.round(avg_hours, 2).alias("avg_finish_hours"), F.round(best_hours, 2).alias("fastest_finish_hours"),
+        ],
+        "vw_distance_country_leaderboard": [
+            _finishes("n_finishes"), c("avg_speed").alias("avg_speed_kmh"), best_hours.alias("fastest_finish_hours"),
+        ],
+        "vw_time_top_events": [
+            _finishes("n_finishers_total"), c("avg_km").alias("avg_distance_km"), c("max_km").alias("max_distance_km"),
+        ],
+        "vw_time_country_leaderboard": [
+            _finishes("n_finishes"), c("avg_km").alias("avg_distance_km"), c("max_km").alias("max_distance_km"),
+        ],
+        "vw_time_yearly_progression": [
+            _finishes("n_finishes"), F.round("avg_km", 2).alias("avg_distance_km"), F.round("max_km", 2).alias("max_distance_km"),
+        ],
+    }[name]
+
+
+# a view's groups that it leaves out: other genders, undated results
+_KEPT = {
+    "vw_distance_gender_split": "athlete_gender in ('M', 'W')",
+    "vw_time_yearly_progression": "event_year is not null",
+}
 
 
-def time_yearly_progression(enriched: DataFrame) -> DataFrame:
-    """Dated results only (the inner date join of the view definition)."""
-    return (
-        _time(enriched)
-        .filter(F.col("event_year").isNotNull())
-        .groupBy("event_year", "event_duration_hours")
-        .agg(
-            F.count(F.lit(1)).alias("n_finishes"),
-            F.round(F.avg("performance_distance_km"), 2).alias("avg_distance_km"),
-            F.round(F.max("performance_distance_km"), 2).alias("max_distance_km"),
-        )
+def view_groups(enriched: DataFrame, event_type: str) -> DataFrame:
+    """All groups of an event type's views with their measures (partial
+    aggregation, one shuffle); ``gid`` tells the views apart."""
+    keys = sorted({k for cols in VIEW_KEYS[event_type].values() for k in cols})
+    rows = enriched.filter(F.col("event_type") == event_type)
+    return rows.groupingSets([list(cols) for cols in VIEW_KEYS[event_type].values()], *keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg("performance_time_seconds").alias("avg_secs"),
+        F.min("performance_time_seconds").alias("min_secs"),
+        F.avg("athlete_average_speed").alias("avg_speed"),
+        F.avg("performance_distance_km").alias("avg_km"),
+        F.max("performance_distance_km").alias("max_km"),
+        F.grouping_id().alias("gid"),
     )
 
 
-# --- all six serving views from one scan ------------------------------------------
+def view_of(groups: DataFrame, event_type: str, name: str) -> DataFrame:
+    """One serving view out of its event type's groups."""
+    cols = VIEW_KEYS[event_type][name]
+    keys = sorted({k for x in VIEW_KEYS[event_type].values() for k in x})
+    gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols)
+    return groups.filter(F.col("gid") == gid).filter(_KEPT.get(name, "true")).select(*cols, *_measures(name))
 
-_VIEW_SETS = {
-    "vw_distance_top_events": ("distance", ["event_name", "event_distance_length", "event_distance_km"]),
-    "vw_distance_gender_split": ("distance", ["event_distance_length", "event_distance_km", "athlete_gender"]),
-    "vw_distance_country_leaderboard": ("distance", ["athlete_country", "event_distance_length"]),
-    "vw_time_top_events": ("time", ["event_name", "event_duration_hours"]),
-    "vw_time_country_leaderboard": ("time", ["athlete_country", "event_duration_hours"]),
-    "vw_time_yearly_progression": ("time", ["event_year", "event_duration_hours"]),
-}
-_KEYS = ["event_type", "event_name", "event_distance_length", "event_distance_km", "athlete_gender",
-         "athlete_country", "event_duration_hours", "event_year"]
-
-
-def serving_views(enriched: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The six serving views from a single scan of the enriched view.
-
-    One GROUPING SETS aggregation computes every view's groups (partial
-    aggregation before one shuffle); its result – one row per group, small –
-    is cached and split into the six outputs. Returns the views and the
-    cached aggregate (unpersist it after writing). Same results as the
-    per-view functions above, which remain the definitions.
-    """
-    sets = [["event_type", *cols] for _, cols in _VIEW_SETS.values()]
-    agg = (
-        enriched.groupingSets(sets, *_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("performance_time_seconds").alias("avg_secs"),
-            F.min("performance_time_seconds").alias("min_secs"),
-            F.avg("athlete_average_speed").alias("avg_speed"),
-            F.avg("performance_distance_km").alias("avg_km"),
-            F.max("performance_distance_km").alias("max_km"),
-            F.grouping_id().alias("_gid"),
-        )
-        .cache()
-    )
 
-    def part(name: str) -> DataFrame:
-        etype, cols = _VIEW_SETS[name]
-        keep = {"event_type", *cols}
-        gid = sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in keep)
-        return agg.filter((F.col("_gid") == gid) & (F.col("event_type") == etype))
-
-    c = F.col
-    out = {
-        "vw_distance_top_events": part("vw_distance_top_events").select(
-            "event_name", "event_distance_length", "event_distance_km",
-            c("n").alias("n_finishers_total"),
-            _hours(c("avg_secs")).alias("avg_finish_hours"),
-            _hours(c("min_secs")).alias("fastest_finish_hours"),
-        ),
-        "vw_distance_gender_split": part("vw_distance_gender_split")
-        .filter(c("athlete_gender").isin("M", "W"))
-        .select(
-            "event_distance_length", "event_distance_km", "athlete_gender",
-            c("n").alias("n_finishes"),
-            F.round("avg_speed", 3).alias("avg_speed_kmh"),
-            F.round(_hours(c("avg_secs")), 2).alias("avg_finish_hours"),
-            F.round(_hours(c("min_secs")), 2).alias("fastest_finish_hours"),
-        ),
-        "vw_distance_country_leaderboard": part("vw_distance_country_leaderboard").select(
-            "athlete_country", "event_distance_length",
-            c("n").alias("n_finishes"),
-            c("avg_speed").alias("avg_speed_kmh"),
-            _hours(c("min_secs")).alias("fastest_finish_hours"),
-        ),
-        "vw_time_top_events": part("vw_time_top_events").select(
-            "event_name", "event_duration_hours",
-            c("n").alias("n_finishers_total"),
-            c("avg_km").alias("avg_distance_km"),
-            c("max_km").alias("max_distance_km"),
-        ),
-        "vw_time_country_leaderboard": part("vw_time_country_leaderboard").select(
-            "athlete_country", "event_duration_hours",
-            c("n").alias("n_finishes"),
-            c("avg_km").alias("avg_distance_km"),
-            c("max_km").alias("max_distance_km"),
-        ),
-        "vw_time_yearly_progression": part("vw_time_yearly_progression")
-        .filter(c("event_year").isNotNull())
-        .select(
-            "event_year", "event_duration_hours",
-            c("n").alias("n_finishes"),
-            F.round("avg_km", 2).alias("avg_distance_km"),
-            F.round("max_km", 2).alias("max_distance_km"),
-        ),
-    }
-    return out, agg
+def serving_view(enriched: DataFrame, name: str) -> DataFrame:
+    """A serving view by its name."""
+    event_type = next(t for t, views in VIEW_KEYS.items() if name in views)
+    return view_of(view_groups(enriched, event_type), event_type, name)

@@ -50,7 +50,7 @@ _SOURCE_TYPES = [
     T.StringType(),
     T.StringType(),
     T.DoubleType(),
-    T.IntegerType(),
+    T.LongType(),
 ]
 
 RENAME = dict(zip(SOURCE_HEADERS, BRONZE_COLUMNS))

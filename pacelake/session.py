@@ -124,7 +124,6 @@ def ensure_local_dir(path: str) -> None:
 
 # --- shuffle sizing -------------------------------------------------------------------
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 64_000
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -139,7 +138,7 @@ def shuffle_partitions_for(spark: SparkSession, nbytes: int) -> int:
     coalesces them down when the shuffled data turns out smaller."""
     slots = spark.sparkContext.defaultParallelism
     want = -(-nbytes // TARGET_PARTITION_BYTES)
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(2 * slots, want)))
+    return int(max(2 * slots, want))
 
 
 _SIZING_LOCK = threading.Lock()

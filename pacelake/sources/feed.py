@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacelake.schema import BRONZE_COLUMNS
-from pacelake.sources.tables import read_spread, read_table
+from pacelake.sources.tables import read_table
 
 FEED_TABLES = ["lineitem", "orders", "part", "customer"]
 
@@ -40,12 +40,10 @@ def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
     """Raw result rows (the 13 source columns, snake_case) derived from the
     lineitem, orders, part and customer tables under ``base_dir``."""
     c = F.col
-    li = read_spread(spark, base_dir, "lineitem").select(
+    li = read_table(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
     )
-    # both big inputs are spread when small (a single split would otherwise
-    # run the whole join in one task, whichever side gets broadcast)
-    orders = read_spread(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = read_table(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, base_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     cust = read_table(spark, base_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
 
@@ -148,5 +146,5 @@ def race_feed(spark: SparkSession, base_dir: str) -> DataFrame:
         gender.alias("athlete_gender"),
         F.lit("").alias("athlete_age_category"),
         (c("l_quantity") * 1.2).alias("athlete_average_speed"),
-        c("c_custkey").cast("int").alias("athlete_source_id"),
+        c("c_custkey").cast("long").alias("athlete_source_id"),
     ).select(*BRONZE_COLUMNS)

@@ -5,6 +5,8 @@ tiny files pass through the driver."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -58,15 +60,20 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a tiny file atomically: write a temporary file, then rename."""
+    """Replace a tiny file atomically: write a temporary file of its own name,
+    then rename it over the old one in one call. A reader sees the old or the
+    new text, never none, and concurrent writers don't share a file."""
     fs, dst = _fs(spark, path)
-    tmp = _path(spark, f"{path}.tmp")
-    out = fs.create(tmp, True)
+    jvm = spark.sparkContext._jvm
+    tmp = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(dst), options)
 
 
 def read_small_text(spark: SparkSession, path: str) -> str | None:
@@ -83,16 +90,21 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def fingerprint(spark: SparkSession, *paths: str) -> list[tuple[str, int, int]]:
-    """(file, size, modification time) of every file under the paths."""
+def fingerprint(spark: SparkSession, *paths: str) -> list[tuple[str, int, int, int]]:
+    """(path, bytes, files, newest modification time) of each table folder or
+    file: a content summary and one listing per folder, not a call per file."""
     out = []
     for path in paths:
         fs, p = _fs(spark, path)
         if not fs.exists(p):
-            out.append((path, -1, -1))
+            out.append((path, -1, -1, -1))
             continue
-        it = fs.listFiles(p, True)
-        while it.hasNext():
-            st = it.next()
-            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+        total, status = fs.getContentSummary(p), fs.getFileStatus(p)
+        newest, folders = status.getModificationTime(), [p] if status.isDirectory() else []
+        while folders:
+            for st in fs.listStatus(folders.pop()):
+                newest = max(newest, st.getModificationTime())
+                if st.isDirectory():
+                    folders.append(st.getPath())
+        out.append((path, total.getLength(), total.getFileCount(), newest))
     return sorted(out)

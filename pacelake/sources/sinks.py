@@ -13,14 +13,14 @@ from pacelake.sources import fs
 
 
 def drop_batch(
-    df: DataFrame, landing_dir: str, run_name: str, single_file: bool = True, replace: bool = False
+    df: DataFrame, landing_dir: str, run_name: str, single_file: bool = False, replace: bool = False
 ) -> str:
     """Land result rows as CSV with the source header, in their own run folder.
 
     The column order is pinned to the source order because readers match
-    columns by position. ``single_file`` merges the batch into one file
-    (meant for small drops such as one event's finishers); large batches keep
-    their partitions. Values are written as they are (no whitespace
+    columns by position. A batch keeps its partitions, a file each;
+    ``single_file`` merges it into one file by one task, which is only meant
+    for small drops such as one event's finishers. Values are written as they are (no whitespace
     trimming), so the file is exactly what a producer would send.
     A run folder is written once: re-using a run name is an error unless
     ``replace`` is set, because rewritten files get new names and a stream
@@ -103,15 +103,20 @@ def sink_batch_id(spark: SparkSession, path: str) -> int | None:
     return max(ids) if ids else None
 
 
-def prune_versions(spark: SparkSession, versions_dir: str, keep: int = 2) -> list[str]:
-    """Delete all but the ``keep`` newest version folders under ``versions_dir``.
+def prune_versions(spark: SparkSession, root: str, versions_dir: str, keep: int = 2) -> list[str]:
+    """Delete version folders that were made before the published one, except
+    the ``keep - 1`` newest of them.
 
-    The default keeps the published version and the one before it, so a
-    reader that opened the previous version just before the swap can finish.
-    Returns the names deleted.
+    What the pointer names, and everything newer (another builder's folder that
+    is not published yet), stays. The default also keeps the version before the
+    published one, so a reader that opened it just before the swap can finish.
+    Without a published version nothing is deleted. Returns the names deleted.
     """
-    names = [n for n in fs.list_dirs(spark, versions_dir) if n.startswith("v_")]
-    doomed = names[:-keep] if keep > 0 else names
+    published = current_version(spark, root)
+    if published is None:
+        return []
+    older = [n for n in fs.list_dirs(spark, versions_dir) if n.startswith("v_") and n < published]
+    doomed = older[: max(0, len(older) - max(0, keep - 1))]
     for name in doomed:
         fs.delete(spark, f"{versions_dir}/{name}")
     return doomed

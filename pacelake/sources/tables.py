@@ -12,17 +12,3 @@ def table_path(base_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(base_dir, name))
-
-
-def read_spread(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """Scan that uses every task slot even when the input is one small file.
-
-    When the scan has fewer splits than the cluster has task slots (a small
-    input, e.g. one file holding one row group), its rows are dealt
-    round-robin over the slots so that the per-row work downstream runs in
-    parallel. A large input already has more splits than slots and is
-    returned as the plain scan, with no extra shuffle.
-    """
-    df = read_table(spark, base_dir, name)
-    slots = spark.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pacelake.plans.lake import AS_OF_YEAR, Lake, open_lake, reuse_or_build
 from pacelake.sources.feed import FEED_TABLES, race_feed
 from pacelake.sources.tables import table_path
+from pacelake.sources.results_csv import read_results_text
 from pacelake.sources.sinks import drop_batch
 from pacelake.streaming.refresh import refresh
 
@@ -25,7 +27,7 @@ _LOCK = threading.Lock()
 def build_replay(spark: SparkSession, base_dir: str, root: str, as_of_year: int | None = AS_OF_YEAR) -> Lake:
     """Land the feed as CSV files under ``root/landing`` and run the streaming
     refresh into ``root`` (always builds)."""
-    drop_batch(race_feed(spark, base_dir), f"{root}/landing/historical", "feed", single_file=False)
+    drop_batch(race_feed(spark, base_dir), f"{root}/landing/historical", "feed")
     refresh(spark, f"{root}/landing", root, as_of_year=as_of_year)
     return open_lake(spark, root)
 
@@ -42,3 +44,44 @@ def replayed_lake(spark: SparkSession, base_dir: str, as_of_year: int | None = A
             )
             _REPLAYS[key] = lake
         return lake
+
+
+FIRST_DROP_UNTIL = 1996  # years of the first of two drops
+
+
+def ingested_drops(spark: SparkSession, base_dir: str) -> Lake:
+    """The feed landed in two drops (years up to ``FIRST_DROP_UNTIL`` as
+    ``historical``, later ones as ``simulated``), with a refresh after each and
+    one more with nothing new."""
+    def build(root: str) -> Lake:
+        feed, landing = race_feed(spark, base_dir), f"{root}/landing"
+        for folder, part in (("historical", feed.filter(F.col("year_of_event") <= FIRST_DROP_UNTIL)), ("simulated", feed.filter(F.col("year_of_event") > FIRST_DROP_UNTIL))):
+            drop_batch(part, f"{landing}/{folder}", "drop")
+            refresh(spark, landing, root, as_of_year=AS_OF_YEAR)
+        refresh(spark, landing, root, as_of_year=AS_OF_YEAR)
+        return open_lake(spark, root)
+
+    inputs = [table_path(base_dir, t) for t in FEED_TABLES]
+    with _LOCK:
+        return reuse_or_build(spark, "drops", inputs, f"two drops, {FIRST_DROP_UNTIL}", build)
+
+
+def stream_bronze_lineage(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Bronze rows after two drops and a rerun, per landing folder (read from
+    the rows' file names) and year; rows without lineage would show as ''."""
+    bronze = ingested_drops(spark, base_dir).table("bronze")
+    folder = F.when(F.col("ingest_ts").isNotNull(), F.regexp_extract("source_file", r"/landing/([a-z]+)/drop/[^/]+\.csv$", 1)).otherwise("")
+    return bronze.groupBy(folder.alias("landing_folder"), "year_of_event").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def landed_text_profile(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The landed files read by their headers alone, all columns as text: rows,
+    columns and distinct countries of each landing folder."""
+    lake = ingested_drops(spark, base_dir)
+    parts = []
+    for folder in ("historical", "simulated"):
+        rows = read_results_text(spark, f"{lake.root}/landing/{folder}/drop")
+        if set(dict(rows.dtypes).values()) != {"string"}:
+            raise ValueError("a header-only read gives text columns")
+        parts.append(rows.agg(F.lit(folder).alias("landing_folder"), F.count(F.lit(1)).alias("n_rows"), F.lit(len(rows.columns)).alias("n_columns"), F.count_distinct(F.upper(F.trim("Athlete country"))).alias("n_countries")))
+    return parts[0].union(parts[1])

@@ -3,7 +3,7 @@
 from helpers import bronze
 from pacelake.functions.clean import clean_results
 from pacelake.plans import model
-from pacelake.plans.countries import country_rows
+from pacelake.plans.countries import COUNTRIES
 
 
 def _silver(spark, rows):
@@ -62,7 +62,7 @@ def test_duplicates_kept_and_date_dim(spark):
 
 
 def test_country_lookup_fixed_values():
-    rows = country_rows()
+    rows = COUNTRIES
     assert len(rows) == 174
     codes = [r[0] for r in rows]
     assert len(set(codes)) == 174

@@ -78,7 +78,7 @@ def test_pct_where_and_lookup(spark):
 def test_distinct_per_group(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, None), (2, None)], "g int, v string")
     got = {r.g: r.n_distinct for r in m.distinct_per_group(df, ["g"], "v").collect()}
-    assert got == {1: 2}
+    assert got == {1: 2, 2: 0}  # a group of NULLs only has none
 
 
 def test_compare_results(spark):
@@ -118,13 +118,55 @@ def test_profiles(spark):
     prof = {r.column_name: r for r in q.profile_table(df).collect()}
     assert prof["s"].n_nulls == 1 and prof["s"].min is None and prof["s"].data_type == "string"
     assert prof["d"].mean == 3.0 and prof["i"].max == 3.0
+    assert (prof["s"].n_distinct, prof["s"].min_text, prof["s"].max_text, prof["s"].top_text, prof["s"].top_count) == (2, "a", "c", "a", 1)
+    assert (prof["i"].p50, prof["i"].top_number, prof["i"].stddev, prof["d"].p25) == (2.0, 1.0, 1.0, 2.0)
+    empty = {r.column_name: r for r in q.profile_table(df.filter("i > 9")).collect()}
+    assert empty["i"].n_rows == 0 and empty["i"].n_distinct == 0 and empty["s"].top_text is None
 
 
-def test_lookup_broadcast_is_size_checked(spark):
-    facts = spark.createDataFrame([(i % 50,) for i in range(200)], "k int")
+def test_lookup_has_no_hint(spark):
+    facts = spark.createDataFrame([(i % 60,) for i in range(200)], "k int")
     lk = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "k2 int, name string")
-    small = m.lookup_label(facts, lk, "k", "k2", "name", "label", max_broadcast_rows=100)
-    big = m.lookup_label(facts, lk, "k", "k2", "name", "label", max_broadcast_rows=10)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
-    assert sorted(small.collect()) == sorted(big.collect())
+    out = m.lookup_label(facts, lk, "k", "k2", "name", "label")
+    assert "hint" not in out._jdf.queryExecution().analyzed().toString().lower()
+    assert {r.label for r in out.collect()} == {f"n{i}" for i in range(50)} | {str(i) for i in range(50, 60)}
+
+
+def test_quantiles_are_exact(spark):
+    import math
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, rng.choice([rng.random() * 100, float(rng.randrange(5)), None])) for k in ("a", "b", None) for _ in range(700)]
+    rows.append(("c", None))
+    probs = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "hi": 1.0}
+    got = {r.k: r for r in m.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", probs, accuracy=50).collect()}
+    assert set(got) == {"a", "b", None}
+    for k, r in got.items():
+        values = sorted(v for g, v in rows if g == k and v is not None)
+        assert r.n == len(values)
+        for name, p in probs.items():
+            assert r[name] == values[max(1, math.ceil(p * len(values))) - 1], (k, name)
+    assert m.quantiles(spark.createDataFrame([], "k string, v double"), [], "v", probs).count() == 0
+
+
+def test_null_bands_and_null_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "g string, v double")
+    assert [r[0] for r in df.select(m.band_label("v", [5], ["low", "high"])).collect()] == ["low", None, None]
+    assert {r.g: r.n_distinct for r in m.distinct_per_group(df, ["g"], "v").collect()} == {"a": 1, "b": 0}
+
+
+def test_compare_reports_columns(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    assert q.compare_results(a, a).count() == 0
+    got = {(r.side, r.k, r.v, r.n) for r in q.compare_results(a, spark.createDataFrame([(1, "x"), (3, None)], "k int, v string")).collect()}
+    assert got == {("left", 1, "x", 1), ("left", 2, None, 1), ("right", 3, None, 1)}
+    for other in ("k int, v string, extra int", "k int", "k long, v string"):
+        with pytest.raises(ValueError, match="columns"):
+            q.compare_results(a, spark.createDataFrame([], other))
+
+
+def test_composite_keys_and_empty_foreign_keys(spark):
+    fact = spark.createDataFrame([(1, 1, None), (1, 1, None), (1, 2, None), (2, None, None)], "a int, b int, d int")
+    rep = q.audit_star_schema({"fact": fact, "dim": spark.createDataFrame([(1,)], "d int")}, {"fact": ["a", "b"]}, [("fact", "d", "dim", "d")])
+    assert {(r.check_name, r.column_name): r.n_violations for r in rep.collect()} == {("primary_key", "a,b"): 2, ("foreign_key", "d->dim.d"): 0}
