@@ -36,6 +36,7 @@ UNIT, STRIDE, ORDER_SPAN = 8, 4, 5
 DECAY, POWER, FLOOR = 0.7, 3, 0.45
 LANDMARKS, NEIGHBOURS = 48, 24
 MAX_TRAIN = 2500
+PART_TEXTS = 250  # texts that the fit looks at together
 NOISE = 0.34  # share of toxic training texts repeated with characters put into their telling units
 
 _FOLD = np.zeros(256, dtype=np.uint8)
@@ -156,10 +157,11 @@ def telling_units(keys: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> tup
     """(candidates by falling evidence for label 1, frequent harmless units).
     Evidence is the log-likelihood ratio of a unit's (or its first five
     symbols') share of toxic texts against other texts."""
-    pairs = np.unique(np.stack([np.concatenate([keys, _stems(keys)]), np.tile(owner, 2).astype(np.uint64)]), axis=1)
-    unit, first = np.unique(pairs[0], return_index=True)
-    hits = np.add.reduceat(toxic[pairs[1].astype(int)].astype(float), first)
-    seen = np.diff(np.append(first, pairs.shape[1])).astype(float)
+    # a unit has 40 bits, the number of a text of the bounded sample at most 24
+    pairs = np.unique(np.concatenate([keys, _stems(keys)]) << np.uint64(24) | np.tile(owner, 2).astype(np.uint64))
+    unit, first = np.unique(pairs >> np.uint64(24), return_index=True)
+    hits = np.add.reduceat(toxic[(pairs & np.uint64((1 << 24) - 1)).astype(int)].astype(float), first)
+    seen = np.diff(np.append(first, len(pairs))).astype(float)
     n1, n = float(toxic.sum()), float(len(toxic))
     p, q, r = hits / n1, (seen - hits) / (n - n1), seen / n
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -203,6 +205,11 @@ def _noisy(keys: np.ndarray, telling: np.ndarray, rng: np.random.Generator) -> n
     return out
 
 
+def _in_parts(texts: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, unit keys, text index from there) of parts of the sample."""
+    return [(at, *units(pa.array(texts[at : at + PART_TEXTS], pa.large_string()))) for at in range(0, len(texts), PART_TEXTS)]
+
+
 def fit(texts: list[str], labels: list[int], seed: int = 11, rounds: int = 4000) -> Machine | None:
     """Landmarks, Nyström map, support vector machine (class-balanced hinge
     loss by averaged subgradient descent) and the score's logistic curve.
@@ -211,19 +218,25 @@ def fit(texts: list[str], labels: list[int], seed: int = 11, rounds: int = 4000)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
-    keys, owner = units(pa.array(texts, pa.large_string()))
+    parts = _in_parts(texts)
+    keys, owner = (np.concatenate(x) for x in zip(*((k, o + at) for at, k, o in parts)))
     if not len(keys):
         return None
     candidates, harmless = telling_units(keys, owner, y)
+    del keys, owner
     chosen = choose_landmarks(candidates)
     if not len(chosen):
         return None
     landmarks = with_neighbours(chosen, harmless)
     table = landmark_table(landmarks)
-    x = pooled(keys, owner, len(texts), table)
-    again = np.flatnonzero((y == 1) & (rng.random(len(y)) < NOISE))
-    mine = np.isin(owner, again)
-    noisy = pooled(_noisy(keys[mine], chosen, rng), np.searchsorted(again, owner[mine]), len(again), table)
+    again = (y == 1) & (rng.random(len(y)) < NOISE)
+    x, noisy = [], []
+    for at, k, o in parts:
+        n = min(PART_TEXTS, len(texts) - at)
+        mine = again[at : at + n]
+        x.append(pooled(k, o, n, table))
+        noisy.append(pooled(_noisy(k[mine[o]], chosen, rng), o[mine[o]], n, table)[mine])
+    x, noisy, again = np.concatenate(x), np.concatenate(noisy), np.flatnonzero(again)
     gram = similarities(landmarks, table).astype(float)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     white = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
