@@ -94,14 +94,20 @@ def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator, reserve
 
 def landing(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Decide what is left: all but ``RESERVE`` documents by another flight,
-    the rest by trying every choice for the words nearest to the expected."""
+    the rest by trying every choice. Of the choices whose words come nearest to
+    the expected, one is drawn by its probability."""
     p = flight(prob, size, rng, RESERVE)
     left = np.flatnonzero((p > ROUND) & (p < 1 - ROUND))
     if len(left):
-        want, sums = float((p[left] * size[left]).sum()), np.zeros(1)
-        for z in size[left]:
+        want = float((p[left] * size[left]).sum())
+        sums, chance = np.zeros(1), np.zeros(1)
+        for z, q in zip(size[left], p[left]):
             sums = np.concatenate([sums, sums + z])
-        best = int(np.abs(sums - want).argmin())
+            chance = np.concatenate([chance + np.log(1 - q), chance + np.log(q)])
+        away = np.abs(sums - want)
+        near = np.flatnonzero(away <= away.min() + 0.02 * size[left].mean())
+        weight = np.exp(chance[near] - chance[near].max())
+        best = int(near[np.searchsorted(np.cumsum(weight), rng.random() * weight.sum())])
         p[left] = [best >> k & 1 for k in range(len(left))]
     return np.round(p)
 
