@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacelake.llm.common import components, documents, written
@@ -39,7 +39,7 @@ from pacelake.llm.text import BASE, U64, Texts, mix, shingles, slices, word_hash
 HOT = 1 << 16  # bound of the number of shingles known to every task
 BLOCK_DOCS = 250  # documents of a packed block, at most 256
 BUCKET_SHINGLES = 1 << 20  # expected shingles of a bucket
-LOW = U64((1 << 48) - 1)
+LOW_BYTES = 5  # of a shingle in an exchange; with its bucket 40 bits and more for each million shingles
 
 
 def shingle_sets(col: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,9 +113,10 @@ def _sizes(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Per block: a row per bucket with the block's shingles (48 bits) and the
-    block's classes they are of (8 bits), and a row (bucket -1) with the
-    classes, their sizes and their hot shingles (as places in ``hot``)."""
+    """Per block: a row per bucket with the block's shingles (40 bits) and the
+    block's classes they are of (8 bits), and a head row (bucket below 0, dealt
+    by the block) with the classes, their sizes and their hot shingles (as
+    places in ``hot``)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _blocks(batches):
@@ -132,13 +133,13 @@ def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFr
             place = np.minimum(np.searchsorted(hot, h), max(0, len(hot) - 1))
             is_hot = hot[place] == h if len(hot) else np.zeros(len(h), bool)
             block = int(mix(np.array([np.bitwise_xor.reduce(mix(cls[first].view(np.uint64)))], np.uint64)).view(np.int64)[0])
-            rows = {"bucket": [-1], "a": [cls[first].astype("<i8").tobytes()], "b": [n[first].astype("<i4").tobytes()]}
+            rows = {"bucket": [-1 - (block & 0xFFFF)], "a": [cls[first].astype("<i8").tobytes()], "b": [n[first].astype("<i4").tobytes()]}
             rows["c"], rows["d"] = [who[is_hot].astype("u1").tobytes()], [place[is_hot].astype("<i4").tobytes()]
             h, who = h[~is_hot], who[~is_hot]
             bucket = (h >> U64(48)).astype(np.int64) % buckets
             order = np.lexsort((h, bucket))
             h, who, bucket = h[order], who[order].astype("u1"), bucket[order]
-            low = h.view("u1").reshape(-1, 8)[:, :6]
+            low = h.view("u1").reshape(-1, 8)[:, :LOW_BYTES]
             edge = np.searchsorted(bucket, np.arange(buckets + 1))
             for k in np.flatnonzero(np.diff(edge)):
                 rows["bucket"].append(int(k))
@@ -155,16 +156,19 @@ def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFr
     return docs.mapInArrow(work, "bucket int, block long, a binary, b binary, c binary, d binary")
 
 
-def _low48(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 6, 8), "u1")
-    out[:, :6] = np.frombuffer(packed, "u1").reshape(-1, 6)
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // LOW_BYTES, 8), "u1")
+    out[:, :LOW_BYTES] = np.frombuffer(packed, "u1").reshape(-1, LOW_BYTES)
     return out.view("<u8").ravel()
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """A bucket's shingles that occur twice or more, back to their blocks."""
+    """A bucket's shingles that occur twice or more, back to their blocks, with
+    their numbers of occurrences; heads as they are."""
     bucket = table.column("bucket")[0].as_py()
-    parts = [_low48(x) for x in table.column("a").to_pylist()]
+    if bucket < 0:
+        return table
+    parts = [_unpacked(x) for x in table.column("a").to_pylist()]
     who = [np.frombuffer(x, "u1") for x in table.column("b").to_pylist()]
     every = np.concatenate(parts)
     distinct, count = np.unique(every, return_counts=True)
@@ -175,23 +179,23 @@ def _shared(table: pa.Table) -> pa.Table:
         ok = distinct[place] == p if len(distinct) else np.zeros(len(p), bool)
         if ok.any():
             blocks.append(block)
-            a.append((p[ok] | U64(bucket) << U64(48)).astype("<u8").tobytes())
+            a.append(p[ok].view("u1").reshape(-1, 8)[:, :LOW_BYTES].tobytes())
             b.append(w[ok].tobytes())
-            c.append(count[place[ok]].astype("<i4").tobytes())
-    return pa.table({"bucket": pa.array([0] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int64()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "c": pa.array(c, pa.binary()), "d": pa.nulls(len(blocks), pa.binary())})
+            c.append(np.minimum(count[place[ok]], 0xFFFF).astype("<u2").tobytes())
+    return pa.table({"bucket": pa.array([bucket] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int64()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "c": pa.array(c, pa.binary()), "d": pa.nulls(len(blocks), pa.binary())})
 
 
 def _survivors(num: int, den: int, hot_count: np.ndarray):
     def work(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        head = next(r for r in rows if r["bucket"] == -1)
+        head = next(r for r in rows if r["bucket"] < 0)
         cls, n = np.frombuffer(head["a"], "<i8"), np.frombuffer(head["b"], "<i4").astype(np.int64)
         token, who, freq = [], [], []
         for r in rows:
-            if r["bucket"] != -1:
-                token.append(np.frombuffer(r["a"], "<u8"))
+            if r["bucket"] >= 0:
+                token.append(_unpacked(r["a"]) | U64(r["bucket"]) << U64(48))
                 who.append(np.frombuffer(r["b"], "u1"))
-                freq.append(np.frombuffer(r["c"], "<i4").astype(np.int64))
+                freq.append(np.frombuffer(r["c"], "<u2").astype(np.int64))
         place = np.frombuffer(head["d"], "<i4")
         # hot shingles come after all others, by their counts: named by their place, above any bucket's names
         token.append(place.astype(np.uint64) | U64(1 << 63))
@@ -212,11 +216,26 @@ def _survivors(num: int, den: int, hot_count: np.ndarray):
     return work
 
 
+def _inside(n: Column, tokens: Column, num: int, den: int) -> Column:
+    """How many of a class's shared shingles lie in its prefix (the unshared
+    ones come first in every order)."""
+    prefix = n - F.ceil(n * num / den) + 1
+    return F.greatest(F.least(prefix - (n - F.size(tokens)), F.size(tokens)), F.lit(0)).cast("int")
+
+
+def _prefix(n: Column, tokens: Column, seed: int, num: int, den: int) -> Column:
+    """The prefix's shared shingles in the order of a hash."""
+    drawn = F.array_sort(F.transform(tokens, lambda x: F.struct(F.xxhash64(x, F.lit(seed)).alias("o"), x.alias("x"))))
+    return F.transform(F.slice(drawn, F.lit(1), _inside(n, tokens, num, den)), lambda s: s["x"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of classes that meet under the other orders and link."""
-    left = sets.select(F.col("cls").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("n", "tokens", "second", "third")])
-    right = sets.select(F.col("cls").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("n", "tokens", "second", "third")])
-    met = pairs.join(left, "a").join(right, "b").where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    pairs = written(pairs, "pairs")  # its size is then known: few pairs travel to the sets, not the sets to them
+    left, right = (sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
+    met = pairs.join(left, "a").join(right, "b")
+    for seed in (2, 3):
+        met = met.where(F.arrays_overlap(*(_prefix(F.col(f"n_{x}"), F.col(f"tokens_{x}"), seed, num, den) for x in "ab")))
     same = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
     return met.where((num + den) * same >= num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
@@ -225,19 +244,16 @@ def linked_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between classes (cls, n, tokens in the first order) that
     connect exactly the classes that all links connect."""
     n, tokens = F.col("n"), F.col("tokens")
-    prefix = n - F.ceil(n * num / den) + 1
-    inside = F.greatest(F.least(prefix - (n - F.size(tokens)), F.size(tokens)), F.lit(0)).cast("int")
-    other = lambda seed: F.slice(
-        F.transform(F.array_sort(F.transform(tokens, lambda x: F.struct(F.xxhash64(x, F.lit(seed)).alias("o"), x.alias("x")))), lambda s: s["x"]), F.lit(1), inside
-    )
-    sets = written(sets.withColumn("inside", inside).where("inside > 0").withColumns({"second": other(2), "third": other(3)}), "sets")
-    rows = sets.select("cls", "n", F.posexplode(F.slice("tokens", F.lit(1), F.col("inside"))).alias("k", "token"), (n - F.size(tokens)).alias("alone"))
-    rows = written(rows.select("token", "cls", "n", (F.col("alone") + F.col("k") + 1).alias("pos")), "prefixes")
+    front = F.slice(tokens, F.lit(1), _inside(n, tokens, num, den))
+    rows = sets.select("cls", "n", (n - F.size(tokens)).alias("alone"), F.posexplode(front).alias("k", "token"))
+    rows = rows.select("token", "cls", "n", (F.col("alone") + F.col("k") + 1).alias("pos"))
+    shared = rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
+    rows = written(rows.join(shared, "token"), "prefixes")
     fits = lambda x, y: (F.least(x, y) * den >= F.greatest(x, y) * num)
 
     def with_hub(members: DataFrame, order) -> DataFrame:
-        hub = members.groupBy("token").agg(F.min(F.struct(order, "cls", "n")).alias("h"), F.count("*").alias("m")).where("m > 1")
-        got = members.drop("m").join(hub.select("token", F.col("h.cls").alias("hub"), F.col("h.n").alias("hub_n")), "token")
+        hub = members.groupBy("token").agg(F.min(F.struct(order.alias("o"), "cls", "n")).alias("h"))
+        got = members.join(hub.select("token", F.col("h.cls").alias("hub"), F.col("h.n").alias("hub_n")), "token")
         return got.where((F.col("cls") != F.col("hub")) & fits(F.col("n"), F.col("hub_n")))
 
     # first: the class where the shingle stands first, the one nearest to what the others have in common
@@ -285,11 +301,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     buckets = 64
     while buckets * BUCKET_SHINGLES < total:
         buckets *= 2
-    packed = written(_packed(own, size, hot_tokens, buckets), "packed")
     schema = "bucket int, block long, a binary, b binary, c binary, d binary"
-    back = packed.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared, schema)
-    heads = packed.where("bucket = -1").dropDuplicates(["block"])
-    left = back.union(heads).groupBy("block").applyInArrow(_survivors(num, den, hot_count), "cls long, n long, tokens array<long>")
+    back = _packed(own, size, hot_tokens, buckets).groupBy("bucket").applyInArrow(_shared, schema)
+    left = back.groupBy("block").applyInArrow(_survivors(num, den, hot_count), "cls long, n long, tokens array<long>")
     sets = written(left.dropDuplicates(["cls"]), "survivors")
     comp = components(linked_classes(sets, num, den))
     named = rows.where("n > 0").join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
