@@ -46,7 +46,7 @@ def main() -> None:
         "",
         f"Final adaptive plans after execution on `{sf}` (local[8]), generated by",
         "`tools/plan_report.py`. Shuffles are counted per kind; joins per strategy",
-        "(broadcasts other than the fixed lookups are AQE decisions from measured",
+        "(broadcasts are AQE decisions from measured",
         "sizes); columns read is the width of each parquet scan's ReadSchema.",
         "",
         "| query | shuffles | joins | scans: columns read | pushed filters | top-k / window | python |",
@@ -87,7 +87,8 @@ def _formatted(df) -> str:
 
 def detail_sections(spark, sf: str) -> list[str]:
     from pacelake.functions.clean import clean_results
-    from pacelake.plans import dashboard, views
+    from pacelake.operators.metrics import quantiles
+    from pacelake.plans import dashboard, model, views
     from pacelake.plans.lake import lake_for
 
     lake = lake_for(spark, sf)
@@ -99,6 +100,13 @@ def detail_sections(spark, sf: str) -> list[str]:
                 lake.table("fct_results"), lake.table("dim_event"), lake.table("dim_athlete"), lake.table("dim_date")
             ),
         ),
+        ("dim_event build (hash aggregate on the scan, sort only after it)", model.dim_event(lake.table("silver"))),
+        ("dim_athlete build (one max_by, grouped by the integer id)", model.dim_athlete(lake.table("silver"))),
+        ("Serving views of distance events (one aggregation)", views.view_groups(lake.enriched(), "distance")),
+        (
+            "Exact median per distance band (sketch, bracket counts, rank)",
+            quantiles(lake.enriched(), ["event_distance_length"], "athlete_average_speed", {"mid": 0.5}),
+        ),
         ("F3 record progression (aggregate, then a window over one row per year)", dashboard.f3_record_progression(lake)),
         ("C1 top countries (aggregate per code before the lookup join)", dashboard.c1_top_countries(lake)),
     ]
