@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pacelake.llm.common import components, documents, written
 from pacelake.llm.text import BASE, U64, Texts, mix, shingles, slices, word_hashes
 
+NO_ID = -(2**63)
 HOT = 1 << 16  # bound of the number of shingles known to every task
 BLOCK_DOCS = 250  # documents of a packed block, at most 256
 BUCKET_SHINGLES = 1 << 20  # expected shingles of a bucket
@@ -316,13 +317,16 @@ def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -
     """Documents (all columns) of which one stays per component: that of the
     smallest id. Rows that repeat its id and text go, too; other texts under
     the same id stay, and so do texts without words."""
-    found = jaccard_components(docs, size, num, den)
-    gone = found.groupBy("doc_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("own")).where("own = 0")
-    ids = gone.select(F.col("doc_id").alias("_gone"))
-    twice = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    left = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    same = left.join(twice, F.col("doc_id").eqNullSafe(F.col("_twice")), "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(twice, F.col("doc_id").eqNullSafe(F.col("_twice")), "left_anti").union(same.select(*docs.columns))
+    found = jaccard_components(docs, size, num, den).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
+    per_id = found.groupBy("id").agg(F.count("*").alias("rows"), F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("own"))
+    per_id = written(per_id.where("own = 0 or rows > 1"), "per_id")
+    own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    left = docs.join(per_id.where("own = 0").select(F.col("id").alias("_id")), own_id == F.col("_id"), "left_anti")
+    often = per_id.where("own > 0 and rows > 1").select(F.col("id").alias("_id"))
+    if not often.limit(1).count():
+        return left
+    same = left.join(often, own_id == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(often, own_id == F.col("_id"), "left_anti").union(same.select(*docs.columns))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

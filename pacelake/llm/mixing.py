@@ -177,13 +177,18 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
 def mixed_documents(docs: DataFrame, cap: float = 3.0) -> DataFrame:
     """The documents themselves, each as often as the mix takes it (not at all
     to ``cap`` times); the columns are those of ``docs``."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    counts = mix(docs, cap=cap).select(F.col("key").alias("k"), F.col("source").alias("s"), F.col("size").alias("z"), "copies")
-    counts = counts.withColumn("m", F.row_number().over(W.partitionBy("k", "s", "z").orderBy("copies")))
-    here = docs.withColumn("_size", size).withColumn("_nth", F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy("doc_id")))
-    on = [F.col("doc_id").eqNullSafe(F.col("k")), F.col("source").eqNullSafe(F.col("s")), F.col("_size") == F.col("z"), F.col("_nth") == F.col("m")]
-    taken = here.join(counts.where("copies > 0"), on)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    counts = written(mix(docs, cap=cap).select(F.coalesce("key", F.lit(NO_KEY)).alias("k"), F.col("source").alias("s"), F.col("size").alias("z"), "copies"), "mix_counts")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_KEY))
+    if not counts.groupBy("k").count().where("count > 1").limit(1).count():
+        taken = docs.join(counts.where("copies > 0").select("k", "copies"), key == F.col("k"))
+    else:  # rows of the same id, source and size are numbered on both sides
+        size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+        numbered = counts.withColumn("m", F.row_number().over(W.partitionBy("k", "s", "z").orderBy("copies")))
+        here = docs.withColumns({"_key": key, "_size": size, "_source": F.col("source").cast("string")})
+        here = here.withColumn("_nth", F.row_number().over(W.partitionBy("_key", "_source", "_size").orderBy("text")))
+        on = [F.col("_key") == F.col("k"), F.col("_source").eqNullSafe(F.col("s")), F.col("_size") == F.col("z"), F.col("_nth") == F.col("m")]
+        taken = here.join(numbered.where("copies > 0"), on)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*[docs[c] for c in docs.columns])
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
