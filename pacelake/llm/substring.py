@@ -6,18 +6,18 @@ passages in its interval that contain it: it is their minimum. Only nodes whose
 interval holds at least a passage of the least length matter; they are the
 places that are the minimum of some window of that length, found by sliding
 minima, and their interval is the union of these windows. Two passages with the
-same minimum have the same key, so equal passages meet in one group under every
-function, and similar ones under most.
+same minimum meet in one group under a function. At least half of a passage lies
+on one side of its minimum, so a window has two keys: its minimum with the half
+passage that follows, and with the half that comes before; equal passages share
+one of them under every function, and passages with few changes under most.
 
 1. Keys are exchanged in packed rows to learn which occur in several documents
    and in which one first. Keys so frequent that at most ``HOT`` of them can
-   exist are known to every task and are exchanged once per block only.
+   exist are known to every task and are exchanged once per part only.
 2. A document's windows with shared keys are joined with the window of the
    first document that has the key; the shingles around both minima are
    compared (verification): a passage extends as long as at least 4 of 5
-   shingles agree. Windows that agree on one side of the minimum also meet the
-   first document among themselves, so a key's documents may fall into several
-   passages.
+   shingles agree.
 3. Verified passages are joined as intervals: what passages under ``ENOUGH``
    functions cover is a repeated passage.
 
@@ -79,6 +79,25 @@ class Part:
         self.g, self.owner, self.word = shingles(self.words, self.at, size)
         self.first = np.searchsorted(self.owner, np.arange(self.texts.n + 1))
         self.windows = windows(self.g, self.owner, least)
+        self.half = least // 2
+
+    def keys(self, f: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of function f's windows: (with what follows, with what comes
+        before). A text's end stands in for what lies beyond it."""
+        at, key = self.windows[f]
+        first, last = self.first[self.owner[at]], self.first[self.owner[at] + 1] - 1
+        out = []
+        for step in (1, -1):
+            acc = key ^ U64(step & 3)
+            for j in range(self.half + 1):
+                acc = mix(acc + self.g[np.clip(at + step * j, first, last)])
+            out.append(acc)
+        return out[0], out[1]
+
+    def all_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys of the part and the text index of each."""
+        pairs = [(k, self.owner[self.windows[f][0]]) for f in range(HASHES) for k in self.keys(f)]
+        return np.concatenate([k for k, _ in pairs]), np.concatenate([o for _, o in pairs])
 
     def text_hashes(self) -> np.ndarray:
         """Hash of every text's sequence of words."""
@@ -101,7 +120,7 @@ def _survey(docs: DataFrame, size: int, least: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
-            keys = np.concatenate([k for _, k in p.windows])
+            keys, _ = p.all_keys()
             key, count = np.unique(keys, return_counts=True)
             often = count >= max(3, len(keys) // (2 * HOT))
             key, count = key[often].view(np.int64), count[often]
@@ -126,8 +145,8 @@ def _packed(docs: DataFrame, size: int, least: int, hot: np.ndarray, buckets: in
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
             ids = batch.column("id").to_numpy()
-            key = np.concatenate([k for _, k in p.windows])
-            doc = ids[np.concatenate([p.owner[a] for a, _ in p.windows])] if len(key) else np.zeros(0, np.int64)
+            key, owner = p.all_keys()
+            doc = ids[owner] if len(key) else np.zeros(0, np.int64)
             order = np.lexsort((doc, key))
             key, doc = key[order], doc[order]
             fresh = np.ones(len(key), bool)
@@ -209,39 +228,40 @@ def _contexts(rows: DataFrame, size: int, least: int, hot_names: np.ndarray, hot
                 tag = mix(k_all + owners.astype(np.uint64) * BASE)
             order = np.argsort(tag)
             tag, h_all = tag[order], h_all[order]
-            for f, (at, key) in enumerate(p.windows):
-                names, own = _names(key, buckets), p.owner[at]
+
+            def first_of(names: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                """(shared?, first document) of the keys of texts."""
+                shared, hub = np.zeros(len(names), bool), np.zeros(len(names), np.int64)
                 with np.errstate(over="ignore"):
                     mine = mix(names + own.astype(np.uint64) * BASE)
-                i = np.minimum(np.searchsorted(tag, mine), max(0, len(tag) - 1))
-                ok = tag[i] == mine if len(tag) else np.zeros(len(mine), bool)
-                hub = np.where(ok, h_all[i], 0) if len(tag) else np.zeros(len(mine), np.int64)
-                j = np.minimum(np.searchsorted(hot_names, names), max(0, len(hot_names) - 1))
-                is_hot = hot_names[j] == names if len(hot_names) else np.zeros(len(mine), bool)
-                hub = np.where(is_hot, hot_hubs[j], hub) if len(hot_names) else hub
-                use = ok | is_hot
-                at, names, own, hub = at[use], names[use], own[use], hub[use]
-                around = at[:, None] + np.arange(1 - least, least)
-                valid = (around >= p.first[own][:, None]) & (around < p.first[own + 1][:, None])
-                # hashes of the shingles from the minimum on, and up to it: half a passage at least lies on one side
-                half = least // 2
-                sides = []
-                for side in (np.arange(half + 1), -np.arange(half + 1)):
-                    inside = np.clip(at[:, None] + side, 0, max(0, len(p.g) - 1))
-                    acc = names.copy()
-                    for j in range(half + 1 if len(at) else 0):
-                        acc = mix(acc + p.g[inside[:, j]])
-                    sides.append(pa.array(acc.view(np.int64)))
-                ctx = np.where(valid, short[np.clip(around, 0, max(0, len(short) - 1))], 0).astype("<u2") if len(at) else np.zeros((0, 2 * least - 1), "<u2")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names.view(np.int64)), pa.array(ids[own]), pa.array(hub, pa.int64()), pa.array(np.full(len(at), f), pa.int8()),
-                        pa.array((at - p.first[own]).astype(np.int32)), *sides, pa.array([c.tobytes() for c in ctx], pa.binary()),
-                    ],
-                    names=["key", "id", "hub", "f", "at", "right", "left", "around"],
-                )
-
-    return rows.select("id", "text", "keys", "hubs").mapInArrow(work, "key long, id long, hub long, f byte, at int, right long, left long, around binary")
+                for tags, hubs, wanted in ((tag, h_all, mine), (hot_names, hot_hubs, names)):
+                    if len(tags):
+                        i = np.minimum(np.searchsorted(tags, wanted), len(tags) - 1)
+                        hit = tags[i] == wanted
+                        shared |= hit
+                        hub = np.where(hit, hubs[i], hub)
+                return shared, hub
+
+            for f in range(HASHES):
+                at, own = p.windows[f][0], p.owner[p.windows[f][0]]
+                names = [_names(k, buckets) for k in p.keys(f)]
+                (after, hub_after), (before, hub_before) = (first_of(n, own) for n in names)
+                # one comparison with the same first document is enough; a first document offers both
+                before &= ~(after & (hub_after == hub_before)) | (hub_before == ids[own])
+                for use, name, hub in ((after, names[0], hub_after), (before, names[1], hub_before)):
+                    a, o = at[use], own[use]
+                    around = a[:, None] + np.arange(1 - least, least)
+                    valid = (around >= p.first[o][:, None]) & (around < p.first[o + 1][:, None])
+                    ctx = np.where(valid, short[np.clip(around, 0, max(0, len(short) - 1))], 0).astype("<u2") if len(a) else np.zeros((0, 2 * least - 1), "<u2")
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(name[use].view(np.int64)), pa.array(ids[o]), pa.array(hub[use], pa.int64()), pa.array(np.full(len(a), f), pa.int8()),
+                            pa.array((a - p.first[o]).astype(np.int32)), pa.array([c.tobytes() for c in ctx], pa.binary()),
+                        ],
+                        names=["key", "id", "hub", "f", "at", "around"],
+                    )
+
+    return rows.select("id", "text", "keys", "hubs").mapInArrow(work, "key long, id long, hub long, f byte, at int, around binary")
 
 
 def passage_ends(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -327,13 +347,6 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     near = written(_contexts(todo, size, least, names[order], hubs[order], buckets), "contexts")
     hub_rows = near.where("id = hub").groupBy("key").agg(F.min_by("around", "at").alias("hub_around"))
     spans = written(_verified(near.where("id > hub").join(hub_rows, "key"), least), "passages")
-    # a key's documents need not share one passage: those alike on a side of the minimum also meet the first of them
-    for side in ("right", "left"):
-        alike = near.groupBy("key", side).agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.min("hub").alias("key_hub"))
-        alike = written(alike.where("hub <> last and hub <> key_hub").select("key", side, "hub"), "alike")
-        members = near.drop("hub").join(alike, ["key", side])
-        heads = members.where("id = hub").groupBy("key", side).agg(F.min_by("around", "at").alias("hub_around"))
-        spans = spans.union(written(_verified(members.where("id > hub").join(heads, ["key", side]), least), "passages"))
 
     def join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
