@@ -59,16 +59,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _unchecked(spark: SparkSession, fs):
+    """The local file system keeps checksums in files of their own, which a
+    rename cannot replace together with the data: tiny files go without."""
+    if fs.getUri().getScheme() != "file":
+        return fs
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration()).getRaw()
+
+
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a tiny file atomically: write a temporary file of its own name,
     then rename it over the old one in one call. A reader sees the old or the
     new text, never none, and concurrent writers don't share a file."""
     fs, dst = _fs(spark, path)
+    own = _unchecked(spark, fs)
     jvm = spark.sparkContext._jvm
     tmp = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, False)
+    out = own.create(tmp, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    if own is not fs:
+        own.rename(tmp, dst)  # the local rename replaces
+        return
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
@@ -78,6 +90,7 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_small_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
+    fs = _unchecked(spark, fs)
     if not fs.exists(p):
         return None
     jvm = spark.sparkContext._jvm

@@ -19,7 +19,7 @@ def test_bench_one_json_line():
     d = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
     assert d["unit"] == "sec" and d["sf"] == 0.001
-    from __spark_entry__ import queries
+    from pacelake.plans.catalog import all_queries
 
-    assert set(queries()) <= set(d["queries"])
+    assert set(all_queries()) <= set(d["queries"])
     assert abs(d["value"] - sum(d["queries"].values())) < 0.01

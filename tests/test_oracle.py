@@ -8,7 +8,9 @@ from compare import compare
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF_SMALL)
+    from pacelake.plans.catalog import all_queries
+
+    return compare(spark, SF_SMALL, list(all_queries()))
 
 
 def test_all_queries_match(results):

@@ -150,7 +150,7 @@ def test_ingested_files_are_archived(spark, tmp_dir):
 
     feed = race_feed(spark, SF_SMALL)
     landing, lake_dir, archive = f"{tmp_dir}/landing", f"{tmp_dir}/lake", f"{tmp_dir}/archive"
-    drop_batch(feed.filter(F.col("year_of_event") <= 1997), f"{landing}/h", "a")
+    drop_batch(feed.filter(F.col("year_of_event") <= 1997), f"{landing}/h", "a", single_file=True)
     refresh(spark, landing, lake_dir, as_of_year=2026, archive_dir=archive)
     drop_batch(feed.filter(F.col("year_of_event") > 1997), f"{landing}/h", "b")
     lake = refresh(spark, landing, lake_dir, as_of_year=2026, archive_dir=archive)
@@ -189,7 +189,7 @@ def test_backlog_in_bounded_micro_batches(spark, tmp_dir):
     feed = race_feed(spark, SF_SMALL)
     landing, lake_dir = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
     for y in (1995, 1996, 1997):
-        drop_batch(feed.filter(F.col("year_of_event") == y), f"{landing}/h", f"y{y}")
+        drop_batch(feed.filter(F.col("year_of_event") == y), f"{landing}/h", f"y{y}", single_file=True)
     lake = refresh(spark, landing, lake_dir, as_of_year=2026, max_files_per_trigger=1)
     assert sink_batch_id(spark, f"{lake_dir}/bronze") == 2  # three files, one per micro-batch
     expected = feed.filter(F.col("year_of_event").isin(1995, 1996, 1997)).count()
