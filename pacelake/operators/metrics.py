@@ -76,9 +76,11 @@ def quantiles(
     sketch = src.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_e")
     )
-    there = sketch.select(*[F.col(k).alias(f"{k}b") for k in keys], "_n", "_e")
-    same = [F.col(k).eqNullSafe(F.col(f"{k}b")) for k in keys]
-    rows = src.join(there, same)
+    if by:
+        there = sketch.select(*[F.col(f"_g{i}").alias(f"_g{i}b") for i in range(len(by))], "_n", "_e")
+        rows = src.join(there, [F.col(f"_g{i}").eqNullSafe(F.col(f"_g{i}b")) for i in range(len(by))])
+    else:  # one group: its row is a scalar subquery, not a join
+        rows = src.withColumns({"_n": sketch.select("_n").scalar(), "_e": sketch.select("_e").scalar()})
     v, e = F.col("_v"), F.col("_e")
     inside = F.lit(False)
     below = F.lit(None).cast(df.schema[value].dataType)
