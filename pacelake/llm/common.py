@@ -3,6 +3,7 @@ ranges of document ids, and components of a graph of links."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -50,6 +51,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written:
+    its cleaner does so once the driver has collected their plans, which an
+    idle driver does rarely."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_bucket(column: str, n: int) -> Column:
     """crc32 of an id's decimal text, modulo n (the held-out rule)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

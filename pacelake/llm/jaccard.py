@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacelake.llm.common import components, documents, written
+from pacelake.llm.common import components, documents, tidy, written
 from pacelake.llm.text import BASE, U64, Texts, mix, shingles, slices, word_hashes
 
 NO_ID = -(2**63)
@@ -260,6 +260,8 @@ def linked_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
     # first: the class where the shingle stands first, the one nearest to what the others have in common
     pairs = with_hub(rows, F.col("pos")).select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     links = written(_verified(pairs, sets, num, den), "links")
+    del pairs
+    tidy(sets.sparkSession)
     for last in (False, True):
         comp = components(links)
         named = rows.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
@@ -282,6 +284,14 @@ def linked_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
     return links
 
 
+def _candidates(docs: DataFrame, size: int, num: int, den: int, hot: np.ndarray, hot_count: np.ndarray, buckets: int) -> DataFrame:
+    """Classes (cls, n, tokens) whose shared shingles could fill the overlap."""
+    schema = "bucket int, block long, a binary, b binary, c binary, d binary"
+    back = _packed(docs, size, hot, buckets).groupBy("bucket").applyInArrow(_shared, schema)
+    left = back.groupBy("block").applyInArrow(_survivors(num, den, hot_count), "cls long, n long, tokens array<long>")
+    return written(left.dropDuplicates(["cls"]), "survivors")
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text).
 
@@ -302,10 +312,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     buckets = 64
     while buckets * BUCKET_SHINGLES < total:
         buckets *= 2
-    schema = "bucket int, block long, a binary, b binary, c binary, d binary"
-    back = _packed(own, size, hot_tokens, buckets).groupBy("bucket").applyInArrow(_shared, schema)
-    left = back.groupBy("block").applyInArrow(_survivors(num, den, hot_count), "cls long, n long, tokens array<long>")
-    sets = written(left.dropDuplicates(["cls"]), "survivors")
+    sets = _candidates(own, size, num, den, hot_tokens, hot_count, buckets)
+    tidy(spark)
     comp = components(linked_classes(sets, num, den))
     named = rows.where("n > 0").join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacelake.llm.common import documents, written
+from pacelake.llm.common import documents, tidy, written
 from pacelake.llm.text import BASE, BASE_INVERSE, U64, Texts, mix, powers, shingles, slices
 
 HASHES, ENOUGH = 3, 2
@@ -336,6 +336,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     copies = written(copies, "copies")
     matches = written(_packed(own, size, least, hot, buckets).groupBy("bucket").applyInArrow(_matches(hot_names), "id long, keys binary, hubs binary"), "matches")
     hot_rows = matches.where("id is null").collect()  # at most HOT keys
+    tidy(docs.sparkSession)
     names = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in hot_rows] or [np.zeros(0, np.uint64)])
     hubs = np.concatenate([np.frombuffer(r["hubs"], "<i8") for r in hot_rows] or [np.zeros(0, np.int64)])
     order = np.argsort(names)
@@ -345,6 +346,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     if not len(names):
         todo = todo.where("keys is not null")
     near = written(_contexts(todo, size, least, names[order], hubs[order], buckets), "contexts")
+    del todo, marked, lists
+    tidy(docs.sparkSession)
     hub_rows = near.where("id = hub").groupBy("key").agg(F.min_by("around", "at").alias("hub_around"))
     spans = written(_verified(near.where("id > hub").join(hub_rows, "key"), least), "passages")
 
