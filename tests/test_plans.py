@@ -47,7 +47,7 @@ def broadcast_inputs(plan: str) -> list[str]:
     return out
 
 
-def test_no_hint_broadcasts_a_large_table(spark, plans):
+def test_no_hint_broadcasts_a_large_table(spark):
     # sizes decide at run time; with the threshold off, only a hint could broadcast
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
