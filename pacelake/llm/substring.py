@@ -348,7 +348,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     near = written(_contexts(todo, size, least, names[order], hubs[order], buckets), "contexts")
     del todo, marked, lists
     tidy(docs.sparkSession)
-    hub_rows = near.where("id = hub").groupBy("key").agg(F.min_by("around", "at").alias("hub_around"))
+    # written, so that both sides of the join are plain exchanges, of which AQE splits a hot key's rows
+    hub_rows = written(near.where("id = hub").groupBy("key").agg(F.min_by("around", "at").alias("hub_around")), "heads")
     spans = written(_verified(near.where("id > hub").join(hub_rows, "key"), least), "passages")
 
     def join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
