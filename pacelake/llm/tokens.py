@@ -18,6 +18,7 @@ token are encoded whole by the library.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pacelake.llm.text import Texts, slices
 from pacelake.session import scratch_path
 
 END_ID = 2
-CACHE = 500_000  # distinct pieces a worker remembers between batches and tasks
+CACHE = 1_000_000  # distinct pieces a worker remembers between batches and tasks
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -64,7 +65,7 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<i4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces; the two generations hold at most CACHE of them, and
