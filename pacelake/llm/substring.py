@@ -1,25 +1,21 @@
-"""Near-duplicate passages by compact windows (operator 7).
-
-A text is the sequence of its word shingles. Under each of ``HASHES`` hash
-functions a node of the Cartesian tree over the hashed sequence stands for all
-passages in its interval that contain it: it is their minimum. Only nodes whose
-interval holds at least a passage of the least length matter; they are the
-places that are the minimum of some window of that length, found by sliding
-minima, and their interval is the union of these windows. Two passages with the
-same minimum meet in one group under a function. At least half of a passage lies
-on one side of its minimum, so a window has two keys: its minimum with the half
-passage that follows, and with the half that comes before; equal passages share
-one of them under every function, and passages with few changes under most.
-
-1. Keys are exchanged in packed rows to learn which occur in several documents
-   and in which one first. Keys so frequent that at most ``HOT`` of them can
-   exist are known to every task and are exchanged once per part only.
-2. A document's windows with shared keys are joined with the window of the
-   first document that has the key; the shingles around both minima are
-   compared (verification): a passage extends as long as at least 4 of 5
-   shingles agree.
-3. Verified passages are joined as intervals: what passages under ``ENOUGH``
-   functions cover is a repeated passage.
+"""Near-duplicate passages (operator 7).
+
+A text is the sequence of its word shingles. Anchors are the places that are
+the minimum of some ``SPREAD`` consecutive shingles under a hash function; an
+anchor's key is the hash of the ``RUN`` shingles from it on. Any run of
+``SPREAD + RUN - 1`` shingles that two texts have in common holds an anchor that
+both have. A passage of which 4 of 5 shingles agree in both texts holds such a
+run: a changed word breaks 5 shingles, so that the longest run has 14 at least
+(50 shingles with two changes), and 21 at a Jaccard of 0.8.
+
+1. Keys are exchanged in packed rows to learn which occur in several documents.
+2. Exact passages: the windows of the least length whose anchors are all shared
+   are exchanged by the hash of their words; each learns its first document.
+3. Near passages: anchors that no exact passage covers are compared with the
+   first document that has the key. A shingle agrees if the other text has it within ``SHIFT``
+   places, so that inserted and deleted words do not end a passage; a passage
+   is the longest stretch of which at least 4 of 5 shingles agree.
+4. Passages are joined as intervals.
 
 Texts of the same words as an earlier one are repeated as a whole.
 """
@@ -37,7 +33,8 @@ from pacelake.llm.common import documents, tidy, written
 from pacelake.llm.text import BASE, BASE_INVERSE, U64, Texts, mix, powers, shingles, slices
 
 HASHES, ENOUGH = 3, 2
-HOT = 1 << 16
+SPREAD, RUN = 5, 10  # for passages of 50 words and more
+SHIFT = 0  # places by which inserted or deleted words may move a shingle
 BUCKET_KEYS = 1 << 20
 NO_ID = -(2**63)
 LOW = U64((1 << 48) - 1)
@@ -45,16 +42,16 @@ _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
 MISMATCH = -4  # a passage is worth 1 per equal and this per unequal shingle
 
 
-def windows(g: np.ndarray, owner: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def windows(g: np.ndarray, owner: np.ndarray, least: int, hashes: int = HASHES) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per hash function: (places of the minima of all windows of ``least``
     shingles of one text, their keys)."""
     n = len(g) - least + 1
     if n <= 0:
-        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] * HASHES
+        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] * hashes
     inside = owner[:n] == owner[least - 1 :]
     place = np.arange(len(g), dtype=np.uint64)
     out = []
-    for f in range(HASHES):
+    for f in range(hashes):
         v = mix(g ^ _SEEDS[f])
         low = v & ~U64((1 << 24) - 1) | place  # parts have less than 2**24 shingles
         width = 1
@@ -72,32 +69,44 @@ def windows(g: np.ndarray, owner: np.ndarray, least: int) -> list[tuple[np.ndarr
 class Part:
     """Shingles and windows of a part of the documents."""
 
-    def __init__(self, col: pa.Array, size: int, least: int):
+    def __init__(self, col: pa.Array, size: int, least: int, anchors: bool = True):
         self.texts = Texts(col)
         self.start, self.end, self.at = self.texts.words()
         self.words = self.texts.span_hashes(self.start, self.end, lower=True)
+        if not anchors:
+            return
         self.g, self.owner, self.word = shingles(self.words, self.at, size)
         self.first = np.searchsorted(self.owner, np.arange(self.texts.n + 1))
-        self.windows = windows(self.g, self.owner, least)
-        self.half = least // 2
-
-    def keys(self, f: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of function f's windows: (with what follows, with what comes
-        before). A text's end stands in for what lies beyond it."""
-        at, key = self.windows[f]
-        first, last = self.first[self.owner[at]], self.first[self.owner[at] + 1] - 1
-        out = []
-        for step in (1, -1):
-            acc = key ^ U64(step & 3)
-            for j in range(self.half + 1):
-                acc = mix(acc + self.g[np.clip(at + step * j, first, last)])
-            out.append(acc)
-        return out[0], out[1]
+        self.least, self.length = least, least + size - 1
+        self.spread, self.run = max(1, min(SPREAD, SPREAD * least // 46)), max(1, min(RUN, RUN * least // 46))
+        at, _ = windows(self.g, self.owner, self.spread, 1)[0]
+        first, after = self.first[self.owner[at]], self.first[self.owner[at] + 1]
+        self.anchors = at[(after - first >= least) & (at + self.run <= after)]
 
     def all_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """All keys of the part and the text index of each."""
-        pairs = [(k, self.owner[self.windows[f][0]]) for f in range(HASHES) for k in self.keys(f)]
-        return np.concatenate([k for k, _ in pairs]), np.concatenate([o for _, o in pairs])
+        """Keys of the part's anchors and the text index of each."""
+        key = np.zeros(len(self.anchors), np.uint64)
+        for j in range(self.run):
+            key = mix(key + self.g[self.anchors + j])
+        return key, self.owner[self.anchors]
+
+    def whole(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes of their words) of the windows of the least length
+        whose anchors are all shared, but for those that words before or
+        after the window may have made one."""
+        n = len(self.g) - self.least + 1
+        if n <= 0 or not shared.any():
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        lone = np.zeros(len(self.g) + 1, np.int64)
+        lone[self.anchors[~shared] + 1] = 1
+        lone = np.cumsum(lone)
+        inside = lone[self.least - max(self.run, self.spread) + 1 :][:n] == lone[self.spread - 1 :][:n]
+        at = np.flatnonzero((self.owner[:n] == self.owner[self.least - 1 :]) & inside)
+        word = self.word[at]
+        with np.errstate(over="ignore"):
+            up, down = powers(BASE, len(self.words)), powers(BASE_INVERSE, len(self.words))
+            total = np.concatenate([[U64(0)], np.cumsum(self.words * up[:-1], dtype=np.uint64)])
+            return at, mix((total[word + self.length] - total[word]) * down[word])
 
     def text_hashes(self) -> np.ndarray:
         """Hash of every text's sequence of words."""
@@ -114,50 +123,36 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _survey(docs: DataFrame, size: int, least: int) -> DataFrame:
-    """(id, n_words, text_hash) of documents; (key, count) of keys that are
-    frequent within a part; (total) windows of a part."""
+    """(id, n_words, text_hash) of documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
-            p = Part(batch.column("text"), size, least)
-            keys, _ = p.all_keys()
-            key, count = np.unique(keys, return_counts=True)
-            often = count >= max(3, len(keys) // (2 * HOT))
-            key, count = key[often].view(np.int64), count[often]
-            k, n = len(key), batch.num_rows
-            cols = [
-                pa.concat_arrays([batch.column("id"), pa.nulls(k + 1, pa.int64())]),
-                pa.concat_arrays([pa.array(np.diff(p.at), pa.int64()), pa.nulls(k + 1, pa.int64())]),
-                pa.concat_arrays([pa.array(p.text_hashes()), pa.nulls(k + 1, pa.int64())]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(key), pa.nulls(1, pa.int64())]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(np.append(count, len(keys)), pa.int64())]),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, names=["id", "n_words", "text_hash", "key", "count"])
-
-    return docs.mapInArrow(work, "id long, n_words long, text_hash long, key long, count long")
-
-
-def _packed(docs: DataFrame, size: int, least: int, hot: np.ndarray, buckets: int) -> DataFrame:
+            p = Part(batch.column("text"), size, least, anchors=False)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(p.at), pa.int64()), pa.array(p.text_hashes())], names=["id", "n_words", "text_hash"])
+
+    return docs.mapInArrow(work, "id long, n_words long, text_hash long")
+
+
+def _packed(docs: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
     """A row per bucket and part: keys (48 bits) and the ids of their
-    documents. A frequent key is sent once per part, with the smallest id."""
+    documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
-            ids = batch.column("id").to_numpy()
             key, owner = p.all_keys()
-            doc = ids[owner] if len(key) else np.zeros(0, np.int64)
-            order = np.lexsort((doc, key))
-            key, doc = key[order], doc[order]
+            order = np.argsort(key, kind="stable")
+            key, owner = key[order], owner[order]
             fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | ((doc[1:] != doc[:-1]) & ~np.isin(key[1:], hot))
-            key, doc = key[fresh], doc[fresh]
+            fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+            key, owner = key[fresh], owner[fresh]
+            doc = batch.column("id").to_numpy()[owner] if len(key) else np.zeros(0, np.int64)
             bucket = (key >> U64(48)).astype(np.int64) % buckets
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.int32), kind="stable")
             key, doc, bucket = key[order], doc[order], bucket[order]
             edge = np.searchsorted(bucket, np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(edge))
-            low = key.view("u1").reshape(-1, 8)[:, :6]
+            low = np.ascontiguousarray(key).view("u1").reshape(-1, 8)[:, :6]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(used, pa.int32()),
@@ -181,87 +176,161 @@ def _names(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> U64(48)) % U64(buckets)) << U64(48) | key & LOW
 
 
-def _matches(hot_names: np.ndarray):
-    """A bucket's keys of several documents: per document its keys and the
-    first documents that have them; for frequent keys one row (no id)."""
-
-    def work(table: pa.Table) -> pa.Table:
-        bucket = U64(table.column("bucket")[0].as_py())
-        key = np.concatenate([_low48(x) for x in table.column("keys").to_pylist()]) | bucket << U64(48)
-        doc = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("docs").to_pylist()])
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-        last = np.append(first[1:], len(key)) - 1
-        is_hot = np.isin(key[first], hot_names)
-        shared = (doc[first] != doc[last]) | is_hot
-        hub = np.repeat(doc[first], last - first + 1)
-        use = np.repeat(shared & ~is_hot, last - first + 1)
-        key_, doc_, hub_ = key[use], doc[use], hub[use]
-        order = np.argsort(doc_, kind="stable")
-        key_, doc_, hub_ = key_[order], doc_[order], hub_[order]
-        starts = np.flatnonzero(np.concatenate([[True], doc_[1:] != doc_[:-1]])) if len(doc_) else np.zeros(0, int)
-        ends = np.append(starts[1:], len(doc_))
-        hot_at = first[is_hot]
-        ids = [*doc_[starts].tolist(), *([None] if len(hot_at) else [])]
-        keys = [key_[a:b].astype("<u8").tobytes() for a, b in zip(starts, ends)] + ([key[hot_at].astype("<u8").tobytes()] if len(hot_at) else [])
-        hubs = [hub_[a:b].astype("<i8").tobytes() for a, b in zip(starts, ends)] + ([doc[hot_at].astype("<i8").tobytes()] if len(hot_at) else [])
-        return pa.table({"id": pa.array(ids, pa.int64()), "keys": pa.array(keys, pa.binary()), "hubs": pa.array(hubs, pa.binary())})
-
-    return work
-
-
-def _contexts(rows: DataFrame, size: int, least: int, hot_names: np.ndarray, hot_hubs: np.ndarray, buckets: int) -> DataFrame:
-    """Windows with shared keys of documents (id, text, keys, hubs): the key,
-    the first document, the place and 16 bits of each shingle around it."""
+def _matches(table: pa.Table) -> pa.Table:
+    """A bucket's keys of several documents: per document its keys."""
+    bucket = U64(table.column("bucket")[0].as_py())
+    key = np.concatenate([_low48(x) for x in table.column("keys").to_pylist()]) | bucket << U64(48)
+    doc = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("docs").to_pylist()])
+    key, doc, first = _runs(key, doc)
+    last = np.append(first[1:], len(key)) - 1
+    use = np.repeat(doc[first] != doc[last], last - first + 1) if len(key) else np.zeros(0, bool)
+    ids, keys = _by_doc(doc[use], key[use])
+    return pa.table({"id": pa.array(ids, pa.int64()), "keys": pa.array(keys, pa.binary())})
+
+
+def _runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys that occur twice or more and their documents, sorted by both, and
+    where each key begins."""
+    order = np.argsort(key)
+    key, doc = key[order], doc[order]
+    same = key[1:] == key[:-1]
+    many = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(key) else np.zeros(0, bool)
+    key, doc = key[many], doc[many]
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    return key, doc, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+
+
+def _by_doc(doc: np.ndarray, *columns: np.ndarray) -> list[list]:
+    """Documents, and per column the bytes of each one's values."""
+    order = np.argsort(doc, kind="stable")
+    doc = doc[order]
+    starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
+    ends = np.append(starts[1:], len(doc))
+    columns = [c[order] for c in columns]
+    return [doc[starts].tolist(), *([c[a:b].tobytes() for a, b in zip(starts, ends)] for c in columns)]
+
+
+def _lists(batch: pa.RecordBatch, column: str, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, value) of a column of lists of packed values."""
+    rows = batch.column(column).to_pylist()
+    owner = np.repeat(np.arange(len(rows)), [sum(len(x) // 8 for x in (r or [])) for r in rows])
+    return owner, np.frombuffer(b"".join(x for r in rows for x in (r or [])), dtype)
+
+
+def _owned(key: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(key + owner.astype(np.uint64) * BASE)
+
+
+def _shared(p: Part, batch: pa.RecordBatch, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(name of its key, shared?) of every anchor."""
+    key, owner = p.all_keys()
+    names = _names(key, buckets)
+    of, known = _lists(batch, "keys", "<u8")
+    return names, np.isin(_owned(names, owner), _owned(known, of))
+
+
+def _whole_windows(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
+    """A row per bucket and part: hashes of the windows that may be repeated
+    and the ids of their documents."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            p = Part(batch.column("text"), size, least)
+            at, key = p.whole(_shared(p, batch, buckets)[1])
+            doc = batch.column("id").to_numpy()[p.owner[at]] if len(at) else np.zeros(0, np.int64)
+            used, keys, docs = _by_doc((key >> U64(48)).astype(np.int64) % buckets, key.astype("<u8"), doc.astype("<i8"))
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(keys, pa.binary()), pa.array(docs, pa.binary())], names=["bucket", "keys", "docs"])
+
+    return rows.select("id", "text", "keys").mapInArrow(work, "bucket int, keys binary, docs binary")
+
+
+def _firsts(table: pa.Table) -> pa.Table:
+    """Per document its windows that an earlier one has, and the first such."""
+    key = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()])
+    doc = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("docs").to_pylist()])
+    key, doc, first = _runs(key, doc)
+    hub = np.repeat(doc[first], np.diff(np.append(first, len(key))))
+    fresh = (hub != doc) & np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])[: len(key)]
+    ids, keys, hubs = _by_doc(doc[fresh], key[fresh], hub[fresh])
+    return pa.table({"id": pa.array(ids, pa.int64()), "whole": pa.array(keys, pa.binary()), "hubs": pa.array(hubs, pa.binary())})
+
+
+def _anchors(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
+    """Exact passages (id, lo, hi, hub) in shingle places, without key; shared
+    anchors (key, id, lo) and whether no exact passage covers them (open)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
             ids = batch.column("id").to_numpy()
-            short = (mix(p.g) >> U64(48)).astype("u2") | np.uint16(1)
-            known = [[np.frombuffer(x, dt) for y in row for x in (y or [])] for dt, col in (("<u8", "keys"), ("<i8", "hubs")) for row in [batch.column(col).to_pylist()]]
-            owners = np.repeat(np.arange(batch.num_rows), [sum(len(x) // 8 for x in (y or [])) for y in batch.column("keys").to_pylist()])
-            k_all = np.concatenate([*known[0], np.zeros(0, np.uint64)])
-            h_all = np.concatenate([*known[1], np.zeros(0, np.int64)])
-            with np.errstate(over="ignore"):
-                tag = mix(k_all + owners.astype(np.uint64) * BASE)
+            names, shared = _shared(p, batch, buckets)
+            at, key = p.whole(shared)
+            of, known = _lists(batch, "whole", "<u8")
+            tag, hubs = _owned(known, of), _lists(batch, "hubs", "<i8")[1]
             order = np.argsort(tag)
-            tag, h_all = tag[order], h_all[order]
-
-            def first_of(names: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                """(shared?, first document) of the keys of texts."""
-                shared, hub = np.zeros(len(names), bool), np.zeros(len(names), np.int64)
-                with np.errstate(over="ignore"):
-                    mine = mix(names + own.astype(np.uint64) * BASE)
-                for tags, hubs, wanted in ((tag, h_all, mine), (hot_names, hot_hubs, names)):
-                    if len(tags):
-                        i = np.minimum(np.searchsorted(tags, wanted), len(tags) - 1)
-                        hit = tags[i] == wanted
-                        shared |= hit
-                        hub = np.where(hit, hubs[i], hub)
-                return shared, hub
-
-            for f in range(HASHES):
-                at, own = p.windows[f][0], p.owner[p.windows[f][0]]
-                names = [_names(k, buckets) for k in p.keys(f)]
-                (after, hub_after), (before, hub_before) = (first_of(n, own) for n in names)
-                # one comparison with the same first document is enough; a first document offers both
-                before &= ~(after & (hub_after == hub_before)) | (hub_before == ids[own])
-                for use, name, hub in ((after, names[0], hub_after), (before, names[1], hub_before)):
-                    a, o = at[use], own[use]
-                    around = a[:, None] + np.arange(1 - least, least)
-                    valid = (around >= p.first[o][:, None]) & (around < p.first[o + 1][:, None])
-                    ctx = np.where(valid, short[np.clip(around, 0, max(0, len(short) - 1))], 0).astype("<u2") if len(a) else np.zeros((0, 2 * least - 1), "<u2")
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(name[use].view(np.int64)), pa.array(ids[o]), pa.array(hub[use], pa.int64()), pa.array(np.full(len(a), f), pa.int8()),
-                            pa.array((a - p.first[o]).astype(np.int32)), pa.array([c.tobytes() for c in ctx], pa.binary()),
-                        ],
-                        names=["key", "id", "hub", "f", "at", "around"],
-                    )
-
-    return rows.select("id", "text", "keys", "hubs").mapInArrow(work, "key long, id long, hub long, f byte, at int, around binary")
+            tag, hubs = tag[order], hubs[order]
+            mine = _owned(key, p.owner[at]) if len(at) else key
+            i = np.minimum(np.searchsorted(tag, mine), max(0, len(tag) - 1))
+            hit = tag[i] == mine if len(tag) else np.zeros(len(at), bool)
+            at, hub = at[hit], hubs[i[hit]] if len(tag) else np.zeros(0, np.int64)
+            deep = np.zeros(len(p.g) + 1, np.int64)
+            np.add.at(deep, at, 1)
+            np.add.at(deep, at + least, -1)
+            cover = np.concatenate([[0], np.cumsum(np.cumsum(deep)[:-1] > 0)])
+            # windows in a row with the same first document are one passage
+            new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (hub[1:] != hub[:-1]) | (p.owner[at[1:]] != p.owner[at[:-1]])])[: len(at)]
+            lo, end = at[new], at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
+            own = p.owner[lo] if len(lo) else lo
+            a = p.anchors[shared]
+            o = p.owner[a] if len(a) else a
+            wants = cover[a + p.run] - cover[a] < p.run
+            n, k = len(lo), len(a)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(names[shared].view(np.int64))]),
+                    pa.array(np.concatenate([ids[own], ids[o]]), pa.int64()),
+                    pa.array(np.concatenate([lo - p.first[own], a - p.first[o]]).astype(np.int32)),
+                    pa.concat_arrays([pa.array((end + least - 1 - p.first[own]).astype(np.int32)), pa.nulls(k, pa.int32())]),
+                    pa.concat_arrays([pa.array(hub[new]), pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([pa.nulls(n, pa.bool_()), pa.array(wants)]),
+                ],
+                names=["key", "id", "lo", "hi", "hub", "open"],
+            )
+
+    return rows.select("id", "text", "keys", "whole", "hubs").mapInArrow(work, "key long, id long, lo int, hi int, hub long, open boolean")
+
+
+def _contexts(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
+    """Picked anchors of documents (id, text, picks): the key, the place and 16
+    bits of each shingle around it. Picks are (key, lo, asks)."""
+    reach = least - 1 + SHIFT
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            p = Part(batch.column("text"), size, least)
+            ids = batch.column("id").to_numpy()
+            short = (mix(p.g) >> U64(48)).astype("u2") | np.uint16(1)
+            picks = batch.column("picks")
+            flat = picks.flatten()
+            o = np.repeat(np.arange(batch.num_rows), np.diff(picks.offsets.to_numpy()))
+            at, key = flat.field("lo").to_numpy() + p.first[o], flat.field("key").to_numpy()
+            real, names = np.zeros(len(at), bool), _names(p.all_keys()[0], buckets)
+            i = np.minimum(np.searchsorted(p.anchors, at), max(0, len(p.anchors) - 1))
+            real = (p.anchors[i] == at) & (names[i].view(np.int64) == key) & (p.owner[p.anchors[i]] == o) if len(names) else real  # rows of the same id
+            for c in range(0, len(at), 20_000):
+                ok = np.flatnonzero(real[c : c + 20_000]) + c
+                a = at[ok]
+                around = a[:, None] + np.arange(-reach, reach + 1)
+                valid = (around >= p.first[o[ok]][:, None]) & (around < p.first[o[ok] + 1][:, None])
+                ctx = np.where(valid, short[np.clip(around, 0, max(0, len(short) - 1))], 0).astype("<u2") if len(a) else np.zeros((0, 2 * reach + 1), "<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[ok]), pa.array(ids[o[ok]]), pa.array((a - p.first[o[ok]]).astype(np.int32)), flat.field("asks").take(pa.array(ok)), pa.array([x.tobytes() for x in ctx], pa.binary())],
+                    names=["key", "id", "at", "asks", "around"],
+                )
+
+    return rows.select("id", "text", "picks").mapInArrow(work, "key long, id long, at int, asks boolean, around binary")
 
 
 def passage_ends(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,32 +341,64 @@ def passage_ends(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return reach(worth[:, least - 2 :: -1]), reach(worth[:, least:])
 
 
-def _verified(pairs: DataFrame, least: int) -> DataFrame:
-    """Verified passages (id, hub, f, lo, hi) in shingle places."""
+def agreeing(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """(n, 2 * least - 1) places of mine whose shingle the other has within SHIFT places."""
+    n = mine.shape[1] - 2 * SHIFT
+    middle = mine[:, SHIFT : SHIFT + n]
+    out = np.zeros(middle.shape, bool)
+    for d in range(2 * SHIFT + 1):
+        out |= middle == other[:, d : d + n]
+    return out & (middle > 0)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, 2 * least - 1) for c in ("around", "hub_around"))
-            left, right = passage_ends((a == b) & (a > 0), least)
-            ok = left + right + 1 >= least
-            at = batch.column("at").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).filter(pa.array(ok)) for c in ("id", "hub", "f")), pa.array((at - left)[ok].astype(np.int32)), pa.array((at + right)[ok].astype(np.int32))],
-                names=["id", "hub", "f", "lo", "hi"],
-            )
 
-    return pairs.select("id", "hub", "f", "at", "around", "hub_around").mapInArrow(work, "id long, hub long, f byte, lo int, hi int")
+def longest_passage(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles to the left, to the right) of the middle that belong to the
+    longest stretch around it that begins and ends with agreeing shingles and
+    of which 4 of 5 agree."""
+    worth = np.where(same, 1, MISMATCH)
+    sides = [(np.cumsum(np.hstack([np.zeros((len(same), 1), int), worth[:, cut]]), 1), np.hstack([np.ones((len(same), 1), bool), same[:, cut]])) for cut in (slice(least - 2, None, -1), slice(least, None))]
+    (left, left_ok), (right, right_ok) = sides
+    right = np.where(right_ok, right, -(10**6))
+    best, at_left, at_right = np.full(len(same), -1), np.zeros(len(same), int), np.zeros(len(same), int)
+    for i in range(least):
+        fits = left[:, i, None] + worth[:, least - 1, None] + right >= 0
+        j = least - 1 - np.argmax(fits[:, ::-1], 1)
+        better = left_ok[:, i] & fits.any(1) & (i + j > best)
+        best, at_left, at_right = np.where(better, i + j, best), np.where(better, i, at_left), np.where(better, j, at_right)
+    return at_left, at_right
+
 
+def _verified(pairs: DataFrame, least: int) -> DataFrame:
+    """Verified passages (key, id, at, hub, lo, hi) in shingle places."""
+    width = 2 * (least - 1 + SHIFT) + 1
 
-def covered(found: list[dict], size: int, least: int) -> list[tuple[int, int, int]]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for c in range(0, whole.num_rows, 4096):
+                batch = whole.slice(c, 4096)
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, width) for c in ("around", "hub_around"))
+                same = agreeing(a, b)
+                batch, same = batch.filter(pa.array(same.sum(1) * 5 >= 4 * least)), same[same.sum(1) * 5 >= 4 * least]
+                left, right = longest_passage(same, least)
+                ok = left + right + 1 >= least
+                at = batch.column("at").to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).filter(pa.array(ok)) for c in ("key", "id", "at", "hub")), pa.array((at - left)[ok].astype(np.int32)), pa.array((at + right)[ok].astype(np.int32))],
+                    names=["key", "id", "at", "hub", "lo", "hi"],
+                )
+
+    return pairs.select("key", "id", "at", "hub", "around", "hub_around").mapInArrow(work, "key long, id long, at int, hub long, lo int, hi int")
+
+
+def covered(found: list[dict], size: int, least: int, functions: int = ENOUGH) -> list[tuple[int, int, int]]:
     """Join of a document's passages as intervals: stretches (first word,
-    number of words, smallest first document) under ENOUGH functions."""
+    number of words, smallest first document) under as many functions."""
     events = sorted([(x["lo"], 1, x["f"], x["hub"]) for x in found] + [(x["hi"] + 1, 0, x["f"], x["hub"]) for x in found])
     open_: dict[int, int] = {}
     out, begin = [], None
     for place, opens, f, _ in events:
         open_[f] = open_.get(f, 0) + (1 if opens else -1)
-        enough = sum(1 for c in open_.values() if c) >= ENOUGH
+        enough = sum(1 for c in open_.values() if c) >= functions
         if enough and begin is None:
             begin = place
         elif not enough and begin is not None:
@@ -313,7 +414,7 @@ def covered(found: list[dict], size: int, least: int) -> list[tuple[int, int, in
 def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> DataFrame:
     """(doc_id, first_word, n_words, first_doc_id): every passage of at least
     ``min_words`` words of docs (doc_id, text) that an earlier document (by id)
-    has too, exactly or at least 4 of 5 of its shingles in step.
+    has too, exactly or at least 4 of 5 of its shingles in about the same order.
 
     Words are compared with A-Z lower-cased. Null and empty texts and texts
     with fewer words have none. Rows with the same id count as one document,
@@ -323,38 +424,44 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     least = min_words - size + 1
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
     survey = written(_survey(own, size, least), "survey")
-    sizes, often = survey.where("text_hash is not null"), survey.where("key is not null")
-    total = survey.where("text_hash is null and key is null").agg(F.sum("count")).first()[0] or 0
-    found = often.groupBy("key").agg(F.sum("count").alias("c")).where(F.col("c") >= max(3, -(-total // HOT))).select("key").collect()
-    hot = np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
+    total = survey.agg(F.sum("n_words")).first()[0] or 0
     buckets = 64
-    while buckets * BUCKET_KEYS < total:
+    while buckets * BUCKET_KEYS * (SPREAD + 1) < total * 2:
         buckets *= 2
-    hot_names = np.unique(_names(hot, buckets))
-    firsts = sizes.where(F.col("n_words") >= min_words).groupBy("text_hash", "n_words").agg(F.min("id").alias("original"), F.max("id").alias("last"))
-    copies = sizes.join(firsts.where("original <> last"), ["text_hash", "n_words"]).where("id <> original").select("id", "original", "n_words").distinct()
+    firsts = survey.where(F.col("n_words") >= min_words).groupBy("text_hash", "n_words").agg(F.min("id").alias("original"), F.max("id").alias("last"))
+    copies = survey.join(firsts.where("original <> last"), ["text_hash", "n_words"]).where("id <> original").select("id", "original", "n_words").distinct()
     copies = written(copies, "copies")
-    matches = written(_packed(own, size, least, hot, buckets).groupBy("bucket").applyInArrow(_matches(hot_names), "id long, keys binary, hubs binary"), "matches")
-    hot_rows = matches.where("id is null").collect()  # at most HOT keys
-    tidy(docs.sparkSession)
-    names = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in hot_rows] or [np.zeros(0, np.uint64)])
-    hubs = np.concatenate([np.frombuffer(r["hubs"], "<i8") for r in hot_rows] or [np.zeros(0, np.int64)])
-    order = np.argsort(names)
-    lists = matches.where("id is not null").groupBy("id").agg(F.collect_list("keys").alias("keys"), F.collect_list("hubs").alias("hubs"))
-    marked = lists.join(copies.select("id", F.lit(True).alias("copy")), "id", "full")
-    todo = own.join(marked, "id", "left").where("copy is null")
-    if not len(names):
-        todo = todo.where("keys is not null")
-    near = written(_contexts(todo, size, least, names[order], hubs[order], buckets), "contexts")
-    del todo, marked, lists
-    tidy(docs.sparkSession)
+    spark = docs.sparkSession
+    matches = written(_packed(own, size, least, buckets).groupBy("bucket").applyInArrow(_matches, "id long, keys binary"), "matches")
+    tidy(spark)
+    lists = matches.groupBy("id").agg(F.collect_list("keys").alias("keys")).join(copies, "id", "left_anti")
+    todo = written(own.join(lists, "id"), "todo")
+    tidy(spark)
+    whole = _whole_windows(todo, size, least, buckets).groupBy("bucket").applyInArrow(_firsts, "id long, whole binary, hubs binary")
+    whole = written(whole, "whole")
+    tidy(spark)
+    hits = whole.groupBy("id").agg(F.collect_list(F.struct("whole", "hubs")).alias("hits")).select("id", "hits.whole", "hits.hubs")
+    anchors = written(_anchors(todo.join(hits, "id", "left"), size, least, buckets), "anchors")
+    tidy(spark)
+    exact = anchors.where("key is null").select("id", "lo", "hi", "hub")
+    shared = anchors.where("key is not null").select("key", "id", "lo", "open")
+    contexts = lambda rows, name: written(_contexts(todo.select("id", "text").join(rows.groupBy("id").agg(F.collect_list(F.struct("key", "lo", "asks")).alias("picks")), "id"), size, least, buckets), name)
+    # open anchors ask the first document that has the key
+    heads = shared.groupBy("key").agg(F.min(F.struct("id", "lo")).alias("head"), F.max(F.when(F.col("open"), F.col("id"))).alias("asks")).where("asks > head.id")
+    heads = written(heads.select("key", F.col("head.id").alias("hub"), F.col("head.lo").alias("hub_lo")), "heads")
+    asking = shared.where("open").join(heads, "key").where("id > hub").select("key", "id", "lo", F.lit(True).alias("asks"))
+    near = contexts(asking.union(heads.select("key", F.col("hub").alias("id"), F.col("hub_lo").alias("lo"), F.lit(False).alias("asks"))), "contexts")
+    tidy(spark)
     # written, so that both sides of the join are plain exchanges, of which AQE splits a hot key's rows
-    hub_rows = written(near.where("id = hub").groupBy("key").agg(F.min_by("around", "at").alias("hub_around")), "heads")
-    spans = written(_verified(near.where("id > hub").join(hub_rows, "key"), least), "passages")
+    asked = near.where("asks").drop("asks")
+    firsts = near.where("not asks").select("key", F.col("id").alias("hub"), F.col("around").alias("hub_around"))
+    found = written(_verified(asked.join(firsts, "key"), least), "passages")
+    tidy(spark)
+    spans = exact.unionByName(found.select("id", "lo", "hi", "hub")).withColumn("f", F.lit(0))
 
     def join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, *s) for i, x in zip(batch.column("id").to_pylist(), batch.column("found").to_pylist()) for s in covered(x, size, least)]
+            rows = [(i, *s) for i, x in zip(batch.column("id").to_pylist(), batch.column("found").to_pylist()) for s in covered(x, size, least, 1)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["id", "first_word", "n_words", "original"])
 
     each = spans.groupBy("id").agg(F.collect_list(F.struct("f", "lo", "hi", "hub")).alias("found"))  # a document's own windows
