@@ -12,7 +12,8 @@ run: a changed word breaks 5 shingles, so that the longest run has 14 at least
 2. Exact passages: the windows of the least length whose anchors are all shared
    are exchanged by the hash of their words; each learns its first document.
 3. Near passages: anchors that no exact passage covers are compared with the
-   first document that has the key. A shingle agrees if the other text has it within ``SHIFT``
+   first document that has the key, and where that fails with all others, at
+   every place. A shingle agrees if the other text has it within ``SHIFT``
    places, so that inserted and deleted words do not end a passage; a passage
    is the longest stretch of which at least 4 of 5 shingles agree.
 4. Passages are joined as intervals.
@@ -457,7 +458,16 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     firsts = near.where("not asks").select("key", F.col("id").alias("hub"), F.col("around").alias("hub_around"))
     found = written(_verified(asked.join(firsts, "key"), least), "passages")
     tidy(spark)
-    spans = exact.unionByName(found.select("id", "lo", "hi", "hub")).withColumn("f", F.lit(0))
+    # where the first document has not the passage, all that have the key, each surrounding once
+    rest = written(asked.join(found, ["key", "id", "at"], "left_anti"), "rest")
+    left = rest.groupBy("key").agg(F.max("id").alias("last"))
+    others = shared.join(left, "key").where("id < last").select("key", "id", "lo", F.lit(False).alias("asks"))
+    others = contexts(others, "others").groupBy("key", "around").agg(F.min("id").alias("hub")).withColumnRenamed("around", "hub_around")
+    others = written(others, "others")
+    tidy(spark)
+    more = written(_verified(rest.join(others, "key").where("id > hub"), least), "passages")
+    tidy(spark)
+    spans = exact.unionByName(found.select("id", "lo", "hi", "hub")).unionByName(more.select("id", "lo", "hi", "hub")).withColumn("f", F.lit(0))
 
     def join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

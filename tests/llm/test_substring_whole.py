@@ -39,3 +39,14 @@ def changed(n, places, how):
 @pytest.mark.parametrize(("n", "places"), [(60, [30]), (60, [20]), (80, [40]), (100, [33, 66]), (100, [25, 50, 75])])
 def test_replaced_words(make, n, places):
     assert lost(make, 60, changed(n, places, "replace")) == []
+
+
+def test_earlier_documents_with_a_part(make):
+    same = lambda rng: (lambda p: (p, p))(fresh(rng, 60))
+    assert lost(make, 60, same, lambda p, k, rng: [p[:40]]) == []
+    assert lost(make, 60, same, lambda p, k, rng: [p[:48], p[-48:]]) == []
+    assert lost(make, 60, same, lambda p, k, rng: [p[:48] + fresh(rng, 9) + p[12:]]) == []
+
+
+def test_near_passage_behind_a_part(make):
+    assert lost(make, 30, changed(60, [30], "replace"), lambda p, k, rng: [p[:28], p[-28:]]) == []
