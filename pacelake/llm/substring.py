@@ -35,7 +35,7 @@ from pacelake.llm.text import BASE, BASE_INVERSE, U64, Texts, mix, powers, shing
 
 HASHES, ENOUGH = 3, 2
 SPREAD, RUN = 5, 10  # for passages of 50 words and more
-SHIFT = 0  # places by which inserted or deleted words may move a shingle
+SHIFT = 16  # places by which inserted or deleted words may move a shingle
 BUCKET_KEYS = 1 << 20
 NO_ID = -(2**63)
 LOW = U64((1 << 48) - 1)

@@ -41,6 +41,12 @@ def test_replaced_words(make, n, places):
     assert lost(make, 60, changed(n, places, "replace")) == []
 
 
+@pytest.mark.parametrize("how", ["insert", "delete"])
+def test_inserted_and_deleted_words(make, how):
+    assert lost(make, 60, changed(60, [30], how)) == []
+    assert lost(make, 30, changed(100, [33, 66], how)) == []
+
+
 def test_earlier_documents_with_a_part(make):
     same = lambda rng: (lambda p: (p, p))(fresh(rng, 60))
     assert lost(make, 60, same, lambda p, k, rng: [p[:40]]) == []
