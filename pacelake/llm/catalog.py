@@ -10,6 +10,7 @@ from pacelake.llm.fingerprint import op2_fingerprint
 from pacelake.llm.flatfiles import op8_token_counts
 from pacelake.llm.jaccard import op5_jaccard_join
 from pacelake.llm.language import op1_language_id
+from pacelake.llm.manifest import op13_merkle_manifest
 from pacelake.llm.mixing import op9_mixing
 from pacelake.llm.pieces import op3_sentencepiece
 from pacelake.llm.quality import op10_quality_rules
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: None of the contracts is expressible in plain SQL over whole tables; the
