@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacelake.llm import decontamination
+from pacelake.llm.conversations import op11_conversation_repair
 from pacelake.llm.fingerprint import op2_fingerprint
 from pacelake.llm.flatfiles import op8_token_counts
 from pacelake.llm.jaccard import op5_jaccard_join
@@ -31,9 +33,11 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_decontamination": decontamination.op12_decontamination,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-#: None of the contracts is expressible in plain SQL over whole tables; the
-#: tests hold every query against brute force, a round trip or held-out rows.
-ORACLE_SQL: dict[str, str] = {}
+#: The other contracts are not expressible in plain SQL over whole tables; the
+#: tests hold their queries against brute force, a round trip or held-out rows.
+ORACLE_SQL: dict[str, str] = {"op12_decontamination": decontamination.ORACLE_SQL}
