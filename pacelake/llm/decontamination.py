@@ -11,7 +11,11 @@ The join is a prefix-filtered set join on word shingles:
    hold; a window with a shingle that occurs nowhere is out.
 3. An occurrence of a prefix fixes where the window would start: it must start
    and end inside the document (positional and length bounds).
-4. What is left is verified word by word over spans of the window's length.
+4. What is left is verified over the window's whole span: every shingle of the
+   window must stand at its place in the document.
+
+Texts are read once, and only occurrences are shuffled. Shingles are compared by
+64-bit hashes; a window of ten words is equal in six of them, one by one place.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pacelake.sources.tables import read_table
 
 WINDOW = 10
 SHINGLE = 5
+PRESENT = 0  # stands for a row itself among its shingles
 #: What separates words once A-Z are lower-cased.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,13 +61,17 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _occurrences(rows: DataFrame, tokens: DataFrame, sizes: list[int]) -> DataFrame:
     """(doc_id, row_key, n_words, pos, token): where a document has one of the
-    tokens. The tokens are a written table, so Spark knows their size and
+    tokens, and once per row, at place -1, the token ``PRESENT`` that all rows
+    have. The tokens are a written table, so Spark knows their size and
     broadcasts them, or shuffles behind a runtime filter."""
     split = rows.select("doc_id", "row_key", words(F.col("text")).alias("w"))
     per_size = []
-    for size in sizes:
-        runs = split.select("doc_id", "row_key", F.size("w").alias("n_words"), F.posexplode(shingle_hashes(F.col("w"), size)).alias("pos", "token"))
-        per_size.append(runs.join(tokens, "token"))
+    for k, size in enumerate(sizes):
+        hashes = shingle_hashes(F.col("w"), size)
+        if k == 0:
+            hashes = F.concat(F.array(F.lit(PRESENT)), hashes)
+        runs = split.select("doc_id", "row_key", F.size("w").alias("n_words"), F.posexplode(hashes).alias("pos", "token"))
+        per_size.append(runs.join(tokens, "token").withColumn("pos", F.col("pos") - (1 if k == 0 else 0)))
     return reduce(DataFrame.unionByName, per_size)
 
 
@@ -98,31 +107,39 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     once. Extra columns are ignored. Without documents there are no rows, without
     items no hits.
     """
+    spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_key"))
     windows = written(item_windows(items, window), "windows")
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # SHINGLE values at most
     w = F.split("wtext", " ")
     tokens = reduce(lambda c, s: F.when(F.col("size") == s, shingle_hashes(w, s)).otherwise(c), sizes, F.array().cast("array<bigint>"))
     distinct = written(windows.select("wtext", "len", "size").distinct().select("wtext", "len", tokens.alias("tokens")), "windows")
-    known = written(distinct.select(F.explode("tokens").alias("token")).distinct(), "tokens")
-    found = written(_occurrences(rows, known, sizes or [SHINGLE]), "occurrences")
+    known = distinct.select(F.explode("tokens").alias("token")).union(spark.range(1).select(F.lit(PRESENT).cast("long"))).distinct()
+    known = written(known, "tokens")
+    seen = written(_occurrences(rows, known, sizes or [SHINGLE]), "occurrences")
+    found = written(seen.where("pos >= 0").distinct(), "occurrences")
     prefix = written(prefixes(distinct, found), "prefixes")
     start = F.col("pos") - F.col("at")
     inside = (start >= 0) & (start + F.col("len") <= F.col("n_words"))
-    asked = found.join(prefix, "token").where(inside).select("doc_id", "row_key", F.struct(start.alias("start"), "len", "wtext").alias("span"))
-    asked = asked.groupBy("doc_id", "row_key").agg(F.collect_set("span").alias("spans"))
-    asked = written(asked.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "spans"), "candidates")
+    asked = found.join(prefix, "token").where(inside).select("doc_id", "row_key", start.alias("start"), "wtext", "len")
+    parts = asked.join(distinct.select("wtext", "tokens"), "wtext").select("doc_id", "row_key", "start", "wtext", "len", F.size("tokens").alias("n"), F.posexplode("tokens").alias("k", "token"))
+    there = found.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("pos").alias("_pos"), F.col("token").alias("_token"))
     here = lambda df: (F.col("row_key") == df["_key"]) & F.col("doc_id").eqNullSafe(df["_id"])
-    read = rows.join(asked, here(asked), "left").select("doc_id", "row_key", "spans", words(F.col("text")).alias("w"))
-    held = F.filter(F.coalesce("spans", F.array().cast(asked.schema["spans"].dataType)), lambda s: F.array_join(F.slice("w", s["start"] + 1, s["len"]), " ") == s["wtext"])
-    read = read.select("doc_id", "row_key", F.size("w").cast("long").alias("n_words"), held.alias("spans"))
-    verified = written(read.select("doc_id", "row_key", "n_words", _hit_words(F.col("spans")).cast("long").alias("n_hit"), F.array_distinct(F.col("spans")["wtext"]).alias("wtexts")), "verified")
-    which = verified.where("n_hit > 0").select("doc_id", "row_key", F.explode("wtexts").alias("wtext")).distinct().join(windows.select("wtext", "item_id"), "wtext")
+    at_place = here(there) & (F.col("start") + F.col("k") == there["_pos"]) & (F.col("token") == there["_token"])
+    held = parts.join(there, at_place, "left_semi").groupBy("doc_id", "row_key", "start", "wtext", "len", "n").agg(F.count(F.lit(1)).alias("equal")).where("equal = n")
+    verified = written(held.select("doc_id", "row_key", "start", "len", "wtext"), "verified")
+    named = lambda df, *cols: df.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), *cols)
+    hits = named(verified.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("start", "len")).alias("spans")), _hit_words(F.col("spans")).cast("long").alias("n_hit"))
+    which = verified.select("doc_id", "row_key", "wtext").distinct().join(windows.select("wtext", "item_id"), "wtext")
     listed = which.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    listed = listed.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.size("items").cast("long").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("sha"))
-    return verified.drop("wtexts").join(listed, here(listed), "left").select(
-        "doc_id", "n_words", "n_hit", F.coalesce("n", F.lit(0)).cast("long").alias("n_items"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
-    )
+    listed = named(listed, F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("sha"))
+    results = hits.join(listed, (hits["_key"] == listed["_key"]) & hits["_id"].eqNullSafe(listed["_id"])).select(hits["_id"], hits["_key"], "n_hit", "n_items", "sha")
+    results = written(results, "contaminated")
+    none = F.lit(0).cast("long")
+    return seen.where("pos < 0").join(results, here(results), "left").select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
+        F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
+    )
 
 
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
