@@ -1,21 +1,24 @@
-"""Near-duplicate passages (operator 7).
-
-A text is the sequence of its word shingles. Anchors are the places that are
-the minimum of some ``SPREAD`` consecutive shingles under a hash function; an
-anchor's key is the hash of the ``RUN`` shingles from it on. Any run of
-``SPREAD + RUN - 1`` shingles that two texts have in common holds an anchor that
-both have. A passage of which 4 of 5 shingles agree in both texts holds such a
-run: a changed word breaks 5 shingles, so that the longest run has 14 at least
-(50 shingles with two changes), and 21 at a Jaccard of 0.8.
-
-1. Keys are exchanged in packed rows to learn which occur in several documents.
-2. Exact passages: the windows of the least length whose anchors are all shared
-   are exchanged by the hash of their words; each learns its first document.
-3. Near passages: anchors that no exact passage covers are compared with the
-   first document that has the key, and where that fails with all others, at
-   every place. A shingle agrees if the other text has it within ``SHIFT``
-   places, so that inserted and deleted words do not end a passage; a passage
-   is the longest stretch of which at least 4 of 5 shingles agree.
+"""Near-duplicate passages by compact windows (operator 7).
+
+A text is the sequence of its word shingles, and a passage of ``min_words`` words
+a window of ``least`` of them. Under a hash function, the windows that have the
+same shingle as their minimum are one compact window: a node of the Cartesian
+tree of the hashes, kept if it is ``least`` wide. Two similar windows have the
+same minimum under most of ``HASHES`` functions.
+
+1. The minima of all compact windows are exchanged as keys. A part of the corpus
+   sends a key once, for its first document; its other documents are compared
+   with that one. So a key that every document has costs a row a part.
+2. Per document, partner and diagonal the compact windows are joined as
+   intervals; where at least ``ENOUGH`` functions meet, the stretch is compared
+   once: two shingles agree if the partner has them within ``SHIFT`` places, so
+   inserted and deleted words do not end a passage, and passages are the windows
+   of which 4 of 5 shingles agree.
+3. A key has one partner, the first document that has it. Where that one has too
+   little of a passage, the stretches that no passage covers, but where enough
+   functions meet over all partners, are exchanged again by keys that are harder
+   to share: pairs of minima, and whole windows. Both costs follow the number of
+   occurrences, not of pairs.
 4. Passages are joined as intervals.
 
 Texts of the same words as an earlier one are repeated as a whole.
@@ -24,6 +27,7 @@ Texts of the same words as an earlier one are repeated as a whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,87 +37,114 @@ from pyspark.sql import functions as F
 from pacelake.llm.common import documents, tidy, written
 from pacelake.llm.text import BASE, BASE_INVERSE, U64, Texts, mix, powers, shingles, slices
 
-HASHES, ENOUGH = 3, 2
-SPREAD, RUN = 5, 10  # for passages of 50 words and more
+HASHES, ENOUGH = 6, 2
 SHIFT = 16  # places by which inserted or deleted words may move a shingle
+DIAGONAL = 8  # diagonals of a cell
+QUANTUM = 32  # partners' stretches begin and end at multiples, so that they can be shared
 BUCKET_KEYS = 1 << 20
 NO_ID = -(2**63)
-LOW = U64((1 << 48) - 1)
+STEP = 1 << 22  # shingles whose minima are looked for at a time
+PLACE = U64((1 << 24) - 1)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
-MISMATCH = -4  # a passage is worth 1 per equal and this per unequal shingle
-
-
-def windows(g: np.ndarray, owner: np.ndarray, least: int, hashes: int = HASHES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per hash function: (places of the minima of all windows of ``least``
-    shingles of one text, their keys)."""
-    n = len(g) - least + 1
-    if n <= 0:
-        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] * hashes
-    inside = owner[:n] == owner[least - 1 :]
-    place = np.arange(len(g), dtype=np.uint64)
-    out = []
-    for f in range(hashes):
-        v = mix(g ^ _SEEDS[f])
-        low = v & ~U64((1 << 24) - 1) | place  # parts have less than 2**24 shingles
-        width = 1
+KEY_BYTES = 6
+FIELDS = [("keys", f"V{KEY_BYTES}"), ("docs", "<i8"), ("places", "<i4"), ("backs", "u1"), ("aheads", "u1"), ("masks", "u1"), ("hubs", "<i8"), ("hub_places", "<i4")]
+PACKED = "bucket int, " + ", ".join(f"{name} binary" for name, _ in FIELDS)
+MATCH = "id long, at int, lo int, hi int, mask int, hub long, hub_at int"
+
+
+def minima(v: np.ndarray, least: int) -> np.ndarray:
+    """The place of the minimum of every run of ``least`` values (of equals the
+    first; the lowest 24 bits do not count)."""
+    n = len(v) - least + 1
+    out = np.empty(max(n, 0), np.int64)
+    for a in range(0, max(n, 0), STEP):
+        part = v[a : a + STEP + least - 1]
+        low = part & ~PLACE | np.arange(len(part), dtype=np.uint64)
+        width, m = 1, len(part) - least + 1
         while 2 * width <= least:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
-        low = np.minimum(low[:n], low[least - width : least - width + n])[inside]
-        at = (low & U64((1 << 24) - 1)).astype(np.int64)
-        at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
-        at = np.unique(at)
-        out.append((at, mix(v[at] + U64(f))))
+        out[a : a + m] = (np.minimum(low[:m], low[least - width : least - width + m]) & PLACE).astype(np.int64) + a
     return out
 
 
+def _runs(starts: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of the runs of consecutive starts with equal values."""
+    new = np.ones(len(starts), bool)
+    new[1:] = starts[1:] != starts[:-1] + 1
+    for x in values:
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:], len(starts))[: len(first)] - 1
+
+
 class Part:
-    """Shingles and windows of a part of the documents."""
+    """Words and shingles of a part of the documents."""
 
-    def __init__(self, col: pa.Array, size: int, least: int, anchors: bool = True):
+    def __init__(self, col: pa.Array, size: int, least: int, words_only: bool = False):
         self.texts = Texts(col)
         self.start, self.end, self.at = self.texts.words()
         self.words = self.texts.span_hashes(self.start, self.end, lower=True)
-        if not anchors:
+        if words_only:
             return
         self.g, self.owner, self.word = shingles(self.words, self.at, size)
         self.first = np.searchsorted(self.owner, np.arange(self.texts.n + 1))
         self.least, self.length = least, least + size - 1
-        self.spread, self.run = max(1, min(SPREAD, SPREAD * least // 46)), max(1, min(RUN, RUN * least // 46))
-        at, _ = windows(self.g, self.owner, self.spread, 1)[0]
-        first, after = self.first[self.owner[at]], self.first[self.owner[at] + 1]
-        self.anchors = at[(after - first >= least) & (at + self.run <= after)]
-
-    def all_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the part's anchors and the text index of each."""
-        key = np.zeros(len(self.anchors), np.uint64)
-        for j in range(self.run):
-            key = mix(key + self.g[self.anchors + j])
-        return key, self.owner[self.anchors]
-
-    def whole(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, hashes of their words) of the windows of the least length
-        whose anchors are all shared, but for those that words before or
-        after the window may have made one."""
-        n = len(self.g) - self.least + 1
-        if n <= 0 or not shared.any():
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        lone = np.zeros(len(self.g) + 1, np.int64)
-        lone[self.anchors[~shared] + 1] = 1
-        lone = np.cumsum(lone)
-        inside = lone[self.least - max(self.run, self.spread) + 1 :][:n] == lone[self.spread - 1 :][:n]
-        at = np.flatnonzero((self.owner[:n] == self.owner[self.least - 1 :]) & inside)
-        word = self.word[at]
+        n = len(self.g) - least + 1
+        self.starts = np.flatnonzero(self.owner[:n] == self.owner[least - 1 :]) if n > 0 else np.zeros(0, np.int64)
+
+    def _of(self, f: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, value) of the minimum of the windows at some starts."""
+        v = mix(self.g ^ _SEEDS[f])
+        at = minima(v, self.least)[starts]
+        return at, v[at]
+
+    def compact(self) -> list[tuple[np.ndarray, ...]]:
+        """Per function the compact windows (place of the minimum, first and
+        last shingle, key), cut at ``least`` places from the minimum."""
+        out = []
+        for f in range(HASHES):
+            at, v = self._of(f, self.starts)
+            a, b = _runs(self.starts, at)
+            out.append((at[a], self.starts[a], self.starts[b] + self.least - 1, mix(v[a] + U64(f))))
+        return out
+
+    def keys(self) -> tuple[np.ndarray, ...]:
+        """(key, place, first, last, mask of the function) of compact windows."""
+        found = self.compact()
+        mask = np.repeat([1 << f for f in range(HASHES)], [len(x[0]) for x in found])
+        at, lo, hi, key = (np.concatenate([x[k] for x in found]) for k in range(4))
+        return key, at, lo, hi, mask
+
+    def keys_again(self, inside: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As ``keys``: windows within marked shingles under pairs of functions
+        (joined as intervals), and whole windows."""
+        marked = np.concatenate([[0], np.cumsum(inside)])
+        starts = self.starts[marked[self.starts + self.least] - marked[self.starts] == self.least]
+        low = [self._of(f, starts) for f in range(HASHES)]
+        parts = []
+        for k, (f, h) in enumerate(combinations(range(HASHES), 2)):
+            (at, v), (other, w) = low[f], low[h]
+            a, b = _runs(starts, at, other)
+            with np.errstate(over="ignore"):
+                parts.append((mix(mix(v[a] + U64(k)) * BASE + w[a]), at[a], starts[a], starts[b] + self.least - 1))
+        word = self.word[starts]
+        with np.errstate(over="ignore"):
+            total, _, down = self._sums()
+            whole = mix((total[word + self.length] - total[word]) * down[word] + BASE)
+        parts.append((whole, starts, starts, starts + self.least - 1))
+        key, at, lo, hi = (np.concatenate([x[k] for x in parts]) for k in range(4))
+        return key, at, lo, hi, np.full(len(key), 3)
+
+    def _sums(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         with np.errstate(over="ignore"):
             up, down = powers(BASE, len(self.words)), powers(BASE_INVERSE, len(self.words))
-            total = np.concatenate([[U64(0)], np.cumsum(self.words * up[:-1], dtype=np.uint64)])
-            return at, mix((total[word + self.length] - total[word]) * down[word])
+            return np.concatenate([[U64(0)], np.cumsum(self.words * up[:-1], dtype=np.uint64)]), up, down
 
     def text_hashes(self) -> np.ndarray:
         """Hash of every text's sequence of words."""
         with np.errstate(over="ignore"):
-            up, down = powers(BASE, len(self.words)), powers(BASE_INVERSE, len(self.words))
-            total = np.concatenate([[U64(0)], np.cumsum(self.words * up[:-1], dtype=np.uint64)])
+            total, _, down = self._sums()
             n = np.diff(self.at)
             return mix((total[self.at[1:]] - total[self.at[:-1]]) * down[self.at[:-1]] + n.astype(np.uint64)).view(np.int64)
 
@@ -128,294 +159,303 @@ def _survey(docs: DataFrame, size: int, least: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
-            p = Part(batch.column("text"), size, least, anchors=False)
+            p = Part(batch.column("text"), size, least, words_only=True)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(p.at), pa.int64()), pa.array(p.text_hashes())], names=["id", "n_words", "text_hash"])
 
     return docs.mapInArrow(work, "id long, n_words long, text_hash long")
 
 
-def _packed(docs: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
-    """A row per bucket and part: keys (48 bits) and the ids of their
-    documents."""
+# --- exchange of keys ------------------------------------------------------------------
+
+
+def _split(values: list[np.ndarray], part: np.ndarray, n: int) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Parts that occur, and per column the bytes of each one's values."""
+    order = np.argsort(part, kind="stable")
+    edge = np.searchsorted(part[order], np.arange(n + 1))
+    used = np.flatnonzero(np.diff(edge))
+    out = []
+    for x in values:
+        x = x[order]
+        out.append([x[edge[k] : edge[k + 1]].tobytes() for k in used])
+    return used, out
+
+
+def _packed_rows(key, ids, place, back, ahead, mask, buckets: int) -> pa.RecordBatch:
+    """A part's rows to exchange: per bucket the occurrences of keys in their
+    first document here, and (bucket below 0) the matches of the others with it."""
+    order = np.lexsort((place, ids, key))
+    key, ids, place, back, ahead, mask = (x[order] for x in (key, ids, place, back, ahead, mask))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else np.zeros(0, np.int64)
+    first = ids == ids[head]
+    low = np.ascontiguousarray(key).view("u1").reshape(-1, 8)[:, :KEY_BYTES].copy().view(f"V{KEY_BYTES}").ravel()
+    rest = [ids.astype("<i8"), place.astype("<i4"), back.astype("u1"), ahead.astype("u1"), mask.astype("u1")]
+    bucket = (key >> U64(48)).astype(np.int64) % buckets
+    used, own = _split([x[first] for x in (low, *rest)], bucket[first], buckets)
+    other = ~first
+    there, matched = _split([x[other] for x in (*rest, ids[head].astype("<i8"), place[head].astype("<i4"))], bucket[other] % 16, 16)
+    none = lambda n: [None] * n
+    cols = [[*own[0], *none(len(there))], *([*own[k + 1], *matched[k]] for k in range(5)), *([*none(len(used)), *matched[k]] for k in (5, 6))]
+    numbers = np.concatenate([used, -1 - there]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(numbers), *(pa.array(c, pa.binary()) for c in cols)], names=["bucket", *(x for x, _ in FIELDS)])
+
+
+def _packed(rows: DataFrame, size: int, least: int, buckets: int, again: bool = False) -> DataFrame:
+    """Packed keys of documents (id, text), or ``again`` of the stretches
+    (spans: lo, hi) of documents that are still open."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
-            key, owner = p.all_keys()
-            order = np.argsort(key, kind="stable")
-            key, owner = key[order], owner[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-            key, owner = key[fresh], owner[fresh]
-            doc = batch.column("id").to_numpy()[owner] if len(key) else np.zeros(0, np.int64)
-            bucket = (key >> U64(48)).astype(np.int64) % buckets
-            order = np.argsort(bucket.astype(np.int32), kind="stable")
-            key, doc, bucket = key[order], doc[order], bucket[order]
-            edge = np.searchsorted(bucket, np.arange(buckets + 1))
-            used = np.flatnonzero(np.diff(edge))
-            low = np.ascontiguousarray(key).view("u1").reshape(-1, 8)[:, :6]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used, pa.int32()),
-                    pa.array([low[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary()),
-                    pa.array([doc[edge[k] : edge[k + 1]].astype("<i8").tobytes() for k in used], pa.binary()),
-                ],
-                names=["bucket", "keys", "docs"],
-            )
-
-    return docs.mapInArrow(work, "bucket int, keys binary, docs binary")
-
-
-def _low48(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 6, 8), "u1")
-    out[:, :6] = np.frombuffer(packed, "u1").reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
-def _names(key: np.ndarray, buckets: int) -> np.ndarray:
-    """What is left of a key in an exchange: its bucket and low 48 bits."""
-    return ((key >> U64(48)) % U64(buckets)) << U64(48) | key & LOW
+            if again:
+                inside = np.zeros(len(p.g) + 1, np.int64)
+                for k, spans in enumerate(batch.column("spans").to_pylist()):
+                    base, end = p.first[k], p.first[k + 1]
+                    for s in spans:
+                        if base + s["lo"] < end:
+                            inside[base + s["lo"]] += 1
+                            inside[min(base + s["hi"] + 1, end)] -= 1
+                found = p.keys_again(np.cumsum(inside)[:-1] > 0)
+            else:
+                found = p.keys()
+            ids = batch.column("id").to_numpy()
+            hashes = p.text_hashes()
+            order = np.lexsort((ids, hashes))
+            copy = np.zeros(len(ids), bool)  # of a text here: it is repeated as a whole
+            copy[order[1:]] = hashes[order][1:] == hashes[order][:-1]
+            kept = ~copy[p.owner[found[1]]] if len(found[1]) else np.zeros(0, bool)
+            key, at, lo, hi, mask = (x[kept] for x in found)
+            owner = p.owner[at] if len(at) else at
+            yield _packed_rows(key, ids[owner] if len(at) else at, at - p.first[owner], np.minimum(at - lo, 255), np.minimum(hi - at, 255), mask, buckets)
+
+    return rows.mapInArrow(work, PACKED)
 
 
 def _matches(table: pa.Table) -> pa.Table:
-    """A bucket's keys of several documents: per document its keys."""
-    bucket = U64(table.column("bucket")[0].as_py())
-    key = np.concatenate([_low48(x) for x in table.column("keys").to_pylist()]) | bucket << U64(48)
-    doc = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("docs").to_pylist()])
-    key, doc, first = _runs(key, doc)
-    last = np.append(first[1:], len(key)) - 1
-    use = np.repeat(doc[first] != doc[last], last - first + 1) if len(key) else np.zeros(0, bool)
-    ids, keys = _by_doc(doc[use], key[use])
-    return pa.table({"id": pa.array(ids, pa.int64()), "keys": pa.array(keys, pa.binary())})
-
-
-def _runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys that occur twice or more and their documents, sorted by both, and
-    where each key begins."""
-    order = np.argsort(key)
-    key, doc = key[order], doc[order]
-    same = key[1:] == key[:-1]
-    many = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(key) else np.zeros(0, bool)
-    key, doc = key[many], doc[many]
-    order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
-    return key, doc, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-
-
-def _by_doc(doc: np.ndarray, *columns: np.ndarray) -> list[list]:
-    """Documents, and per column the bytes of each one's values."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
-    ends = np.append(starts[1:], len(doc))
-    columns = [c[order] for c in columns]
-    return [doc[starts].tolist(), *([c[a:b].tobytes() for a, b in zip(starts, ends)] for c in columns)]
-
-
-def _lists(batch: pa.RecordBatch, column: str, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, value) of a column of lists of packed values."""
-    rows = batch.column(column).to_pylist()
-    owner = np.repeat(np.arange(len(rows)), [sum(len(x) // 8 for x in (r or [])) for r in rows])
-    return owner, np.frombuffer(b"".join(x for r in rows for x in (r or [])), dtype)
-
-
-def _owned(key: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(key + owner.astype(np.uint64) * BASE)
-
-
-def _shared(p: Part, batch: pa.RecordBatch, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(name of its key, shared?) of every anchor."""
-    key, owner = p.all_keys()
-    names = _names(key, buckets)
-    of, known = _lists(batch, "keys", "<u8")
-    return names, np.isin(_owned(names, owner), _owned(known, of))
-
-
-def _whole_windows(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
-    """A row per bucket and part: hashes of the windows that may be repeated
-    and the ids of their documents."""
+    """A bucket's occurrences of keys that an earlier document has: with the
+    first document and its first place."""
+    read = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+    ids, place, back, ahead, mask = (read(*x) for x in FIELDS[1:6])
+    if table.column("bucket")[0].as_py() < 0:
+        hub, hub_place = (read(*x) for x in FIELDS[6:])
+    else:
+        key = np.zeros((len(ids), 8), "u1")
+        key[:, :KEY_BYTES] = read(*FIELDS[0]).view("u1").reshape(-1, KEY_BYTES)
+        key = key.view("<u8").ravel()
+        order = np.argsort(key)
+        k = key[order]
+        same = k[1:] == k[:-1]
+        many = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(k) else order
+        key, ids, place, back, ahead, mask = (x[many] for x in (key, ids, place, back, ahead, mask))
+        order = np.lexsort((place, ids, key))
+        key, ids, place, back, ahead, mask = (x[order] for x in (key, ids, place, back, ahead, mask))
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else np.zeros(0, np.int64)
+        hub, hub_place = ids[head], place[head]
+        later = hub != ids
+        ids, place, back, ahead, mask, hub, hub_place = (x[later] for x in (ids, place, back, ahead, mask, hub, hub_place))
+    place = place.astype(np.int32)
+    return pa.table({"id": ids, "at": place, "lo": place - back.astype(np.int32), "hi": place + ahead.astype(np.int32), "mask": mask.astype(np.int32), "hub": hub, "hub_at": hub_place.astype(np.int32)})
+
+
+def _cells(packed: DataFrame, least: int) -> DataFrame:
+    """Matches, one per document, partner, diagonal and half a window, with the
+    functions that meet there and what their compact windows span."""
+    met = packed.groupBy("bucket").applyInArrow(_matches, MATCH)
+    diagonal, cell = F.floor((F.col("at") - F.col("hub_at")) / DIAGONAL).cast("int"), F.floor(F.col("at") / (least // 2 or 1)).cast("int")
+    each = met.groupBy("id", "hub", diagonal.alias("d"), cell.alias("cell"))
+    return each.agg(F.bit_or("mask").alias("mask"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct("at", "hub_at")).alias("m")).select("id", "hub", "d", "mask", "lo", "hi", "m.at", "m.hub_at")
+
+
+# --- intervals -----------------------------------------------------------------------------
+
+
+def _whole_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by id as tables in which no id is cut."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column("id").to_numpy()
+        cut = int(np.searchsorted(ids, ids[-1]))
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            p = Part(batch.column("text"), size, least)
-            at, key = p.whole(_shared(p, batch, buckets)[1])
-            doc = batch.column("id").to_numpy()[p.owner[at]] if len(at) else np.zeros(0, np.int64)
-            used, keys, docs = _by_doc((key >> U64(48)).astype(np.int64) % buckets, key.astype("<u8"), doc.astype("<i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(keys, pa.binary()), pa.array(docs, pa.binary())], names=["bucket", "keys", "docs"])
 
-    return rows.select("id", "text", "keys").mapInArrow(work, "bucket int, keys binary, docs binary")
+def _joined(group: np.ndarray, lo: np.ndarray, hi: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the stretch of every interval, running end): intervals sorted
+    by group and lo belong together while they overlap by ``overlap`` places."""
+    if not len(lo):
+        return lo, hi
+    reach = np.maximum.accumulate(group.astype(np.int64) << 32 | hi.astype(np.int64)) & 0xFFFFFFFF
+    new = np.ones(len(lo), bool)
+    new[1:] = (group[1:] != group[:-1]) | (lo[1:] > reach[:-1] - overlap + 1)
+    return np.cumsum(new) - 1, reach
 
 
-def _firsts(table: pa.Table) -> pa.Table:
-    """Per document its windows that an earlier one has, and the first such."""
-    key = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()])
-    doc = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("docs").to_pylist()])
-    key, doc, first = _runs(key, doc)
-    hub = np.repeat(doc[first], np.diff(np.append(first, len(key))))
-    fresh = (hub != doc) & np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])[: len(key)]
-    ids, keys, hubs = _by_doc(doc[fresh], key[fresh], hub[fresh])
-    return pa.table({"id": pa.array(ids, pa.int64()), "whole": pa.array(keys, pa.binary()), "hubs": pa.array(hubs, pa.binary())})
+def _enough(masks: np.ndarray) -> np.ndarray:
+    return np.array([bin(m).count("1") for m in range(256)])[masks & 255] >= ENOUGH
 
 
-def _anchors(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
-    """Exact passages (id, lo, hi, hub) in shingle places, without key; shared
-    anchors (key, id, lo) and whether no exact passage covers them (open)."""
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(columns[0]), bool)
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.cumsum(new)
+
+
+def _stretches(cells: DataFrame, least: int, by_hub: bool) -> DataFrame:
+    """Stretches (id, lo, hi, and per partner hub, delta, hlo, hhi) where the
+    windows of enough functions overlap; of all partners together without
+    ``by_hub``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            p = Part(batch.column("text"), size, least)
-            ids = batch.column("id").to_numpy()
-            names, shared = _shared(p, batch, buckets)
-            at, key = p.whole(shared)
-            of, known = _lists(batch, "whole", "<u8")
-            tag, hubs = _owned(known, of), _lists(batch, "hubs", "<i8")[1]
-            order = np.argsort(tag)
-            tag, hubs = tag[order], hubs[order]
-            mine = _owned(key, p.owner[at]) if len(at) else key
-            i = np.minimum(np.searchsorted(tag, mine), max(0, len(tag) - 1))
-            hit = tag[i] == mine if len(tag) else np.zeros(len(at), bool)
-            at, hub = at[hit], hubs[i[hit]] if len(tag) else np.zeros(0, np.int64)
-            deep = np.zeros(len(p.g) + 1, np.int64)
-            np.add.at(deep, at, 1)
-            np.add.at(deep, at + least, -1)
-            cover = np.concatenate([[0], np.cumsum(np.cumsum(deep)[:-1] > 0)])
-            # windows in a row with the same first document are one passage
-            new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (hub[1:] != hub[:-1]) | (p.owner[at[1:]] != p.owner[at[:-1]])])[: len(at)]
-            lo, end = at[new], at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
-            own = p.owner[lo] if len(lo) else lo
-            a = p.anchors[shared]
-            o = p.owner[a] if len(a) else a
-            wants = cover[a + p.run] - cover[a] < p.run
-            n, k = len(lo), len(a)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(names[shared].view(np.int64))]),
-                    pa.array(np.concatenate([ids[own], ids[o]]), pa.int64()),
-                    pa.array(np.concatenate([lo - p.first[own], a - p.first[o]]).astype(np.int32)),
-                    pa.concat_arrays([pa.array((end + least - 1 - p.first[own]).astype(np.int32)), pa.nulls(k, pa.int32())]),
-                    pa.concat_arrays([pa.array(hub[new]), pa.nulls(k, pa.int64())]),
-                    pa.concat_arrays([pa.nulls(n, pa.bool_()), pa.array(wants)]),
-                ],
-                names=["key", "id", "lo", "hi", "hub", "open"],
-            )
-
-    return rows.select("id", "text", "keys", "whole", "hubs").mapInArrow(work, "key long, id long, lo int, hi int, hub long, open boolean")
-
-
-def _contexts(rows: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
-    """Picked anchors of documents (id, text, picks): the key, the place and 16
-    bits of each shingle around it. Picks are (key, lo, asks)."""
-    reach = least - 1 + SHIFT
+        for t in _whole_ids(batches):
+            x = {c: t.column(c).to_numpy() for c in ("id", "hub", "d", "mask", "lo", "hi", "at", "hub_at")}
+            group = _changes(x["id"], x["hub"], x["d"]) if by_hub else _changes(x["id"])
+            run, _ = _joined(group, x["lo"], x["hi"], least)
+            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+            keep = _enough(np.bitwise_or.reduceat(x["mask"], first))
+            first_kept = first[keep]
+            lo, hi = x["lo"][first_kept].astype(np.int64), np.maximum.reduceat(x["hi"], first)[keep].astype(np.int64)
+            cols = [pa.array(x["id"][first_kept])]
+            if by_hub:
+                delta = (x["at"] - x["hub_at"])[first_kept].astype(np.int64)
+                lo, hi = np.maximum(lo - least + 1, 0), hi + least - 1
+                hlo, hhi = (lo - delta - SHIFT) // QUANTUM * QUANTUM, -(-(hi - delta + SHIFT + 1) // QUANTUM) * QUANTUM - 1
+                cols += [pa.array(a) for a in (lo, hi, x["hub"][first_kept], delta, hlo, hhi)]
+            else:
+                cols += [pa.array(lo), pa.array(hi)]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "lo", "hi", "hub", "delta", "hlo", "hhi"][: len(cols)])
+
+    order = ["id", "hub", "d", "lo"] if by_hub else ["id", "lo"]
+    schema = "id long, lo long, hi long" + (", hub long, delta long, hlo long, hhi long" if by_hub else "")
+    return cells.repartition("id").sortWithinPartitions(*order).mapInArrow(work, schema)
+
+
+# --- verification ----------------------------------------------------------------------------
+
+
+def _contexts(rows: DataFrame, size: int, least: int) -> DataFrame:
+    """16 bits of every shingle of the asked stretches of documents (id, text,
+    picks): as far as the document goes for those that ask (hub is set), with
+    zeros beyond its ends for partners."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             p = Part(batch.column("text"), size, least)
-            ids = batch.column("id").to_numpy()
-            short = (mix(p.g) >> U64(48)).astype("u2") | np.uint16(1)
-            picks = batch.column("picks")
-            flat = picks.flatten()
-            o = np.repeat(np.arange(batch.num_rows), np.diff(picks.offsets.to_numpy()))
-            at, key = flat.field("lo").to_numpy() + p.first[o], flat.field("key").to_numpy()
-            real, names = np.zeros(len(at), bool), _names(p.all_keys()[0], buckets)
-            i = np.minimum(np.searchsorted(p.anchors, at), max(0, len(p.anchors) - 1))
-            real = (p.anchors[i] == at) & (names[i].view(np.int64) == key) & (p.owner[p.anchors[i]] == o) if len(names) else real  # rows of the same id
-            for c in range(0, len(at), 20_000):
-                ok = np.flatnonzero(real[c : c + 20_000]) + c
-                a = at[ok]
-                around = a[:, None] + np.arange(-reach, reach + 1)
-                valid = (around >= p.first[o[ok]][:, None]) & (around < p.first[o[ok] + 1][:, None])
-                ctx = np.where(valid, short[np.clip(around, 0, max(0, len(short) - 1))], 0).astype("<u2") if len(a) else np.zeros((0, 2 * reach + 1), "<u2")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[ok]), pa.array(ids[o[ok]]), pa.array((a - p.first[o[ok]]).astype(np.int32)), flat.field("asks").take(pa.array(ok)), pa.array([x.tobytes() for x in ctx], pa.binary())],
-                    names=["key", "id", "at", "asks", "around"],
-                )
-
-    return rows.select("id", "text", "picks").mapInArrow(work, "key long, id long, at int, asks boolean, around binary")
-
-
-def passage_ends(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles to the left, to the right) of the middle that belong to the
-    best passage around it; same: (n, 2 * least - 1) equal places."""
-    worth = np.where(same, 1, MISMATCH)
-    reach = lambda w: np.where(np.cumsum(w, 1).max(1) > 0, np.cumsum(w, 1).argmax(1) + 1, 0)
-    return reach(worth[:, least - 2 :: -1]), reach(worth[:, least:])
-
-
-def agreeing(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """(n, 2 * least - 1) places of mine whose shingle the other has within SHIFT places."""
-    n = mine.shape[1] - 2 * SHIFT
-    middle = mine[:, SHIFT : SHIFT + n]
-    out = np.zeros(middle.shape, bool)
-    for d in range(2 * SHIFT + 1):
-        out |= middle == other[:, d : d + n]
-    return out & (middle > 0)
-
-
-def longest_passage(same: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles to the left, to the right) of the middle that belong to the
-    longest stretch around it that begins and ends with agreeing shingles and
-    of which 4 of 5 agree."""
-    worth = np.where(same, 1, MISMATCH)
-    sides = [(np.cumsum(np.hstack([np.zeros((len(same), 1), int), worth[:, cut]]), 1), np.hstack([np.ones((len(same), 1), bool), same[:, cut]])) for cut in (slice(least - 2, None, -1), slice(least, None))]
-    (left, left_ok), (right, right_ok) = sides
-    right = np.where(right_ok, right, -(10**6))
-    best, at_left, at_right = np.full(len(same), -1), np.zeros(len(same), int), np.zeros(len(same), int)
-    for i in range(least):
-        fits = left[:, i, None] + worth[:, least - 1, None] + right >= 0
-        j = least - 1 - np.argmax(fits[:, ::-1], 1)
-        better = left_ok[:, i] & fits.any(1) & (i + j > best)
-        best, at_left, at_right = np.where(better, i + j, best), np.where(better, i, at_left), np.where(better, j, at_right)
-    return at_left, at_right
-
-
-def _verified(pairs: DataFrame, least: int) -> DataFrame:
-    """Verified passages (key, id, at, hub, lo, hi) in shingle places."""
-    width = 2 * (least - 1 + SHIFT) + 1
+            short = (mix(p.g) >> U64(48)).astype("<u2") | np.uint16(1)
+            out, held = [], 0
+            for k, (i, picks) in enumerate(zip(batch.column("id").to_pylist(), batch.column("picks").to_pylist())):
+                own = short[p.first[k] : p.first[k + 1]]
+                for q in picks:
+                    lo, hi = q["lo"], q["hi"]
+                    codes = own[max(lo, 0) : max(hi + 1, 0)]
+                    if q["hub"] is None:
+                        codes = np.concatenate([np.zeros(max(0, min(-lo, hi - lo + 1)), "<u2"), codes])
+                        codes = np.concatenate([codes, np.zeros(hi - lo + 1 - len(codes), "<u2")])
+                    if len(codes) >= least:
+                        out.append((i, lo, hi, q["hub"], q["delta"], q["hlo"], q["hhi"], codes.tobytes()))
+                        held += 2 * len(codes)
+                    if held > 2_000_000:
+                        yield _rows(out)
+                        out, held = [], 0
+            yield _rows(out)
+
+    return rows.mapInArrow(work, "id long, lo long, hi long, hub long, delta long, hlo long, hhi long, codes binary")
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 7 + [pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["id", "lo", "hi", "hub", "delta", "hlo", "hhi", "codes"])
+
+
+def agreeing(a: list[np.ndarray], b: list[np.ndarray], base: np.ndarray) -> np.ndarray:
+    """Flags of all shingles of the stretches a, one after the other, whose
+    partner b has the same within ``SHIFT`` places, and that of a neighbour, too
+    (16 bits alone meet by chance); base: the place in b that stands against the
+    first of a."""
+    n = np.array([len(x) for x in a])
+    one, two = np.concatenate(a), np.concatenate(b)
+    begin = np.cumsum([0, *(len(x) for x in b)])[:-1]
+    at = np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin + base, n)
+    out = np.zeros(len(one), bool)
+    for shift in range(-SHIFT, SHIFT + 1):
+        out |= one == two[at + shift]
+    out &= one > 0
+    joint = out[1:] & out[:-1]
+    joint[np.cumsum(n)[:-1] - 1] = False  # ends of stretches are no neighbours
+    return np.concatenate([[False], joint]) | np.concatenate([joint, [False]]) if len(out) else out
+
+
+def passages(same: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, first, last shingle) of the passages: unions of overlapping
+    windows of ``least`` shingles of which 4 of 5 agree, from the first to the
+    last shingle that agrees. same: flags of stretches of n shingles."""
+    if not len(same):
+        return (np.zeros(0, np.int64),) * 3
+    row, begin = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+    total = np.concatenate([[0], np.cumsum(same)])
+    start = np.arange(max(0, len(same) - least + 1))
+    start = start[(row[start] == row[start + least - 1]) & (5 * (total[start + least] - total[start]) >= 4 * least)]
+    cover = np.zeros(len(same) + 1, np.int64)
+    cover[start] += 1
+    cover -= np.bincount(start + least, minlength=len(cover))[: len(cover)]
+    used = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+    first, last = _runs(used, row[used])
+    agree = np.flatnonzero(same)
+    lo = agree[np.searchsorted(agree, used[first])] if len(used) else used
+    hi = agree[np.searchsorted(agree, used[last], side="right") - 1] if len(used) else used
+    long = hi - lo + 1 >= least
+    lo, hi = lo[long], hi[long]
+    return row[lo], lo - begin[row[lo]], hi - begin[row[lo]]
+
+
+def _verified(asks: DataFrame, docs: DataFrame, size: int, least: int) -> DataFrame:
+    """Passages (id, lo, hi, hub) of stretches that ask a partner."""
+    asks = written(asks, "stretches")
+    mine = asks.select("id", F.struct("lo", "hi", "hub", "delta", "hlo", "hhi").alias("pick"))
+    none = F.lit(None).cast("long")
+    theirs = asks.select("hub", "hlo", "hhi").distinct().select(F.col("hub").alias("id"), F.struct(F.col("hlo").alias("lo"), F.col("hhi").alias("hi"), none.alias("hub"), none.alias("delta"), none.alias("hlo"), none.alias("hhi")).alias("pick"))
+    picks = mine.union(theirs).groupBy("id").agg(F.collect_list("pick").alias("picks"))
+    seen = written(_contexts(docs.join(picks, "id"), size, least), "contexts")
+    # written, so that both sides of the join are plain exchanges, of which AQE splits a hot partner's rows
+    partners = seen.where("hub is null").select(F.col("id").alias("hub"), F.col("lo").alias("hlo"), F.col("hi").alias("hhi"), F.col("codes").alias("partner"))
+    pairs = seen.where("hub is not null").join(partners, ["hub", "hlo", "hhi"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for c in range(0, whole.num_rows, 4096):
-                batch = whole.slice(c, 4096)
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, width) for c in ("around", "hub_around"))
-                same = agreeing(a, b)
-                batch, same = batch.filter(pa.array(same.sum(1) * 5 >= 4 * least)), same[same.sum(1) * 5 >= 4 * least]
-                left, right = longest_passage(same, least)
-                ok = left + right + 1 >= least
-                at = batch.column("at").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).filter(pa.array(ok)) for c in ("key", "id", "at", "hub")), pa.array((at - left)[ok].astype(np.int32)), pa.array((at + right)[ok].astype(np.int32))],
-                    names=["key", "id", "at", "hub", "lo", "hi"],
-                )
-
-    return pairs.select("key", "id", "at", "hub", "around", "hub_around").mapInArrow(work, "key long, id long, at int, hub long, lo int, hi int")
-
-
-def covered(found: list[dict], size: int, least: int, functions: int = ENOUGH) -> list[tuple[int, int, int]]:
-    """Join of a document's passages as intervals: stretches (first word,
-    number of words, smallest first document) under as many functions."""
-    events = sorted([(x["lo"], 1, x["f"], x["hub"]) for x in found] + [(x["hi"] + 1, 0, x["f"], x["hub"]) for x in found])
-    open_: dict[int, int] = {}
-    out, begin = [], None
-    for place, opens, f, _ in events:
-        open_[f] = open_.get(f, 0) + (1 if opens else -1)
-        enough = sum(1 for c in open_.values() if c) >= functions
-        if enough and begin is None:
-            begin = place
-        elif not enough and begin is not None:
-            if out and out[-1][1] >= begin:
-                begin = out.pop()[0]
-            if place > begin:
-                out.append((begin, place))
-            begin = None
-    spans = [(a, b - a + size - 1) for a, b in out if b - a >= least]
-    return [(a, n, min(x["hub"] for x in found if x["lo"] < a + n and x["hi"] >= a)) for a, n in spans]
+            for batch in slices(whole, "codes", 1_000_000):
+                a, b = ([np.frombuffer(x, "<u2") for x in batch.column(name).to_pylist()] for name in ("codes", "partner"))
+                lo, delta, hlo = (batch.column(x).to_numpy() for x in ("lo", "delta", "hlo"))
+                n = np.array([len(x) for x in a])
+                row, first, last = passages(agreeing(a, b, lo - delta - hlo), n, least)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), pa.array(lo[row] + first), pa.array(lo[row] + last), batch.column("hub").take(at)], names=["id", "lo", "hi", "hub"])
+
+    found = pairs.select("id", "lo", "delta", "hub", "hlo", "codes", "partner").mapInArrow(work, "id long, lo long, hi long, hub long")
+    return written(found, "passages")
+
+
+def _open_stretches(cells: DataFrame, found: DataFrame, least: int) -> DataFrame:
+    """(id, spans): stretches in which enough functions meet, over all partners,
+    in places that no passage covers."""
+    covered = found.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
+    hit = F.exists("found", lambda s: (s["lo"] <= F.col("at")) & (s["hi"] >= F.col("at")))
+    left = cells.join(covered, "id", "left").where(~F.coalesce(hit, F.lit(False))).drop("found")
+    return _stretches(left, least, by_hub=False).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> DataFrame:
     """(doc_id, first_word, n_words, first_doc_id): every passage of at least
     ``min_words`` words of docs (doc_id, text) that an earlier document (by id)
-    has too, exactly or at least 4 of 5 of its shingles in about the same order.
+    has too, exactly or with 4 of 5 shingles agreeing in about the same order.
 
     Words are compared with A-Z lower-cased. Null and empty texts and texts
     with fewer words have none. Rows with the same id count as one document,
@@ -423,62 +463,39 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     ignored; an empty table gives an empty result.
     """
     least = min_words - size + 1
+    spark = docs.sparkSession
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
     survey = written(_survey(own, size, least), "survey")
     total = survey.agg(F.sum("n_words")).first()[0] or 0
     buckets = 64
-    while buckets * BUCKET_KEYS * (SPREAD + 1) < total * 2:
+    while buckets * BUCKET_KEYS * least < total * 2 * HASHES:
         buckets *= 2
     firsts = survey.where(F.col("n_words") >= min_words).groupBy("text_hash", "n_words").agg(F.min("id").alias("original"), F.max("id").alias("last"))
     copies = survey.join(firsts.where("original <> last"), ["text_hash", "n_words"]).where("id <> original").select("id", "original", "n_words").distinct()
     copies = written(copies, "copies")
-    spark = docs.sparkSession
-    matches = written(_packed(own, size, least, buckets).groupBy("bucket").applyInArrow(_matches, "id long, keys binary"), "matches")
-    tidy(spark)
-    lists = matches.groupBy("id").agg(F.collect_list("keys").alias("keys")).join(copies, "id", "left_anti")
-    todo = written(own.join(lists, "id"), "todo")
-    tidy(spark)
-    whole = _whole_windows(todo, size, least, buckets).groupBy("bucket").applyInArrow(_firsts, "id long, whole binary, hubs binary")
-    whole = written(whole, "whole")
+    whole = copies.select("id")
+    cells = written(_cells(_packed(own, size, least, buckets), least).join(whole, "id", "left_anti"), "cells")
     tidy(spark)
-    hits = whole.groupBy("id").agg(F.collect_list(F.struct("whole", "hubs")).alias("hits")).select("id", "hits.whole", "hits.hubs")
-    anchors = written(_anchors(todo.join(hits, "id", "left"), size, least, buckets), "anchors")
+    found = _verified(_stretches(cells, least, by_hub=True), own, size, least)
     tidy(spark)
-    exact = anchors.where("key is null").select("id", "lo", "hi", "hub")
-    shared = anchors.where("key is not null").select("key", "id", "lo", "open")
-    contexts = lambda rows, name: written(_contexts(todo.select("id", "text").join(rows.groupBy("id").agg(F.collect_list(F.struct("key", "lo", "asks")).alias("picks")), "id"), size, least, buckets), name)
-    # open anchors ask the first document that has the key
-    heads = shared.groupBy("key").agg(F.min(F.struct("id", "lo")).alias("head"), F.max(F.when(F.col("open"), F.col("id"))).alias("asks")).where("asks > head.id")
-    heads = written(heads.select("key", F.col("head.id").alias("hub"), F.col("head.lo").alias("hub_lo")), "heads")
-    asking = shared.where("open").join(heads, "key").where("id > hub").select("key", "id", "lo", F.lit(True).alias("asks"))
-    near = contexts(asking.union(heads.select("key", F.col("hub").alias("id"), F.col("hub_lo").alias("lo"), F.lit(False).alias("asks"))), "contexts")
+    still = written(_open_stretches(cells, found, least), "open")
+    more = written(_cells(_packed(own.join(still, "id"), size, least, buckets, again=True), least), "cells")
     tidy(spark)
-    # written, so that both sides of the join are plain exchanges, of which AQE splits a hot key's rows
-    asked = near.where("asks").drop("asks")
-    firsts = near.where("not asks").select("key", F.col("id").alias("hub"), F.col("around").alias("hub_around"))
-    found = written(_verified(asked.join(firsts, "key"), least), "passages")
+    found = found.unionByName(_verified(_stretches(more, least, by_hub=True), own, size, least))
     tidy(spark)
-    # where the first document has not the passage, all that have the key, each surrounding once
-    rest = written(asked.join(found, ["key", "id", "at"], "left_anti"), "rest")
-    left = rest.groupBy("key").agg(F.max("id").alias("last"))
-    others = shared.join(left, "key").where("id < last").select("key", "id", "lo", F.lit(False).alias("asks"))
-    others = contexts(others, "others").groupBy("key", "around").agg(F.min("id").alias("hub")).withColumnRenamed("around", "hub_around")
-    others = written(others, "others")
-    tidy(spark)
-    more = written(_verified(rest.join(others, "key").where("id > hub"), least), "passages")
-    tidy(spark)
-    spans = exact.unionByName(found.select("id", "lo", "hi", "hub")).unionByName(more.select("id", "lo", "hi", "hub")).withColumn("f", F.lit(0))
 
     def join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(i, *s) for i, x in zip(batch.column("id").to_pylist(), batch.column("found").to_pylist()) for s in covered(x, size, least, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["id", "first_word", "n_words", "original"])
-
-    each = spans.groupBy("id").agg(F.collect_list(F.struct("f", "lo", "hi", "hub")).alias("found"))  # a document's own windows
-    joined = each.mapInArrow(join_intervals, "id long, first_word long, n_words long, original long")
-    whole = copies.select("id", F.lit(0).cast("long").alias("first_word"), "n_words", "original")
+        for t in _whole_ids(batches):
+            ids, lo, hi, hub = (t.column(c).to_numpy() for c in ("id", "lo", "hi", "hub"))
+            run, _ = _joined(_changes(ids), lo, hi, 1 - size)  # passages whose words touch are one
+            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+            n = np.maximum.reduceat(hi, first) - lo[first] + size
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(lo[first]), pa.array(n), pa.array(np.minimum.reduceat(hub, first))], names=["id", "first_word", "n_words", "original"])
+
+    joined = found.repartition("id").sortWithinPartitions("id", "lo").mapInArrow(join_intervals, "id long, first_word long, n_words long, original long")
+    copied = copies.select("id", F.lit(0).cast("long").alias("first_word"), "n_words", "original")
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return joined.union(whole).select(named("id").alias("doc_id"), "first_word", "n_words", named("original").alias("first_doc_id"))
+    return joined.union(copied).select(named("id").alias("doc_id"), "first_word", "n_words", named("original").alias("first_doc_id"))
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

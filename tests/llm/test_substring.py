@@ -3,11 +3,13 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_MID
 
 from pacelake.llm.common import documents
-from pacelake.llm.substring import HASHES, covered, passage_ends, repeated_passages, windows, without_passages
-from pacelake.llm.text import U64, mix
+import pacelake.llm.substring as sub
+from pacelake.llm.substring import repeated_passages, without_passages
+from pacelake.llm.text import mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -35,22 +37,27 @@ def cover_of(rows):
     return out
 
 
-def test_windows_are_the_nodes_of_the_cartesian_tree():
-    rng = np.random.default_rng(2)
-    g, owner = rng.integers(0, 40, 300).astype(np.uint64), np.repeat([0, 1], [120, 180])
-    for f, (at, _) in enumerate(windows(mix(g), owner, 9)):
-        from pacelake.llm.substring import _SEEDS
+def test_compact_windows_are_the_nodes_of_the_cartesian_tree(monkeypatch):
+    """Place and width of every node that is wide enough, under all functions,
+    also when minima are looked for a few shingles at a time."""
+    texts = [" ".join(random.Random(k).choices([f"w{i}" for i in range(12)], k=n)) for k, n in enumerate((130, 3, 190, 15))]
+    for step in (sub.STEP, 16):
+        monkeypatch.setattr(sub, "STEP", step)
+        p = sub.Part(pa.array(texts), 3, 9)
+        found = p.compact()
+        assert len(found) == sub.HASHES
+        for f, (at, first, last, key) in enumerate(found):
+            v = [int(x) >> 24 for x in mix(p.g ^ sub._SEEDS[f])]
 
-        v = [int(x) >> 24 for x in mix(mix(g) ^ _SEEDS[f])]
+            def nodes(lo, hi, v=v):
+                if hi - lo < 9:
+                    return set()
+                c = min(range(lo, hi), key=lambda i: (v[i], i))
+                return {(c, max(lo, c - 8), min(hi - 1, c + 8))} | nodes(lo, c) | nodes(c + 1, hi)
 
-        def nodes(lo, hi, v=v):
-            if hi - lo < 9:
-                return set()
-            c = min(range(lo, hi), key=lambda i: (v[i], i))
-            return {c} | nodes(lo, c) | nodes(c + 1, hi)
-
-        assert set(at.tolist()) == nodes(0, 120) | nodes(120, 300)
-    assert len(windows(mix(g[:5]), owner[:5], 9)) == HASHES
+            want = set().union(*(nodes(a, b) for a, b in zip(p.first, p.first[1:])))
+            assert set(zip(at.tolist(), first.tolist(), last.tolist())) == want
+            assert len(set(zip(at.tolist(), key.tolist()))) == len(want)
 
 
 def test_exact_passages_are_all_found(spark):
@@ -111,11 +118,40 @@ def test_awkward_rows(awkward, empty):
     assert repeated_passages(empty).count() == 0 and without_passages(empty, repeated_passages(empty)).count() == 0
 
 
-def test_verification_and_interval_join():
-    same = np.ones((1, 19), bool)
-    assert [int(x[0]) for x in passage_ends(same, 10)] == [9, 9]
-    same[0, 12:16] = False
-    assert [int(x[0]) for x in passage_ends(same, 10)] == [9, 2]
-    spans = [dict(f=0, lo=0, hi=99, hub=4), dict(f=1, lo=50, hi=120, hub=2), dict(f=1, lo=300, hi=400, hub=1)]
-    assert covered(spans, 5, 46) == [(50, 54, 2)] and covered(spans[:1] * 2, 5, 46) == []
-    assert U64(1) == 1
+def test_passages_by_definition():
+    """Unions of windows with 4 of 5 agreeing shingles, cut to agreeing ends."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n = rng.integers(1, 60, 5)
+        flags = [rng.random(k) < rng.choice([0.6, 0.8, 0.95]) for k in n]
+        want = []
+        for r, x in enumerate(flags):
+            cover = np.zeros(len(x), bool)
+            for i in range(len(x) - 9):
+                if 5 * x[i : i + 10].sum() >= 40:
+                    cover[i : i + 10] = True
+            i = 0
+            while i < len(x):
+                j = i
+                while j < len(x) and cover[j] == cover[i]:
+                    j += 1
+                hit = [k for k in range(i, j) if x[k]] if cover[i] else []
+                if hit and hit[-1] - hit[0] + 1 >= 10:
+                    want.append((r, hit[0], hit[-1]))
+                i = j
+        got = sub.passages(np.concatenate(flags), n, 10)
+        assert list(zip(*(x.tolist() for x in got))) == want
+
+
+def test_agreement_and_interval_join():
+    rng = np.random.default_rng(8)
+    a, b = ([rng.integers(1, 90, k).astype("<u2") for k in ks] for ks in ((20, 35), (60, 80)))
+    base = np.array([17, 20])
+    got = sub.agreeing(a, b, base)
+    want = []
+    for r in range(2):
+        has = [x in b[r][base[r] + i - sub.SHIFT : base[r] + i + sub.SHIFT + 1] for i, x in enumerate(a[r])]
+        want += [x and (has[i - 1 : i] == [True] or has[i + 1 : i + 2] == [True]) for i, x in enumerate(has)]
+    assert got.tolist() == want and not all(want)
+    group, lo, hi = np.array([0, 0, 0, 1, 1]), np.array([0, 5, 30, 0, 40]), np.array([20, 50, 80, 45, 90])
+    assert sub._joined(group, lo, hi, 10)[0].tolist() == [0, 0, 0, 1, 2] and sub._joined(group, lo, hi, 5)[0].tolist() == [0, 0, 0, 1, 1]
