@@ -194,7 +194,8 @@ def token_stream(spark: SparkSession, path: str) -> DataFrame:
 
     Counts and checksums are taken from the ids read back. Starts are running
     sums within a file (its documents only) on top of the running sum of the
-    files' totals (a row per file). Rows with equal doc_id follow one another.
+    files' totals (a row per file), in the order of the files' rows, so that
+    starts are right for rows of equal or null doc_id, too.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,18 +205,16 @@ def token_stream(spark: SparkSession, path: str) -> DataFrame:
             offsets = offsets - offsets[0]
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("part"), batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
-                names=["part", "doc_id", "n_tokens", "ids_crc32"],
+                [batch.column("part"), batch.column("row"), batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
+                names=["part", "row", "doc_id", "n_tokens", "ids_crc32"],
             )
 
-    rows = written(
-        read_tokens(spark, path).select("part", "doc_id", "ids").mapInArrow(check, "part int, doc_id long, n_tokens long, ids_crc32 long"),
-        "token_rows",
-    )
+    read = read_tokens(spark, path).select("part", F.col("_metadata.row_index").alias("row"), "doc_id", "ids")
+    rows = written(read.mapInArrow(check, "part int, row long, doc_id long, n_tokens long, ids_crc32 long"), "token_rows")
     before = W.rowsBetween(W.unboundedPreceding, -1)
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     files = files.select("part", F.coalesce(F.sum("total").over(before.orderBy("part")), F.lit(0)).alias("base"))
-    inside = before.partitionBy("part").orderBy("doc_id", "n_tokens", "ids_crc32")
+    inside = before.partitionBy("part").orderBy("row")
     return (
         rows.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
         .join(files, "part")

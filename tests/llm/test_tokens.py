@@ -2,12 +2,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pacelake.llm.tokens import PieceEncoder, default_tokenizer, op4_token_output, read_tokens, token_stream, write_tokens
 from pacelake.session import scratch_path
+from pacelake.sources import fs
 
 ENCODER = PieceEncoder(default_tokenizer())
 PLAIN = ENCODER.tokenizer
@@ -62,3 +64,18 @@ def test_selective_reads(spark, small):
     assert "ids" not in plan.split("ReadSchema:")[1] and "EqualTo(doc_id,7)" in plan
     text = small.where("doc_id = 7").first().text
     assert read_tokens(spark, path).where("doc_id = 7").first().ids == [*ids_of(text), 2]
+
+
+def test_starts_under_equal_and_null_ids(spark, make):
+    """At every start the files, one after the other, hold the ids that the
+    row's checksum says."""
+    texts = ["b b b b b", "a", "longer text of the same id " * 9, "zz", None, "x y", "q" * 50, "c"]
+    ids = [1, 1, 1, 1, 2, None, None, None]
+    path = scratch_path(spark, "tokens-test")
+    write_tokens(make([(i, t, None, None, 1) for i, t in zip(ids * 5, texts * 5)]), path)
+    files = sorted(p for p in fs.list_files(spark, path) if p.endswith(".parquet"))
+    flat = np.concatenate([x for f in files for r in pq.read_table(f"{path.removeprefix('file:')}/{f}").column("ids").to_pylist() for x in [np.array(r, "<u4")]])
+    rows = token_stream(spark, path).collect()
+    assert len(rows) == 40 and sorted(r.start for r in rows) == np.cumsum([0, *(r.n_tokens for r in sorted(rows, key=lambda r: r.start))])[:-1].tolist()
+    for r in rows:
+        assert zlib.crc32(flat[r.start : r.start + r.n_tokens].tobytes()) == r.ids_crc32
