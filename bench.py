@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pacelake.plans.catalog import all_queries  # noqa: E402
 from pacelake.plans.lake import AS_OF_YEAR, _LAKES, build_lake  # noqa: E402
 from pacelake.session import build_session, scratch_path  # noqa: E402
-from pacelake.streaming.replay import _REPLAYS, build_replay  # noqa: E402
+from pacelake.streaming.replay import _OPEN, _REPLAYS, build_incremental, build_replay  # noqa: E402
 
 
 def main() -> None:
@@ -46,6 +46,7 @@ def main() -> None:
     if warmed:
         build_lake(spark, warm_dir, scratch_path(spark, "bench-warmup"), AS_OF_YEAR)
         build_replay(spark, warm_dir, scratch_path(spark, "bench-warmup-replay"), AS_OF_YEAR)
+        build_incremental(spark, warm_dir, scratch_path(spark, "bench-warmup-incremental"))
 
     builds = []
     for _ in range(max(1, repeat - 1)):
@@ -62,7 +63,13 @@ def main() -> None:
     replay_sec = time.perf_counter() - t0
     _REPLAYS[(spark.sparkContext.applicationId, sf_dir, AS_OF_YEAR)] = replay
 
-    timings: dict[str, float] = {"lake_build": round(build_sec, 3), "stream_replay_build": round(replay_sec, 3)}
+    # the same rows in three drops, each folded into the stored state
+    t0 = time.perf_counter()
+    folded = build_incremental(spark, sf_dir, scratch_path(spark, "bench-incremental"))
+    folded_sec = time.perf_counter() - t0
+    _OPEN[(spark.sparkContext.applicationId, "incremental", sf_dir)] = folded
+
+    timings: dict[str, float] = {"lake_build": round(build_sec, 3), "stream_replay_build": round(replay_sec, 3), "incremental_build": round(folded_sec, 3)}
     for name, q in all_queries().items():
         runs = []
         for _ in range(repeat):
@@ -81,7 +88,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
-                "n_queries": len(timings) - 2,
+                "n_queries": len(timings) - 3,
                 "warmup": warmed,
                 "lake_build_runs": [round(b, 3) for b in builds],
                 "spark": spark.version,

@@ -8,12 +8,12 @@ operators. The shapes they are built for, and how they behave at scale:
   shuffle and never lands whole in one task;
 * windows without partition keys (year-over-year, running totals) are only
   ever applied *after* an aggregation to one row per ordering value, so the
-  single window partition holds one row per year/bucket, not the raw rows;
+  single window partition holds one row per year/bucket, not the raw rows; for
+  many periods they run as scans over ranges (``operators.scans``);
 * top-k is ``orderBy + limit``, planned as TakeOrderedAndProject (per-task
   top-k then a k-row merge), with a deterministic tie-break;
-* quantiles are exact in two passes: a small mergeable sketch brackets the
-  rank, a second pass counts the rows outside the bracket and ranks the
-  distinct values inside it; the column itself never meets in one task.
+* quantiles are exact (``operators.exact_quantiles``): brackets are narrowed until
+  few values are left to rank; the column itself never meets in one task.
 """
 
 from __future__ import annotations
@@ -23,11 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ColumnLike = Column | str
+from pacelake.operators.exact_quantiles import quantiles
+from pacelake.operators.scans import scan
 
-# Accuracy of the sketch that brackets a quantile: relative rank error at most
-# 1/accuracy, so a bracket holds about 4/accuracy of a group's rows.
-BRACKET_ACCURACY = 10_000
+ColumnLike = Column | str
 
 
 def _c(c: ColumnLike) -> Column:
@@ -39,6 +38,12 @@ def round_half_up(c: ColumnLike, digits: int) -> Column:
     return F.round(_c(c), digits)
 
 
+def stable_round(c: ColumnLike, digits: int) -> Column:
+    """A mean of doubles rounded so that the order of its summands, which shows
+    in the last digits, does not: to ten decimals first."""
+    return F.round(F.round(_c(c), 10), digits)
+
+
 def count_where(cond: Column) -> Column:
     """SUM(CASE WHEN cond THEN 1 ELSE 0 END) as a bigint."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
@@ -51,56 +56,6 @@ def pct_where(cond: Column, digits: int = 1) -> Column:
     )
 
 
-def quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    accuracy: int = BRACKET_ACCURACY,
-) -> DataFrame:
-    """Exact discrete quantiles of ``value`` per group, one row per group with
-    a non-NULL value: ``by`` columns, ``n`` and one column per name in ``probs``
-    (the smallest value with at least ``ceil(p * n)`` values up to it).
-
-    Pass 1: row count and, for every p, the sketch's values at p -/+ 2/accuracy;
-    the sketch's rank error is at most 1/accuracy, so they bracket the answer.
-    Pass 2: rows inside a bracket are counted per distinct value, all others
-    per nearest bracket end below them (both pre-reduced on every mapper);
-    running sums over these few rows per group give the ranks.
-    """
-    ps = sorted(set(probs.values()))
-    ends = [min(1.0, max(0.0, p + d)) for p in ps for d in (-2.0 / accuracy, 2.0 / accuracy)]
-    src = df.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(by)], F.lit(0).alias("_all"), F.col(value).alias("_v"))
-    src = src.filter(F.col("_v").isNotNull())
-    keys = [*(f"_g{i}" for i in range(len(by))), "_all"]
-    sketch = src.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_e")
-    )
-    if by:
-        there = sketch.select(*[F.col(f"_g{i}").alias(f"_g{i}b") for i in range(len(by))], "_n", "_e")
-        rows = src.join(there, [F.col(f"_g{i}").eqNullSafe(F.col(f"_g{i}b")) for i in range(len(by))])
-    else:  # one group: its row is a scalar subquery, not a join
-        rows = src.withColumns({"_n": sketch.select("_n").scalar(), "_e": sketch.select("_e").scalar()})
-    v, e = F.col("_v"), F.col("_e")
-    inside = F.lit(False)
-    below = F.lit(None).cast(df.schema[value].dataType)
-    for i in range(len(ps)):
-        inside = inside | ((v >= e[2 * i]) & (v <= e[2 * i + 1]))
-        below = F.when(v > e[2 * i + 1], e[2 * i + 1]).otherwise(below)
-    counted = (
-        rows.groupBy(*keys, "_n", inside.alias("_in"), F.when(inside, v).otherwise(below).alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    # a bracket's values come before the rows counted at its upper end
-    order = Window.partitionBy(*keys).orderBy(F.col("_k").asc_nulls_first(), F.col("_in").desc())
-    ranked = counted.withColumn("_r", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    reach = lambda p: F.col("_in") & (F.col("_r") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)))
-    out = ranked.groupBy(*keys).agg(
-        F.max("_n").alias("n"), *[F.min(F.when(reach(p), F.col("_k"))).alias(name) for name, p in probs.items()]
-    )
-    return out.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(by)], "n", *probs)
-
-
 def bucket(c: ColumnLike, width: int) -> Column:
     """floor(c / width) * width as bigint (e.g. 5-year age buckets, decades)."""
     return (F.floor(_c(c) / F.lit(width)) * F.lit(width)).cast("long")
@@ -145,20 +100,26 @@ def growth_over_prior(
     prev_name: str | None = None,
     growth_name: str = "growth_pct",
     drop_null_period: bool = False,
+    distributed: bool = False,
 ) -> DataFrame:
     """Adds the previous period's value and the % change against it.
 
     ``df`` must already be one row per (partition_by, period) – aggregate
-    first – so the window is small even without partition keys. A NULL
+    first – so the window is small even without partition keys; where periods
+    are many, ``distributed`` runs it as a scan over ranges. A NULL
     period sorts first and so becomes the "previous" of the earliest real
     period; ``drop_null_period`` removes that row instead.
     """
     if drop_null_period:
         df = df.filter(F.col(period).isNotNull())
-    w = Window.partitionBy(*partition_by).orderBy(F.col(period).asc_nulls_first())
-    prev = F.lag(value).over(w)
+    columns = df.columns
+    if distributed:
+        df = scan(df, period, {"_prior": ("prior", value)}, partition_by)
+        prev = F.col("_prior")
+    else:
+        prev = F.lag(value).over(Window.partitionBy(*partition_by).orderBy(F.col(period).asc_nulls_first()))
     return df.select(
-        *df.columns,
+        *columns,
         prev.alias(prev_name or f"prev_{value}"),
         F.round(F.lit(100.0) * (F.col(value) - prev) / F.nullif(prev, F.lit(0)), digits).alias(
             growth_name
@@ -174,16 +135,20 @@ def debut_cohorts(
     new_name: str = "new_entities",
     cumulative_name: str = "cumulative_entities",
     partition_by: Sequence[str] = (),
+    distributed: bool = False,
 ) -> DataFrame:
     """Entities counted in the period of their first appearance, plus running
     total, per ``partition_by`` group (an entity debuts once in each group).
 
     Two aggregations (min period per entity, then count per period); the
-    running sum runs over one row per group and period.
+    running sum runs over one row per group and period, as a scan over ranges
+    with ``distributed``.
     """
     out = period_name or period
     firsts = df.filter(F.col(period).isNotNull()).groupBy(*partition_by, entity).agg(F.min(period).alias(out))
     per = firsts.groupBy(*partition_by, out).agg(F.count(F.lit(1)).alias(new_name))
+    if distributed:
+        return scan(per, out, {cumulative_name: ("sum", new_name)}, partition_by).select(*partition_by, out, new_name, cumulative_name)
     w = Window.partitionBy(*partition_by).orderBy(F.col(out)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return per.select(*partition_by, out, new_name, F.sum(new_name).over(w).cast("long").alias(cumulative_name))
 
@@ -197,16 +162,20 @@ def running_best(
     best_name: str = "period_best",
     running_name: str = "best_to_date",
     drop_null_period: bool = False,
+    distributed: bool = False,
 ) -> DataFrame:
     """Best value per period and the best seen up to and including it.
 
     A NULL period sorts first, so its best seeds the running best of every
-    later period; ``drop_null_period`` leaves those rows out.
+    later period; ``drop_null_period`` leaves those rows out. ``distributed``
+    runs the window as a scan over ranges.
     """
     agg = F.min if best == "min" else F.max
     if drop_null_period:
         df = df.filter(F.col(period).isNotNull())
     per = df.groupBy(*partition_by, period).agg(agg(value).alias(best_name))
+    if distributed:
+        return scan(per, period, {running_name: (best, best_name)}, partition_by).select(*partition_by, period, best_name, running_name)
     w = (
         Window.partitionBy(*partition_by)
         .orderBy(F.col(period).asc_nulls_first())
@@ -283,3 +252,20 @@ def lookup_label(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, la
         .withColumn(out, F.coalesce(F.col("_label"), F.col(key).cast("string")))
         .drop("_lk", "_label")
     )
+
+
+def stratified_sample(df: DataFrame, strata: Sequence[str], key: str, k: int, draw_name: str = "weight") -> DataFrame:
+    """Exactly ``k`` rows per stratum (all, if there are no more), the same ones
+    in every run: those whose key has the smallest hashes. Every task keeps its
+    own k + 1 smallest per stratum, so a hot stratum is cut before the shuffle.
+
+    ``draw_name`` is the weight of a row, one over its chance to be drawn, given
+    by the next smallest hash: weighted sums estimate totals without another
+    scan. ``key`` is unique within a stratum.
+    """
+    # 48 bits of a hash that any engine has, as a number between 0 and 1
+    draw = (F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 12), 16, 10).cast("double") + 1) / float(1 << 48)
+    order = Window.partitionBy(*strata).orderBy("_draw", key)
+    near = df.withColumn("_draw", draw).withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= k + 1)
+    edge = F.max(F.when(F.col("_at") == k + 1, F.col("_draw"))).over(Window.partitionBy(*strata))
+    return near.withColumn(draw_name, 1.0 / F.coalesce(edge, F.lit(1.0))).where(F.col("_at") <= k).select(*df.columns, draw_name)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pacelake.operators.metrics import quantiles
+from pacelake.operators.exact_quantiles import quantiles
+from pacelake.session import scratch_path
 
 c = F.col
 
@@ -44,6 +45,11 @@ def _number_of(raw: Column) -> Column:
     return F.when(raw.rlike(NUMBER_TEXT), F.regexp_replace(F.trim(raw), "_", "").try_cast("double"))
 
 
+def _entries(entries: str, key: str) -> Column:
+    """A map's entries of one key, in order."""
+    return F.filter(entries, lambda e: e["key"] == key)
+
+
 # --- R1: JSON specs --------------------------------------------------------------
 
 def validate_json_specs(
@@ -57,7 +63,8 @@ def validate_json_specs(
 
     Output: ``keep`` columns, one column per required key (longs for keys in
     ``int_ranges``, text otherwise, a JSON null as NULL) and ``reject_reason``
-    (NULL when the row is accepted). Reasons, first one wins: no JSON object
+    (NULL when the row is accepted). Of a repeated key the last value counts.
+    Reasons, first one wins: no JSON object
     (also for a NULL text), invalid JSON (also text after the object, or single
     quotes), missing keys, non-numeric <key>, <key> out of range (fractions are
     cut off first). A check that cannot be decided counts as failed.
@@ -67,8 +74,9 @@ def validate_json_specs(
     # read as the only element of an array, the object must be the whole text; one parse gives keys and values
     items = F.from_json(F.concat(F.lit("["), obj, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
     parsed = df.select(*keep, obj.alias("_obj"), items.alias("_items"))
-    parsed = parsed.withColumn("_j", F.when(F.size("_items") == 1, c("_items")[0]))
-    missing = reduce(lambda a, b: a | b, [~F.map_contains_key("_j", F.lit(k)) for k in required])
+    parsed = parsed.withColumn("_j", F.when(F.size("_items") == 1, F.map_entries(c("_items")[0])))
+    found = {k: _entries("_j", k) for k in required}
+    missing = reduce(lambda a, b: a | b, [F.size(x) == 0 for x in found.values()])
     checks: list[tuple[Column, str]] = [
         (c("_obj") == "", "no JSON object"),
         (c("_j").isNull(), "invalid JSON"),
@@ -76,7 +84,7 @@ def validate_json_specs(
     ]
     values = {}
     for k in required:
-        raw = F.try_element_at("_j", F.lit(k))
+        raw = F.try_element_at(found[k], F.lit(-1))["value"]  # of a repeated key the last counts
         if k in int_ranges:
             lo, hi = int_ranges[k]
             number = _number_of(raw)
@@ -156,6 +164,7 @@ def audit_star_schema(
     primary_keys: dict[str, str | Sequence[str]],
     foreign_keys: Sequence[tuple[str, str, str, str]],
     not_null: dict[str, Sequence[str]] | None = None,
+    counted: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
     """Report of key violations, one row per check.
 
@@ -164,14 +173,20 @@ def audit_star_schema(
     foreign_keys: (table, column, parent table, parent key); violations =
         non-NULL child values with no parent row.
     not_null: table -> columns that must not be NULL.
+    counted: table -> NULLs per column, where they were counted when the table
+        was written; such columns are not read again.
 
     A table's key and NULL checks are one aggregation; all its foreign keys are
     counted per value in one further scan (reduced on every mapper) and joined
     with the parents' keys in one join.
     """
     report = "check_name string, table_name string, column_name string, n_violations long"
-    not_null = not_null or {}
+    not_null, counted = not_null or {}, counted or {}
     parts: list[DataFrame] = []
+    known = [("not_null", t, x, counted[t][x]) for t, cols in not_null.items() for x in cols if x in counted.get(t, {})]
+    if known:
+        parts.append(next(iter(tables.values())).sparkSession.createDataFrame(known, report))
+    not_null = {t: left for t, cols in not_null.items() if (left := [x for x in cols if x not in counted.get(t, {})])}
     for t in dict.fromkeys([*primary_keys, *not_null]):
         checks: list[tuple[str, str, Column]] = []
         if t in primary_keys:
@@ -200,15 +215,10 @@ def audit_star_schema(
 
 # --- R3: result comparison ---------------------------------------------------------
 
-def compare_results(left: DataFrame, right: DataFrame, name_left: str = "left", name_right: str = "right") -> DataFrame:
-    """Rows present in one input and not the other (multiset semantics).
+COMPARE_BUCKETS = 4096
 
-    Output: ``side`` plus the row's columns plus ``n`` = how many more copies
-    that side has. Empty when the inputs are equal as multisets. Columns are
-    matched by name; a column that only one side has, or of another type, is
-    an error. One shuffle: copies count +1 and -1 and are summed per row,
-    pre-reduced on every mapper.
-    """
+
+def _checked_columns(left: DataFrame, right: DataFrame, name_left: str, name_right: str) -> list[str]:
     kinds_left, kinds_right = dict(left.dtypes), dict(right.dtypes)
     found = [
         *(f"{x} only in {name_left}" for x in kinds_left if x not in kinds_right),
@@ -217,14 +227,91 @@ def compare_results(left: DataFrame, right: DataFrame, name_left: str = "left",
     ]
     if found:
         raise ValueError("the results differ in their columns: " + "; ".join(found))
-    cols = left.columns
-    both = left.select(*cols, F.lit(1).cast("long").alias("_n")).union(right.select(*cols, F.lit(-1).cast("long").alias("_n")))
-    more = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return left.columns
+
+
+def _row_hashes(cols: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row; which columns are NULL counts, too (a hash
+    skips NULLs)."""
+    values = [c(x) for x in cols]
+    nulls = [v.isNull() for v in values]
+    return F.xxhash64(*values, *nulls), F.xxhash64(F.lit(1), *nulls, *values)
+
+
+def checksum_differences(left: DataFrame, right: DataFrame, cols: Sequence[str], buckets: int = COMPARE_BUCKETS) -> DataFrame:
+    """(bucket): where the two inputs differ as multisets of rows. Rows are dealt
+    into buckets by a hash; a bucket's checksum is the number of its rows and the
+    sums of four 32-bit parts of two hashes, which do not depend on the order and
+    tell how often a row is there. Only the sums of buckets are shuffled."""
+    one, two = _row_hashes(cols)
+    low = lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF))
+    high = lambda h: F.shiftrightunsigned(h, 32)
+    marked = lambda df, sign: df.select(one.alias("_a"), two.alias("_b"), F.lit(sign).cast("long").alias("_s"))
+    both = marked(left, 1).union(marked(right, -1))
+    parts = [F.sum("_s"), *(F.sum(c("_s") * part(c(h))) for h in ("_a", "_b") for part in (low, high))]
+    sums = both.groupBy(F.pmod(c("_a"), F.lit(buckets)).cast("int").alias("bucket")).agg(*[x.alias(f"_p{i}") for i, x in enumerate(parts)])
+    return sums.where(reduce(lambda x, y: x | y, [c(f"_p{i}") != 0 for i in range(len(parts))])).select("bucket")
+
+
+def compare_results(left: DataFrame, right: DataFrame, name_left: str = "left", name_right: str = "right", buckets: int = COMPARE_BUCKETS) -> DataFrame:
+    """Rows present in one input and not the other (multiset semantics).
+
+    Output: ``side`` plus the row's columns plus ``n`` = how many more copies
+    that side has. Empty when the inputs are equal as multisets. Columns are
+    matched by name; a column that only one side has, or of another type, is
+    an error.
+
+    Checksums per bucket are compared first; only rows of buckets that differ
+    (at most ``buckets`` numbers are read by the driver) are compared one by
+    one: copies count +1 and -1 and are summed per row, pre-reduced on every
+    mapper.
+    """
+    cols = _checked_columns(left, right, name_left, name_right)
+    differ = [r.bucket for r in checksum_differences(left, right, cols, buckets).collect()]
+    bucket = F.pmod(_row_hashes(cols)[0], F.lit(buckets)).cast("int")
+    here = F.lit(True) if len(differ) == buckets else bucket.isin(differ) if differ else F.lit(False)
+    marked = lambda df, sign: df.where(here).select(*cols, F.lit(sign).cast("long").alias("_n"))
+    more = marked(left, 1).union(marked(right, -1)).groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
     return more.select(
         F.when(c("_n") > 0, F.lit(name_left)).otherwise(F.lit(name_right)).alias("side"), *cols, F.abs("_n").alias("n")
     )
 
 
+# --- heavy hitters --------------------------------------------------------------------
+
+FREQUENT_BUCKETS = 1 << 16
+
+
+def frequent_values(df: DataFrame, column: str, k: int, buckets: int = FREQUENT_BUCKETS) -> DataFrame:
+    """The ``k`` most frequent values of a column with their exact counts (of
+    equal counts the smallest values; NULL is no value).
+
+    Pass 1 counts rows per hash bucket: a summary of at most ``buckets`` numbers
+    that merges by adding up. A value has at most its bucket's rows. Pass 2 counts
+    the values of the heaviest buckets only, more and more of them, until the
+    k-th count found is greater than every bucket left out: then no other value
+    can be among the first k. Only values of these buckets are shuffled. Where
+    values are about equally frequent, that may be all of them.
+    """
+    spark = df.sparkSession
+    rows = df.select(c(column).alias("value")).where("value is not null").withColumn("_h", F.pmod(F.xxhash64("value"), F.lit(buckets)).cast("int"))
+    path = scratch_path(spark, "frequent")
+    rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
+    sizes = spark.read.schema("_h int, _n long").parquet(path)
+    largest = [r._n for r in sizes.select("_n").orderBy(F.desc("_n")).limit(max(4 * k, 64)).collect()]
+    least = largest[-1] if largest else 1
+    while True:
+        here = rows.join(sizes.where(c("_n") >= least).select("_h"), "_h", "left_semi")
+        top = here.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(k)
+        if least <= 1:
+            return top
+        counts = [r.n for r in top.select("n").collect()]
+        proven = max(1, counts[-1]) if len(counts) == k else 1
+        if proven >= least:  # every bucket that may hold such a value was counted
+            return top
+        least = proven
+
+
 # --- R5 / X1-X5: profiling -----------------------------------------------------------
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -260,45 +347,72 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return stats.join(quarters, "column_name", "left").select("column_name", "count", "mean", "stddev", "min", *_QUARTERS, "max")
 
 
+def _value_hashes(x: str) -> Column:
+    """A 128-bit hash of a value in its own type (NULL for NULL)."""
+    return F.when(c(x).isNotNull(), F.struct(F.xxhash64(c(x)).alias("a"), F.xxhash64(F.lit(1), c(x)).alias("b")))
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """R5, a row per column of any table: type, rows, NULLs, distinct values,
     the most frequent value with its count (of equals the smallest), and
 
     * numbers: min, max, mean, stddev, exact quartiles (as double);
-    * text, dates and other types: smallest and greatest value as text.
-
-    Values are counted per column and value first (reduced on every mapper);
-    distinct counts and the most frequent value follow from these counts.
+    * all but floating numbers: smallest, greatest and most frequent value as
+      text of the column's own type, so that long integers stay exact; the most
+      frequent value of floating numbers is ``top_number``.
+
+    Values are counted by a 128-bit hash of the value in its own type, reduced on
+    every mapper; no text is shuffled. The value of the most frequent hash is then
+    looked up in a scan of that column alone (the smallest value if all are
+    equally frequent). The driver sees a row per column.
     """
-    fields = df.schema.fields
-    numeric = [f.name for f in fields if isinstance(f.dataType, _NUMERIC)]
-    other = [f.name for f in fields if not isinstance(f.dataType, _NUMERIC)]
-    kinds = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "_at int, column_name string, data_type string")
-    nulls = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(c(f.name).isNull()).alias(f"_n{i}") for i, f in enumerate(fields)])
-    nulls = nulls.select("_rows", F.inline(F.array(*[F.struct(F.lit(f.name).alias("_c"), c(f"_n{i}").alias("n_nulls")) for i, f in enumerate(fields)])))
-    out = kinds.join(nulls.withColumnRenamed("_c", "column_name"), "column_name")
-    parts = []
-    for names, kind in ((numeric, "double"), (other, "string")):
-        if not names:
-            continue
-        rows = _long_form(df, {x: c(x) for x in names}, kind).filter("value is not null")
-        per_value = rows.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-        top = F.min_by("value", F.struct(-c("_n"), c("value")))
-        found = per_value.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("n_distinct"), F.max("_n").alias("top_count"), top.alias("_top"), F.min("value").alias("_min"), F.max("value").alias("_max")
-        )
-        null = F.lit(None)
-        if kind == "double":
-            stats = rows.groupBy("column_name").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"))
-            found = found.join(stats, "column_name").join(quantiles(rows, ["column_name"], "value", _QUARTERS).drop("n"), "column_name")
-            cols = [c("_min").alias("min"), c("_max").alias("max"), "mean", "stddev", *_QUARTERS, null.cast("string").alias("min_text"), null.cast("string").alias("max_text"), c("_top").alias("top_number"), null.cast("string").alias("top_text")]
-        else:
-            cols = [*[null.cast("double").alias(x) for x in ("min", "max", "mean", "stddev", *_QUARTERS)], c("_min").alias("min_text"), c("_max").alias("max_text"), null.cast("double").alias("top_number"), c("_top").alias("top_text")]
-        parts.append(found.select("column_name", "n_distinct", *cols, "top_count"))
-    stats = reduce(DataFrame.unionByName, parts)
-    return (
-        out.join(stats, "column_name", "left")
-        .select("_at", "column_name", "data_type", c("_rows").alias("n_rows"), "n_nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), *[x for x in stats.columns if x not in ("column_name", "n_distinct")])
-        .orderBy("_at")
-        .drop("_at")
-    )
+    spark, fields = df.sparkSession, df.schema.fields
+    own = df.select(*[(c(f.name) if isinstance(f.dataType, T.AtomicType) else c(f.name).cast("string")).alias(f"_v{i}") for i, f in enumerate(fields)])
+    numeric = [i for i, f in enumerate(fields) if isinstance(f.dataType, _NUMERIC)]
+    floating = [i for i, f in enumerate(fields) if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    each = [F.struct(F.lit(i).alias("_i"), _value_hashes(f"_v{i}").alias("_h")) for i in range(len(fields))]
+    counts = own.select(F.inline(F.array(*each))).where("_h is not null").groupBy("_i", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_path(spark, "profile")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    per_count = counts.groupBy("_i", "_n").agg(F.count(F.lit(1)).alias("_m"))
+    found = {r._i: r for r in per_count.groupBy("_i").agg(F.sum("_m").alias("distinct"), F.max("_n").alias("top"), F.max_by("_m", "_n").alias("ties")).collect()}
+
+    def stats(i: int) -> list[Column]:
+        v = c(f"_v{i}")
+        out = [F.count_if(v.isNull()).alias(f"nulls{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+        return out + ([F.avg(v.cast("double")).alias(f"mean{i}"), F.stddev_samp(v.cast("double")).alias(f"stddev{i}")] if i in numeric else [])
+
+    wide = own.agg(F.count(F.lit(1)).alias("rows"), *[x for i in range(len(fields)) for x in stats(i)])
+    tops = {}
+    for i, r in found.items():
+        if r.ties < r.distinct:
+            best = counts.where((c("_i") == i) & (c("_n") == r.top)).select("_h")
+            tops[i] = own.select(f"_v{i}", _value_hashes(f"_v{i}").alias("_h")).join(best, "_h", "left_semi").agg(F.min(f"_v{i}")).scalar()
+    null = lambda kind: F.lit(None).cast(kind)
+    rows = []
+    for i, f in enumerate(fields):
+        r = found.get(i)
+        low, high = c(f"min{i}"), c(f"max{i}")
+        top = null("string") if r is None else tops.get(i, low)
+        number = i in numeric
+        as_text = (lambda x: null("string")) if i in floating else (lambda x: x.cast("string"))
+        rows.append(
+            F.struct(
+                F.lit(i).alias("_at"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), c("rows").alias("n_rows"),
+                c(f"nulls{i}").alias("n_nulls"), F.lit(r.distinct if r else 0).cast("long").alias("n_distinct"),
+                *[(c(f"{x}{i}").cast("double") if number else null("double")).alias(x) for x in ("min", "max", "mean", "stddev")],
+                as_text(low).alias("min_text"), as_text(high).alias("max_text"),
+                (top.cast("double") if i in floating else null("double")).alias("top_number"), as_text(top).alias("top_text"),
+                F.lit(r.top if r else None).cast("long").alias("top_count"),
+            )
+        )
+    out = wide.select(F.inline(F.array(*rows)))
+    if numeric:
+        values = _long_form(own, {str(i): c(f"_v{i}") for i in numeric}, "double").withColumnRenamed("column_name", "_name")
+        quarters = quantiles(values, ["_name"], "value", _QUARTERS).select(c("_name").cast("int").alias("_q"), *_QUARTERS)
+        out = out.join(quarters, c("_at") == c("_q"), "left")
+    else:
+        out = out.withColumns({x: null("double") for x in _QUARTERS})
+    names = ["column_name", "data_type", "n_rows", "n_nulls", "n_distinct", "min", "max", "mean", "stddev", *_QUARTERS, "min_text", "max_text", "top_number", "top_text", "top_count"]
+    return out.orderBy("_at").select(*names)

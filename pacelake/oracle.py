@@ -13,6 +13,8 @@ Engine differences handled here:
 
 from __future__ import annotations
 
+from pacelake.schema import SOURCE_HEADERS
+
 AS_OF_YEAR = 2026
 
 FEED = """
@@ -488,6 +490,7 @@ def eda_queries() -> dict[str, str]:
 
 # --- generic operators on the base tables ------------------------------------------------
 
+SECOND = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 OYEAR = "cast(year(o_orderdate) AS int)"
 LINEITEM_TYPES = [
     ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
@@ -537,22 +540,22 @@ def _profile_sql() -> str:
     ctes, parts = [], []
     null = "cast(NULL AS {}) AS {}".format
     for i, (col, typ) in enumerate(LINEITEM_TYPES):
-        num = typ in _NUMERIC_TYPES
-        value = f"cast({col} AS double)" if num else f"strftime({col}, '%Y-%m-%d %H:%M:%S')" if typ.startswith("timestamp") else col
+        num, floating = typ in _NUMERIC_TYPES, typ in ("double", "float")
+        value = f"strftime({col}, '%Y-%m-%d %H:%M:%S')" if typ.startswith("timestamp") else col
         ctes.append(f"v{i} AS (SELECT {value} AS v FROM lineitem)")
         ctes.append(f"t{i} AS (SELECT v, count(*) AS n FROM v{i} WHERE v IS NOT NULL GROUP BY v)")
         top = f"(SELECT v FROM t{i} ORDER BY n DESC, v LIMIT 1)"
         if num:
             stats = (
-                f"min(v) AS min, max(v) AS max, avg(v) AS mean, stddev_samp(v) AS stddev, "
-                + ", ".join(f"({pct_disc(f'v{i}', 'v', q)}) AS {n}" for n, q in [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)])
-                + f", {null('varchar', 'min_text')}, {null('varchar', 'max_text')}, {top} AS top_number, {null('varchar', 'top_text')}"
+                f"cast(min(v) AS double) AS min, cast(max(v) AS double) AS max, {R('avg(v)', 6)} AS mean, {R('stddev_samp(v)', 6)} AS stddev, "
+                + ", ".join(f"cast(({pct_disc(f'v{i}', 'v', q)}) AS double) AS {n}" for n, q in [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)])
             )
         else:
-            stats = (
-                ", ".join(null("double", x) for x in ("min", "max", "mean", "stddev", "p25", "p50", "p75"))
-                + f", min(v) AS min_text, max(v) AS max_text, {null('double', 'top_number')}, {top} AS top_text"
-            )
+            stats = ", ".join(null("double", x) for x in ("min", "max", "mean", "stddev", "p25", "p50", "p75"))
+        if floating:
+            stats += f", {null('varchar', 'min_text')}, {null('varchar', 'max_text')}, {top} AS top_number, {null('varchar', 'top_text')}"
+        else:
+            stats += f", cast(min(v) AS varchar) AS min_text, cast(max(v) AS varchar) AS max_text, {null('double', 'top_number')}, cast({top} AS varchar) AS top_text"
         parts.append(
             f"SELECT '{col}' AS column_name, '{typ}' AS data_type, count(*) AS n_rows,"
             f" cast(count(*) FILTER (WHERE v IS NULL) AS bigint) AS n_nulls, count(DISTINCT v) AS n_distinct, {stats},"
@@ -594,20 +597,21 @@ def _event_specs_sql() -> str:
         """'{"event_name": "' || upper(c_mktsegment) || ' Trail, ' || c_custkey || '", "country": " n' || substr(n_name, 2, 2)"""
         """ || '", "distance_km": ' || (c_custkey % 300) || ', "n_finishers": "' || (c_custkey % 400) || '.9"}'"""
     )
+    last = "json_extract_string(doc, '$.*')[len(json_keys(doc)) + 1 - list_position(list_reverse(json_keys(doc)), '{}')]".format
     number = r"'\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*'"
     return f"""WITH g AS (SELECT c_custkey, {good} AS good FROM customer JOIN nation ON c_nationkey = n_nationkey),
-t AS (SELECT c_custkey, CASE c_custkey % 12 WHEN 0 THEN good WHEN 1 THEN 'Here it is: ' || good || ' Enjoy'
+t AS (SELECT c_custkey, CASE c_custkey % 14 WHEN 0 THEN good WHEN 1 THEN 'Here it is: ' || good || ' Enjoy'
   WHEN 2 THEN replace(good, '"country"', '"land"') WHEN 3 THEN regexp_replace(good, '"country": "[^"]*"', '"country": null')
   WHEN 4 THEN regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": "100d"') WHEN 5 THEN good || ' trailing }}'
   WHEN 6 THEN good || ' {{"a": 1}}' WHEN 7 THEN replace(good, '"', chr(39)) WHEN 8 THEN 'no object here'
   WHEN 9 THEN regexp_replace(good, '"event_name": "[^"]*"', '"event_name": null')
-  WHEN 10 THEN regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": 1e12') END AS txt FROM g),
+  WHEN 10 THEN regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": 1e12')
+  WHEN 12 THEN left(good, length(good) - 1) || ', "n_finishers": 9}}' WHEN 13 THEN '{{"distance_km": "far", ' || substr(good, 2) END AS txt FROM g),
 o AS (SELECT c_custkey, coalesce(regexp_extract(txt, '(?s)\\{{.*\\}}', 0), '') AS obj FROM t),
 j AS (SELECT c_custkey, obj, CASE WHEN obj <> '' AND json_valid(obj) THEN obj END AS doc FROM o),
 f AS (SELECT c_custkey, obj, doc, json_keys(doc) AS keys,
-  trim(regexp_replace(replace(coalesce(json_extract_string(doc, '$.event_name'), 'None'), ',', ' '), ' +', ' ', 'g')) AS name,
-  upper(trim(json_extract_string(doc, '$.country'))) AS code,
-  json_extract_string(doc, '$.distance_km') AS km_text, json_extract_string(doc, '$.n_finishers') AS n_text FROM j),
+  trim(regexp_replace(replace(coalesce({last('event_name')}, 'None'), ',', ' '), ' +', ' ', 'g')) AS name,
+  upper(trim({last('country')})) AS code, {last('distance_km')} AS km_text, {last('n_finishers')} AS n_text FROM j),
 n AS (SELECT *, CASE WHEN regexp_full_match(km_text, {number}) THEN trunc(cast(trim(km_text) AS double)) END AS km,
   CASE WHEN regexp_full_match(n_text, {number}) THEN trunc(cast(trim(n_text) AS double)) END AS fin FROM f),
 r AS (SELECT *, CASE WHEN obj = '' THEN 'no JSON object' WHEN doc IS NULL THEN 'invalid JSON'
@@ -622,7 +626,44 @@ SELECT c_custkey, CASE WHEN reason IS NULL THEN name || ' (' || code || ')' END
 
 def ingest_queries() -> dict[str, str]:
     folder = "CASE WHEN year_of_event <= 1996 THEN 'historical' ELSE 'simulated' END"
+    span = "cast(floor(event_year / 3) AS int) * 3"
+    who = "athlete_source_id"
+    outcome = (
+        f"CASE WHEN {who} % 41 = 7 THEN 'bad year_of_event' WHEN {who} % 43 = 5 THEN 'bad event_number_of_finishers'"
+        f" WHEN {who} % 47 = 3 THEN 'bad athlete_year_of_birth' WHEN {who} % 53 = 2 THEN 'bad athlete_average_speed' ELSE 'kept' END"
+    )
+    athletes = "SELECT {} AS {}, count(DISTINCT f.athlete_id) AS n_athletes FROM (SELECT fct.athlete_id, dim_date.year AS event_year FROM fct LEFT JOIN dim_date USING (date_id)) f GROUP BY 1"
+    kept = race_queries()
+    means = {"vw_distance_top_events": "avg_finish_hours", "vw_distance_country_leaderboard": "avg_speed_kmh",
+             "vw_time_top_events": "avg_distance_km", "vw_time_country_leaderboard": "avg_distance_km"}
+    tables = {"dim_event": "gold_dim_event", "dim_athlete": "gold_dim_athlete", "dim_date": "gold_dim_date"}
+    views = ["vw_results_enriched", "vw_distance_top_events", "vw_distance_gender_split", "vw_distance_country_leaderboard",
+             "vw_time_top_events", "vw_time_country_leaderboard", "vw_time_yearly_progression"]
     return {
+        **{f"incremental_{x}": kept[tables.get(x, x)] for x in (*tables, *views)},
+        **{f"incremental_{x}": f"SELECT * REPLACE ({R(mean, 6)} AS {mean}) FROM ({kept[x]})" for x, mean in means.items()},
+        "landed_batch_profile": feed_query(
+            f"SELECT {folder} AS landing_folder, count(*) AS n_rows, cast(sum(event_number_of_finishers) AS bigint) AS n_finishers,"
+            " count(athlete_year_of_birth) AS n_births, max(athlete_average_speed) AS max_speed FROM feed GROUP BY 1"
+        ),
+        "single_file_drop": feed_query(
+            f"SELECT cast(1 AS bigint) AS n_files, '{','.join(SOURCE_HEADERS)}' AS header, count(*) AS n_rows, count(DISTINCT athlete_source_id) AS n_athletes"
+            " FROM feed WHERE event_name = (SELECT min(event_name) FROM feed)"
+        ),
+        "births_as_of_today": with_ctes(
+            FEED,
+            SILVER.replace(f"AND {AS_OF_YEAR} - 5", "AND year(current_date) - 5"),
+            body="SELECT athlete_year_of_birth, count(*) AS n_results FROM silver GROUP BY 1",
+        ),
+        "quarantined_rows": feed_query(
+            f"SELECT {folder} AS landing_folder, {outcome} AS outcome, count(*) AS n_rows FROM feed GROUP BY 1, 2"
+            f" UNION ALL SELECT DISTINCT {folder}, 'missing', cast(0 AS bigint) FROM feed"
+        ),
+        "bitmap_country_diversity": race(
+            "SELECT event_year, count(DISTINCT athlete_country) AS n_countries FROM enriched WHERE athlete_country IS NOT NULL GROUP BY 1"
+        ),
+        "bitmap_athletes_per_year": race(athletes.format("event_year", "event_year")),
+        "bitmap_athletes_per_span": race(athletes.format(span, "first_year")),
         "stream_batch_compare": race("SELECT '' AS side, *, cast(0 AS bigint) AS n FROM silver WHERE false"),
         "stream_bronze_lineage": feed_query(
             f"SELECT {folder} AS landing_folder, year_of_event, count(*) AS n_rows FROM feed GROUP BY 1, 2"
@@ -700,6 +741,31 @@ def base_queries() -> dict[str, str]:
         "tpch_star_audit": _audit_sql(),
         "orders_compare": _compare_sql(),
         "lineitem_profile": _profile_sql(),
+        "events_record_value": (
+            f"WITH s AS (SELECT {SECOND} AS second, max(value) AS second_max FROM events GROUP BY 1)"
+            " SELECT second, second_max, max(second_max) OVER (ORDER BY second NULLS FIRST) AS max_to_date FROM s"
+        ),
+        "events_growth": (
+            f"WITH s AS (SELECT {SECOND} AS second, count(*) AS n_events FROM events GROUP BY 1)"
+            " SELECT second, n_events, lag(n_events) OVER w AS prev_n_events,"
+            f" {R('100.0 * (n_events - lag(n_events) OVER w) / nullif(lag(n_events) OVER w, 0)', 1)} AS growth_pct"
+            " FROM s WINDOW w AS (ORDER BY second NULLS FIRST)"
+        ),
+        "events_user_debuts": (
+            f"WITH f AS (SELECT event_type, user_id, min({SECOND}) AS second FROM events WHERE ts IS NOT NULL GROUP BY 1, 2)"
+            " SELECT event_type, second, count(*) AS new_users,"
+            " cast(sum(count(*)) OVER (PARTITION BY event_type ORDER BY second) AS bigint) AS cumulative_users FROM f GROUP BY 1, 2"
+        ),
+        "events_sample": (
+            "WITH d AS (SELECT event_type, event_id, value,"
+            " (cast(cast('0x' || substr(md5(cast(event_id AS varchar)), 1, 12) AS bigint) AS double) + 1) / 281474976710656.0 AS draw FROM events),"
+            " r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY draw, event_id) AS nth FROM d)"
+            " SELECT event_type, event_id, value, 1.0 / coalesce((SELECT e.draw FROM r e WHERE e.nth = 26 AND e.event_type IS NOT DISTINCT FROM r.event_type), 1.0)"
+            " AS weight FROM r WHERE nth <= 25"
+        ),
+        "lineitem_frequent_parts": (
+            "SELECT l_partkey, count(*) AS n_lines FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY n_lines DESC, l_partkey LIMIT 20"
+        ),
     }
 
 

@@ -23,11 +23,14 @@ from pacelake.operators.metrics import (
     lookup_label,
     running_best,
     share_pct,
+    stable_round,
+    stratified_sample,
     top_k,
 )
 from pacelake.operators.quality import (
     audit_star_schema,
     compare_results,
+    frequent_values,
     profile_table,
     validate_event_specs,
     validate_json_specs,
@@ -135,7 +138,7 @@ def events_props_validated(spark: SparkSession, base: str) -> DataFrame:
 
 def spec_texts(spark: SparkSession, base: str) -> DataFrame:
     """(c_custkey, spec): race event specs as free text, one per customer, in
-    twelve kinds of right and wrong ones."""
+    fourteen kinds of right and wrong ones."""
     rows = read_table(spark, base, "customer").join(read_table(spark, base, "nation"), c("c_nationkey") == c("n_nationkey"))
     key = c("c_custkey")
     name = F.concat_ws(" ", F.upper("c_mktsegment"), F.lit("Trail,"), key.cast("string"))
@@ -155,6 +158,8 @@ def spec_texts(spark: SparkSession, base: str) -> DataFrame:
         F.regexp_replace(good, '"event_name": "[^"]*"', '"event_name": null'),
         F.regexp_replace(good, '"distance_km": [0-9]+', '"distance_km": 1e12'),
         F.lit(None).cast("string"),
+        F.concat(F.substring(good, 1, F.length(good) - 1), F.lit(', "n_finishers": 9}')),
+        F.concat(F.lit('{"distance_km": "far", '), F.substring(good, 2, F.length(good))),
     ]
     spec = F.lit(None).cast("string")
     for i, kind in enumerate(kinds):
@@ -203,4 +208,43 @@ def orders_compare(spark: SparkSession, base: str) -> DataFrame:
 
 
 def lineitem_profile(spark: SparkSession, base: str) -> DataFrame:
-    return profile_table(read_table(spark, base, "lineitem"))
+    profile = profile_table(read_table(spark, base, "lineitem"))
+    return profile.withColumns({x: stable_round(x, 6) for x in ("mean", "stddev")})
+
+
+def lineitem_frequent_parts(spark: SparkSession, base: str, k: int = 20) -> DataFrame:
+    """The parts with the most order lines."""
+    return frequent_values(read_table(spark, base, "lineitem"), "l_partkey", k).select(c("value").alias("l_partkey"), c("n").alias("n_lines"))
+
+
+def _events_by_second(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "events").withColumn("second", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def events_record_value(spark: SparkSession, base: str) -> DataFrame:
+    """Greatest value per second and so far: a running window over as many
+    periods as there are seconds, without a task that holds them all."""
+    return running_best(_events_by_second(spark, base), "second", "value", "max", best_name="second_max", running_name="max_to_date", distributed=True)
+
+
+def events_growth(spark: SparkSession, base: str) -> DataFrame:
+    """Events per second and the change against the second with events before."""
+    per = _events_by_second(spark, base).groupBy("second").agg(F.count(F.lit(1)).alias("n_events"))
+    return growth_over_prior(per, "second", "n_events", prev_name="prev_n_events", distributed=True)
+
+
+def events_user_debuts(spark: SparkSession, base: str) -> DataFrame:
+    """Users by the second of their first event of a type, with a running total
+    per type."""
+    return debut_cohorts(
+        _events_by_second(spark, base), "user_id", "second", new_name="new_users", cumulative_name="cumulative_users", partition_by=["event_type"], distributed=True
+    )
+
+
+EVENT_SAMPLE = 25
+
+
+def events_sample(spark: SparkSession, base: str) -> DataFrame:
+    """So many events of every type, with their weights."""
+    rows = read_table(spark, base, "events").select("event_type", "event_id", "value")
+    return stratified_sample(rows, ["event_type"], "event_id", EVENT_SAMPLE)

@@ -10,8 +10,20 @@ from pacelake.operators.quality import compare_results
 from pacelake.plans import base_queries as bq
 from pacelake.plans import dashboard as d
 from pacelake.plans import eda
-from pacelake.plans.lake import lake_for
-from pacelake.streaming.replay import landed_text_profile, replayed_lake, stream_bronze_lineage
+from pacelake.plans.lake import GOLD_VIEWS, lake_for
+from pacelake.streaming.replay import (
+    bitmap_athletes_per_span,
+    bitmap_athletes_per_year,
+    bitmap_country_diversity,
+    births_as_of_today,
+    incremental_table,
+    landed_batch_profile,
+    landed_text_profile,
+    quarantined_rows,
+    replayed_lake,
+    single_file_drop,
+    stream_bronze_lineage,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +101,14 @@ INGEST_QUERIES: dict[str, Query] = {
     "stream_batch_compare": stream_batch_compare,
     "stream_bronze_lineage": stream_bronze_lineage,
     "landed_text_profile": landed_text_profile,
+    **{f"incremental_{x}": incremental_table(x) for x in ("dim_event", "dim_athlete", "dim_date", "vw_results_enriched", *GOLD_VIEWS)},
+    "landed_batch_profile": landed_batch_profile,
+    "single_file_drop": single_file_drop,
+    "births_as_of_today": births_as_of_today,
+    "quarantined_rows": quarantined_rows,
+    "bitmap_country_diversity": bitmap_country_diversity,
+    "bitmap_athletes_per_year": bitmap_athletes_per_year,
+    "bitmap_athletes_per_span": bitmap_athletes_per_span,
 }
 
 
@@ -123,6 +143,11 @@ BASE_QUERIES: dict[str, Query] = {
     "tpch_star_audit": bq.tpch_star_audit,
     "orders_compare": bq.orders_compare,
     "lineitem_profile": bq.lineitem_profile,
+    "lineitem_frequent_parts": bq.lineitem_frequent_parts,
+    "events_record_value": bq.events_record_value,
+    "events_growth": bq.events_growth,
+    "events_user_debuts": bq.events_user_debuts,
+    "events_sample": bq.events_sample,
 }
 
 

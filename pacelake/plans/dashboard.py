@@ -440,4 +440,5 @@ def race_star_audit(lake: Lake) -> DataFrame:
             "dim_event": ["event_name"],
             "dim_date": ["full_date"],
         },
+        counted={n: lake.metrics(n) for n in names},
     )

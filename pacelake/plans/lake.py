@@ -13,10 +13,11 @@ tables (used by tests and for one-off exploration).
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,6 +55,7 @@ class Lake:
         self.spark = spark
         self.root = root
         self._tables: dict[str, Callable[[], DataFrame]] = {}
+        self._paths: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -75,6 +77,13 @@ class Lake:
             names.append(prefix + name)
         return names
 
+    def metrics(self, name: str) -> dict[str, int]:
+        """What was counted while a stored table was written: ``n_rows`` and
+        NULLs per counted column (empty if nothing was)."""
+        path = self._paths.get(name)
+        text = fs.read_small_text(self.spark, _metrics_path(path)) if path else None
+        return json.loads(text) if text else {}
+
     # convenience accessors
     def enriched(self) -> DataFrame:
         return self.table("vw_results_enriched")
@@ -157,9 +166,11 @@ def open_lake(spark: SparkSession, root: str) -> Lake:
     lake = Lake(spark, root)
     version = current_version(spark, root)
     for name in STREAM_TABLES:
+        lake._paths[name] = f"{root}/{name}"
         lake._tables[name] = (lambda n: lambda: _read_layer(spark, root, n))(name)
     if version is not None:
         for name in VIEW_TABLES:
+            lake._paths[name] = f"{root}/mv/{version}/{name}"
             lake._tables[name] = (lambda n: lambda: _read(spark, f"{root}/mv/{version}/{n}", n))(name)
     lake._tables["dim_country"] = lambda: dim_country(spark)
     return lake
@@ -170,11 +181,26 @@ def open_lake(spark: SparkSession, root: str) -> Lake:
 PARQUET_CODEC = "zstd"
 
 
+#: Columns whose NULLs are counted while their table is written.
+COUNTED = {"fct_results": ["event_id", "athlete_id", "date_id"], "dim_event": ["event_name"], "dim_date": ["full_date"]}
+
+
+def _metrics_path(path: str) -> str:
+    folder, name = path.rsplit("/", 1)
+    return f"{folder}/_metrics/{name}"
+
+
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    columns = COUNTED.get(path.rsplit("/", 1)[1], [])
+    seen = Observation()
+    if columns:
+        df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(x).isNull()).alias(x) for x in columns])
     w = df.write.mode("overwrite").option("compression", PARQUET_CODEC)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if columns:
+        fs.write_small_text(df.sparkSession, _metrics_path(path), json.dumps(seen.get))
 
 
 # The enriched view is scanned by most dashboard queries, which filter on
@@ -258,7 +284,15 @@ def _code_digest() -> str:
     return h.hexdigest()[:16]
 
 
-def reuse_or_build(spark: SparkSession, kind: str, inputs: list[str], params: str, build: Callable[[str], Lake]) -> Lake:
+def reuse_or_build(
+    spark: SparkSession,
+    kind: str,
+    inputs: list[str],
+    params: str,
+    build: Callable[[str], Lake],
+    reopen: Callable[[SparkSession, str], Lake] = open_lake,
+    published: str = POINTER,
+) -> Lake:
     """A lake built from exactly these input files with this code and these
     parameters, reused across applications.
 
@@ -271,8 +305,8 @@ def reuse_or_build(spark: SparkSession, kind: str, inputs: list[str], params: st
     key = hashlib.sha256(key_text.encode()).hexdigest()[:24]
     pointer = f"{shared_root(spark)}/pacelake/{kind}/{key}/_LAKE"
     root = fs.read_small_text(spark, pointer)
-    if root and fs.exists(spark, f"{root}/{POINTER}"):
-        return open_lake(spark, root)
+    if root and fs.exists(spark, f"{root}/{published}"):
+        return reopen(spark, root)
     root = scratch_path(spark, kind)
     lake = build(root)
     fs.write_small_text(spark, pointer, root)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacelake.schema import ENRICHED_COLUMNS
 
 
-def results_enriched(fact: DataFrame, event: DataFrame, athlete: DataFrame, date: DataFrame) -> DataFrame:
-    """Flattened star: fact ⋈ event ⋈ athlete ⟕ date.
+def results_enriched(fact: DataFrame, event: DataFrame, athlete: DataFrame, date: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Flattened star: fact ⋈ event ⋈ athlete ⟕ date, with the fact's columns
+    in ``keep`` besides.
 
     Join strategy is left to AQE: dimensions whose measured size is under
     the broadcast threshold are broadcast, the rest are sort-merge joined
@@ -21,7 +24,7 @@ def results_enriched(fact: DataFrame, event: DataFrame, athlete: DataFrame, date
         fact.join(event, "event_id")
         .join(athlete, "athlete_id")
         .join(d, "date_id", "left")
-        .select(*ENRICHED_COLUMNS)
+        .select(*ENRICHED_COLUMNS, *keep)
     )
 
 

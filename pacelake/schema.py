@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# --- fixed values: the source files' header, columns and types, the tables' columns ---
 # Header of the raw result files, in file order. Columns are matched by
 # position, so the order below is the contract with the files.
 SOURCE_HEADERS = [
@@ -163,3 +164,4 @@ ENRICHED_COLUMNS = [
     "performance_time_seconds",
     "performance_distance_km",
 ]
+# --------------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -41,7 +42,9 @@ def drop_batch(
     return out
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
+def append_stream(
+    df: DataFrame, path: str, checkpoint: str, name: str | None = None, partition_by: Sequence[str] = ()
+) -> StreamingQuery:
     """Append a stream to a parquet folder, exactly once per input file.
 
     Runs as a triggered job (``availableNow``): it processes everything that
@@ -55,6 +58,8 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None =
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
     return w.start()

@@ -119,7 +119,7 @@ def test_profiles(spark):
     assert prof["s"].n_nulls == 1 and prof["s"].min is None and prof["s"].data_type == "string"
     assert prof["d"].mean == 3.0 and prof["i"].max == 3.0
     assert (prof["s"].n_distinct, prof["s"].min_text, prof["s"].max_text, prof["s"].top_text, prof["s"].top_count) == (2, "a", "c", "a", 1)
-    assert (prof["i"].p50, prof["i"].top_number, prof["i"].stddev, prof["d"].p25) == (2.0, 1.0, 1.0, 2.0)
+    assert (prof["i"].p50, prof["i"].top_text, prof["i"].stddev, prof["d"].p25, prof["d"].top_number) == (2.0, "1", 1.0, 2.0, 2.0)
     empty = {r.column_name: r for r in q.profile_table(df.filter("i > 9")).collect()}
     assert empty["i"].n_rows == 0 and empty["i"].n_distinct == 0 and empty["s"].top_text is None
 
@@ -170,3 +170,48 @@ def test_composite_keys_and_empty_foreign_keys(spark):
     fact = spark.createDataFrame([(1, 1, None), (1, 1, None), (1, 2, None), (2, None, None)], "a int, b int, d int")
     rep = q.audit_star_schema({"fact": fact, "dim": spark.createDataFrame([(1,)], "d int")}, {"fact": ["a", "b"]}, [("fact", "d", "dim", "d")])
     assert {(r.check_name, r.column_name): r.n_violations for r in rep.collect()} == {("primary_key", "a,b"): 2, ("foreign_key", "d->dim.d"): 0}
+
+
+def test_profile_of_long_integers_and_ties(spark):
+    """Longs that are the same as doubles are different values."""
+    big = 2**53
+    rows = [(big, "x", 1.5), (big + 1, "y", 1.5), (big + 2, "y", -0.0), (big + 1, "x", 0.0), (None, None, None), (-big - 1, "z", 2.5)]
+    prof = {r.column_name: r for r in q.profile_table(spark.createDataFrame(rows, "i long, s string, d double")).collect()}
+    assert (prof["i"].n_distinct, prof["i"].top_text, prof["i"].top_count) == (4, str(big + 1), 2)
+    assert (prof["i"].min_text, prof["i"].max_text) == (str(-big - 1), str(big + 2))
+    assert (prof["s"].n_distinct, prof["s"].top_text, prof["s"].top_count) == (3, "x", 2)  # of equals the smallest
+    assert (prof["d"].n_distinct, prof["d"].top_number, prof["d"].top_count) == (3, 0.0, 2)
+    assert prof["i"].n_nulls == 1 and prof["i"].n_rows == 6
+    nested = spark.createDataFrame([([1, 2],), (None,), ([1, 2],)], "a array<int>")
+    assert q.profile_table(nested).first().top_count == 2
+
+
+def test_compare_looks_at_differing_buckets_only(spark):
+    rows = [(i, f"v{i % 7}", None if i % 3 else float(i)) for i in range(5000)]
+    a = spark.createDataFrame(rows, "k int, v string, d double")
+    b = spark.createDataFrame([*rows[:40], (40, "other", 1.0), *rows[41:], rows[9]], "k int, v string, d double").repartition(5)
+    assert q.checksum_differences(a, a.repartition(3), a.columns).count() == 0
+    assert 1 <= q.checksum_differences(a, b, a.columns).count() <= 3
+    got = {(r.side, r.k, r.v, r.n) for r in q.compare_results(a, b, "a", "b").collect()}
+    assert got == {("a", 40, "v5", 1), ("b", 40, "other", 1), ("b", 9, "v2", 1)}
+    # a NULL that moves to another column is a difference, in one bucket too
+    x, y = (spark.createDataFrame([r], "a string, b string") for r in ((None, "z"), ("z", None)))
+    assert q.compare_results(x, y).count() == 2 and q.compare_results(x, y, buckets=1).count() == 2
+    assert {r.n for r in q.compare_results(a, a.union(a), buckets=2).collect()} == {1}
+
+
+def test_frequent_values(spark):
+    import random
+
+    rng = random.Random(11)
+    skewed = [(min(int(rng.paretovariate(0.9)), 4000),) for _ in range(20_000)] + [(None,)] * 30_000
+    flat = [(i % 3000,) for i in range(9001)]
+    for rows in (skewed, flat, flat[:2], [(None,)]):
+        counts = {}
+        for (v,) in rows:
+            if v is not None:
+                counts[v] = counts.get(v, 0) + 1
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:5]
+        for buckets in (1 << 16, 64):
+            df = spark.createDataFrame(rows, "x int")
+            assert [tuple(r) for r in q.frequent_values(df, "x", 5, buckets).collect()] == want

@@ -34,6 +34,11 @@ CASES = [
      (None, None, None, None, "non-numeric distance_km")),
     ('{"event_name": "Polar Run (NOR)", "country": "NOR", "distance_km": 100, "n_finishers": 80}',
      ("Polar Run (NOR)", "NOR", 100, 80, None)),
+    # of a repeated key the last value counts
+    ('{"event_name": "X", "country": "NOR", "distance_km": 100, "n_finishers": 80, "n_finishers": 9}',
+     (None, None, None, None, "n_finishers out of range")),
+    ('{"event_name": "X", "distance_km": "far", "country": "NOR", "distance_km": 100, "n_finishers": 80, "event_name": "Y"}',
+     ("Y (NOR)", "NOR", 100, 80, None)),
     ('{"event_name": "Polar Run (SWE)", "country": "NOR", "distance_km": 100, "n_finishers": 80}',
      ("Polar Run (NOR)", "NOR", 100, 80, None)),
 ]
