@@ -424,7 +424,8 @@ def _verified(asks: DataFrame, docs: DataFrame, size: int, least: int) -> DataFr
     none = F.lit(None).cast("long")
     theirs = asks.select("hub", "hlo", "hhi").distinct().select(F.col("hub").alias("id"), F.struct(F.col("hlo").alias("lo"), F.col("hhi").alias("hi"), none.alias("hub"), none.alias("delta"), none.alias("hlo"), none.alias("hhi")).alias("pick"))
     picks = mine.union(theirs).groupBy("id").agg(F.collect_list("pick").alias("picks"))
-    seen = written(_contexts(docs.join(picks, "id"), size, least), "contexts")
+    # texts are met by merging at any size: what is asked of them grows with the corpus
+    seen = written(_contexts(docs.join(picks.hint("merge"), "id"), size, least), "contexts")
     # written, so that both sides of the join are plain exchanges, of which AQE splits a hot partner's rows
     partners = seen.where("hub is null").select(F.col("id").alias("hub"), F.col("lo").alias("hlo"), F.col("hi").alias("hhi"), F.col("codes").alias("partner"))
     pairs = seen.where("hub is not null").join(partners, ["hub", "hlo", "hhi"])
@@ -479,7 +480,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, size: int = 5) -> Da
     found = _verified(_stretches(cells, least, by_hub=True), own, size, least)
     tidy(spark)
     still = written(_open_stretches(cells, found, least), "open")
-    more = written(_cells(_packed(own.join(still, "id"), size, least, buckets, again=True), least), "cells")
+    more = written(_cells(_packed(own.join(still.hint("merge"), "id"), size, least, buckets, again=True), least), "cells")
     tidy(spark)
     found = found.unionByName(_verified(_stretches(more, least, by_hub=True), own, size, least))
     tidy(spark)
