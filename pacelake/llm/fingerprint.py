@@ -23,19 +23,22 @@ from pacelake.llm.text import BASE, U64, mix
 
 K, L, M = 6, 2, 32
 NO_ID = -(2**63)
-PARTS = 20_000  # at most so many ranges of ids
+PAD = 0x110000  # no code point
+PARTS = 20_000  # at most so many ranges of ids are cut; beyond that they grow with the corpus
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 _FACTORS = mix(np.arange(1, M + 1, dtype=np.uint64) * BASE) | U64(1)
 
 
 def numbered_kmers(points: np.ndarray, k: int = K) -> np.ndarray:
     """Hashes of the occurrence-numbered k-mers of a text's code points, in
-    text order. Texts of less than 4 k points take k-mers of a quarter of their
-    length (at least one point); an empty text has none."""
-    n = len(points)
-    if not n:
+    text order. Every text is taken with k - 1 paddings on either side, so that
+    its first and last points are in as many k-mers as others and short texts
+    are compared like long ones; an empty text has none."""
+    if not len(points):
         return np.zeros(0, np.uint64)
-    k = max(1, min(k, n // 4))
+    pad = np.full(k - 1, PAD, np.uint32)
+    points = np.concatenate([pad, points.astype(np.uint32), pad])
+    n = len(points)
     with np.errstate(over="ignore"):
         x = (points.astype(np.uint64) + U64(1)) * U64(0xD6E8FEB86659FD93)
         h = np.zeros(n - k + 1, np.uint64)

@@ -32,7 +32,7 @@ HIDDEN = 8
 WINDOW = 64
 BATCH = 1024
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+SAMPLE = 64 * PER_LANGUAGE  # documents of a fit about, shared by all languages
 EXCERPT = 2000  # code points of a training document that are used
 UNKNOWN = "und"
 _LETTER = np.zeros(256, dtype=bool)
@@ -206,20 +206,21 @@ def _plain(flags: np.ndarray, col: pa.Array):
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[str]]:
-    """Excerpts and labels of a bounded, repeatable sample: of each of the
-    ``MAX_LANGUAGES`` most frequent labels, rows with the smallest hashes of
-    their ids, cut at a random place. Bounded by 1.5 * per_language expected
-    rows of EXCERPT code points a label, whatever the number of documents."""
+    """Excerpts and labels of a bounded, repeatable sample: of every label the
+    rows with the smallest hashes of their ids, cut at a random place. Bounded
+    by 1.5 * per_language expected rows of EXCERPT code points a label, and less
+    where labels are many: by 1.5 * SAMPLE rows, or one or two a label. Repeated
+    rows count once; null and empty texts and null labels are left out."""
     rows = docs.where("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()  # a row per language
     if not counts:
         return [], []
-    whole = 1 << 30
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(whole, int(1.5 * per_language / r["count"] * whole) + 1))])
+    whole, each = 1 << 30, max(1, min(per_language, SAMPLE // len(counts)))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(whole, int(1.5 * each / r["count"] * whole) + 1))])
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")), F.lit(whole))
-    picked = rows.where(F.col("lang").isin([r["lang"] for r in counts])).where(draw < share[F.col("lang")])
+    picked = rows.where(draw < share[F.col("lang")])
     at = F.pmod(F.hash("doc_id"), F.greatest(F.length("text") - EXCERPT, F.lit(1))) + 1
-    got = picked.select("lang", draw.alias("draw"), F.substr("text", at, F.lit(EXCERPT)).alias("part")).orderBy("lang", "draw", "part").collect()
+    got = picked.select("lang", draw.alias("draw"), F.substr("text", at, F.lit(EXCERPT)).alias("part")).distinct().orderBy("lang", "draw", "part").collect()
     return [r["part"] for r in got], [r["lang"] for r in got]
 
 

@@ -14,7 +14,7 @@ def edited(own, following):
 def test_signature_by_brute_force():
     text = "the cat sat on the mat and the cat sat on the hat " * 3
     kmers = numbered_kmers(np.frombuffer(text.encode("utf-32-le"), "<u4"))
-    assert len(set(kmers.tolist())) == len(kmers) == len(text) - K + 1  # repeats are numbered
+    assert len(set(kmers.tolist())) == len(kmers) == len(text) + K - 1  # repeats are numbered, ends are padded
     got = signature(kmers)
     for j in range(M):
         v = [(int(x) * int(_FACTORS[j]) % 2**64, i) for i, x in enumerate(kmers)]
@@ -31,6 +31,14 @@ def test_order_matters():
     assert fingerprint("") == "0" * 8 * M and likeness(fingerprint(""), fingerprint("x")) == 0.0
 
 
+def test_likeness_does_not_jump_with_the_length():
+    """One letter less at the end is about as near at every length."""
+    text = "".join(np.random.default_rng(3).choice(list("abcdefghij klmnop"), 60))
+    near = [likeness(fingerprint(text[:n]), fingerprint(text[: n - 1])) for n in range(12, 60)]
+    assert min(near) > 0.15 and max(abs(a - b) for a, b in zip(near, near[1:])) < 0.55
+    assert np.mean(near[:10]) < np.mean(near[-10:])
+
+
 def check(rows, texts):
     for n, r in enumerate(rows):
         own, following = texts[n], texts[(n + 1) % len(texts)]

@@ -64,3 +64,14 @@ def test_no_or_one_language():
     got, score = lang.predict(lang.train(["abc"], ["xx"]), texts)
     assert got == ["xx", "und", "und", "und"] and list(score) == [1, 0, 0, 0]
     assert lang.predict(lang.train(["abc", "def"], ["x", "y"], steps=3), pa.array(["日本"]))[0] != ["und"]
+
+
+def test_every_label_is_learned_from(spark, make, monkeypatch):
+    """No cap on the number of labels; the sample shrinks with them, and copies
+    of a row count once."""
+    monkeypatch.setattr(lang, "SAMPLE", 600)
+    rows = [(i, f"text of {i} in language {i % 150}", f"l{i % 150:03}", None, 1) for i in range(3000)]
+    texts, labels = lang.training_sample(make(rows + rows[:150] * 20))
+    assert len(set(labels)) > 130 and len(labels) < 1500 and len(set(texts)) == len(texts)
+    few, _ = lang.training_sample(make(rows[:30] * 3))
+    assert sorted(few) == sorted({t for _, t, *_ in rows[:30]})
