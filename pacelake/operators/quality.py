@@ -176,9 +176,9 @@ def audit_star_schema(
     counted: table -> NULLs per column, where they were counted when the table
         was written; such columns are not read again.
 
-    A table's key and NULL checks are one aggregation; all its foreign keys are
-    counted per value in one further scan (reduced on every mapper) and joined
-    with the parents' keys in one join.
+    A table's key and NULL checks are one aggregation. Each foreign key is counted
+    per value in its own type, in a scan of that column alone (reduced on every
+    mapper), before it meets the parent's keys.
     """
     report = "check_name string, table_name string, column_name string, n_violations long"
     not_null, counted = not_null or {}, counted or {}
@@ -197,17 +197,10 @@ def audit_star_schema(
         wide = tables[t].agg(*[n.cast("long").alias(f"_n{i}") for i, (_, _, n) in enumerate(checks)])
         rows = [F.struct(F.lit(k), F.lit(t), F.lit(col), c(f"_n{i}").alias("_n")) for i, (k, col, _) in enumerate(checks)]
         parts.append(wide.select(F.inline(F.array(*rows)).alias("check_name", "table_name", "column_name", "n_violations")))
-    for t in dict.fromkeys(fk[0] for fk in foreign_keys):
-        mine = [(i, fk) for i, fk in enumerate(foreign_keys) if fk[0] == t]
-        values = [F.struct(F.lit(i).alias("_fk"), c(col).cast("string").alias("_k")) for i, (_, col, _, _) in mine]
-        child = tables[t].select(F.inline(F.array(*values))).filter("_k is not null").groupBy("_fk", "_k").agg(F.count(F.lit(1)).alias("_n"))
-        keys = reduce(DataFrame.union, [tables[p].select(F.lit(i).alias("_fk"), c(pk).cast("string").alias("_k")) for i, (_, _, p, pk) in mine]).distinct()
-        orphans = child.join(keys, ["_fk", "_k"], "left_anti").groupBy("_fk").agg(F.sum("_n").alias("_n"))
-        names = [(i, "foreign_key", t, f"{col}->{p}.{pk}") for i, (_, col, p, pk) in mine]
-        listed = tables[t].sparkSession.createDataFrame(names, "_fk int, check_name string, table_name string, column_name string")
-        parts.append(
-            listed.join(orphans, "_fk", "left").select("check_name", "table_name", "column_name", F.coalesce("_n", F.lit(0)).cast("long").alias("n_violations"))
-        )
+    for t, col, p, pk in foreign_keys:
+        values = tables[t].groupBy(c(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_k is not null")
+        orphans = values.join(tables[p].select(c(pk).alias("_p")), c("_k") == c("_p"), "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_violations"))
+        parts.append(orphans.select(F.lit("foreign_key").alias("check_name"), F.lit(t).alias("table_name"), F.lit(f"{col}->{p}.{pk}").alias("column_name"), "n_violations"))
     if not parts:
         raise ValueError("no check asked for")
     return reduce(DataFrame.unionByName, parts)

@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from pacelake.functions.clean import clean_results
 from pacelake.plans import model, views
+from pacelake.plans.clustering import cell_cuts, clustered
 from pacelake.plans.countries import dim_country
 from pacelake.schema import ENRICHED_COLUMNS, FEED_SCHEMA
 from pacelake.session import scratch_path, shared_root, sized_shuffles
@@ -204,12 +205,15 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 # The enriched view is scanned by most dashboard queries, which filter on
-# event type, the length text ('24h', '100km') and the 99-101 km window. It
-# is stored partitioned by event type (whole folders are pruned) and sorted
-# within each task by length and km, so parquet min/max statistics let a scan
-# skip the row groups that cannot match. The sort is local (no shuffle).
+# event type, the length text ('24h', '100km'), the 99-101 km window, the year
+# or the country. It is stored partitioned by event type (whole folders are
+# pruned) and clustered along a space-filling curve over these columns, so
+# parquet min/max statistics let a scan skip the row groups that cannot match,
+# whichever of the columns it filters.
 ENRICHED_PARTITION = ["event_type"]
 ENRICHED_CLUSTER = ["event_type", "event_distance_length", "event_distance_km"]
+#: Columns of the curve, and the silver columns whose distribution cuts them.
+ENRICHED_CURVE = {"event_distance_length": "event_distance_length", "event_distance_km": "event_distance_km", "event_date": "event_start_date", "athlete_country": "athlete_country"}
 
 
 def build_views(spark: SparkSession, root: str, keep_versions: int = 2, stamp: str = "") -> str:
@@ -227,8 +231,9 @@ def build_views(spark: SparkSession, root: str, keep_versions: int = 2, stamp: s
         return _read(spark, f"{root if name in STREAM_TABLES else out}/{name}", name)
 
     builders = _view_builders(t)
+    cuts = cell_cuts(silver, list(ENRICHED_CURVE.values()))
     _write(
-        builders["vw_results_enriched"]().sortWithinPartitions(*ENRICHED_CLUSTER),
+        clustered(builders["vw_results_enriched"](), {x: cuts[y] for x, y in ENRICHED_CURVE.items()}, ENRICHED_CLUSTER),
         f"{out}/vw_results_enriched",
         partition_by=ENRICHED_PARTITION,
     )
