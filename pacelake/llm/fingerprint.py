@@ -45,11 +45,12 @@ def numbered_kmers(points: np.ndarray, k: int = K) -> np.ndarray:
         for j in range(k):
             h = h * BASE + x[j : n - k + 1 + j]
         h = mix(h)
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        new = np.concatenate([[True], s[1:] != s[:-1]])
-        at = np.arange(len(s))
-        nth = np.empty(len(s), np.uint64)
+        # sorted with their places in the lowest bits: equal k-mers in text order
+        at, bits = np.arange(len(h)), U64(len(h).bit_length())
+        s = np.sort(h >> bits << bits | at.astype(np.uint64))
+        order, same = (s & ((U64(1) << bits) - U64(1))).astype(np.int64), s >> bits
+        new = np.concatenate([[True], same[1:] != same[:-1]])
+        nth = np.empty(len(h), np.uint64)
         nth[order] = at - np.maximum.accumulate(np.where(new, at, 0))
         return mix(h + nth * BASE + U64(k))
 
@@ -68,16 +69,17 @@ def signature(kmers: np.ndarray, l: int = L, m: int = M) -> np.ndarray:
         for a in range(0, n, step):
             with np.errstate(over="ignore"):
                 v = kmers[None, a : a + step] * _FACTORS[:m, None]  # the high bits of a product by an odd factor
-            r, c = np.nonzero(v <= bound)
+            hit = np.flatnonzero(v <= bound)
+            r, c = np.divmod(hit, v.shape[1])
             rows.append(r)
             cols.append(c + a)
-            vals.append(v[r, c])
+            vals.append(v.ravel()[hit])
         r, c, v = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
         count = np.bincount(r, minlength=m)
         if count.min() >= l:
             break
         room *= 4
-    order = np.lexsort((c, v, r))
+    order = np.lexsort((v, r))  # numbered k-mers differ, and so do their products
     first = np.cumsum(count) - count
     picked = np.sort(c[order][first[:, None] + np.arange(l)], axis=1)  # in text order
     out = np.zeros(m, np.uint64)
