@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pacelake.llm.common import documents, ship, written
-from pacelake.llm.text import Texts, slices
+from pacelake.llm.text import U64, Texts, slices
 from pacelake.session import scratch_path
 
 END_ID = 2
@@ -50,6 +50,86 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of spans, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Column:
+    """Values that are appended to."""
+
+    def __init__(self, kind):
+        self.held, self.n = np.empty(1024, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held[: self.n], np.empty(max(self.n // 2, len(values)), self.held.dtype)])
+        self.held[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class _Known:
+    """Pieces and their ids in flat arrays (a dict of strings and bytes takes
+    ten times the memory), found by the pieces' hashes; a piece whose bytes are
+    not those that were kept is not found."""
+
+    def __init__(self):
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.hash, self.raw, self.ids = _Column(np.uint64), _Column(np.uint8), _Column(np.int32)
+        self.raw_end, self.ids_end = _Column(np.int64), _Column(np.int64)
+
+    def __len__(self) -> int:
+        return self.hash.n
+
+    def _home(self, h: np.ndarray) -> np.ndarray:
+        return (h >> U64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _settle(self, h: np.ndarray, number: np.ndarray) -> None:
+        at = self._home(h)
+        while len(at):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = number[free]
+            left = self.slots[at] != number
+            at, number = (at[left] + 1) & (len(self.slots) - 1), number[left]
+
+    def find(self, h: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Numbers of pieces (hashes, bytes, offsets in them), -1 if not known."""
+        out, todo, at = np.full(len(h), -1, np.int64), np.arange(len(h)), self._home(h)
+        while len(todo):
+            i = self.slots[at]
+            hit = (i >= 0) & (self.hash.held[i] == h[todo])
+            out[todo[hit]] = i[hit]
+            on = (i >= 0) & ~hit
+            todo, at = todo[on], (at[on] + 1) & (len(self.slots) - 1)
+        found = np.flatnonzero(out >= 0)
+        begin, size = self.span(self.raw_end, out[found])
+        same = size == np.diff(offsets)[found]
+        out[found[~same]] = -1
+        found, begin, size = found[same], begin[same], size[same]
+        differ = np.flatnonzero(self.raw.held[_spans(begin, size)] != raw[_spans(offsets[found], size)])
+        out[found[np.searchsorted(np.cumsum(size), differ, side="right")]] = -1
+        return out
+
+    @staticmethod
+    def span(ends: _Column, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) of the pieces' spans."""
+        begin = np.where(i > 0, ends.held[i - 1], 0)
+        return begin, ends.held[i] - begin
+
+    def add(self, h: np.ndarray, raw: np.ndarray, raw_size: np.ndarray, ids: np.ndarray, ids_size: np.ndarray) -> np.ndarray:
+        """Numbers of the new pieces."""
+        number = np.arange(len(self), len(self) + len(h))
+        for column, values in ((self.hash, h), (self.raw_end, self.raw.n + np.cumsum(raw_size)), (self.ids_end, self.ids.n + np.cumsum(ids_size)), (self.raw, raw), (self.ids, ids)):
+            column.append(values)
+        if 2 * len(self) > len(self.slots):
+            self.slots = np.full(1 << (2 * len(self)).bit_length(), -1, np.int32)
+            self._settle(self.hash.held[: len(self)], np.arange(len(self)))
+        else:
+            self._settle(h, number)
+        return number
+
+
 class PieceEncoder:
     """Ids of whole texts, by the tokenizers library on distinct pieces."""
 
@@ -61,24 +141,35 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _look_up(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces; the two generations hold at most CACHE of them, and
-        what was used lately outlives the rest."""
-        new = [p for p in pieces if p not in self.recent]
-        fresh = [p for p in new if p not in self.older]
-        found = {p: self.older[p] for p in new if p in self.older}
-        for i in range(0, len(fresh), 10_000):
-            found.update(zip(fresh[i : i + 10_000], self._whole(fresh[i : i + 10_000])))
-        out = [self.recent[p] if p in self.recent else found[p] for p in pieces]
-        self.recent.update(found)
+        self.recent, self.older = _Known(), _Known()
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each text's)."""
+        ids, size = array("i"), []
+        for i in range(0, len(texts), 10_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False):
+                ids.extend(own := e.ids)
+                size.append(len(own))
+        return np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32), np.array(size, np.int64)
+
+    def _look_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each piece's); the two generations hold about
+        CACHE pieces, and what was used lately outlives the rest."""
+        t = Texts(pieces)
+        h, size = t.span_hashes(t.offsets[:-1], t.offsets[1:], lower=False), np.diff(t.offsets)
+        number = self.recent.find(h, t.raw, t.offsets)
+        new = np.flatnonzero(number < 0)
+        raw = t.raw[_spans(t.offsets[new], size[new])]
+        back = self.older.find(h[new], raw, np.concatenate([[0], np.cumsum(size[new])]))
+        old, fresh = new[back >= 0], new[back < 0]
+        begin, n = self.older.span(self.older.ids_end, back[back >= 0])
+        kept = self.older.ids.held[_spans(begin, n)], n
+        for own, (ids, n) in ((old, kept), (fresh, self._whole(pieces.take(pa.array(fresh)).to_pylist()))):
+            number[own] = self.recent.add(h[own], t.raw[_spans(t.offsets[own], size[own])], size[own], ids, n)
+        begin, n = self.recent.span(self.recent.ids_end, number)
+        out = self.recent.ids.held[_spans(begin, n)], n
         if len(self.recent) > CACHE // 2:
-            self.older, self.recent = self.recent, {}
+            self.older, self.recent = self.recent, _Known()
         return out
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +184,8 @@ class PieceEncoder:
             | ((raw == 0xE2) & ((nxt == 0x80) | (nxt == 0x81)))
             | ((raw == 0xE3) & (nxt == 0x80))
         )
-        whole = t.count(odd) > 0
+        whole = np.zeros(t.n, bool)
+        whole[np.searchsorted(t.offsets, np.flatnonzero(odd), side="right") - 1] = True
         filled = col.fill_null("")
         for s in self.special:
             whole |= pc.match_substring(filled, s).to_numpy(zero_copy_only=False)
@@ -113,25 +205,19 @@ class PieceEncoder:
         pieces = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)])
         coded = pieces.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        words = coded.dictionary.to_pylist()
-        texts_whole = set(codes[first[:-1][whole & (np.diff(t.offsets) > 0)]].tolist())
-        if texts_whole:
-            plain = [i for i in range(len(words)) if i not in texts_whole]
-            ids: list = [None] * len(words)
-            for i, x in zip(plain, self._look_up([words[i] for i in plain])):
-                ids[i] = x
-            rest = sorted(texts_whole)
-            for i, x in zip(rest, self._whole([words[i] for i in rest])):
-                ids[i] = x
-        else:
-            ids = self._look_up(words)
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
-        begin = np.cumsum(size) - size
+        words = coded.dictionary
+        apart = np.zeros(len(words), bool)
+        apart[codes[first[:-1][whole & (np.diff(t.offsets) > 0)]]] = True
+        parts, size = [], np.zeros(len(words), np.int64)
+        begin = size.copy()
+        for own, look in ((~apart, self._look_up), (apart, lambda x: self._whole(x.to_pylist()))):
+            if own.any():
+                ids, size[own] = look(words.filter(pa.array(own)) if apart.any() else words)
+                begin[own] = sum(map(len, parts)) + np.cumsum(size[own]) - size[own]
+                parts.append(ids)
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         n = size[codes]
-        ends = np.cumsum(n)
-        take = np.repeat(begin[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        return flat[take], np.concatenate([[0], ends])[first]
+        return flat[_spans(begin[codes], n)], np.concatenate([[0], np.cumsum(n)])[first]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

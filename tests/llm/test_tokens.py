@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -7,6 +8,8 @@ from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pacelake.llm import tokens
+from pacelake.llm.common import BATCH_BYTES
 from pacelake.llm.tokens import PieceEncoder, default_tokenizer, op4_token_output, read_tokens, token_stream, write_tokens
 from pacelake.session import scratch_path
 from pacelake.sources import fs
@@ -79,3 +82,45 @@ def test_starts_under_equal_and_null_ids(spark, make):
     assert len(rows) == 40 and sorted(r.start for r in rows) == np.cumsum([0, *(r.n_tokens for r in sorted(rows, key=lambda r: r.start))])[:-1].tolist()
     for r in rows:
         assert zlib.crc32(flat[r.start : r.start + r.n_tokens].tobytes()) == r.ids_crc32
+
+
+def test_known_pieces_are_small():
+    """A worker keeps up to a million pieces: they take few bytes each."""
+    encoder = PieceEncoder(default_tokenizer())
+    words = pa.array([" ".join(f"{i:x}q" for i in range(60_000))])
+    encoder.encode(words)  # what is made once
+    encoder.recent, encoder.older = type(encoder.recent)(), type(encoder.older)()
+    tracemalloc.start()
+    want = encoder.encode(words)
+    held = tracemalloc.get_traced_memory()[0] - sum(x.nbytes for x in want)
+    tracemalloc.stop()
+    assert len(encoder.recent) >= 60_000 and held < 120 * len(encoder.recent)
+    assert all(np.array_equal(a, b) for a, b in zip(want, encoder.encode(words)))
+
+
+def test_forgotten_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 60)
+    encoder = PieceEncoder(default_tokenizer())
+    for k in range(30):
+        texts = [f"all {k % 7} of it, word{i * k % 23} don't {'z' * i}" for i in range(k)]
+        ids, offsets = encoder.encode(pa.array(texts, pa.string()))
+        assert [list(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])] == [ids_of(t) for t in texts]
+
+
+def test_pieces_of_one_hash(monkeypatch):
+    """Pieces whose hashes are equal keep their own ids."""
+    monkeypatch.setattr(tokens.Texts, "span_hashes", lambda self, start, end, lower: (start % 3).astype(np.uint64) << np.uint64(62))
+    encoder = PieceEncoder(default_tokenizer())
+    for text in ["one two three of the of one", "two of ten", "one two three"] * 2:
+        assert list(encoder.encode(pa.array([text]))[0]) == ids_of(text)
+
+
+def test_batches_are_bounded(make):
+    """Workers get long texts a few at a time."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = make([f"{i} " * 2000 for i in range(800)]).coalesce(1)
+    assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 1.1 * BATCH_BYTES
