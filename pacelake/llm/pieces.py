@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacelake.llm.common import documents
-from pacelake.llm.text import BASE, U64, mix, powers, slices, text_keys
+from pacelake.llm.text import BASE, U64, Texts, mix, powers, slices, text_keys
 
 MARK = "▁"
 ALPHA = 0.2
+TOP = U64(44)  # a hash's bits below those that the table of pieces is indexed by
 LONG = 64  # characters of a lattice; a longer word is cut into lattices of this length
 
 
@@ -73,29 +74,46 @@ class PieceModel:
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(normal)[order]
         self.weight = np.exp(alpha * logp)[order]
-        self.seen = np.zeros(1 << 22, bool)  # by the top bits of a hash: most spans are no piece
-        self.seen[self.hashes >> U64(42)] = True
+        # the first piece of each value of a hash's top bits, and the most that share one: most spans are no piece
+        top = (self.hashes >> TOP).astype(np.int64)
+        self.table = np.full(1 << (64 - int(TOP)), -1, np.int32)
+        self.table[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
+        self.shared = int(np.bincount(top).max())
         floor = (logp.min() if len(logp) else 0.0) - 2.0
         self.byte_weight = float(np.exp(alpha * floor))
         self.lengths = np.unique(length)
-        self.text = np.array([p.replace(MARK, " ") for p in self.pieces], dtype=object)
-        self.is_byte = np.zeros(size, bool)
-        self.is_byte[self.byte_ids] = True
-        self.byte_of = np.zeros(size, np.int64)
-        self.byte_of[self.byte_ids] = np.arange(256)
+        raw = [p.replace(MARK, " ").encode() for p in self.pieces]
+        for value, i in enumerate(self.byte_ids):
+            raw[i] = bytes([value])
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_size = np.fromiter(map(len, raw), np.int32, size)
+        self.raw_start = np.cumsum(self.raw_size, dtype=np.int32) - self.raw_size
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which hashes are a piece's, the pieces' places)."""
+        i = self.table[h >> TOP]
+        ok = np.flatnonzero(i >= 0)
+        i, h = i[ok], h[ok]
+        hit = self.hashes[i] == h
+        for k in range(1, self.shared):
+            j = np.minimum(i + k, len(self.hashes) - 1)
+            more = ~hit & (self.hashes[j] == h)
+            i, hit = np.where(more, j, i), hit | more
+        return ok[hit], i[hit]
+
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids, with a mark in front of a text; per id where its bytes end)."""
+        size = self.raw_size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat((self.raw_start[ids] - (ends - size)).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.raw[at], ends
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that ids were encoded from."""
         if not len(ids):
             return ""
-        flags = self.is_byte[ids]
-        if not flags.any():
-            out = "".join(self.text[ids])
-        else:
-            parts, edges = [], np.flatnonzero(np.concatenate([[True], flags[1:] != flags[:-1]]))
-            for a, b in zip(edges, [*edges[1:], len(ids)]):
-                parts.append(bytes(self.byte_of[ids[a:b]].tolist()) if flags[a] else "".join(self.text[ids[a:b]]).encode())
-            out = b"".join(parts).decode("utf-8", "replace")
+        out = self.bytes_of(np.asarray(ids))[0].tobytes().decode("utf-8", "replace")
         return out[1:]  # the mark in front
 
 
@@ -109,158 +127,187 @@ def _span_hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
 
 
 class Lattices:
-    """Lattices of distinct words: node = (word, place), edges sorted by the
-    node they end in, with the weights of all paths through them."""
-
-    def __init__(self, model: PieceModel, points: np.ndarray, start: np.ndarray, end: np.ndarray, literal: np.ndarray):
-        size = end - start
-        total = int(size.sum())
-        word = np.repeat(np.arange(len(size)), size)
-        self.base = np.cumsum(size + 1) - (size + 1)  # node of each word's place 0
-        inside = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-        at = np.repeat(start, size) + inside
-        left = np.repeat(size, size) - inside
-        n_node = total + len(size)
-        frm, to, piece, weight = [], [], [], []
+    """Lattices of distinct words. Nodes stand place by place, the words of a
+    place by falling length, so that the nodes of a place and of all later ones
+    are slices. Edges are sorted by the node they end in, with the chance of
+    each or an earlier edge of that node."""
+
+    def __init__(self, model: PieceModel, points: np.ndarray, size: np.ndarray):
+        words = np.argsort(-size, kind="stable")
+        longest = int(size[words[0]])
+        many = np.searchsorted(-size[words], -np.arange(longest + 1), side="right")  # words that have a place
+        level = np.concatenate([[0], np.cumsum(many)])
+        n_word, n_node = int(many[0]), int(level[-1])
+        self.inner = n_word  # nodes below are words' beginnings
+        column = np.empty(len(size), np.int64)
+        column[words] = np.arange(len(size))
+        self.end = level[size] + column  # node of each word's end
+        place = np.repeat(np.arange(longest + 1, dtype=np.int32), many)
+        column = (np.arange(n_node) - np.repeat(level[:-1], many)).astype(np.int32)
+        begin = (np.cumsum(size) - size)[words]
+        code = points[begin[column[n_word:]] + place[n_word:] - 1]  # the character before every inner node
+        literal = code == ord(MARK)  # in the text itself: never a space
+        marked = np.where(code == 32, np.uint32(ord(MARK)), code)
+        with np.errstate(over="ignore"):
+            up, down = powers(BASE, longest), powers(U64(pow(int(BASE), -1, 2**64)), longest)
+            total = np.zeros(n_node, np.uint64)
+            total[n_word:] = mix(marked.astype(np.uint64) + U64(1)) * up[place[n_word:] - 1]
+        barred = np.zeros(n_node, np.int32)
+        barred[n_word:] = literal
+        for k in range(1, longest + 1):  # sums from the word's beginning to every node
+            own, last = slice(level[k], level[k + 1]), slice(level[k - 1], level[k - 1] + many[k])
+            total[own] += total[last]
+            barred[own] += barred[last]
+        any_barred = literal.any()
+        frm, to, piece, weight, rank = [], [], [], [], []
+        edges = np.zeros(n_node, np.int32)
         single = np.zeros(n_node, bool)
-        for n in model.lengths[::-1]:  # long pieces first: they are drawn most often
-            ok = np.flatnonzero(left >= n)
-            if not len(ok):
+
+        def add(v, u, pieces, weights):
+            to.append(v.astype(np.int32))
+            frm.append(u.astype(np.int32))
+            piece.append(pieces.astype(np.int32))
+            weight.append(weights)
+            rank.append(edges[v])
+            edges[v] += 1
+
+        for n in map(int, model.lengths[::-1]):  # long pieces first: they are drawn most often
+            if n > longest:
                 continue
-            h = _hash_at(points, at[ok], int(n), self)
-            maybe = model.seen[h >> U64(42)]
-            ok, h = ok[maybe], h[maybe]
-            i = np.minimum(np.searchsorted(model.hashes, h), len(model.hashes) - 1)
-            hit = model.hashes[i] == h
-            if literal.any():
-                hit &= ~_touches(literal, at[ok], int(n))
-            ok, i = ok[hit], i[hit]
-            node = self.base[word[ok]] + inside[ok]
+            begun = place[level[n] :] - n
+            u = level[begun] + column[level[n] :]
+            with np.errstate(over="ignore"):
+                h = mix((total[level[n] :] - total[u]) * down[begun] + U64(n) * BASE)
+            ok, i = model.find(h)
+            v, u = ok + level[n], u[ok]
+            if any_barred:
+                free = barred[v] == barred[u]
+                v, u, i = v[free], u[free], i[free]
             if n == 1:
-                single[node] = True
-            frm.append(node)
-            to.append(node + n)
-            piece.append(model.ids[i])
-            weight.append(model.weight[i])
+                single[v] = True
+            add(v, u, model.ids[i], model.weight[i])
         # one character as bytes, where no piece covers it alone
-        node = self.base[word] + inside
-        bare = np.flatnonzero(~single[node])
-        frm.append(node[bare])
-        to.append(node[bare] + 1)
-        piece.append(-1 - points[at[bare]].astype(np.int64))  # the code point itself
-        weight.append(np.full(len(bare), model.byte_weight))
-        frm, to, piece, weight = map(np.concatenate, (frm, to, piece, weight))
-        order = np.argsort(to, kind="stable")
-        self.frm, to, self.piece, weight = frm[order], to[order], piece[order], weight[order]
-        self.first = np.searchsorted(to, np.arange(n_node + 1))
-        # forward filtering, all words in step: place k of every word at once
+        v = n_word + np.flatnonzero(~single[n_word:])
+        add(v, level[place[v] - 1] + column[v], -1 - code[v - n_word].astype(np.int64), np.full(len(v), model.byte_weight))
+        to, frm, piece, weight, rank = map(np.concatenate, (to, frm, piece, weight, rank))
+        self.first = np.concatenate([[0], np.cumsum(edges)])
+        put = self.first[to] + rank
+        self.frm, self.piece, through = np.empty_like(frm), np.empty_like(piece), np.empty_like(weight)
+        self.frm[put], self.piece[put], through[put] = frm, piece, weight
+        # forward filtering, all words in step: a place of every word at once
         alpha = np.zeros(n_node)
-        alpha[self.base] = 1.0
-        place = to - self.base[np.searchsorted(self.base, to, side="right") - 1]
-        by_place = np.argsort(place, kind="stable")
-        bounds = np.searchsorted(place[by_place], np.arange(1, (int(size.max()) if len(size) else 0) + 2))
-        through = np.zeros(len(to))
-        for k in range(len(bounds) - 1):
-            e = by_place[bounds[k] : bounds[k + 1]]
-            through[e] = alpha[self.frm[e]] * weight[e]
-            alpha += np.bincount(to[e], through[e], minlength=n_node) if len(e) > n_node // 8 else 0
-            if len(e) <= n_node // 8:
-                np.add.at(alpha, to[e], through[e])
-        share = through / np.maximum(alpha[to], 1e-300)
-        upto = np.cumsum(share)
-        before = np.concatenate([[0.0], upto])[self.first[to]]
-        self.upto = upto - before  # chance of this or an earlier edge of the node
-        last = np.flatnonzero(np.concatenate([to[1:] != to[:-1], [True]])) if len(to) else []
-        self.upto[last] = 2.0
-        self.end = self.base + size
-
-
-def _hash_at(points, at, n, cache):
-    if not hasattr(cache, "_sums"):
-        with np.errstate(over="ignore"):
-            up = powers(BASE, len(points))
-            cache._down = powers(U64(pow(int(BASE), -1, 2**64)), len(points))
-            code = mix(points.astype(np.uint64) + U64(1))
-            cache._sums = np.concatenate([[U64(0)], np.cumsum(code * up[:-1], dtype=np.uint64)])
-    with np.errstate(over="ignore"):
-        return mix((cache._sums[at + n] - cache._sums[at]) * cache._down[at] + U64(n) * BASE)
-
-
-def _touches(literal: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(literal)])
-    return total[at + n] > total[at]
+        alpha[:n_word] = 1.0
+        for k in range(1, longest + 1):
+            e = slice(self.first[level[k]], self.first[level[k + 1]])
+            through[e] *= alpha[self.frm[e]]
+            alpha[level[k] : level[k + 1]] = np.add.reduceat(through[e], self.first[level[k] : level[k + 1]] - e.start)
+        # sums within each node, so that they do not depend on the other words
+        self.upto = through
+        v, sums = np.arange(n_word, n_node), np.zeros(n_node - n_word)
+        alpha = np.maximum(alpha[n_word:], 1e-300)
+        for k in range(int(edges.max())):
+            e = self.first[v] + k
+            sums += self.upto[e] / alpha
+            self.upto[e] = sums
+            more = edges[v] > k + 1
+            v, sums, alpha = v[more], sums[more], alpha[more]
+        self.upto[self.first[n_word + 1 :] - 1] = 2.0
+
+
+def _words(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the words of texts (each with a space in front) begin: at every
+    space, and in a longer word after every ``LONG`` characters."""
+    start = np.flatnonzero(raw == 32)
+    lead = (raw & 0xC0) != 0x80
+    chars = np.add.reduceat(lead, start, dtype=np.int64)
+    parts = -(-chars // LONG)
+    if parts.max() == 1:
+        return start
+    points = np.flatnonzero(lead)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    return points[np.repeat(np.cumsum(chars) - chars, parts) + nth * LONG]
 
 
-def encode_batch(model: PieceModel, texts: list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_batch(model: PieceModel, texts: pa.Array | list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets); null and empty texts have no ids."""
-    full = [(" " + x) if x else "" for x in texts]
-    points = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), "<u4").copy()
-    sizes = np.fromiter(map(len, full), np.int64, len(full))
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    if not len(points):
-        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-    literal = points == ord(MARK)  # in the text itself: never a space
-    points[points == 32] = ord(MARK)
-    space = (points == ord(MARK)) & ~literal
-    cut = space & ~np.concatenate([[False], space[:-1]])
-    cut |= np.concatenate([[False], space[:-1]]) & space  # a run of spaces: a word each
-    cut[offsets[:-1][sizes > 0]] = True
-    start = np.flatnonzero(cut)
-    length = np.diff(np.append(start, len(points)))
-    parts = -(-length // LONG)
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    stop = np.repeat(start + length, parts)
-    start = np.repeat(start, parts) + nth * LONG
-    end = np.minimum(start + LONG, stop)
-    code = points.copy()
-    code[literal] = 0x110000  # apart from the space mark
-    h = _span_hashes(code, start, end)
-    distinct, first, word = np.unique(h, return_index=True, return_inverse=True)
-    lattice = Lattices(model, points, start[first], end[first], literal)
-    owner = np.searchsorted(offsets, start, side="right") - 1
-    number = np.arange(len(start)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
+    ids, offsets, _ = _encoded(model, texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), keys)
+    return ids, offsets
+
+
+def _encoded(model: PieceModel, texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all texts, offsets, whether decoding gives each text again)."""
+    own = Texts(texts)
+    if not len(own.raw):
+        return np.zeros(0, np.int64), np.zeros(own.n + 1, np.int64), np.ones(own.n, bool)
+    filled = np.diff(own.offsets) > 0
+    offsets = own.offsets + np.concatenate([[0], np.cumsum(filled)])
+    raw, text = np.full(offsets[-1], 32, np.uint8), np.ones(offsets[-1], bool)
+    text[offsets[:-1][filled]] = False  # a space in front of every text
+    raw[text] = own.raw
+    start = _words(raw, offsets)
+    first = np.searchsorted(start, offsets)
+    number = np.arange(len(start)) - np.repeat(first[:-1], np.diff(first))
     with np.errstate(over="ignore"):
-        seed = mix(keys[owner] + number.astype(np.uint64) * BASE)
+        seed = mix(np.repeat(keys, np.diff(first)) + number.astype(np.uint64) * BASE)
+    words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(np.append(start, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
+    distinct, word = Texts(words.dictionary), words.indices.to_numpy(zero_copy_only=False)
+    points = np.frombuffer(distinct.raw.tobytes().decode().encode("utf-32-le"), "<u4")
+    lattice = Lattices(model, points, distinct.n_chars())
     # backward sampling, all words in step
     node, active = lattice.end[word], np.arange(len(start))
-    base = lattice.base[word]
+    many = np.zeros(len(start), np.int32)
     who, edge = [], []
     step = 0
     while len(active):
         with np.errstate(over="ignore"):
             u = (mix(seed[active] + U64(step)) >> U64(11)).astype(float) / 2.0**53
-        v = node[active]
-        e = lattice.first[v]
+        e = lattice.first[node]
         more = np.flatnonzero(lattice.upto[e] <= u)
         while len(more):
             e[more] += 1
             more = more[lattice.upto[e[more]] <= u[more]]
-        who.append(active)
-        edge.append(e)
-        node[active] = lattice.frm[e]
-        active = active[node[active] > base[active]]
+        who.append(active.astype(np.int32))
+        edge.append(e.astype(np.int32))
+        node = lattice.frm[e]
+        inner = node >= lattice.inner
+        many[active] = step + 1
+        active, node = active[inner], node[inner]
         step += 1
-    who, edge = np.concatenate(who[::-1]), np.concatenate(edge[::-1])  # the last drawn stands first in its word
-    order = np.argsort(who, kind="stable")
-    who, ids = who[order], lattice.piece[edge[order]]
+    ends = np.cumsum(many, dtype=np.int64)  # the last drawn stands first in its word
+    ids = np.empty(ends[-1], np.int32)
+    for k, (w, e) in enumerate(zip(who, edge)):
+        ids[ends[w] - 1 - k] = lattice.piece[e]
+    ends = np.concatenate([[0], ends])[first]
     bare = np.flatnonzero(ids < 0)
     if len(bare):
-        raw = [chr(-1 - int(c)).encode("utf-8", "surrogatepass") for c in ids[bare]]
-        raw = [b" " if literal_free and r == MARK.encode() else r for r, literal_free in zip(raw, ~_is_literal(who[bare], start, end, literal))]
-        many = np.ones(len(ids), np.int64)
-        many[bare] = [len(r) for r in raw]
-        put = np.cumsum(many) - many
-        out = np.repeat(ids, many)
-        for p, r in zip(put[bare], raw):
-            out[p : p + len(r)] = model.byte_ids[list(r)]
-        ids, who = out, np.repeat(who, many)
-    counts = np.bincount(owner[who], minlength=len(texts))
-    return ids, np.concatenate([[0], np.cumsum(counts)])
-
-
-def _is_literal(who, start, end, literal):
-    total = np.concatenate([[0], np.cumsum(literal)])
-    return total[end[who]] > total[start[who]]
+        ids, longer = _as_bytes(model, ids, bare)
+        ends = longer[ends]
+    back, at = model.bytes_of(ids)
+    at = np.concatenate([[0], at])[ends]
+    same = np.diff(at) == np.diff(offsets)
+    if same.all():
+        same[np.searchsorted(offsets, np.flatnonzero(back != raw), side="right") - 1] = False
+    else:
+        for k in np.flatnonzero(same):
+            same[k] = np.array_equal(back[at[k] : at[k + 1]], raw[offsets[k] : offsets[k + 1]])
+    return ids, ends, same
+
+
+def _as_bytes(model: PieceModel, ids: np.ndarray, bare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids with the byte pieces of bare code points c, noted as -1 - c; the
+    new place of every old one)."""
+    point = -1 - ids[bare]
+    size = 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000)
+    many = np.ones(len(ids), np.int32)
+    many[bare] = size
+    put = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+    out = np.repeat(ids, many)
+    for n, head in ((1, 0), (2, 0xC0), (3, 0xE0), (4, 0xF0)):
+        own, c = put[bare[size == n]], point[size == n]
+        for k in range(n):
+            bits = c >> 6 * (n - 1 - k)
+            out[own + k] = model.byte_ids[head | bits if k == 0 else 0x80 | bits & 0x3F]
+    return out, put
 
 
 _MODELS: dict[tuple[str, float], PieceModel] = {}
@@ -283,9 +330,7 @@ def sampled(docs: DataFrame, model: str | None = None, alpha: float = ALPHA) ->
         m = model_of(path, alpha)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text").to_pylist()
-                ids, offsets = encode_batch(m, texts, text_keys(part.column("doc_id").to_pylist()))
-                same = [m.decode(ids[a:b]) == (x or "") for x, a, b in zip(texts, offsets[:-1], offsets[1:])]
+                ids, offsets, same = _encoded(m, part.column("text"), text_keys(part.column("doc_id").to_pylist()))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), lists, pa.array(same)], names=["doc_id", "n_tokens", "ids", "lossless"])
 

@@ -1,11 +1,13 @@
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pacelake.llm.pieces import PieceModel, decoded, default_model, encode_batch, op3_sentencepiece, sampled
+from pacelake.llm.pieces import LONG, PieceModel, decoded, default_model, encode_batch, op3_sentencepiece, sampled
 from pacelake.llm.text import text_keys
 
 MODEL = PieceModel(default_model())
@@ -66,3 +68,28 @@ def test_awkward_rows(awkward, empty):
     rows = sampled(awkward).collect()
     assert len(rows) == awkward.count() and all(r.lossless for r in rows)
     assert all(r.n_tokens == 0 for r in rows if r.doc_id in (0, 1)) and sampled(empty).count() == 0
+
+
+def test_memory_of_a_batch():
+    """A batch of texts takes a bounded multiple of its bytes."""
+    texts = [" ".join(f"word{(i * 7919 + k * k) % 9973} the" for k in range(300)) for i in range(400)]
+    size = sum(map(len, texts))
+    keys = text_keys(range(len(texts)))
+    col = pa.array(texts)
+    encode_batch(MODEL, texts, keys)
+    tracemalloc.start()
+    encode_batch(MODEL, col, keys)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * size
+
+
+def test_long_words_and_marks():
+    """Words without spaces are cut by characters, not by bytes; a mark in the
+    text itself is no space."""
+    texts = ["日本語" * 100, "é" * LONG, "é" * (LONG - 1), "é" * (LONG - 1) + " x", "▁ ▁▁ a▁b", "😀" * 200 + "  " + "ab" * 200]
+    ids, offsets = encode_batch(MODEL, texts, text_keys(range(len(texts))))
+    assert [MODEL.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])] == texts
+    for k, t in enumerate(texts):
+        alone, _ = encode_batch(MODEL, [t], text_keys([k]))
+        assert list(alone) == list(ids[offsets[k] : offsets[k + 1]])
