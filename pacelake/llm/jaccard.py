@@ -281,6 +281,8 @@ def linked_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
             )
             pairs = met.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b")).distinct()
         links = links.union(written(_verified(pairs, sets, num, den), "links"))
+        del comp, named, main, open_, met, pairs
+        tidy(sets.sparkSession)  # of dozens of joins the driver holds plans, too
     return links
 
 

@@ -37,6 +37,7 @@ DECAY, POWER, FLOOR = 0.7, 3, 0.45
 LANDMARKS, NEIGHBOURS = 48, 24
 MAX_TRAIN = 2500
 PART_TEXTS = 250  # texts that the fit looks at together
+SIMILAR_UNITS = 500  # units compared with all landmarks together: 4 MB
 NOISE = 0.34  # share of toxic training texts repeated with characters put into their telling units
 
 _FOLD = np.zeros(256, dtype=np.uint8)
@@ -104,6 +105,13 @@ class Machine:
     slope: float
     shift: float
 
+    def __getstate__(self) -> dict:
+        """Without the table (9 MB), which its reader makes again."""
+        return {**self.__dict__, "table": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state, table=landmark_table(state["landmarks"]))
+
 
 def landmark_table(keys: np.ndarray) -> np.ndarray:
     code, own = triples(keys)
@@ -125,8 +133,8 @@ def similarities(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
         code, own = triples(part)
         norm = np.sqrt(np.maximum(own, 1e-9))
         near = np.flatnonzero((highest[code] * _WEIGHT).sum(1) >= FLOOR * norm)
-        for b in range(0, len(near), 4000):
-            rows = near[b : b + 4000]
+        for b in range(0, len(near), SIMILAR_UNITS):
+            rows = near[b : b + SIMILAR_UNITS]
             k = np.einsum("ntl,t->nl", table[code[rows]], _WEIGHT) / norm[rows, None]
             out[a + rows] = np.where(k >= FLOOR, k, 0) ** POWER
     return out
@@ -153,15 +161,27 @@ def _stems(keys: np.ndarray) -> np.ndarray:
     return keys & np.uint64((1 << 25) - 1)
 
 
-def telling_units(keys: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(candidates by falling evidence for label 1, frequent harmless units).
-    Evidence is the log-likelihood ratio of a unit's (or its first five
-    symbols') share of toxic texts against other texts."""
-    # a unit has 40 bits, the number of a text of the bounded sample at most 24
+def _counts(keys: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, toxic texts with it, texts with it) of every unit and stem."""
+    # a unit has 40 bits, the number of a text of a part at most 24
     pairs = np.unique(np.concatenate([keys, _stems(keys)]) << np.uint64(24) | np.tile(owner, 2).astype(np.uint64))
     unit, first = np.unique(pairs >> np.uint64(24), return_index=True)
-    hits = np.add.reduceat(toxic[(pairs & np.uint64((1 << 24) - 1)).astype(int)].astype(float), first)
-    seen = np.diff(np.append(first, len(pairs))).astype(float)
+    hits = np.add.reduceat(toxic[(pairs & np.uint64((1 << 24) - 1)).astype(int)].astype(float), first) if len(first) else np.zeros(0)
+    return unit, hits, np.diff(np.append(first, len(pairs))).astype(float)
+
+
+def telling_units(parts: Iterator[tuple[int, np.ndarray, np.ndarray]], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(candidates by falling evidence for label 1, frequent harmless units)
+    of the parts of a sample (see ``_in_parts``), counted part by part.
+    Evidence is the log-likelihood ratio of a unit's (or its first five
+    symbols') share of toxic texts against other texts."""
+    unit, hits, seen = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for at, keys, owner in parts:
+        more = _counts(keys, owner, toxic[at : at + PART_TEXTS])
+        unit, where = np.unique(np.concatenate([unit, more[0]]), return_inverse=True)
+        hits, seen = (np.bincount(where, np.concatenate(x), len(unit)) for x in ((hits, more[1]), (seen, more[2])))
+    if not len(unit):
+        return unit, unit
     n1, n = float(toxic.sum()), float(len(toxic))
     p, q, r = hits / n1, (seen - hits) / (n - n1), seen / n
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -205,9 +225,11 @@ def _noisy(keys: np.ndarray, telling: np.ndarray, rng: np.random.Generator) -> n
     return out
 
 
-def _in_parts(texts: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, unit keys, text index from there) of parts of the sample."""
-    return [(at, *units(pa.array(texts[at : at + PART_TEXTS], pa.large_string()))) for at in range(0, len(texts), PART_TEXTS)]
+def _in_parts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, unit keys, text index from there) of parts of the sample,
+    made when asked for: all units take several times the texts' memory."""
+    for at in range(0, len(texts), PART_TEXTS):
+        yield at, *units(pa.array(texts[at : at + PART_TEXTS], pa.large_string()))
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 11, rounds: int = 4000) -> Machine | None:
@@ -218,12 +240,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 11, rounds: int = 4000)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
-    parts = _in_parts(texts)
-    keys, owner = (np.concatenate(x) for x in zip(*((k, o + at) for at, k, o in parts)))
-    if not len(keys):
-        return None
-    candidates, harmless = telling_units(keys, owner, y)
-    del keys, owner
+    candidates, harmless = telling_units(_in_parts(texts), y)
     chosen = choose_landmarks(candidates)
     if not len(chosen):
         return None
@@ -231,7 +248,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 11, rounds: int = 4000)
     table = landmark_table(landmarks)
     again = (y == 1) & (rng.random(len(y)) < NOISE)
     x, noisy = [], []
-    for at, k, o in parts:
+    for at, k, o in _in_parts(texts):
         n = min(PART_TEXTS, len(texts) - at)
         mine = again[at : at + n]
         x.append(pooled(k, o, n, table))

@@ -1,3 +1,5 @@
+import pickle
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -88,3 +90,35 @@ def test_awkward_rows(spark, awkward, empty):
     assert tox.fit([], []) is None and tox.fit(["a"], [1]) is None and tox.fit(["same text", "same text"], [0, 1]) is None
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None), (4, 0)], "doc_id long, toxic int")
     assert tox.training_sample(awkward, labels)[1] in ([1, 0, 0], [1, 0])
+
+
+def test_fit_takes_no_memory_per_unit():
+    """Four times the texts, with the same words: little more memory at once."""
+    def peak(texts, labels):
+        tracemalloc.start()
+        try:
+            assert tox.fit(texts, labels, rounds=2) is not None
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    texts, labels = sentences(800, 3)
+    texts = [" ".join([t] * 48) for t in texts]
+    few, many = peak(texts, labels), peak(texts * 4, labels * 4)
+    assert many < 1.5 * few
+
+
+def test_parts_of_the_sample_count_as_the_whole(monkeypatch):
+    texts, labels = sentences(700, 4)
+    found = [tox.telling_units(tox._in_parts(texts), np.array(labels))]
+    monkeypatch.setattr(tox, "PART_TEXTS", 10_000)
+    found.append(tox.telling_units(tox._in_parts(texts), np.array(labels)))
+    assert len(found[0][0]) and len(found[0][1])
+    assert all(np.array_equal(a, b) for a, b in zip(*found))
+
+
+def test_machine_travels_without_its_table():
+    machine, texts = tox.fit(*sentences(400, 1)), pa.array(sentences(50, 2)[0])
+    sent = pickle.dumps(machine)
+    assert len(sent) < 100_000
+    assert np.array_equal(tox.scores(pickle.loads(sent), texts), tox.scores(machine, texts))
