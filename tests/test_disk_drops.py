@@ -6,6 +6,7 @@ from disk_helpers import gone, shuffle_files
 from helpers import bronze
 
 from pacelake.sources import fs
+from pacelake.sources.feed import race_feed
 from pacelake.sources.results_csv import read_results
 from pacelake.sources.sinks import ANY_RESULTS, drop_batch
 from pacelake.streaming import replay
@@ -27,8 +28,11 @@ def test_a_build_leaves_no_shuffle_files(spark, tmp_path, shuffled_joins):
     lake = replay.build_replay(spark, SF_SMALL, str(tmp_path))
     assert gone(spark, before)
     assert lake.enriched().count() == lake.table("fct_results").count() > 0
-    landed = [x for x in fs.list_files(spark, f"{lake.root}/landing/historical/feed") if x.startswith("part-")]
-    assert landed and all(x.endswith(".csv.gz") for x in landed)
+    # the landed files were gzipped, and are not kept beside bronze
+    bronze_rows, feed = lake.table("bronze"), race_feed(spark, SF_SMALL)
+    assert bronze_rows.where("source_file not like '%.csv.gz'").count() == 0
+    assert bronze_rows.count() == feed.count()
+    assert not fs.exists(spark, f"{lake.root}/landing/historical/feed")
 
 
 def test_gzipped_drops_are_the_same_rows(spark, tmp_path, monkeypatch):
